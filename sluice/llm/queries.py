@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, idfile, langid, media, minhash, packing, quality, secrets
+from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, quality, secrets
 from sluice.llm.common import crc_mod, read_table
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,7 +61,7 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_best_fit_packing, op3_secret_scan, op4_media_sniffing, op5_quality_rules, op6_tool_call_linking,
+        op1_lm_scoring, op2_best_fit_packing, op3_secret_scan, op4_media_sniffing, op5_quality_rules, op6_tool_call_linking,
         op7_language_id, op8_bpe_codec, op9_minhash_dedup, op10_token_id_files,
     )
 }
