@@ -38,7 +38,9 @@ def _literal(v) -> str:
         return "TRUE" if v else "FALSE"
     if isinstance(v, (list, tuple)):
         return "[" + ", ".join(map(_literal, v)) + "]"
-    return repr(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return repr(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
 
 
 def values(rows: list[tuple], names: str) -> str:

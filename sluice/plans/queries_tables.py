@@ -241,7 +241,7 @@ def rejections(spark, sf):
     return validate.split(docs, checks)[1].select("doc_id", "record_type", "reason")
 
 
-@query("""SELECT count(*) AS discovered, count_if(l.quality IS NOT NULL) AS validated, count_if(l.quality IS NULL) AS rejected, count_if(l.toxic = 1) AS toxic, count_if(d.n_chars < 200) AS short
+@query("""SELECT count(*) AS discovered, count(*) FILTER (WHERE l.quality IS NOT NULL) AS validated, count(*) FILTER (WHERE l.quality IS NULL) AS rejected, count(*) FILTER (WHERE l.toxic = 1) AS toxic, count(*) FILTER (WHERE d.n_chars < 200) AS short
 FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def quality_stats(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "n_chars").join(table(spark, sf, "labels"), "doc_id", "left")
@@ -301,13 +301,13 @@ def usage_by_provider(spark, sf):
     )
 
 
-@query("SELECT d.source, count(*) AS discovered, count(l.doc_id) AS attempted, count_if(l.quality = 1) AS classified FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY d.source")
+@query("SELECT d.source, count(*) AS discovered, count(l.doc_id) AS attempted, count(*) FILTER (WHERE l.quality = 1) AS classified FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY d.source")
 def yield_funnel(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels"), "doc_id", "left")
     return rows.groupBy("source").agg(F.count("*").alias("discovered"), F.count("quality").alias("attempted"), F.count_if(F.col("quality") == 1).alias("classified"))
 
 
-LEARNED = "SELECT p_partkey, p_name AS raw_name, first_value(trim(p_name)) OVER w AS canonical_name, CASE WHEN row_number() OVER w = 1 THEN 'unmatched-new' ELSE 'exact' END AS method, CASE WHEN row_number() OVER w = 1 THEN 0.0 ELSE 100.0 END AS confidence FROM part WINDOW w AS (PARTITION BY lower(trim(p_name)) ORDER BY p_partkey)"
+LEARNED = "SELECT p_partkey, p_name AS raw_name, first_value(trim(p_name)) OVER w AS canonical_name, CASE WHEN row_number() OVER w = 1 THEN 'unmatched-new' ELSE 'exact' END AS method, CAST(CASE WHEN row_number() OVER w = 1 THEN 0 ELSE 100 END AS DOUBLE) AS confidence FROM part WINDOW w AS (PARTITION BY lower(trim(p_name)) ORDER BY p_partkey)"
 
 
 @query(LEARNED)
@@ -315,7 +315,7 @@ def entity_learned(spark, sf):
     return resolve(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", "p_partkey", {})
 
 
-@query(LEARNED.replace("FROM part WINDOW", "FROM part WINDOW"), name="entity_resolve")
+@query(LEARNED)
 def entity_resolve(spark, sf):
     return resolve(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", "p_partkey")
 

@@ -92,7 +92,7 @@ def try_float(spark, sf):
 ATTEMPTS = [(0, None), (1, None), (2, None), (5, None), (10, None), (1, 7.5), (1, 400.0)]
 
 
-@query(f"SELECT attempt, retry_after, coalesce(least(retry_after, 30.0), least(1.0 * power(2.0, attempt), 30.0)) AS seconds FROM (SELECT attempt, CAST(retry_after AS DOUBLE) AS retry_after FROM {values(ATTEMPTS, 'attempt, retry_after')})")
+@query(f"SELECT attempt, retry_after, CAST(coalesce(least(retry_after, 30.0), least(1.0 * power(2.0, attempt), 30.0)) AS DOUBLE) AS seconds FROM (SELECT attempt, CAST(retry_after AS DOUBLE) AS retry_after FROM {values(ATTEMPTS, 'attempt, retry_after')})")
 def backoff_schedule(spark, sf):
     df = inline(spark, ATTEMPTS, "attempt int, retry_after double")
     return df.select("attempt", "retry_after", dates.backoff_seconds(F.col("attempt"), 1.0, 30.0, F.col("retry_after")).alias("seconds"))
@@ -109,7 +109,7 @@ def fetch_status_class(spark, sf):
 ITEMS = [(1, "4"), (2, "zero"), (3, None), (4, "0"), (5, "-2")]
 
 
-@query(f"SELECT id, CASE WHEN TRY_CAST(n AS INTEGER) <> 0 THEN 100.0 / TRY_CAST(n AS INTEGER) END AS result, TRY_CAST(n AS INTEGER) IS NULL OR TRY_CAST(n AS INTEGER) = 0 AS failed FROM {values(ITEMS, 'id, n')}")
+@query(f"SELECT id, CASE WHEN TRY_CAST(n AS INTEGER) <> 0 THEN CAST(100.0 AS DOUBLE) / TRY_CAST(n AS INTEGER) END AS result, TRY_CAST(n AS INTEGER) IS NULL OR TRY_CAST(n AS INTEGER) = 0 AS failed FROM {values(ITEMS, 'id, n')}")
 def failure_isolation(spark, sf):
     got = F.try_divide(F.lit(100.0), F.col("n").try_cast("int"))
     return inline(spark, ITEMS, "id int, n string").select("id", got.alias("result"), got.isNull().alias("failed"))
