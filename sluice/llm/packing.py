@@ -86,13 +86,14 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return [b for bins in by_room for b in bins]
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effort: int = 1) -> list[list[int]]:
     """bins with fewer, or the same bins fuller: moves and swaps among underfull bins that raise squared fill.
 
     The emptiest bin gives. It moves a piece to the fullest bin with room, else
     exchanges one piece for a shorter one, else two pieces for a shorter one, of a
-    bin that becomes fuller. It is done when its pieces are all gone, or when no
-    exchange is left; each step raises the sum of squared fills, so the search ends.
+    bin that becomes fuller. When it is stuck, other bins exchange one for one, at most
+    ``effort`` times the number of underfull bins. Each step raises the sum of squared
+    fills; the search ends when no bin can be saved any more or no step is left.
     """
     full = [b for b in bins if sum(lengths[k] for k in b) == capacity]
     open_ = [b for b in bins if sum(lengths[k] for k in b) < capacity]
@@ -137,6 +138,28 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
                     return True
         return False
 
+    def fill_up(j: int) -> bool:
+        """One piece of bin j for a longer one of a bin no fuller than j will be; the longest that fits."""
+        room = capacity - fill[j]
+        for k in sorted(open_[j], key=lambda k: lengths[k]) if room else ():
+            at = bisect_left(items, (lengths[k] + room + 1, -1, -1)) - 1
+            for at in range(at, max(at - 32, -1), -1):
+                if items[at][0] <= lengths[k]:
+                    break
+                n, i, other = items[at]
+                if i != j and fill[j] + n - lengths[k] > fill[i]:  # then the sum of squares rises
+                    items.pop(bisect_left(items, (lengths[k], j, k)))
+                    open_[j].remove(k)
+                    open_[i].append(k)
+                    insort(items, (lengths[k], i, k))
+                    resize(j, -lengths[k])
+                    resize(i, lengths[k])
+                    shift(other, i, j)
+                    heapq.heappush(heap, (fill[i], i))
+                    return True
+        return False
+
+    steps = effort * len(open_)
     while len(heap) > 1:
         f, giver = heapq.heappop(heap)
         if f != fill[giver]:
@@ -157,7 +180,11 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
                 pairs = [[a, b] for i, a in enumerate(own) for b in own[i + 1 :]][:64]
                 changed = any(swap(giver, g) for g in [*([k] for k in own), *pairs])
         if open_[giver]:
-            break  # the emptiest bin can't be emptied: no bin can be saved by it
+            # the emptiest bin can't be emptied as things are: other bins exchange, the fullest first, to make room
+            if steps <= 0 or sum(capacity - f for f in fill if f) < capacity or not any(fill_up(j) for _, j in list(rooms[:64])):
+                break
+            steps -= 1
+            heapq.heappush(heap, (fill[giver], giver))
     return full + [b for b in open_ if b]
 
 
