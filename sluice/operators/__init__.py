@@ -1 +1 @@
-
+"""Operators on records: deduplication, validation, chunking, similarity, resolution, cascades."""

@@ -1 +1 @@
-
+"""Writers of tabs."""

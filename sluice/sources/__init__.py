@@ -1 +1 @@
-
+"""Readers of payloads and pages."""
