@@ -7,6 +7,7 @@ told of); any other column, whatever its name, is ignored or carried unchanged.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -47,6 +48,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files, checkpoints and broadcasts that nothing refers to any more.
+
+    Spark learns of them by the driver's garbage collection, which it forces itself only
+    every half hour; an operator of many rounds would hold all of its rounds' files.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(column: Column, modulus: int) -> Column:
     """crc32 of the value as text, modulo modulus; a null value gives null."""
     return F.crc32(column.cast("string").cast("binary")) % F.lit(modulus)
