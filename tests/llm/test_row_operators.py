@@ -273,8 +273,6 @@ def test_lm_is_a_distribution():
     lm.count_table(words, np.array([5, 2, 1, 3]), table)
     mixer.fit(words, np.array([5, 2, 1, 3]), np.array([5.0, 2.0, 1.0, 3.0]), table)
     last = [bytes([k]) for k in range(256)]  # the first byte of a token, whatever follows: its bits sum to one
-    s = lm.Spelled([b"a"])
-    del s
     total = 0.0
     for b in last:
         own = lm.Spelled([lm.END])
