@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import cut, shared_dir, slices
+from sluice.llm.common import cut, shared_dir, slices, texts_of
 
 MAGIC = b"SLUICEF1"
 EVERY = 256
@@ -185,7 +185,7 @@ def write_shards(
 
         encode_, end = encoder(path, spaced=False), np.array([end_id], "<u4").tobytes()
         for batch in slices(batches):
-            ids = [x + end for x in encode_([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [x + end for x in encode_(texts_of(batch.column(1)))]
             null = np.array(batch.column(0).is_null().to_pylist(), bool)
             own = np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64)
             place = np.where(null, 0, np.searchsorted(bounds, own, side="right") + 1)
@@ -217,7 +217,8 @@ def write_shards(
             yield flush()
 
     encoded = rows.mapInArrow(encode, "shard long, _id long, ids binary")
-    sorted_ = encoded.repartition(parts, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("ids"))
+    # more tasks than shards, so that few tasks get two
+    sorted_ = encoded.repartition(3 * parts, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("ids"))
     return cut(sorted_.mapInArrow(store, "shard long, uri string, n_docs long, n_ids long"))
 
 
