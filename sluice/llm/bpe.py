@@ -29,8 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from sluice.llm.common import slices, texts_of
+from sluice.llm.tokens import plain_chunks
 
 MOST = 300_000
+#: The last character whose words are found without the library.
+LATIN = "\u024f"
 NONE = np.int64(1 << 40)
 #: Stands for no merge among the (rank, id) of merges.
 FREE = (1 << 40, 0)
@@ -143,21 +146,25 @@ class Codec:
     BLANKS = regex.compile(r"\s+")
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)  # for normal forms and pieces of text beyond Latin letters
         self.v = Vocabulary(path)
-        self.known: dict[bytes, tuple[bytes, str]] = {}
-        self.older: dict[bytes, tuple[bytes, str]] = {}
+        #: Ids and token strings of each chunk; silent: some chunk has none.
+        self.ids: dict[bytes, bytes] = {}
+        self.shown: dict[bytes, str] = {}
+        self.silent = False
         self.word_ids: dict[str, list[int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.proposed = self.merged = 0
         self.to_letters = {b: x for b, x in enumerate(self.v.letters) if chr(b) != x}
         n = len(self.v.end)
-        #: Proposable tokens that end a word, without the end; and the most characters of a token by its first two.
+        #: Proposable tokens that end a word, without the end; and the most characters of a token by its first four.
         self.ends = {s[:-n]: i for s, i in self.v.proposable.items() if n and s.endswith(self.v.end) and len(s) > n} or dict(self.v.proposable)
         self.reach: dict[str, int] = {}
         for s in [*self.v.proposable, *self.ends]:
             body = s[:-n] if n and s.endswith(self.v.end) and len(s) > n else s
-            for k in (1, 2):
-                self.reach[body[:k]] = max(self.reach.get(body[:k], 1), len(body))
+            self.reach[body[:4]] = max(self.reach.get(body[:4], 0), len(body), 3)
         self.specials = regex.compile("|".join(regex.escape(s) for s in sorted(self.v.special, key=len, reverse=True)) or r"(?!)")
 
     def words(self, text: str) -> list[str]:
@@ -168,7 +175,9 @@ class Codec:
                 return [lowered]
             pieces = self.PIECES.findall(lowered)
             return pieces if lowered.isprintable() else [w.translate(self.to_letters) for w in pieces]
-        lowered = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # lower() alone knows a final sigma
+        if max(text) > LATIN:  # by the library, whose tables of letters may be older than Python's
+            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
+        lowered = unicodedata.normalize("NFC", text).lower()
         pieces = [lowered] if lowered.isalpha() else self.PIECES.findall(lowered)
         return [w.encode().decode("latin-1").translate(self.to_letters) for w in pieces]
 
@@ -177,7 +186,7 @@ class Codec:
         out, at, n = [], 0, len(word)
         get, ends, reach = self.v.proposable.get, self.ends.get, self.reach.get
         while at < n:
-            to = at + reach(word[at : at + 2], 1)
+            to = at + reach(word[at : at + 4], 3)
             if to >= n:
                 if (i := ends(word[at:])) is not None:
                     out.append(i)
@@ -227,43 +236,41 @@ class Codec:
         self.encode_words([w for w in dict.fromkeys(w for x in parts.values() for w in x) if w.__class__ is str and w not in ids_of])
         for c, x in parts.items():
             ids = ids_of[x[0]] if len(x) == 1 and x[0].__class__ is str else [i for w in x for i in (ids_of[w] if w.__class__ is str else [w])]
-            self.known[c] = array("I", ids).tobytes(), " ".join(map(strings.__getitem__, ids))
-
-    def _know(self, part: list[bytes]) -> None:
-        """All chunks of part are in ``known`` afterwards; those used last outlive those that were not."""
-        if len(self.known) > MOST:
-            self.older, self.known = self.known, {}
-        new, known, older = [], self.known, self.older
-        for x in set(part):
-            if x not in known:
-                if (got := older.get(x)) is not None:
-                    known[x] = got
-                else:
-                    new.append(x)
-        if new:
-            self._learn(new)
+            self.ids[c], self.shown[c] = array("I", ids).tobytes(), " ".join(map(strings.__getitem__, ids))
+            self.silent = self.silent or not ids
+
+    def _know(self, own: set[bytes]) -> None:
+        """All chunks of own are known afterwards; a full memory keeps those alone."""
+        if len(self.ids) > MOST:
+            self.ids = {x: self.ids[x] for x in own if x in self.ids}
+            self.shown = {x: self.shown[x] for x in own if x in self.shown}
+        if new := own.difference(self.ids):
+            self._learn(list(new))
+
+    def _joined(self, chunks: list[bytes]) -> tuple[bytes, str]:
+        strings = map(self.shown.__getitem__, chunks)
+        return b"".join(map(self.ids.__getitem__, chunks)), " ".join(filter(None, strings) if self.silent else strings)
 
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
-        split = [t.split() for t in texts]
-        out, i = [], 0
+        split = [plain_chunks(t) for t in texts]
+        out: list[tuple[bytes, str]] = []
+        i = 0
         while i < len(split):
             held, to = 0, i
             while to < len(split) and (to == i or held + len(split[to]) <= MOST):
                 held += len(split[to])
                 to += 1
-            group = split[i:to]
-            ids: list[list] = [[] for _ in group]
-            strings: list[list] = [[] for _ in group]
-            longest = max(map(len, group))
-            for at in range(0, max(longest, 1), MOST):  # one round, but for a text of more chunks than MOST
-                parts = [g[at : at + MOST] for g in group]
-                self._know([x for p in parts for x in p])
-                for k, p in enumerate(parts):
-                    got = [self.known[x] for x in p]
-                    ids[k] += [x[0] for x in got]
-                    strings[k] += [x[1] for x in got if x[1]]
-            out += [(b"".join(a), " ".join(b)) for a, b in zip(ids, strings)]
+            if to == i + 1 and held > MOST:  # a text of more chunks than the memory has: by parts
+                got = []
+                for at in range(0, held, MOST):
+                    part = split[i][at : at + MOST]
+                    self._know(set(part))
+                    got.append(self._joined(part))
+                out.append((b"".join(x[0] for x in got), " ".join(x[1] for x in got if x[1])))
+            else:
+                self._know(set().union(*split[i:to]))
+                out += map(self._joined, split[i:to])
             i = to
         return out
 

@@ -2,12 +2,13 @@
 
 A tokenizer that splits text at white space gives a text the ids of its chunks,
 laid end to end. Most chunks of a corpus repeat, so a task encodes each new chunk
-once by the library and looks the others up. The memory holds at most about twice
-``MOST`` chunks and those of one slice of texts, whatever the input.
+once by the library and looks the others up. The memory holds at most ``MOST``
+chunks and those of one slice of texts, whatever the input.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -22,6 +23,18 @@ EDGE = re.compile(r"(?<=\S)(?= )")
 AFTER_SPACE = re.compile(r"\s ")
 
 
+#: A letter or digit before common punctuation, where a split at white space, letters, digits and other signs always cuts.
+PUNCTUATED = re.compile(rb"([a-z0-9])(?=[.,;:!?])")
+
+
+def plain_chunks(text: bytes) -> list[bytes]:
+    """Chunks for a tokenizer that drops white space and lowers case: punctuation apart from words, ASCII in lower case.
+
+    Special tokens are lower case, so a text that may have one is left as it is.
+    """
+    return PUNCTUATED.sub(rb"\1 ", text if b"<|" in text else text.lower()).split()
+
+
 class Encoder:
     """Little-endian unsigned 32-bit ids of texts, as the library encodes without special tokens added.
 
@@ -37,34 +50,29 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.spaced = spaced
+        normalizer = json.loads(self.tokenizer.to_str())["normalizer"]
+        self.lowers = not spaced and "Lowercase" in json.dumps(normalizer)
         self.mark_id, token = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
         self.mark = token.content
         self.known: dict = {}
-        self.older: dict = {}
 
-    def chunks(self, text: str) -> list:
+    def chunks(self, text: str | bytes) -> list:
         if not self.spaced:
-            return text.encode().split()
+            data = text if isinstance(text, bytes) else text.encode()
+            return plain_chunks(data) if self.lowers else data.split()
         if AFTER_SPACE.search(text):
             return EDGE.split(text)
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]]
 
-    def _know(self, part: list) -> None:
-        """All chunks of part are in ``known`` afterwards; those used last outlive those that were not."""
+    def _know(self, own: set) -> None:
+        """All chunks of own are in ``known`` afterwards; a full memory keeps those alone."""
         if len(self.known) > MOST:
-            self.older, self.known = self.known, {}
-        new = []
-        for x in set(part):
-            if x not in self.known:
-                if (got := self.older.get(x)) is not None:
-                    self.known[x] = got
-                else:
-                    new.append(x)
-        if new:
-            texts = [x if self.spaced else x.decode() for x in new]
-            for i in range(0, len(new), TOGETHER):
-                self._encode(new[i : i + TOGETHER], texts[i : i + TOGETHER])
+            self.known = {x: self.known[x] for x in own if x in self.known}
+        new = list(own.difference(self.known))
+        texts = new if self.spaced else [x.decode() for x in new]
+        for i in range(0, len(new), TOGETHER):
+            self._encode(new[i : i + TOGETHER], texts[i : i + TOGETHER])
 
     def _encode(self, chunks: list, texts: list[str]) -> None:
         """One call for many chunks: a special token between them keeps them apart."""
@@ -79,22 +87,25 @@ class Encoder:
             for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 self.known[chunk] = array("I", e.ids).tobytes()
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list) -> list[bytes]:
         split = [self.chunks(t) for t in texts]
-        out, i = [], 0
+        out: list[bytes] = []
+        i = 0
         while i < len(split):
             held, to = 0, i
             while to < len(split) and (to == i or held + len(split[to]) <= MOST):
                 held += len(split[to])
                 to += 1
-            group = split[i:to]
-            ids: list[list] = [[] for _ in group]
-            for at in range(0, max(1, *map(len, group)), MOST):  # one round, but for a text of more chunks than MOST
-                parts = [g[at : at + MOST] for g in group]
-                self._know([x for p in parts for x in p])
-                for k, p in enumerate(parts):
-                    ids[k] += map(self.known.__getitem__, p)
-            out += map(b"".join, ids)
+            if to == i + 1 and held > MOST:  # a text of more chunks than the memory has: by parts
+                parts = []
+                for at in range(0, held, MOST):
+                    self._know(set(split[i][at : at + MOST]))
+                    parts += map(self.known.__getitem__, split[i][at : at + MOST])
+                out.append(b"".join(parts))
+            else:
+                self._know(set().union(*split[i:to]))
+                get = self.known.__getitem__
+                out += [b"".join(map(get, g)) for g in split[i:to]]
             i = to
         return out
 
@@ -120,8 +131,6 @@ class ByteEncoder:
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
-        import json
-
         import tiktoken
 
         from sluice.llm.bpe import byte_letters
