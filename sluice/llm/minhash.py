@@ -12,9 +12,14 @@ WIDE 3 and SIDE 10 that is 0.99985 at 0.85 and higher above.
    class without any relative has no table key at all.
 3. In each table a bucket links its members to one of them, the centre, never all
    pairs; links are verified on whole texts. Rounds follow on buckets whose members
-   still belong to different components, with other centres, until a round of
-   ``PATIENCE`` finds no link. This is what keeps a bucket of a third of all rows linear.
-4. Components are found by minimum labels and pointer jumping over the links.
+   still belong to different components, with other centres, while one in
+   ``WORTH`` pairs is a link. They settle most of a large group in linear work and
+   decide nothing.
+4. The end is exact: every two nodes of different components that share a table are
+   compared in tiles of ``BLOCK`` x ``BLOCK`` nodes, first by bounds that no link can
+   fail, then on whole texts. The pairs within the largest component of a group are
+   no longer asked for, so this is quadratic only in what the rounds left apart.
+5. Components are found by minimum labels and pointer jumping over the links.
 
 Skew: counts are partial aggregates; joins on class, sub-key and bucket are plain
 equi-joins of rows that Spark may split where a key is hot.
@@ -37,10 +42,14 @@ from pyspark.sql import functions as F
 from sluice.llm.common import cut, slices, sweep
 
 SHINGLE, WIDE, SIDE = 5, 3, 10
-#: Rounds without a new link after which no further centres are tried.
-PATIENCE = 2
+#: Rounds go on while at least one of so many pairs compared is a link; beyond that tiles cost less.
+WORTH = 10
+#: Centres of a node in a round, and parts of a bucket; what they leave out is compared at the end.
 TRIES = 12
 LOOKS = 4
+#: Nodes on each side of a tile at the end, and bins into which a node's shingles are counted.
+BLOCK = 1024
+BINS = 256
 #: Rows of table keys to a task and file in the rounds.
 PART = 20_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -123,6 +132,17 @@ def texts_in_one(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 SIDES = [f"u{i}" for i in range(SIDE)] + [f"v{i}" for i in range(SIDE)]
 
 
+def sub_keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The sub-keys of sets of shingles, a row for each of SIDES; a set lies in hashes from its begin on and is not empty."""
+    keys = np.zeros((len(SIDES), len(begin)), np.uint64)
+    for k in range(len(SIDES)):
+        key = np.full(len(begin), np.uint64((k + 1) * int(_MIX) % (1 << 64)))
+        for j in range(k * WIDE, (k + 1) * WIDE):
+            key = mix(key + np.minimum.reduceat((hashes ^ _OFFSETS[j]) * _FACTORS[j], begin))
+        keys[k] = key
+    return keys
+
+
 def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, n_shingles, s1, s2, u0.., v0..): set size, two sums that stand for the set, and the sub-keys."""
     names = ["doc", "n_shingles", "s1", "s2", *SIDES]
@@ -137,11 +157,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 begin = at[:-1][full]
                 for k, salt in enumerate((np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))):
                     sums[k, full] = np.add.reduceat(mix(hashes ^ salt), begin)
-                for k in range(len(SIDES)):
-                    key = np.full(len(begin), np.uint64((k + 1) * int(_MIX) % (1 << 64)))
-                    for j in range(k * WIDE, (k + 1) * WIDE):
-                        key = mix(key + np.minimum.reduceat((hashes ^ _OFFSETS[j]) * _FACTORS[j], begin))
-                    keys[k, full] = key
+                keys[:, full] = sub_keys(hashes, begin)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), *[pa.array(x.view(np.int64)) for x in (*sums, *keys)]], names=names
             )
@@ -223,8 +239,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # what follows has at most the rows of tables, in files of about PART rows
     parts = max(1, -(-tables.count() // PART))
     tables, texts = tables.coalesce(parts), texts.coalesce(parts)
-    links, labels, tried, round_, idle = None, None, None, 0, 0
-    while idle < PATIENCE:
+    links, labels, tried, round_ = None, None, None, 0
+    while True:
         pairs = cut(_candidates(tables, labels, tried, round_, parts))
         found = cut(verified(pairs, texts, percent, parts))
         new = found.count()
@@ -232,11 +248,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if new:
             links = found if links is None else links.unionByName(found)
             labels = components(links, parts)
-        elif labels is None:
-            break
-        idle = 0 if new else idle + 1
         round_ += 1
         sweep(docs.sparkSession)
+        if new == 0 or WORTH * new < pairs.count():
+            break
+    found = cut(verified(_rest(tables, labels, tried, texts, percent, parts), texts, percent, parts))
+    if not found.isEmpty():
+        links = found if links is None else links.unionByName(found)
+        labels = components(links, parts)
     rep = classes.where("rows > 1").select("s1", "s2", "node")
     out = sketches.select("doc", "n_shingles", "s1", "s2").join(rep, ["s1", "s2"], "left")
     node = F.when(F.col("doc").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("node", "doc")).otherwise(F.col("doc"))
@@ -282,3 +301,97 @@ def _candidates(tables: DataFrame, labels: DataFrame | None, tried: DataFrame |
     pairs = met.groupBy("a").agg(tries.alias("x")).select("a", F.explode("x.b").alias("b"))
     pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(parts)
     return pairs.join(tried, ["a", "b"], "left_anti").coalesce(parts)
+
+
+def _marks(texts: DataFrame) -> DataFrame:
+    """(node, component, n, u, subs, bins) of texts (node, component, t): set size, u sub-keys, all sub-keys, and counts of shingles by bin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2):
+            hashes, at = shingles(*texts_in_one(batch.column(2)))
+            n = np.diff(at)
+            subs = sub_keys(hashes, at[:-1]).T.copy()  # nodes have no empty sets
+            spot = np.repeat(np.arange(len(n)), n) * BINS + (hashes >> np.uint64(56)).astype(np.int64)
+            bins = np.minimum(np.bincount(spot, minlength=len(n) * BINS), 65_535).astype("<u2").reshape(-1, BINS)
+            u = pa.array(list(subs.view(np.int64)[:, :SIDE]), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n), u, pa.array([x.tobytes() for x in subs], pa.binary()), pa.array([x.tobytes() for x in bins], pa.binary())],
+                names=["node", "component", "n", "u", "subs", "bins"],
+            )
+
+    return texts.select("node", "component", "t").mapInArrow(run, "node long, component long, n long, u array<long>, subs binary, bins binary")
+
+
+def _rest(tables: DataFrame, labels: DataFrame | None, tried: DataFrame, texts: DataFrame, percent: int, parts: int) -> DataFrame:
+    """(a, b), a > b: every two nodes that share a table and are of different components, but for tried ones and ones that bounds exclude.
+
+    Nodes meet by their u sub-keys. Of the nodes of a u sub-key those that are not of its
+    largest component stand on the left of a tile, and all stand on the right, each side
+    dealt into blocks. A pair counts where its first equal u sub-key is, if a v sub-key
+    is equal too. The bounds are the sizes of both sets, and the sum over the bins of
+    the lesser count, which no intersection exceeds.
+    """
+    rows = tables.withColumn("component", F.col("node")) if labels is None else tables.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spans = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    apart = rows.join(spans, "bucket").select("node", "component").distinct()
+    marks = cut(_marks(texts.join(apart.coalesce(parts), "node").coalesce(parts)))
+    keyed = marks.select("*", F.posexplode("u").alias("i", "key")).drop("u")
+    counts = keyed.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK)
+    groups = counts.where(F.col("all") > F.col("m.count")).select("key", F.col("m.component").alias("most"), blocks(F.col("all") - F.col("m.count")).alias("x"), blocks(F.col("all")).alias("y"))
+    both = keyed.join(groups, "key")
+    less, place = F.col("component") != F.col("most"), lambda k, n: F.pmod(F.xxhash64("node", F.lit(k)), F.col(n))
+    tile = lambda x, y, left: F.struct(F.xxhash64("key", x, y).alias("tile"), F.lit(left).alias("left"))
+    right = F.transform(F.sequence(F.lit(0).cast("long"), F.col("x") - 1), lambda k: tile(k, place(1, "y"), False))
+    left = F.transform(F.sequence(F.lit(0).cast("long"), F.col("y") - 1), lambda k: tile(place(0, "x"), k, True))
+    dealt = both.select("node", "component", "n", "subs", "bins", "i", less.alias("less"), F.explode(F.when(less, F.concat(right, left)).otherwise(right)).alias("to"))
+    dealt = dealt.select("to.tile", "to.left", "less", "i", "node", "component", "n", "subs", "bins").repartition("tile").sortWithinPartitions("tile")
+
+    def compare(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        _, is_left, is_less, at, node, component, n, subs, bins = rows
+        one, two = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+        out = [np.zeros((2, 0), np.int64)]
+        step = max(1, (1 << 16) // max(1, len(two)))
+        for k in range(0, len(one), step):
+            a, b = np.repeat(one[k : k + step], len(two)), np.tile(two, len(one[k : k + step]))
+            low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+            # two of the left meet twice, once with the greater on the left
+            good = (component[a] != component[b]) & (~is_less[b] | (node[a] > node[b])) & (100 * low >= percent * high)
+            a, b = a[good], b[good]
+            same = subs[a] == subs[b]
+            good = (np.argmax(same[:, :SIDE], 1) == at[a]) & same[:, :SIDE].any(1) & same[:, SIDE:].any(1)
+            a, b = a[good], b[good]
+            for i in range(0, len(a), 4096):
+                x, y = a[i : i + 4096], b[i : i + 4096]
+                most = np.minimum(bins[x], bins[y]).sum(1, dtype=np.int64)
+                # a count may have reached its end where a set is that large
+                good = (100 * most >= percent * (n[x] + n[y] - most)) | (np.minimum(n[x], n[y]) >= 65_535)
+                x, y = node[x[good]], node[y[good]]
+                out.append(np.stack([np.maximum(x, y), np.minimum(x, y)]))
+        a, b = np.concatenate(out, 1)
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A tile's rows may stand in several batches."""
+        held = None
+
+        def pairs(rows):
+            edge = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1], [True]]))
+            got = [compare([x[s:e] for x in rows]) for s, e in zip(edge[:-1], edge[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c = batch.columns
+            new = [x.to_numpy(zero_copy_only=False) for x in c[:7]]
+            new += [np.frombuffer(b"".join(c[7].to_pylist()), np.int64).reshape(-1, len(SIDES)), np.frombuffer(b"".join(c[8].to_pylist()), "<u2").reshape(-1, BINS)]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            last = int(np.argmax(held[0] == held[0][-1]))
+            if last:
+                yield pairs([x[:last] for x in held])
+                held = [x[last:] for x in held]
+        if held is not None:
+            yield pairs(held)
+
+    return dealt.mapInArrow(run, "a long, b long").join(tried, ["a", "b"], "left_anti")
