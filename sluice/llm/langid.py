@@ -11,9 +11,9 @@ finer sizes, so ties are rare; those left go to the language first in order.
 Training texts are checked against each other first: dictionaries of one half
 classify the other half, and texts whose label is contradicted are left out.
 
-Dictionaries are fitted on a bounded sample: at most ``sample_docs`` texts a
-language, of which ``sample_chars`` characters each are read, chosen by a hash of
-the text. Prediction is row-local, without shuffle.
+Dictionaries are fitted on a bounded sample: at most ``sample_docs`` different
+texts a language, chosen by a hash of the text; copies count once. Of a longer text
+``PIECES`` pieces from its start to its end are read, ``sample_chars`` in all. Prediction is row-local, without shuffle.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0 and
 rejected; without any labelled training text everything is ``und``; equal texts
@@ -35,6 +35,7 @@ from sluice.llm.common import crc_mod, slices, texts_of
 
 LEVELS = (1, 6)
 BLOCK = 4096
+PIECES = 4
 
 
 def train_dictionaries(
@@ -43,14 +44,18 @@ def train_dictionaries(
 ) -> dict[str, bytes]:
     """A raw-content dictionary for each language of docs (rows without text or language are left out).
 
-    The rank below is over hashes only and is cut to sample_docs in each partition
-    before any shuffle, so no task holds a language.
+    Hashes of equal texts are made one by a partial aggregate; the rank is over hashes
+    only and is cut to sample_docs in each partition before its shuffle, so no task
+    holds a language. Texts are read for the chosen hashes alone.
     """
+    size, n = sample_chars // PIECES, F.length(text)
+    pieces = [F.substring(text, F.floor((n - size) * k / (PIECES - 1)).cast("int") + 1, F.lit(size)) for k in range(PIECES)]
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).cast("string").alias("l"), F.xxhash64(text).alias("h"), F.substring(text, 1, sample_chars).alias("t")
+        F.col(lang).cast("string").alias("l"), F.xxhash64(text).alias("h"), F.when(n <= sample_chars, F.col(text)).otherwise(F.concat_ws("\n", *pieces)).alias("t")
     )
-    best = Window.partitionBy("l").orderBy("h", "t")
-    got = rows.withColumn("k", F.row_number().over(best)).where(F.col("k") <= sample_docs).orderBy("l", "k").collect()
+    best = Window.partitionBy("l").orderBy("h")
+    chosen = rows.select("l", "h").distinct().withColumn("k", F.row_number().over(best)).where(F.col("k") <= sample_docs)
+    got = rows.join(F.broadcast(chosen), ["l", "h"]).groupBy("l", "k").agg(F.min("t").alias("t")).orderBy("l", "k").collect()
     samples = [(r["l"], r["t"].lower().encode(), r["k"] % 2) for r in got]
     halves = [Classifier(_joined([x for x in samples if x[2] == k], dict_bytes)) for k in (0, 1)]
     agreed = [x for x in samples if x[0] not in (c := halves[1 - x[2]]).langs or c(x[1])[0] == x[0]]

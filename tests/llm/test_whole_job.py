@@ -2,7 +2,9 @@
 
 import random
 
-from sluice.llm import minhash
+from pyspark.sql import functions as F
+
+from sluice.llm import langid, minhash
 
 
 def test_near_duplicates_form_letters(spark):
@@ -23,3 +25,15 @@ def test_near_duplicates_form_letters(spark):
         rows.append((i, " ".join(text)))
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=85).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (196, c) for i, c in enumerate(want)}
+
+
+def test_language_samples_copies(spark):
+    """Thousands of copies of the text of least hash are one training text, and a long text is read to its end."""
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(12)) for _ in range(100)]
+    texts.append("long " * 1000 + "the last words")
+    hashed = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    least = hashed.orderBy(F.xxhash64("text")).first()["text"]
+    docs = hashed.unionByName(spark.createDataFrame([(least, "en")] * 3000, "text string, lang string"))
+    got = langid.train_dictionaries(docs)["en"].decode()
+    assert got.count(least) == 1 and all(t in got for t in texts[:100]) and "the last words" in got
