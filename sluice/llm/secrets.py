@@ -3,7 +3,8 @@
 Two first-order character models, one of random strings and one of ordinary
 identifiers, are counted from labelled samples. A run of 20 or more key
 characters is a secret of kind ``random`` when the log-likelihood ratio of the
-two models over its transitions reaches ``min_llr``. Fixed patterns give the
+two models over the transitions of some segment of it reaches ``min_llr``, so
+ordinary characters beside a secret do not outvote it. Fixed patterns give the
 kinds ``assign``, ``access`` and ``hex``; the model only adds spans.
 
 The model is a table of 128 x 128 numbers whatever the corpus, so it travels in
@@ -117,10 +118,15 @@ def random_spans(text: Column, ratios: list[float], min_llr: float) -> Column:
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
 
     def ratio(run: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(run) - 1), F.lit(0.0),
-            lambda a, i: a + F.get(table, F.ascii(F.substring(run, i, F.lit(1))) * ASCII + F.ascii(F.substring(run, i + 1, F.lit(1)))),
-        )
+        """The greatest ratio of a segment: of the sums that start anew where they fall below zero."""
+
+        def step(a: Column, i: Column) -> Column:
+            own = F.get(table, F.ascii(F.substring(run, i, F.lit(1))) * ASCII + F.ascii(F.substring(run, i + 1, F.lit(1))))
+            now = F.greatest(a["now"] + own, F.lit(0.0))
+            return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+        zero = F.struct(F.lit(0.0).alias("now"), F.lit(0.0).alias("most"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), zero, step, lambda a: a["most"])
 
     return _spans(text, RUN, "random", None, lambda f, i: ratio(F.get(f["m"], i)) >= min_llr)
 

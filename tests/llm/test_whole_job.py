@@ -1,10 +1,13 @@
 """Operators on tables where a bounded share of the comparisons, texts or counts would not do."""
 
+import base64
+import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from sluice.llm import langid, minhash
+from sluice.llm import langid, minhash, secrets
 
 
 def test_near_duplicates_form_letters(spark):
@@ -37,3 +40,17 @@ def test_language_samples_copies(spark):
     docs = hashed.unionByName(spark.createDataFrame([(least, "en")] * 3000, "text string, lang string"))
     got = langid.train_dictionaries(docs)["en"].decode()
     assert got.count(least) == 1 and all(t in got for t in texts[:100]) and "the last words" in got
+
+
+def test_secret_behind_words(spark, sf):
+    """A random token joined to many ordinary words is found; the words alone are not."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    ratios = secrets.train_markov(secrets.labelled_samples(docs))
+    rng, some = random.Random(2), docs.where("lang = 'en'").orderBy("doc_id").limit(50).collect()
+    words = sorted({w for r in some for w in r["text"].split() if re.fullmatch("[a-z]{4,9}", w)})
+    rows = []
+    for i in range(40):
+        name = "_".join(rng.sample(words, 8))
+        rows += [(2 * i, name + "_" + base64.b64encode(hashlib.sha256(b"%d" % i).digest()).decode()[:24]), (2 * i + 1, name)]
+    got = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), ratios).select("doc_id", F.size(F.filter("_secrets.all", lambda x: x["kind"] == "random"))).collect()
+    assert all((n == 1) == (i % 2 == 0) for i, n in got)
