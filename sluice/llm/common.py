@@ -8,7 +8,6 @@ told of); any other column, whatever its name, is ignored or carried unchanged.
 from __future__ import annotations
 
 import gc
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,16 +29,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
-        return named
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="sluice-"))
-    return sc.getCheckpointDir()
+        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
+    return named or sc.getCheckpointDir()
+
+
+def free(columns: list[str], name: str) -> str:
+    """name, with as many underscores behind it as it takes that no column begins with it; Spark takes no note of case."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name += "_"
+    return name
 
 
 def cut(df: DataFrame) -> DataFrame:
