@@ -2,19 +2,25 @@
 
 Lines are normalised (white space collapsed and trimmed, lower case) and hashed.
 A line is boilerplate of a host when it stands in more than ``min_docs`` distinct
-documents of that host and in more than ``max_share`` of them. Documents with the
-same text count once, so a group of copies does not turn its own prose into
-boilerplate. Boilerplate lines are removed, and a document of which less than
-``min_left`` of the characters remains is rejected as depleted.
-
-Skew: counting is a two-level distinct aggregate on (host, line, text), of which
-no key is hot. The way back from boilerplate lines to the documents is a join
-whose keys are dealt over ``SALTS`` parts; a boilerplate line stands in more than
-``min_docs`` documents, so its copies for the parts stay below the input's rows.
+documents of that host, and in more than ``max_share`` of them or in more than
+``max_docs``. Distinct documents are distinct texts: with ``copies`` each id counts,
+and then a group of copies turns its own prose into boilerplate and goes as a whole.
+Boilerplate lines are removed, and a document of which less than ``min_left`` of the
+characters remains is rejected as depleted.
+
+Texts are split into lines once: a narrow table with a row for each line of each
+distinct (host, text) is written to the shared folder, and counts, hosts and verdicts
+are read from it.
+
+Skew: every count is a partial aggregate on keys of (host, line, text), none of which
+is hot, or has a row for each key and task at most. Verdicts go back to the documents
+by (host, text) in a plain left join, whose hot keys Spark splits; a verdict is one
+row. Boilerplate lines meet the lines by (host, line) and a salt: as many salts as the
+line has documents, over ``PER_SALT``.
 
 Defined results: null or empty text has no words, no lines and fails the base
 rule; a null host is a host of its own; equal rows get equal results; an empty
-table gives an empty result.
+table gives an empty result; input columns of any name are left as they are.
 """
 
 from __future__ import annotations
@@ -22,9 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACE_CLASS, WORD_CLASS, let
+from sluice.llm.common import SPACE_CLASS, WORD_CLASS, cut, let
 
-SALTS = 32
+#: Documents of a boilerplate line for each part into which its join is dealt.
+PER_SALT = 20_000
 
 
 def _repeated_words(words: Column) -> Column:
@@ -59,65 +66,64 @@ def _repeated_words(words: Column) -> Column:
     return let(words, of)
 
 
-def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the struct column ``_stats``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, all long."""
-    t = F.coalesce(F.col(text), F.lit(""))
+def text_stats(text: Column) -> Column:
+    """A struct of w (n words, r words in repeated windows), word_chars, n_symbols and n_dup_lines, all long."""
+    t = F.coalesce(text, F.lit(""))
     words = F.array_remove(F.split(t, SPACE_CLASS + "+", -1), "")
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD_CLASS))
-    stats = F.struct(
+    return F.struct(
         let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeated_words(w).cast("long").alias("r"))).alias("w"),
         (F.length(t) - F.regexp_count(t, F.lit(SPACE_CLASS))).cast("long").alias("word_chars"),
         F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
     )
-    return docs.withColumn("_stats", stats)
 
 
 def normal_line(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, SPACE_CLASS + "+", " ")))
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
-    """docs with a key that equal rows share: the id as a string, a null id apart, with a hash of the text and the host."""
-    return docs.withColumns({
-        "_key": F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n")),
-        "_text_hash": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-        "_host": F.xxhash64(F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("n"))),
-    })
+def _keys(doc_id: str, text: str, host: str, copies: bool) -> list[Column]:
+    """Hashes of the host and of the document: its text, with its id where copies count."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    name = F.coalesce(F.concat(F.lit("h"), F.col(host).cast("string")), F.lit("n"))
+    own = F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit("n"))
+    return [F.xxhash64(name).alias("_host"), (F.xxhash64(own, t) if copies else F.xxhash64(t)).alias("_doc_hash")]
 
 
-def _lines(keyed: DataFrame, text: str) -> DataFrame:
-    """A row for each line with a word: _key, _text_hash, _host, place, line (hash) and n_chars (not white space)."""
+def _lines(docs: DataFrame, doc_id: str, text: str, host: str, copies: bool) -> DataFrame:
+    """A row for each line with a word of each distinct (host, document): _host, _doc_hash, place, line (hash), n_chars (not white space)."""
     line = F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("place", "_l")
-    rows = keyed.select("_key", "_text_hash", "_host", line)
+    rows = docs.select(*_keys(doc_id, text, host, copies), line)
     rows = rows.withColumn("_l", normal_line(F.col("_l"))).where("_l <> ''")
     chars = F.length(F.replace(F.col("_l"), F.lit(" "), F.lit("")))
-    return rows.select("_key", "_text_hash", "_host", "place", F.xxhash64("_l").alias("line"), chars.alias("n_chars"))
+    return rows.select("_host", "_doc_hash", "place", F.xxhash64("_l").alias("line"), chars.alias("n_chars")).distinct()
 
 
-def boilerplate_lines(lines: DataFrame, min_docs: int, max_share: float) -> DataFrame:
-    """(_host, line, n_docs) of the lines above both limits."""
-    counted = lines.groupBy("_host", "line").agg(F.countDistinct("_text_hash").alias("n_docs")).where(F.col("n_docs") > min_docs)
-    hosts = lines.groupBy("_host").agg(F.countDistinct("_text_hash").alias("host_docs"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    hosts = hosts.select("_host", "host_docs", salts)
-    counted = counted.withColumn("_salt", F.pmod(F.col("line"), F.lit(SALTS)).cast("int"))
-    return counted.join(hosts, ["_host", "_salt"]).where(F.col("n_docs") > F.col("host_docs") * max_share).select("_host", "line", "n_docs")
+def boilerplate_lines(lines: DataFrame, min_docs: int, max_share: float, max_docs: int) -> DataFrame:
+    """(_host, line, n_docs) of the lines above the limits."""
+    counted = lines.groupBy("_host", "line").agg(F.count_distinct("_doc_hash").alias("n_docs")).where(F.col("n_docs") > min_docs)
+    hosts = lines.select("_host", "_doc_hash").distinct().groupBy("_host").agg(F.count("*").alias("host_docs"))
+    # hosts are dealt by a part of the line's hash, so that the lines of a hot host are not one task's
+    parts = 32
+    hosts = hosts.select("_host", "host_docs", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    counted = counted.withColumn("_part", F.pmod("line", F.lit(parts)).cast("int"))
+    over = (F.col("n_docs") > F.col("host_docs") * max_share) | (F.col("n_docs") > max_docs)
+    return counted.join(hosts, ["_host", "_part"]).where(over).select("_host", "line", "n_docs")
 
 
 def line_verdicts(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
-    min_docs: int = 10, max_share: float = 0.01,
+    min_docs: int = 10, max_share: float = 0.01, max_docs: int = 1000, copies: bool = False,
 ) -> DataFrame:
-    """For documents with boilerplate lines: _key, _text_hash, _host, removed_chars, removed (distinct line hashes)."""
-    lines = _lines(_keyed(docs, doc_id, text, host), text).withColumn(
-        "_salt", F.pmod(F.xxhash64("_key", "_text_hash"), F.lit(SALTS)).cast("int")
-    )
-    frequent = boilerplate_lines(lines, min_docs, max_share).select(
-        "_host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    )
-    hit = lines.join(frequent, ["_host", "line", "_salt"]).drop("_salt").distinct()  # repeated rows count once
-    return hit.groupBy("_key", "_text_hash", "_host").agg(
+    """For documents with boilerplate lines: _host, _doc_hash, removed_chars, removed_lines and removed (distinct line hashes)."""
+    lines = cut(_lines(docs, doc_id, text, host, copies))
+    frequent = cut(boilerplate_lines(lines, min_docs, max_share, max_docs).withColumn("_salts", F.ceil(F.col("n_docs") / PER_SALT).cast("int")))
+    most = frequent.agg(F.max("_salts")).first()[0] or 1
+    # a line does not know its own salts, so all are dealt over the greatest number
+    dealt = frequent.select("_host", "line", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("_salt"))
+    hit = lines.withColumn("_salt", F.pmod("_doc_hash", F.lit(most)).cast("int")).join(dealt, ["_host", "line", "_salt"])
+    return hit.groupBy("_host", "_doc_hash").agg(
         F.sum("n_chars").alias("removed_chars"), F.count("*").alias("removed_lines"), F.collect_set("line").alias("removed")
     )
 
@@ -125,21 +131,19 @@ def line_verdicts(
 def quality_rules(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
     min_docs: int = 10, max_share: float = 0.01, min_left: float = 0.3, carry: list[str] | None = None,
+    max_docs: int = 1000, copies: bool = False,
 ) -> DataFrame:
     """One row per document: the id, counts, removed_lines, base_failed and kept.
 
-    With ``carry`` those input columns come along, and ``clean_text`` has the text
-    without its boilerplate lines. The base rule fails documents of fewer than 50
-    words or with more than half of the words in repeated 3-word windows.
+    With ``carry`` those input columns come along in the struct ``_carried``, and
+    ``clean_text`` has the text without its boilerplate lines. The base rule fails
+    documents of fewer than 50 words or with more than half of the words in repeated
+    3-word windows.
     """
-    verdicts = line_verdicts(docs, doc_id, text, host, min_docs, max_share)
-    stats = text_stats(_keyed(docs, doc_id, text, host), text)
-    own = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carried")] if carry is not None else []
-    rows = stats.select(
-        F.col(doc_id).alias("_doc"), "_key", "_text_hash", "_host", "_stats", *own,
-        *([F.col(text).alias("_text")] if carry is not None else []),
-    )
-    joined = rows.join(verdicts, ["_key", "_text_hash", "_host"], "left")
+    verdicts = line_verdicts(docs, doc_id, text, host, min_docs, max_share, max_docs, copies)
+    own = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carried"), F.col(text).alias("_text")] if carry is not None else []
+    rows = docs.select(F.col(doc_id).alias("_doc"), *_keys(doc_id, text, host, copies), text_stats(F.col(text)).alias("_stats"), *own)
+    joined = rows.join(verdicts, ["_host", "_doc_hash"], "left")
     s, w = F.col("_stats"), F.col("_stats.w")
     base_failed = (w["n"] < 50) | (100 * w["r"] > 50 * w["n"])
     left = s["word_chars"] - F.coalesce(F.col("removed_chars"), F.lit(0))
