@@ -8,7 +8,7 @@ call becomes an item of its own row.
 Calls and results are hash-joined by conversation and identifier. The first call of
 an identifier counts, by turn and place, and so does its first result; further ones
 are marked. A call names calls whose results it needs in ``depends_on``; its level
-is one more than the highest of theirs, found by relaxation, a join a level. The
+is one more than the highest of theirs; chains are settled by pointer jumping. The
 order within a conversation is (order_turn, level, order_index, stage): a result
 follows its call, a call follows the results it needs. Calls on a cycle, or behind
 one, have no level and an error.
@@ -17,14 +17,16 @@ No task holds a conversation: one of a third of all rows is dealt like others, s
 all joins are on (conversation, identifier) and aggregates are partial first.
 
 Defined results: a null conversation is a conversation of its own; null text is
-null content; text that is not such JSON is plain; repeated rows are repeated
-items; an empty table gives an empty result.
+null content; text that is not such JSON, is nested more than 100 deep or has an
+integer of over 4,300 digits is plain; half surrogates become U+FFFD; repeated rows
+are repeated items; an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -35,6 +37,10 @@ from pyspark.sql import types as T
 
 from sluice.llm.common import cut, slices
 
+#: Levels of nesting beyond which a text is not taken as JSON.
+DEPTH = 100
+_HALF = re.compile("[\ud800-\udfff]")
+
 
 def canonical(value: Any) -> str:
     """JSON with sorted keys and no blanks; whole floats as integers; not-a-number and infinities as null."""
@@ -46,13 +52,32 @@ def canonical(value: Any) -> str:
             return {k: plain(v) for k, v in x.items()}
         return [plain(v) for v in x] if isinstance(x, list) else x
 
-    return json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    return whole(json.dumps(plain(value), ensure_ascii=False, sort_keys=True, separators=(",", ":")))
+
+
+def whole(text: str) -> str:
+    """text with U+FFFD for half surrogates, which UTF-8 can't hold."""
+    return _HALF.sub("\ufffd", text)
+
+
+def parsed(text: str) -> Any:
+    """The JSON value of text; ValueError where it is none or is nested more than ``DEPTH`` deep."""
+    try:
+        value = json.loads(text)
+    except RecursionError:
+        raise ValueError("nested too deep") from None
+    level = [value]
+    for _ in range(DEPTH):
+        level = [y for x in level if isinstance(x, (dict, list)) for y in (x.values() if isinstance(x, dict) else x)]
+        if not level:
+            return value
+    raise ValueError("nested too deep")
 
 
 _KINDS = {
     "object": lambda x: isinstance(x, dict), "array": lambda x: isinstance(x, list), "string": lambda x: isinstance(x, str),
     "boolean": lambda x: isinstance(x, bool), "null": lambda x: x is None,
-    "integer": lambda x: isinstance(x, (int, float)) and not isinstance(x, bool) and float(x).is_integer(),
+    "integer": lambda x: (isinstance(x, int) and not isinstance(x, bool)) or (isinstance(x, float) and x.is_integer()),
     "number": lambda x: isinstance(x, (int, float)) and not isinstance(x, bool),
 }
 
@@ -94,12 +119,12 @@ def items_of(role: str | None, text: str | None, schemas: dict[str, dict]) -> li
     value: Any = None
     if text is not None and text.lstrip()[:1] == "{":
         try:
-            value = json.loads(text)
-        except (ValueError, RecursionError):
+            value = parsed(text)
+        except ValueError:
             value = None
     own = {"place": 0, "call_id": None, "name": None, "depends": [], "errors": []}
     if isinstance(value, dict) and isinstance(value.get("tool_call_id"), (str, int)):
-        call = str(value["tool_call_id"])
+        call = whole(str(value["tool_call_id"]))
         body = {"content": value.get("content"), "role": role or "tool", "tool_call_id": call}
         return [own | {"kind": "result", "call_id": call, "json": canonical(body)}]
     if not (isinstance(value, dict) and isinstance(value.get("tool_calls"), list)):
@@ -111,11 +136,11 @@ def items_of(role: str | None, text: str | None, schemas: dict[str, dict]) -> li
         name, arguments, errors = inner.get("name"), inner.get("arguments", {}), []
         if isinstance(arguments, str):
             try:
-                arguments = json.loads(arguments)
-            except (ValueError, RecursionError):
+                arguments = parsed(arguments)
+            except ValueError:
                 errors.append("$: not JSON")
-        call = None if c.get("id") is None else str(c["id"])
-        name = None if name is None else str(name)
+        call = None if c.get("id") is None else whole(str(c["id"]))
+        name = None if name is None else whole(str(name))
         if call is None:
             errors.append("no identifier")
         if name not in schemas:
@@ -125,7 +150,7 @@ def items_of(role: str | None, text: str | None, schemas: dict[str, dict]) -> li
         needs = c.get("depends_on") if isinstance(c.get("depends_on"), list) else []
         body = {"arguments": arguments, "id": call, "name": name}
         shown.append(body)
-        out.append({"kind": "call", "place": k + 1, "call_id": call, "name": name, "depends": [str(x) for x in needs], "errors": errors, "json": canonical(body)})
+        out.append({"kind": "call", "place": k + 1, "call_id": call, "name": name, "depends": [whole(str(x)) for x in needs if x is not None], "errors": [whole(e) for e in errors], "json": canonical(body)})
     return [own | {"kind": "message", "json": canonical({"content": value.get("content"), "role": role, "tool_calls": shown})}, *out]
 
 
@@ -183,23 +208,68 @@ def format_chat(
 def _levels(items: DataFrame, calls: DataFrame) -> DataFrame:
     """(_key, call_id, level) of the first call of each identifier; those on or behind a cycle are left out.
 
-    Needs of identifiers that no call has are ignored. A round settles all calls whose
-    needs are settled, so there are as many rounds as levels.
+    Needs of identifiers that no call has are ignored. Calls with one need form trees:
+    their way up to a call with none or several is found by pointer jumping, in
+    rounds about the logarithm of its length. Calls with several needs are then
+    settled round by round, as many rounds as such calls stand behind each other.
     """
-    needs = items.where("kind = 'call' and call_id is not null and size(depends) > 0").join(
-        calls, ["_key", "call_id"]
-    ).where("struct(turn, place) = call_at").select("_key", "call_id", F.explode(F.array_distinct("depends")).alias("need"))
-    needs = cut(needs.join(calls.select("_key", F.col("call_id").alias("need")), ["_key", "need"]).select("_key", "call_id", "need"))
+    key = ["_key", "call_id"]
+    needs = items.where("kind = 'call' and call_id is not null and size(depends) > 0").join(calls, key).where("struct(turn, place) = call_at")
+    needs = needs.select(*key, F.explode(F.array_distinct("depends")).alias("need"))
+    needs = cut(needs.join(calls.select("_key", F.col("call_id").alias("need")), ["_key", "need"]).select(*key, "need"))
     if needs.isEmpty():
-        return calls.select("_key", "call_id", F.lit(0).alias("level"))
-    waiting = needs.groupBy("_key", "call_id").count().select("_key", "call_id")
-    settled = cut(calls.join(waiting, ["_key", "call_id"], "left_anti").select("_key", "call_id", F.lit(0).alias("level")))
-    fresh, level = settled, 0
-    while not fresh.isEmpty():
-        level += 1
-        needs = cut(needs.join(fresh.select("_key", F.col("call_id").alias("need")), ["_key", "need"], "left_anti").select("_key", "call_id", "need"))
-        blocked = needs.select("_key", "call_id").distinct()
-        fresh = cut(waiting.join(blocked, ["_key", "call_id"], "left_anti").select("_key", "call_id", F.lit(level).alias("level")))
-        waiting = cut(blocked)
+        return calls.select(*key, F.lit(0).cast("long").alias("level"))
+    counts = needs.groupBy(*key).agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    single = cut(counts.where("n = 1").select(*key, F.col("need").alias("up"), F.lit(1).cast("long").alias("dist")))
+    way = _to_the_top(single, single.count())
+    tree = way.select("_key", F.col("call_id").alias("need"), "up", "dist")
+    edges = needs.join(counts.where("n > 1").select(*key), key, "left_semi").join(tree, ["_key", "need"], "left")
+    edges = cut(edges.select(*key, F.coalesce("up", "need").alias("up"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("long").alias("level")))
+    settled = cut(calls.join(needs.select(*key), key, "left_anti").select(*key, F.lit(0).cast("long").alias("level")))
+    fresh = settled
+    while not edges.isEmpty() and not fresh.isEmpty():
+        found = fresh.select("_key", F.col("call_id").alias("up"), F.col("level").alias("found"))
+        edges = edges.join(found, ["_key", "up"], "left").select(*key, "up", "dist", F.coalesce("level", F.col("found") + F.col("dist")).alias("level"))
+        edges = cut(edges)
+        fresh = cut(edges.groupBy(*key).agg(F.count("*").alias("n"), F.count("level").alias("k"), F.max("level").alias("level")).where("n = k").select(*key, "level"))
+        edges = cut(edges.join(fresh.select(*key), key, "left_anti"))
         settled = settled.unionByName(fresh)
-    return settled
+    above = settled.select("_key", F.col("call_id").alias("up"), F.col("level").alias("over"))
+    return settled.unionByName(way.join(above, ["_key", "up"]).select(*key, (F.col("over") + F.col("dist")).alias("level")))
+
+
+def _to_the_top(single: DataFrame, n: int) -> DataFrame:
+    """single (_key, call_id, up, dist) with up the first call above that is not in single; rows on or behind a cycle are left out.
+
+    A round doubles the way, so after the logarithm of n rounds what is still under
+    way is on a cycle or behind one.
+    """
+    rows, reach = single, 1
+    while True:
+        above = rows.select("_key", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("dist").alias("more"))
+        joined = cut(rows.join(above, ["_key", "up"], "left"))
+        open_ = joined.where("next is not null")
+        if open_.isEmpty() or reach > n:
+            return joined.where("next is null").select("_key", "call_id", "up", "dist")
+        rows, reach = joined.select("_key", "call_id", F.coalesce("next", "up").alias("up"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist")), 2 * reach
+
+
+def calls_of_turns(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """messages (conv, turn, role, text) of plain conversations as tool calls, by a stated rule.
+
+    A user's turn t becomes a call of the tool ``ask`` with identifier t, which needs
+    the call of turn t - 2; an assistant's turn t becomes the result of the call t - 1.
+    Other turns, and those without a turn, stay as they are. The rule looks at one row
+    at a time, so it moves nothing.
+    """
+    at, t = F.col(turn).cast("string"), F.col(text).cast("string")
+    words = F.size(F.array_remove(F.split(F.coalesce(t, F.lit("")), r"\s+", -1), ""))
+    call = F.struct(at.alias("id"), F.lit("ask").alias("name"), F.struct(t.alias("text"), words.alias("words")).alias("arguments"), F.array((F.col(turn) - 2).cast("string")).alias("depends_on"))
+    calls = F.to_json(F.struct(F.array(call).alias("tool_calls")))
+    result = F.to_json(F.struct((F.col(turn) - 1).cast("string").alias("tool_call_id"), t.alias("content")))
+    made = F.when(F.col(turn).isNull(), t).when(F.col(role) == "user", calls).when(F.col(role) == "assistant", result).otherwise(t)
+    return messages.select(F.col(conv).alias(conv), F.col(turn).alias(turn), F.col(role).alias(role), made.alias(text))
+
+
+#: The arguments of the tool ``ask`` of calls_of_turns.
+ASK = {"ask": {"type": "object", "properties": {"text": {"type": "string", "minLength": 1}, "words": {"type": "integer", "minimum": 1}}, "required": ["text", "words"], "additionalProperties": False}}
