@@ -1,7 +1,7 @@
 """Language identification by compression with per-language zstandard dictionaries.
 
-Each language gets a raw-content dictionary: texts of labelled training documents,
-laid end to end up to ``dict_bytes``. A text is compressed whole, in blocks of
+Each language gets a raw-content dictionary: passages of labelled training documents,
+laid end to end. A text is compressed whole, in blocks of
 ``BLOCK`` bytes that each start from the dictionary alone (else the start of a long
 text would serve its end better than any dictionary), and the language whose
 dictionary leaves the fewest bytes is chosen. The margin is the gap to the second
@@ -11,9 +11,11 @@ finer sizes, so ties are rare; those left go to the language first in order.
 Training texts are checked against each other first: dictionaries of one half
 classify the other half, and texts whose label is contradicted are left out.
 
-Dictionaries are fitted on a bounded sample: at most ``sample_docs`` different
-texts a language, chosen by a hash of the text; copies count once. Of a longer text
-``PIECES`` pieces from its start to its end are read, ``sample_chars`` in all. Prediction is row-local, without shuffle.
+Dictionaries are fitted on a bounded sample of labelled passages: whole training texts
+are cut into passages of at most ``passage`` characters, and at most ``sample``
+different passages a language are drawn by their hash, so that every part of every
+text has the same chance and copies count once. Prediction is row-local, without
+shuffle.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0 and
 rejected; without any labelled training text everything is ``und``; equal texts
@@ -35,40 +37,34 @@ from sluice.llm.common import crc_mod, slices, texts_of
 
 LEVELS = (1, 6)
 BLOCK = 4096
-PIECES = 4
 
 
-def train_dictionaries(
-    docs: DataFrame, text: str = "text", lang: str = "lang", dict_bytes: int = 112 << 10,
-    sample_docs: int = 160, sample_chars: int = 1024,
-) -> dict[str, bytes]:
+def train_dictionaries(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = 160, passage: int = 1024) -> dict[str, bytes]:
     """A raw-content dictionary for each language of docs (rows without text or language are left out).
 
-    Hashes of equal texts are made one by a partial aggregate; the rank is over hashes
-    only and is cut to sample_docs in each partition before its shuffle, so no task
-    holds a language. Texts are read for the chosen hashes alone.
+    Hashes of equal passages are made one by a partial aggregate; the rank is over
+    hashes only and is cut to sample in each partition before its shuffle, so no task
+    holds a language. Passages are taken out of the texts for the chosen hashes alone.
     """
-    size, n = sample_chars // PIECES, F.length(text)
-    pieces = [F.substring(text, F.floor((n - size) * k / (PIECES - 1)).cast("int") + 1, F.lit(size)) for k in range(PIECES)]
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).cast("string").alias("l"), F.xxhash64(text).alias("h"), F.when(n <= sample_chars, F.col(text)).otherwise(F.concat_ws("\n", *pieces)).alias("t")
-    )
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).cast("string").alias("l"), F.explode(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % passage), F.lit(0))).alias("t")
+    ).where(F.col("t").rlike(r"\p{L}")).withColumn("h", F.xxhash64("t"))
     best = Window.partitionBy("l").orderBy("h")
-    chosen = rows.select("l", "h").distinct().withColumn("k", F.row_number().over(best)).where(F.col("k") <= sample_docs)
-    got = rows.join(F.broadcast(chosen), ["l", "h"]).groupBy("l", "k").agg(F.min("t").alias("t")).orderBy("l", "k").collect()
+    chosen = rows.select("l", "h").distinct().withColumn("k", F.row_number().over(best)).where(F.col("k") <= sample)
+    got = rows.join(F.broadcast(chosen), ["l", "h"]).groupBy("l", "k").agg(F.min("t").alias("t")).orderBy("l", "k").collect()  # at most sample rows a language
     samples = [(r["l"], r["t"].lower().encode(), r["k"] % 2) for r in got]
-    halves = [Classifier(_joined([x for x in samples if x[2] == k], dict_bytes)) for k in (0, 1)]
+    halves = [Classifier(_joined([x for x in samples if x[2] == k])) for k in (0, 1)]
     agreed = [x for x in samples if x[0] not in (c := halves[1 - x[2]]).langs or c(x[1])[0] == x[0]]
     named = {x[0] for x in agreed}
-    return _joined(agreed + [x for x in samples if x[0] not in named], dict_bytes)
+    return _joined(agreed + [x for x in samples if x[0] not in named])
 
 
-def _joined(samples: list[tuple[str, bytes, int]], dict_bytes: int) -> dict[str, bytes]:
-    """Texts of each language end to end, the last dict_bytes of them."""
-    out: dict[str, bytes] = {}
+def _joined(samples: list[tuple[str, bytes, int]]) -> dict[str, bytes]:
+    """Passages of each language end to end."""
+    out: dict[str, list[bytes]] = {}
     for name, data, _ in samples:
-        out[name] = out.get(name, b"") + data + b"\n"
-    return {k: v[-dict_bytes:] for k, v in out.items()}
+        out.setdefault(name, []).append(data + b"\n")
+    return {k: b"".join(v) for k, v in out.items()}
 
 
 class Classifier:
@@ -104,13 +100,14 @@ def identify(
     docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", min_margin: float = 0.02, min_gap: float = 0.05,
     prefix: str = "",
 ) -> DataFrame:
-    """docs with lang_pred, score (0 to 1), margin and accepted.
+    """docs with lang_pred, score (0 to 1), margin and accepted; a column of docs with such a name gives way.
 
     score is g / (g + 8) for the gap g in bytes between the two best languages. A
     prediction is accepted when its score reaches min_gap and its margin, in bits
     a byte, reaches min_margin.
     """
     names = [prefix + x for x in ("lang_pred", "score", "margin", "accepted")]
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in names} or c == text])
     at = docs.columns.index(text)
     schema = T.StructType(list(docs.schema.fields) + [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.DoubleType(), T.BooleanType()))])
 
