@@ -3,21 +3,24 @@
 An Aho-Corasick automaton finds every magic number in one pass over the bytes. Each
 place is then put to the validator of its format, which follows the structure and
 its lengths (chunks, headers, checksums) and says where the object ends. An object
-at the start that reaches the end of the bytes corrects the declared type; others
-are carved. Objects inside a found object are its own and are not carved again.
+at the start corrects the declared type; all are carved. Objects inside a found
+object are its own and are not carved again.
 
-Everything is local to a row. A validator reads each byte of its object once and
-objects do not overlap; a place that fails costs its header.
+Everything is local to a row. Formats that end with a mark look it up in places
+collected once per row (``Marks``). A validator that fails costs the bytes it read.
 
-Defined results: null bytes are empty, without type and objects; equal rows get
-equal results; an empty table gives an empty result.
+Defined results: null bytes are empty, without type and objects; bytes that hold no
+object have no detected type and are not corrected; equal rows get equal results; an
+empty table gives an empty result; other input columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -158,62 +161,199 @@ def end_of_gzip(b: bytes, at: int) -> int:
         return -1
 
 
-def end_of_zip(b: bytes, at: int) -> int:
-    """ZIP: the end record whose directory begins with a local header at this place."""
-    k = at
-    while (k := b.find(b"PK\x05\x06", k)) >= 0:
-        if k + 22 <= len(b):
-            size, start = _u32(b, k + 12), _u32(b, k + 16)
-            comment = int.from_bytes(b[k + 20 : k + 22], "little")
-            if at + start + size == k and b[at + start : at + start + 4] == b"PK\x01\x02" and k + 22 + comment <= len(b):
-                return k + 22 + comment
-        k += 4
-    return -1
+class Marks:
+    """Places of end marks in some bytes, each kind looked for once and only if it is asked for."""
+
+    def __init__(self, data: bytes):
+        self.data, self._zip, self._pdf = data, None, None
+
+    def zip_ends(self) -> dict[int, int]:
+        """Where an archive begins and where it ends, for each end record with its directory right before it."""
+        if self._zip is None:
+            b, self._zip = self.data, {}
+            for m in re.finditer(rb"PK\x05\x06(?=.{18})", b, re.S):
+                k = m.start()
+                size, start, comment = _u32(b, k + 12), _u32(b, k + 16), int.from_bytes(b[k + 20 : k + 22], "little")
+                if size >= 46 and k - size >= start and b[k - size : k - size + 4] == b"PK\x01\x02" and k + 22 + comment <= len(b):
+                    self._zip.setdefault(k - size - start, k + 22 + comment)
+        return self._zip
+
+    def pdf(self) -> tuple[list[int], list[int], list[int]]:
+        """Places of headers, of startxref and of end marks."""
+        if self._pdf is None:
+            self._pdf = tuple([m.start() for m in re.finditer(mark, self.data)] for mark in (rb"%PDF-\d\.", rb"startxref", rb"%%EOF"))
+        return self._pdf
+
+
+def end_of_zip(b: bytes, at: int, marks: Marks) -> int:
+    """ZIP: the end record whose directory says that it begins here."""
+    return marks.zip_ends().get(at, -1)
 
 
-def end_of_pdf(b: bytes, at: int) -> int:
-    if not (b[at + 5 : at + 6].isdigit() and b[at + 6 : at + 7] == b"."):
+def end_of_pdf(b: bytes, at: int, marks: Marks) -> int:
+    """PDF: the last end mark before the next header, as a saved change appends one, and a startxref before it."""
+    heads, starts, ends = marks.pdf()
+    k = bisect_left(heads, at)
+    if k == len(heads) or heads[k] != at:
         return -1
-    k = b.find(b"%%EOF", at)
-    return -1 if k < 0 or b.rfind(b"startxref", at, k) < 0 else k + 5
+    last = bisect_left(ends, heads[k + 1] if k + 1 < len(heads) else len(b)) - 1
+    if last < 0 or ends[last] < at or bisect_left(starts, at) >= bisect_left(starts, ends[last]):
+        return -1
+    return ends[last] + 5
+
+
+def end_of_webp(b: bytes, at: int) -> int:
+    """RIFF/WEBP: chunks fill the stated size, the first of them an image's."""
+    end, k = at + 8 + _u32(b, at + 4), at + 12
+    if b[at + 8 : at + 12] != b"WEBP" or end > len(b) or b[k : k + 4] not in (b"VP8 ", b"VP8L", b"VP8X"):
+        return -1
+    while k + 8 <= end:
+        k += 8 + _u32(b, k + 4) + _u32(b, k + 4) % 2
+    return end if k == end else -1
+
 
+def end_of_mp4(b: bytes, at: int) -> int:
+    """MP4: boxes by their sizes, a file type first and a movie or fragments among the others; it ends before what is no known box."""
+    k, seen = at, set()
+    while k + 8 <= len(b):
+        n, name = _u32(b, k, ">"), b[k + 4 : k + 8]
+        if n == 1 and k + 16 <= len(b):
+            n = int.from_bytes(b[k + 8 : k + 16], "big")
+        if name not in _BOXES:
+            break
+        if n < 8 or k + n > len(b):
+            return -1
+        seen.add(name)
+        k += n
+    return k if seen & {b"moov", b"moof"} else -1
+
+
+_BOXES = {b"ftyp", b"moov", b"mdat", b"free", b"skip", b"wide", b"uuid", b"meta", b"moof", b"mfra", b"sidx", b"styp", b"emsg", b"pdin"}
+
+
+def _ogg_table() -> list[int]:
+    out = []
+    for x in range(256):
+        x <<= 24
+        for _ in range(8):
+            x = (x << 1 ^ 0x04C11DB7 if x >> 31 else x << 1) & 0xFFFFFFFF
+        out.append(x)
+    return out
 
-#: Type, magic number and validator of each format.
-FORMATS: list[tuple[str, bytes, Callable[[bytes, int], int]]] = [
-    ("audio/wav", b"RIFF", end_of_wav), ("image/png", b"\x89PNG\r\n\x1a\n", end_of_png), ("image/bmp", b"BM", end_of_bmp),
-    ("image/gif", b"GIF8", end_of_gif), ("image/jpeg", b"\xff\xd8\xff", end_of_jpeg), ("application/gzip", b"\x1f\x8b\x08", end_of_gzip),
-    ("application/zip", b"PK\x03\x04", end_of_zip), ("application/pdf", b"%PDF-", end_of_pdf),
+
+_OGG = _ogg_table()
+
+
+def end_of_ogg(b: bytes, at: int) -> int:
+    """Ogg: pages with right checksums, from one that begins a stream to one that ends it."""
+    k, open_ = at, set()
+    while k + 27 <= len(b) and b[k : k + 5] == b"OggS\0":
+        flags, serial, n = b[k + 5], _u32(b, k + 14), b[k + 26]
+        end = k + 27 + n + sum(b[k + 27 : k + 27 + n])
+        if end > len(b) or (serial not in open_ and not flags & 2):
+            return -1
+        crc = 0
+        for x in b[k : k + 22] + b"\0\0\0\0" + b[k + 26 : end]:
+            crc = (crc << 8 & 0xFFFFFFFF) ^ _OGG[crc >> 24 ^ x]
+        if crc != _u32(b, k + 22):
+            return -1
+        open_.add(serial)
+        if flags & 4:
+            open_.discard(serial)
+        k = end
+        if not open_:
+            return k
+    return -1
+
+
+def end_of_webm(b: bytes, at: int) -> int:
+    """WebM and Matroska: a header element, then one segment, both of stated size."""
+
+    def number(k: int, marked: bool) -> tuple[int, int]:
+        n = 9 - b[k].bit_length() if k < len(b) and b[k] else 9
+        if n > 8 or k + n > len(b):
+            return -1, k
+        value = int.from_bytes(b[k : k + n], "big")
+        return (value if marked else value & ((1 << 7 * n) - 1)), k + n
+
+    k = at
+    for want in (0x1A45DFA3, 0x18538067):
+        name, k = number(k, True)
+        size, after = number(k, False)
+        if name != want or size < 0 or size == (1 << 7 * (after - k)) - 1 or after + size > len(b):
+            return -1
+        k = after + size
+    return k
+
+
+def end_of_tiff(b: bytes, at: int) -> int:
+    """TIFF: directories and their values and strips by their places; it ends where the last of them does."""
+    order = "<" if b[at : at + 2] == b"II" else ">"
+    size = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
+    end, k, seen = at + 8, at + _u32(b, at + 4, order), set()
+    while k > at and k not in seen:
+        seen.add(k)
+        if k + 2 > len(b):
+            return -1
+        n = struct.unpack_from(order + "H", b, k)[0]
+        if not n or k + 6 + 12 * n > len(b):
+            return -1
+        values = {}
+        for e in range(k + 2, k + 2 + 12 * n, 12):
+            tag, kind, count = struct.unpack_from(order + "HHI", b, e)
+            if kind not in size:
+                return -1
+            total = size[kind] * count
+            where = e + 8 if total <= 4 else at + _u32(b, e + 8, order)
+            if where + total > len(b):
+                return -1
+            end = max(end, where + total)
+            if tag in (273, 279, 324, 325) and kind in (3, 4):
+                values[tag] = struct.unpack_from(f"{order}{count}{'H' if kind == 3 else 'I'}", b, where)
+        starts, sizes = (values.get(273) or values.get(324) or ()), (values.get(279) or values.get(325) or ())
+        if len(starts) != len(sizes) or any(at + s + c > len(b) for s, c in zip(starts, sizes)):
+            return -1
+        end = max([end, k + 6 + 12 * n, *(at + s + c for s, c in zip(starts, sizes))])
+        following = _u32(b, k + 2 + 12 * n, order)
+        k = at + following if following else at
+    return end if seen else -1
+
+
+#: Type, magic number, its place in the object, and validator of each format.
+FORMATS: list[tuple[str, bytes, int, Callable[..., int]]] = [
+    ("audio/wav", b"RIFF", 0, end_of_wav), ("image/webp", b"RIFF", 0, end_of_webp), ("image/png", b"\x89PNG\r\n\x1a\n", 0, end_of_png), ("image/bmp", b"BM", 0, end_of_bmp),
+    ("image/gif", b"GIF8", 0, end_of_gif), ("image/jpeg", b"\xff\xd8\xff", 0, end_of_jpeg), ("application/gzip", b"\x1f\x8b\x08", 0, end_of_gzip),
+    ("application/zip", b"PK\x03\x04", 0, end_of_zip), ("application/pdf", b"%PDF-", 0, end_of_pdf), ("video/mp4", b"ftyp", 4, end_of_mp4), ("audio/ogg", b"OggS\0", 0, end_of_ogg),
+    ("video/webm", b"\x1a\x45\xdf\xa3", 0, end_of_webm), ("image/tiff", b"II*\0", 0, end_of_tiff), ("image/tiff", b"MM\0*", 0, end_of_tiff),
 ]
 _automaton = None
 
 
 def automaton():
+    """The automaton of this process: each magic number with its length and the formats that have it."""
     global _automaton
     if _automaton is None:
         import ahocorasick
 
         _automaton = ahocorasick.Automaton()
-        for k, (_, magic, _) in enumerate(FORMATS):
-            _automaton.add_word(magic.decode("latin-1"), (k, len(magic)))
+        for magic in {f[1] for f in FORMATS}:
+            _automaton.add_word(magic.decode("latin-1"), (len(magic), [f for f in FORMATS if f[1] == magic]))
         _automaton.make_automaton()
     return _automaton
 
 
 def sniff(data: bytes) -> list[tuple[str, int, int]]:
     """(type, start, end) of the objects in data that hold up, outermost, by start."""
-    out, free, failed = [], 0, {}
-    for last, (k, n) in automaton().iter(data.decode("latin-1")):
-        start = last - n + 1
-        name, _, validate = FORMATS[k]
-        # formats whose validators search ahead for an end mark: once it is missing, it is missing further on too
-        if start < free or failed.get(name):
-            continue
-        end = validate(data, start)
-        if end > start:
-            out.append((name, start, end))
-            free = end
-        elif name == "application/zip" and data.find(b"PK\x05\x06", start) < 0 or name == "application/pdf" and data.find(b"%%EOF", start) < 0:
-            failed[name] = True
+    out, free, marks = [], 0, Marks(data)
+    for last, (n, formats) in automaton().iter(data.decode("latin-1")):
+        for name, _, before, validate in formats:
+            start = last - n + 1 - before
+            if start < free:
+                continue
+            end = validate(data, start, marks) if validate in (end_of_zip, end_of_pdf) else validate(data, start)
+            if end > start:
+                out.append((name, start, end))
+                free = end
     return out
 
 
@@ -256,32 +396,75 @@ def from_wav(data: bytes) -> bytes:
     return data[k + 8 : k + 8 + _u32(data, k + 4)]
 
 
-def store_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_media: bool = False) -> DataFrame:
-    """Each text as 8-bit samples in a WAVE object, found again by sniffing and read back.
+def to_png(samples: bytes) -> bytes:
+    """samples as grey pixels, 192 a row."""
+    rows = np.frombuffer(samples, np.uint8).reshape(-1, UNIT)
+    lines = np.zeros((len(rows), UNIT + 1), np.uint8)  # a filter of none before each row
+    lines[:, 1:] = rows
+    part = lambda name, d: struct.pack(">I", len(d)) + name + d + struct.pack(">I", zlib.crc32(name + d))
+    return FORMATS[2][1] + part(b"IHDR", struct.pack(">IIBBBBB", UNIT, len(rows), 8, 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(lines.tobytes(), 1)) + part(b"IEND", b"")
 
-    A text is UTF-8, filled with spaces to a positive multiple of 192 bytes. The
-    object is declared as bytes of no type; its detected type, its place and its
-    sample statistics are the feature.
+
+def from_png(data: bytes) -> bytes:
+    n = _u32(data, 33, ">")
+    return np.frombuffer(zlib.decompress(data[41 : 41 + n]), np.uint8).reshape(-1, UNIT + 1)[:, 1:].tobytes()
+
+
+_GREYS = b"".join(bytes([g, g, g, 0]) for g in range(256))
+
+
+def to_bmp(samples: bytes) -> bytes:
+    """samples as grey pixels, 192 a row, from the top down."""
+    start = 54 + len(_GREYS)
+    return b"BM" + struct.pack("<IHHIIiiHHIIiiII", start + len(samples), 0, 0, start, 40, UNIT, -(len(samples) // UNIT), 1, 8, 0, len(samples), 2835, 2835, 256, 0) + _GREYS + samples
+
+
+def from_bmp(data: bytes) -> bytes:
+    return data[_u32(data, 10) :]
+
+
+#: How a stored text's bytes become an object and are read from it.
+STORES = {"audio/wav": (to_wav, from_wav), "image/png": (to_png, from_png), "image/bmp": (to_bmp, from_bmp)}
+#: Around an object that is not stored bare, so that it must be carved.
+HEAD, TAIL = b"sluice blob ".ljust(64, b"-"), b"-" * 16
+DECLARED = "audio/wav"
+
+
+def store_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_media: bool = False) -> DataFrame:
+    """Each text as 8-bit samples in a media object, found again by sniffing and read back.
+
+    A text is UTF-8, filled with spaces to a positive multiple of 192 bytes: 8-bit
+    samples of WAVE, or grey pixels of PNG or BMP, by the checksum of these bytes.
+    Every second is stored inside other bytes. All are declared to be WAVE. What is
+    read back comes from the first object that sniffing carves, by its detected type;
+    if there is none, nothing is read back. Columns: the contract's, declared,
+    detected (of the carved object), corrected, object_start, object_bytes, n_objects.
     """
-    names = [doc_id, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"] + ["media"] * with_media
-    id_field = T.StructField(doc_id, docs.schema[doc_id].dataType)
-    kinds = [T.LongType(), T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.StringType(), T.StringType()] + [T.BinaryType()] * with_media
-    schema = T.StructType([id_field, *[T.StructField(n, t) for n, t in zip(names[1:], kinds)]])
+    plain = [("n_bytes", T.LongType(), pa.int64()), ("payload_bytes", T.LongType(), pa.int64()), ("payload_sha256", T.StringType(), pa.string()), ("tail_crc32", T.LongType(), pa.int64()), ("media_bytes", T.LongType(), pa.int64()),
+             ("media_sha256", T.StringType(), pa.string()), ("feature", T.StringType(), pa.string()), ("declared", T.StringType(), pa.string()), ("detected", T.StringType(), pa.string()), ("corrected", T.BooleanType(), pa.bool_()),
+             ("object_start", T.LongType(), pa.int64()), ("object_bytes", T.LongType(), pa.int64()), ("n_objects", T.LongType(), pa.int64())] + [("media", T.BinaryType(), pa.binary())] * with_media
+    schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), *[T.StructField(n, t) for n, t, _ in plain]])
+    names = [f.name for f in schema]
+    kinds = list(STORES)
+
+    def stored(raw: bytes) -> bytes:
+        payload = raw.ljust(max(UNIT, -(-len(raw) // UNIT) * UNIT), b" ")
+        deal = zlib.crc32(payload)
+        object_ = STORES[kinds[deal % len(kinds)]][0](payload)
+        return HEAD + object_ + TAIL if deal // len(kinds) % 2 else object_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
             for raw in texts_of(batch.column(1)):
-                payload = raw.ljust(max(UNIT, -(-len(raw) // UNIT) * UNIT), b" ")
-                media = to_wav(payload)
-                objects = sniff(media)
-                if objects != [("audio/wav", 0, len(media))]:
-                    raise ValueError(f"a stored object was read as {objects[:3]}")
-                back = from_wav(media[objects[0][1] : objects[0][2]])
-                samples = np.frombuffer(back, np.uint8)
-                feature = f"{objects[0][0]};{len(objects)};{len(back)};mean={samples.mean():.4f};max={samples.max()};steps={int(np.count_nonzero(samples[1:] != samples[:-1]))}"
-                rows.append((len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, media))
-            columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns[: len(names) - 1]], names=names)
+                media = stored(raw)
+                objects = [o for o in sniff(media) if o[0] in STORES]
+                name, start, end = objects[0] if objects else (None, None, None)
+                back = STORES[name][1](media[start:end]) if name else b""
+                samples = np.frombuffer(back or b"\0", np.uint8)
+                feature = f"{name};{start};{len(objects)};{len(back)};mean={samples.mean():.4f};max={samples.max()};steps={int(np.count_nonzero(samples[1:] != samples[:-1]))}"
+                rows.append((len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, DECLARED, name, name is not None and name != DECLARED, start, end and end - start, len(objects), media))
+            columns = [pa.array(list(c), k) for c, (_, _, k) in zip(zip(*rows), plain)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
     return docs.select(doc_id, text).mapInArrow(run, schema)
