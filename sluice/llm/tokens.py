@@ -124,7 +124,7 @@ class ByteEncoder:
     """Ids of a byte-level tokenizers file whose merges are in the order of their ids, as Encoder gives them.
 
     The merges run in tiktoken, several times as fast; tests hold its ids against the
-    tokenizers library's.
+    tokenizers library's. A text that it can't split is left to the library.
     """
 
     #: The split of byte-level files, a fixed value of the format.
@@ -144,10 +144,16 @@ class ByteEncoder:
         if made != sorted(made):
             raise ValueError("the merges of this file are not in the order of their ids")
         self.core = tiktoken.Encoding("own", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special = list(special)
+        self.special, self.path = list(special), path
+
+    def _one(self, text: str) -> bytes:
+        try:
+            return self.core.encode_to_numpy(text, allowed_special="all" if any(s in text for s in self.special) else set(), disallowed_special=()).tobytes()
+        except ValueError:  # the split gave up, as on very long white space; the library does not
+            return encoder(self.path, spaced=True)([text])[0]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return [self.core.encode_to_numpy(t, allowed_special="all" if any(s in t for s in self.special) else set(), disallowed_special=()).tobytes() for t in texts]
+        return [self._one(t) for t in texts]
 
 
 def byte_encoder(path: str) -> ByteEncoder:
