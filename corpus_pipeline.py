@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import langid, minhash, packing, quality, secrets
-from sluice.llm.common import cut, read_table
+from sluice.llm.common import cut, free, read_table
 
 #: Ids, of eight bytes each, up to which a table of them is broadcast.
 SMALL = 500_000
@@ -28,8 +28,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is certain, lang being the language found."""
     dictionaries = langid.train_dictionaries(langid.training_rows(docs))
-    out = langid.identify(docs, dictionaries, prefix="_").where("_accepted")
-    return out.select(*[F.col("_lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    prefix = free(docs.columns, "_lang")  # no column begins with it
+    out = langid.identify(docs, dictionaries, prefix=prefix).where(F.col(f"{prefix}accepted"))
+    return out.select(*[F.col(f"{prefix}lang_pred").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,11 +44,14 @@ def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts masked; n_chars follows the text."""
-    out = secrets.scan_secrets(docs)
-    text = F.when(F.size("_secrets.all") > 0, secrets.redacted(F.col("text"), F.col("_secrets.all"))).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
-    n = F.when(F.size("_secrets.all") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    name = free(docs.columns, "_secrets")
+    out, found = secrets.scan_secrets(docs, out=name), F.col(name)["all"]
+    masked = F.when(F.size(found) > 0, secrets.redacted(F.col("text"), found))
+    return out.select("*", masked.alias(free(out.columns, "_masked"))).select(*[
+        F.coalesce(F.col(free(out.columns, "_masked")), F.col("text")).alias(c) if c == "text"
+        else F.coalesce(F.length(free(out.columns, "_masked")), F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars"
+        else F.col(f"`{c}`") for c in docs.columns
+    ])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_chat(read_table(spark, sf_dir, "conversations"))
+    """The table's conversations hold no tool calls, so turns are taken as calls and results by the rule of calls_of_turns."""
+    return chat.format_chat(chat.calls_of_turns(read_table(spark, sf_dir, "conversations")), chat.ASK)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +79,7 @@ dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM raw GROUP BY do
 lines AS (SELECT doc_id, source, t, trim(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')))) AS l FROM raw),
 hosts AS (SELECT source, count(DISTINCT t) AS n FROM lines GROUP BY source),
 freq AS (SELECT source, l FROM lines GROUP BY source, l HAVING count(DISTINCT t) > 10),
-often AS (SELECT l.source, l.l FROM (SELECT source, l, count(DISTINCT t) AS n FROM lines GROUP BY source, l) l JOIN hosts h USING (source) SEMI JOIN freq f ON f.source = l.source AND f.l = l.l WHERE l.n > 0.01 * h.n),
+often AS (SELECT l.source, l.l FROM (SELECT source, l, count(DISTINCT t) AS n FROM lines GROUP BY source, l) l JOIN hosts h USING (source) SEMI JOIN freq f ON f.source = l.source AND f.l = l.l WHERE l.n > 0.01 * h.n OR l.n > 1000),
 gone AS (SELECT lines.doc_id, count(*) AS n, sum(length(replace(lines.l, ' ', ''))) AS c FROM lines JOIN often ON lines.source = often.source AND lines.l = often.l GROUP BY lines.doc_id),
 s AS (
   SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,

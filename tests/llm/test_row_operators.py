@@ -2,10 +2,15 @@
 
 import gzip
 import hashlib
+import io
 import json
 import math
+import random
 import re
 import struct
+import time
+import wave
+import zipfile
 import zlib
 from collections import Counter
 
@@ -179,24 +184,112 @@ def png():
     return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", 2, 2, 8, 0, 0, 0, 0)) + part(b"IDAT", zlib.compress(b"\0\1\1" * 2)) + part(b"IEND", b"")
 
 
+def jpeg():
+    part = lambda kind, d: bytes([0xFF, kind]) + struct.pack(">H", len(d) + 2) + d
+    return b"\xff\xd8" + part(0xE0, b"JFIF\0" + bytes(9)) + part(0xC0, bytes(9)) + part(0xDA, bytes(6)) + b"\x01\xff\x00\x02\xff\xd0\x03" + b"\xff\xd9"
+
+
+def gif():
+    return b"GIF89a" + struct.pack("<HHBBB", 2, 2, 0x80, 0, 0) + bytes(6) + b"\x21\xfe\x03abc\0" + b"\x2c" + struct.pack("<HHHHB", 0, 0, 2, 2, 0) + b"\x02\x02\x4c\x01\0" + b"\x3b"
+
+
+def archive():
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.txt", "hello " * 50)
+        z.writestr("b/c.bin", bytes(range(200)))
+        z.comment = b"a comment"
+    return held.getvalue()
+
+
+def webp():
+    body = b"WEBPVP8L" + struct.pack("<I", 3) + b"\x2fab\0"
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def mp4():
+    box = lambda name, d: struct.pack(">I", 8 + len(d)) + name + d
+    return box(b"ftyp", b"isom\0\0\2\0isom") + box(b"moov", box(b"mvhd", bytes(100))) + struct.pack(">I", 1) + b"mdat" + struct.pack(">Q", 16 + 30) + bytes(30)
+
+
+def ogg_crc(data):
+    """A bit at a time, unlike the operator's table."""
+    crc = 0
+    for x in data:
+        crc ^= x << 24
+        for _ in range(8):
+            crc = (crc << 1 ^ 0x104C11DB7) if crc >> 31 else crc << 1
+    return crc
+
+
+def ogg():
+    out = b""
+    for k, flags in enumerate((2, 0, 4)):
+        page = b"OggS\0" + bytes([flags]) + struct.pack("<QIII", k, 77, k, 0) + bytes([2, 255, 10]) + bytes(265)
+        out += page[:22] + struct.pack("<I", ogg_crc(page)) + page[26:]
+    return out
+
+
+def webm():
+    return b"\x1a\x45\xdf\xa3\x84\x42\x86\x81\x01" + b"\x18\x53\x80\x67\x40\x10" + bytes(16)
+
+
+def tiff(order):
+    entry = lambda tag, kind, n, v: struct.pack(order + "HHI", tag, kind, n) + (struct.pack(order + "HH", v, 0) if kind == 3 else struct.pack(order + "I", v))
+    fields = [entry(256, 3, 1, 4), entry(257, 3, 1, 4), entry(273, 4, 1, 8), entry(278, 3, 1, 4), entry(279, 4, 1, 16)]
+    return (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(order + "I", 24) + bytes(16) + struct.pack(order + "H", len(fields)) + b"".join(fields) + struct.pack(order + "I", 0)
+
+
+PDF = b"%PDF-1.4\nstartxref 0\n%%EOF\nadded later\nstartxref 9\n%%EOF"
+OBJECTS = [
+    ("image/png", png()), ("application/gzip", gzip.compress(b"x" * 1000)), ("audio/wav", media.to_wav(b"abcd")), ("application/pdf", PDF), ("image/jpeg", jpeg()), ("image/gif", gif()),
+    ("application/zip", archive()), ("image/webp", webp()), ("video/mp4", mp4()), ("audio/ogg", ogg()), ("video/webm", webm()), ("image/tiff", tiff("<")), ("image/tiff", tiff(">")),
+    ("image/bmp", media.to_bmp(b"g" * 384)), ("image/png", media.to_png(b"g" * 384)),
+]
+
+
 def test_sniffing():
-    junk = b"junk BM RIFF \x1f\x8b\x08 PK\x03\x04 %PDF- \x89PNG\r\n\x1a\n"
-    objects = [("image/png", png()), ("application/gzip", gzip.compress(b"x" * 1000)), ("audio/wav", media.to_wav(b"abcd")), ("application/pdf", b"%PDF-1.4 startxref 0\n%%EOF")]
+    junk = b"junk BM RIFF \x1f\x8b\x08 PK\x03\x04 %PDF- \x89PNG\r\n\x1a\n GIF89a II*\0 ftyp OggS\0 \xff\xd8\xff"
     blob, want = junk, []
-    for name, data in objects:
+    for name, data in OBJECTS:
         want.append((name, len(blob), len(blob) + len(data)))
         blob += data + junk
     assert media.sniff(blob) == want
+    for name, data in OBJECTS:
+        assert media.sniff(data) == [(name, 0, len(data))] and all(x[0] != name for x in media.sniff(data[:-1])[:1]) or name == "application/pdf"
     broken = bytearray(png())
     broken[40] ^= 1
     assert media.sniff(bytes(broken)) == [] and media.sniff(png()[:-1]) == [] and media.sniff(b"") == []
 
 
+def test_sniffing_does_not_grow_with_the_square():
+    for junk in (b"PK\x03\x04" * 200_000, b"%PDF-1.4 " * 100_000, b"PK\x03\x04PK\x05\x06" * 100_000 + bytes(30), b"%PDF-1.4 %%EOF" * 50_000):
+        start = time.time()
+        assert media.sniff(junk) == []
+        assert time.time() - start < 10
+
+
 def test_stored_texts(docs, texts, edges, empty, spark):
-    for r in media.store_texts(docs).collect():
-        b = texts[r["doc_id"]].encode()
+    """Every column of the query, from the stored bytes by readers of this test's own."""
+    seen = Counter()
+    for r in media.store_texts(docs, with_media=True).collect():
+        b, m = texts[r["doc_id"]].encode(), bytes(r["media"])
         p = b.ljust(max(192, -(-len(b) // 192) * 192))
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(m), hashlib.sha256(m).hexdigest())
+        o = m[r["object_start"] : r["object_start"] + r["object_bytes"]]
+        if o[:4] == b"RIFF":
+            name, back = "audio/wav", o[44:]
+            with wave.open(io.BytesIO(o)) as w:
+                assert w.getsampwidth() == 1 and w.readframes(w.getnframes()) == p
+        elif o[:2] == b"BM":
+            name, back = "image/bmp", o[int.from_bytes(o[10:14], "little") :]
+        else:
+            name, raw_ = "image/png", zlib.decompress(o[41:-16])
+            back = b"".join(raw_[i + 1 : i + 193] for i in range(0, len(raw_), 193))
+        assert back == p and (r["declared"], r["detected"], r["corrected"], r["n_objects"]) == ("audio/wav", name, name != "audio/wav", 1)
+        seen[name, r["object_start"]] += 1
+    assert len(seen) == 6
     assert media.store_texts(edges).count() == len(EDGES) and media.store_texts(empty).count() == 0
     rows = media.sniff_media(spark.createDataFrame([(1, bytearray(png()), "image/gif"), (2, None, None)], "doc_id long, data binary, mime string"), "data", "mime").collect()
     assert [(r["detected"], r["corrected"], r["whole"]) for r in sorted(rows)] == [("image/png", True, True), (None, False, False)]
@@ -249,6 +342,67 @@ def test_chat(spark, sf):
     assert plain.where("kind = 'message' and valid").count() == spark.read.parquet(f"{sf}/conversations.parquet").count()
 
 
+def test_chat_odd_json(spark):
+    """Deep nesting and integers of thousands of digits are plain text; half surrogates and big integers get through."""
+    deep = '{"tool_calls":[{"id":"a","name":"f","arguments":' + "[" * 3000 + "]" * 3000 + "}]}"
+    inner = json.dumps({"tool_calls": [{"id": "a", "name": "f", "arguments": "[" * 3000 + "]" * 3000}]})
+    half = '{"tool_calls":[{"id":"\\ud800","name":"\\udfff","depends_on":["\\ud801",null,1]}]}'
+    big = '{"tool_calls":[{"id":1,"name":"f","arguments":{"x":' + "9" * 400 + "}}]}"
+    huge = '{"tool_calls":[{"id":1,"name":"f","arguments":{"x":' + "9" * 5000 + "}}]}"
+    rows = [(k, 0, "assistant", t) for k, t in enumerate((deep, inner, half, big, huge, '{"tool_calls":[1,null]}', '{"tool_call_id":true}'))]
+    schemas = {"f": {"type": "object", "properties": {"x": {"type": "integer", "maximum": 5}}}}
+    got = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), schemas).collect()
+    calls = {r["conv_id"]: r for r in got if r["kind"] == "call" and r["place"] == 1}
+    assert sorted(calls) == [1, 2, 3, 5] and Counter(r["conv_id"] for r in got if r["kind"] == "message") == Counter(range(6))
+    assert "$: not JSON" in calls[1]["errors"] and calls[2]["call_id"] == "\ufffd" and "$.x: out of range" in calls[3]["errors"] and "no identifier" in calls[5]["errors"]
+
+
+def levels(calls):
+    """Longest ways of a dict of call: needs; none on or behind a cycle."""
+    out = {c: 0 for c, needs in calls.items() if not [n for n in needs if n in calls]}
+    while True:
+        more = {c: 1 + max(out[n] for n in needs if n in calls) for c, needs in calls.items() if c not in out and all(n in out for n in needs if n in calls)}
+        if not more:
+            return out
+        out |= more
+
+
+def test_chat_levels(spark):
+    """A chain of 3,000 calls, calls of several needs, cycles and calls behind them, against plain relaxation."""
+    rng = random.Random(8)
+    calls = {f"c{k}": [f"c{k - 1}"] for k in range(1, 3000)} | {"c0": []}
+    calls |= {f"d{k}": [f"d{rng.randrange(k)}" for _ in range(rng.randint(0, 3))] if k else [] for k in range(150)}
+    calls |= {"x": ["y"], "y": ["z"], "z": ["x"], "behind": ["x", "c5"], "far": ["behind"], "unknown": ["nothing"], "own": ["own"]}
+    rows = [(1, k, "assistant", json.dumps({"tool_calls": [{"id": c, "name": "f", "depends_on": n}]})) for k, (c, n) in enumerate(calls.items())]
+    got = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("kind = 'call'").collect()
+    want = levels(calls)
+    assert {r["call_id"]: r["level"] for r in got} == {c: want.get(c) for c in calls}
+    assert all(("needs a cycle" in r["errors"]) == (r["call_id"] not in want) for r in got)
+
+
+def test_chat_query_against_plain_python(spark, sf):
+    """The query's calls, links, levels, order and checks, from the table by the rule of calls_of_turns."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").collect()
+    asked = {(r["conv_id"], r["turn"]): r for r in rows if r["role"] == "user"}
+    answered = {(r["conv_id"], r["turn"] - 1) for r in rows if r["role"] == "assistant"}
+    got = queries.op6_tool_call_linking(spark, sf).collect()
+    calls = {(r["conv_id"], r["turn"]): r for r in got if r["kind"] == "call"}
+    assert set(calls) == set(asked) and len(calls) > 20
+    for (c, t), r in calls.items():
+        level, at = 0, t - 2
+        while (c, at) in asked:
+            level, at = level + 1, at - 2
+        text = asked[c, t]["text"]
+        words = len(re.split(r"[ \t\n\x0b\f\r]+", text.strip()))
+        assert (r["call_id"], r["level"], r["linked"]) == (str(t), level, (c, t) in answered)
+        assert json.loads(r["json"]) == {"arguments": {"text": text, "words": words}, "id": str(t), "name": "ask"}
+        assert r["errors"] == ([] if (c, t) in answered else ["no result"])
+    results = [r for r in got if r["kind"] == "result"]
+    assert {(r["conv_id"], r["turn"] - 1, r["linked"]) for r in results} == {(c, t, (c, t) in asked) for c, t in answered}
+    assert all(r["order_turn"] == r["turn"] - 1 and r["stage"] == 1 for r in results if r["linked"])
+    assert sum(r["kind"] == "message" for r in got) == len(asked) + sum(r["role"] not in ("user", "assistant") for r in rows)
+
+
 def test_lm(docs, texts, edges, empty):
     counts = Counter()
     for i, t in texts.items():
