@@ -6,14 +6,19 @@ bits of each end packed side by side, the high bits in unary in a bit vector, wi
 the place of every ``EVERY``-th set bit for select. That takes about 2 + log2(mean
 length) bits a document in place of 64. Document ids stand as 64-bit integers.
 
-Writing: documents are dealt into ranges of ids by quantiles of the ids, each range
-is sorted, and each is one file in the shared folder, written under a temporary
-name and renamed, so that an attempt that dies leaves nothing that is read. A lost
-executor's file is written again with the same content. Reading opens a file and
-answers ``ends`` by select, or streams the documents.
+Writing: ids are counted by ranges, weighted by the bytes of their texts, in narrow
+passes that look closer at ranges over the target, so that each range of ids is about
+``range_bytes`` of text. Each range is one task's: it is sorted (Spark spills what
+does not fit) and streamed into files of at most ``FILE_IDS`` ids and one document.
+Files go to the shared folder under a temporary name and are renamed, so that an
+attempt that dies leaves nothing that is read; a lost executor's files are written
+again with the same content. The starts of files are a prefix sum in two levels.
 
-Ranges are balanced by rows. Ids that repeat more than a range holds are dealt on
-by a hash of the text, so one id with a third of the rows is not one file.
+Reading opens a file and finds the documents' ends by select, a block of documents at
+a time, without a table of all of them.
+
+A single id of more than a range, and rows without an id, are dealt on by a hash of
+their tokens, so one id with a third of the rows is not one task.
 
 Defined results: null text has the end token alone; rows without an id come first,
 in files of their own; repeated rows are kept, next to each other; an empty table
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +42,14 @@ from sluice.llm.common import cut, shared_dir, slices, texts_of
 
 MAGIC = b"SLUICEF1"
 EVERY = 256
-#: Rows of a shard, about.
-SHARD_ROWS = 1 << 14
+#: Ids of a file, about.
+FILE_IDS = 1 << 22
+#: Bytes of text of a range, unless that would leave cores without work; ranges are never under the lesser.
+RANGE_BYTES = (4 << 20, 64 << 20)
+#: Ranges that are counted at a time; their counts come to the driver.
+BUCKETS = 1 << 12
+#: Documents whose ends are read at a time.
+BLOCK = 4096
 
 
 class EliasFano:
@@ -86,12 +97,21 @@ class EliasFano:
             low = (chunk >> bit) & ((1 << self.low_bits) - 1)
         return ((self.select(k) - k) << self.low_bits) | low
 
-    def all(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
+    def between(self, i: int, j: int) -> np.ndarray:
+        """The numbers i to j - 1, by select: only the high bits between two samples are read."""
+        if i >= j:
+            return np.zeros(0, np.int64)
+        first, after = int(self.samples[i // EVERY]), (j - 1) // EVERY + 1
+        stop = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        byte = first // 8
+        places = byte * 8 + np.flatnonzero(np.unpackbits(self.high[byte : -(-stop // 8)], bitorder="little"))
+        k = np.searchsorted(places, first) + i % EVERY
+        high = places[k : k + j - i].astype(np.int64) - np.arange(i, j)
         if not self.low_bits:
-            return high.astype(np.int64)
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-        return (high.astype(np.int64) << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1)
+            return high
+        bit = i * self.low_bits
+        bits = np.unpackbits(self.low[bit // 8 : -(-j * self.low_bits // 8)], bitorder="little")[bit % 8 :][: (j - i) * self.low_bits].reshape(j - i, self.low_bits)
+        return (high << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1)
 
 
 def to_bytes(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
@@ -123,11 +143,15 @@ class Shard:
         if at != len(data) or zlib.crc32(b"".join(blocks[:-1])) != head["crc"]:
             raise ValueError("a damaged shard file")
         self.n = head["n"]
-        null = np.unpackbits(np.frombuffer(blocks[1], np.uint8))[: self.n].astype(bool)
-        self.doc_ids = [None if x else i for i, x in zip(np.frombuffer(blocks[0], "<i8").tolist(), null)]
+        self._doc_ids, self._null = np.frombuffer(blocks[0], "<i8"), np.frombuffer(blocks[1], np.uint8)
         self.ends = EliasFano(self.n, head["low_bits"], np.frombuffer(blocks[2], np.uint8), np.frombuffer(blocks[3], np.uint8), np.frombuffer(blocks[4], "<u8"))
         self.ids = np.frombuffer(blocks[5], f"<u{head['width']}")
 
+    def doc_ids(self, i: int, j: int) -> list[int | None]:
+        """The ids of the documents i to j - 1, i a multiple of 8."""
+        null = np.unpackbits(self._null[i // 8 : -(-j // 8)]).astype(bool)
+        return [None if x else d for d, x in zip(self._doc_ids[i:j].tolist(), null)]
+
     def document(self, k: int) -> np.ndarray:
         """The ids of the k-th document, found by select."""
         return self.ids[self.ends[k - 1] if k else 0 : self.ends[k]]
@@ -156,29 +180,54 @@ def _as_uri(folder: str) -> str:
     return folder if "://" in folder else "file://" + folder.removeprefix("file:")
 
 
+def ranges(rows: DataFrame, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, shares) of rows (_id, _w): range k has the ids from bounds[k - 1] on and below bounds[k], its weight is about
+    target or its ids are one; it is dealt over shares[k + 1] tasks. shares[0] is that of rows without an id."""
+    whole = rows.agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.sum(F.when(F.col("_id").isNull(), F.col("_w"))).alias("null")).first()
+    none = max(1, -(-int(whole["null"] or 0) // target))
+    if whole["lo"] is None:
+        return np.zeros(0, np.int64), np.array([none, 1], np.int64)
+    done: list[tuple[int, int, int]] = []  # (first id, ids, weight)
+    open_ = [(whole["lo"], whole["hi"] - whole["lo"] + 1)]
+    # whole numbers all along; ids that span more than a long holds are counted in decimals
+    k = F.expr("(_id - first) div step" if open_[0][1] < 1 << 63 else "(cast(_id as decimal(20, 0)) - first) div step").cast("long").alias("k")
+    while open_:
+        each = max(2, BUCKETS // len(open_))
+        firsts, steps = [a for a, _ in open_], [-(-n // each) for _, n in open_]
+        # the ranges to look into are at most the buckets over the target
+        table = rows.sparkSession.createDataFrame([(a, a + n - 1, s) for (a, n), s in zip(open_, steps)], "first long, last long, step long")
+        at = rows.join(F.broadcast(table), F.col("_id").between(F.col("first"), F.col("last"))).select("first", k, "_w")
+        sizes = dict(zip(firsts, steps))
+        open_ = []
+        for r in at.groupBy("first", "k").agg(F.sum("_w").alias("w")).collect():  # at most BUCKETS rows
+            n = sizes[r["first"]]
+            (open_ if r["w"] > 2 * target and n > 1 else done).append((r["first"] + r["k"] * n, n, *(() if r["w"] > 2 * target and n > 1 else (int(r["w"]),))))
+    bounds, shares, held = [], [none, 1], target  # nothing lies below the first bound
+    for first, n, weight in sorted(done):
+        if held + weight > target or shares[-1] > 1:
+            bounds.append(first)
+            shares.append(max(1, -(-weight // target)) if n == 1 else 1)
+            held = 0
+        held += weight
+    return np.array(bounds, np.int64), np.array(shares, np.int64)
+
+
 def write_shards(
-    docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, shard_rows: int = SHARD_ROWS,
+    docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, range_bytes: int | None = None, file_ids: int = FILE_IDS,
 ) -> DataFrame:
-    """Writes every document's ids and returns (shard, uri, n_docs, n_ids), checkpointed, a row per file.
+    """Writes every document's ids and returns (shard, file, uri, n_docs, n_ids), checkpointed, a row per file, in the order of (shard, file).
 
-    Shards are numbered in the order of the ids. Texts are encoded where they lie and
-    only ids are moved, once.
+    Texts are encoded where they lie and only ids are moved, once.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_t"))
-    total = rows.count()
-    parts = max(1, -(-total // shard_rows))
-    cuts = rows.where("_id is not null").select(
-        F.percentile_approx("_id", [k / parts for k in range(1, parts)], 20 * parts).alias("q")
-    ).first()["q"] if parts > 1 else []
-    cuts = [int(c) for c in cuts or []]
-    edges = sorted(set(cuts))
-    # an id that is several quantiles fills a range by itself, dealt over as many shards; so are rows without an id
-    wide = {e: cuts.count(e) for e in edges if cuts.count(e) > 1}
-    bounds = np.array(sorted({x for e in edges for x in ([e, e + 1] if e in wide else [e])}), np.int64)
-    shares = np.ones(len(bounds) + 2, np.int64)
-    shares[0] = max(1, parts // 4)
-    for e, n in wide.items():
-        shares[np.searchsorted(bounds, e) + 2] = n
+    weighed = rows.select("_id", (F.octet_length(F.coalesce("_t", F.lit(""))) + 8).cast("long").alias("_w"))
+    if range_bytes is None:
+        total = int(weighed.agg(F.sum("_w")).first()[0] or 0)
+        least, most = RANGE_BYTES
+        range_bytes = min(most, max(least, total // (2 * docs.sparkSession.sparkContext.defaultParallelism)))
+    bounds, shares = ranges(weighed, range_bytes)
+    tasks = int(shares.sum())
+    before = np.cumsum(shares) - shares
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sluice.llm.tokens import encoder
@@ -190,71 +239,69 @@ def write_shards(
             own = np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64)
             place = np.where(null, 0, np.searchsorted(bounds, own, side="right") + 1)
             part = np.array([zlib.crc32(x) for x in ids], np.int64) % shares[place]
-            shard = pa.array((place.astype(np.int64) << 20) + part)
-            yield pa.RecordBatch.from_arrays([shard, batch.column(0), pa.array(ids, pa.binary())], names=["shard", "_id", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(before[place] + part), batch.column(0), pa.array(ids, pa.binary())], names=["shard", "_id", "ids"])
 
     target = _as_uri(folder)
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by shard and id; a shard's last row may stand in a later batch than its first."""
-        current, doc_ids, ids = None, [], []
+        current, file, held, doc_ids, ids = None, 0, 0, [], []
 
         def flush():
-            uri = f"{target}/shard-{current:014d}.ids"
+            uri = f"{target}/shard-{current:09d}-{file:06d}.ids"
             _put(uri, to_bytes(doc_ids, ids))
-            n = sum(len(x) for x in ids) // 4
-            return pa.RecordBatch.from_arrays([pa.array([current]), pa.array([uri]), pa.array([len(ids)]), pa.array([n])], names=["shard", "uri", "n_docs", "n_ids"])
+            return pa.RecordBatch.from_arrays([pa.array([current]), pa.array([file]), pa.array([uri]), pa.array([len(ids)]), pa.array([held])], names=["shard", "file", "uri", "n_docs", "n_ids"])
 
         for batch in batches:
             for s, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if s != current:
+                if s != current or held >= file_ids:
                     if current is not None:
                         yield flush()
-                    current, doc_ids, ids = s, [], []
+                    current, file, held, doc_ids, ids = s, file + 1 if s == current else 0, 0, [], []
                 doc_ids.append(i)
                 ids.append(x)
+                held += len(x) // 4
         if current is not None:
             yield flush()
 
     encoded = rows.mapInArrow(encode, "shard long, _id long, ids binary")
-    # more tasks than shards, so that few tasks get two
-    sorted_ = encoded.repartition(3 * parts, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("ids"))
-    return cut(sorted_.mapInArrow(store, "shard long, uri string, n_docs long, n_ids long"))
+    sorted_ = encoded.repartition(2 * tasks, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("ids"))  # more tasks than shards, so that few get two
+    return cut(sorted_.mapInArrow(store, "shard long, file long, uri string, n_docs long, n_ids long"))
 
 
-def read_shards(spark: SparkSession, shards: DataFrame, doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
-    """Per document from the files: the id, start, n_tokens, ids_crc32 and, with_ids, the ids.
+def with_starts(shards: DataFrame, block: int = 256) -> DataFrame:
+    """(uri, base): the ids before each file. Files are summed within blocks of shards, and the blocks, which are few, among themselves."""
+    rows = shards.select("shard", "file", "uri", "n_ids", F.floor(F.col("shard") / block).alias("block"))
+    blocks = rows.groupBy("block").agg(F.sum("n_ids").alias("all"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("block", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("over"))
+    own = Window.partitionBy("block").orderBy("shard", "file").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("within", F.coalesce(F.sum("n_ids").over(own), F.lit(0)))
+    return rows.join(blocks, "block").select("uri", (F.col("over") + F.col("within")).alias("base"))
 
-    shards: what write_shards returned. Its rows, one a file, are few, so the starts
-    of the files are summed on the driver.
-    """
-    listed = shards.orderBy("shard").select("uri", "n_ids").collect()
-    starts, at = [], 0
-    for r in listed:
-        starts.append((r["uri"], at))
-        at += r["n_ids"]
+
+def read_shards(spark: SparkSession, shards: DataFrame, doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """Per document from the files: the id, start, n_tokens, ids_crc32 and, with_ids, the ids. shards: what write_shards returned."""
     schema = f"`{doc_id}` long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     names = [doc_id, "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shard = Shard(_get(uri))
-                ends = shard.ends.all()
-                begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                for i in range(0, shard.n, 4096):
-                    own = slice(i, i + 4096)
-                    data = [shard.ids[a:b].astype("<u4").tobytes() for a, b in zip(begins[own].tolist(), ends[own].tolist())]
+                shard, begin = Shard(_get(uri)), 0
+                for i in range(0, shard.n, BLOCK):
+                    ends = shard.ends.between(i, min(i + BLOCK, shard.n))
+                    begins = np.concatenate([[begin], ends[:-1]]).astype(np.int64)
+                    begin = int(ends[-1])
+                    data = [shard.ids[a:b].astype("<u4").tobytes() for a, b in zip(begins.tolist(), ends.tolist())]
                     columns = [
-                        pa.array(shard.doc_ids[own], pa.int64()), pa.array(begins[own] + base), pa.array(ends[own] - begins[own]),
+                        pa.array(shard.doc_ids(i, i + BLOCK), pa.int64()), pa.array(begins + base), pa.array(ends - begins),
                         pa.array([zlib.crc32(x) for x in data], pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns + [pa.array(data, pa.binary())] * with_ids, names=names)
 
-    if not starts:
-        return spark.createDataFrame([], schema)
-    table = spark.createDataFrame(starts, "uri string, base long").repartition(len(starts))
-    return table.mapInArrow(load, schema)
+    files = cut(with_starts(shards))
+    return files.repartition(max(1, files.count()), "uri").mapInArrow(load, schema)
 
 
 def write_and_read(docs: DataFrame, path: str, folder: str | None = None, doc_id: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A tokenizer that splits text at white space gives a text the ids of its chunks,
 laid end to end. Most chunks of a corpus repeat, so a task encodes each new chunk
-once by the library and looks the others up. The memory holds at most ``MOST``
-chunks and those of one slice of texts, whatever the input.
+once by the library and looks the others up. The memory has two generations of at
+most ``MOST`` chunks each, and those of one slice of texts, whatever the input.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from array import array
 
 import numpy as np
 
-MOST = 400_000
+MOST = 300_000
 #: New chunks that go to the library in one call.
 TOGETHER = 1000
 #: Where a space follows a character that is not white space, a byte-level split always begins a new piece.
@@ -55,6 +55,7 @@ class Encoder:
         self.mark_id, token = next(iter(self.tokenizer.get_added_tokens_decoder().items()))
         self.mark = token.content
         self.known: dict = {}
+        self.old: dict = {}
 
     def chunks(self, text: str | bytes) -> list:
         if not self.spaced:
@@ -66,10 +67,13 @@ class Encoder:
         return [first, *[" " + x for x in rest]]
 
     def _know(self, own: set) -> None:
-        """All chunks of own are in ``known`` afterwards; a full memory keeps those alone."""
+        """All chunks of own are in ``known`` afterwards. A full memory becomes the old one, and what is asked for again comes back."""
         if len(self.known) > MOST:
-            self.known = {x: self.known[x] for x in own if x in self.known}
-        new = list(own.difference(self.known))
+            self.known, self.old = {}, self.known
+        lacking = own.difference(self.known)
+        back = lacking.intersection(self.old)
+        self.known.update(zip(back, map(self.old.__getitem__, back)))
+        new = list(lacking.difference(back) if back else lacking)
         texts = new if self.spaced else [x.decode() for x in new]
         for i in range(0, len(new), TOGETHER):
             self._encode(new[i : i + TOGETHER], texts[i : i + TOGETHER])

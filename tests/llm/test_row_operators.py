@@ -300,12 +300,17 @@ def test_stored_texts(docs, texts, edges, empty, spark):
 def test_elias_fano(values):
     values = np.sort(np.array(values, np.int64))
     e = idfile.EliasFano.of(values)
-    assert (e.all() == values).all() and [e[k] for k in range(len(values))] == values.tolist()
+    assert [e[k] for k in range(len(values))] == values.tolist()
+    for i in range(0, len(values) + 1, 37):
+        for j in (i, i + 1, i + 300, len(values)):
+            assert e.between(i, min(j, len(values))).tolist() == values[i : max(i, j)].tolist()
 
 
 def test_id_files(docs, edges, empty, texts, word_tokenizer, tmp_path, spark):
     for name, df, many in (("a", docs, list(texts.items())), ("b", edges, EDGES)):
-        shards = idfile.write_shards(df, WORD, str(tmp_path / name), shard_rows=40)
+        shards = idfile.write_shards(df, WORD, str(tmp_path / name), range_bytes=20_000, file_ids=6_000)
+        listed = shards.collect()
+        assert len(listed) > 3 and len({r["shard"] for r in listed}) > 1
         rows = sorted(idfile.read_shards(spark, shards).collect(), key=lambda r: r["start"])
         ids = [r["doc_id"] for r in rows]
         assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
@@ -317,11 +322,25 @@ def test_id_files(docs, edges, empty, texts, word_tokenizer, tmp_path, spark):
         assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows) == want
     assert idfile.write_and_read(empty, WORD).count() == 0
     shard = idfile.Shard(idfile.to_bytes([1, None, 3], [raw([1, 2]), b"", raw([70_000])]))
-    assert shard.document(0).tolist() == [1, 2] and shard.document(1).tolist() == [] and shard.document(2).tolist() == [70_000] and shard.doc_ids == [1, None, 3]
+    assert shard.document(0).tolist() == [1, 2] and shard.document(1).tolist() == [] and shard.document(2).tolist() == [70_000] and shard.doc_ids(0, 3) == [1, None, 3]
     with pytest.raises(ValueError):
         idfile.Shard(idfile.to_bytes([1], [raw([1])])[:-1])
 
 
+def test_id_ranges(spark):
+    """Ranges of about equal weight for ids in clusters, negative and far apart; an id of a third of all is dealt on."""
+    rng = random.Random(4)
+    ids = [rng.randrange(1000) for _ in range(3000)] + [10**15 + k for k in range(3000)] + [-(10**17)] * 50 + [7] * 4000 + [None] * 500
+    bounds, shares = idfile.ranges(spark.createDataFrame([(i, 10) for i in ids], "_id long, _w long"), 2000)
+    place = [0 if i is None else 1 + int(np.searchsorted(bounds, i, side="right")) for i in ids]
+    per = {k: n * 10 / shares[k] for k, n in Counter(place).items()}
+    assert max(per.values()) <= 4000 and shares[0] == 3 and max(shares) >= 20 and len(per) < 60
+    wide = [-(2**63), 2**63 - 1, *range(100)] * 20
+    bounds, _ = idfile.ranges(spark.createDataFrame([(i, 10) for i in wide], "_id long, _w long"), 2000)
+    assert max(Counter(np.searchsorted(bounds, wide, side="right").tolist()).values()) <= 400 and len(bounds) < 30
+    assert idfile.ranges(spark.createDataFrame([], "_id long, _w long"), 5)[1].tolist() == [1, 1]
+
+
 def test_chat(spark, sf):
     call = {"content": None, "tool_calls": [
         {"id": "b", "name": "f", "arguments": {"x": 1.0}, "depends_on": ["a"]}, {"id": "a", "function": {"name": "f", "arguments": '{"x":"q"}'}},
