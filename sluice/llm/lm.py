@@ -1,32 +1,39 @@
-"""LM scoring by logistic mixing of hashed-context bit predictors.
-
-A text is a sequence of tokens: its words in lower case (A-Z), each spelled as its
-bytes and a blank, and one end. Each bit is predicted by five contexts, hashed into
-tables of fixed size: the last one, two, three and four bytes of the token, and all
-bytes of the token so far. Their stretched probabilities are mixed with weights that
-two gates choose (how much is known of the longest contexts; the place of the bit),
-and the mix is refined by an adaptive table over (last byte, probability). Contexts
-end with the token, so a token has one probability wherever it stands: a corpus is
-scored once per distinct token rather than once per bit of text, and the
-probabilities of all token sequences still sum to one.
-
-Learning. Token counts cover all training documents; the predictors' counts are
-summed from all distinct tokens, each weighted by its count. Weights and the
-adaptive table are fitted online, in order of a hash, on a bounded sample: the
-``hot_words`` most frequent tokens and ``mixer_words`` of the others, each bit
-predicted from counts less the occurrence at hand.
-
-Scoring. The most frequent tokens, at most ``hot_words``, are looked up in the task;
-the rest are counted per document and joined to the token table, where no token is
-hot. Rows of a document that has the sums of its frequent tokens never join, and
-their keys are all different, so they spread evenly.
-
-Memory: predictor tables have a fixed number of blocks of 16 slots (``BLOCKS``), about
-60 MB whatever the corpus, and are broadcast; token tables stay distributed.
+"""LM scoring by online logistic mixing of hashed-context bit predictors.
+
+A text is a sequence of tokens: its words in lower case (A-Z), and one end. Each
+token is coded in bits, each bit is predicted by several contexts, their stretched
+probabilities are mixed with weights that two gates choose, and the mix is refined by
+an adaptive table. The score is the sum of the logarithms over all bits.
+
+The code. The most frequent tokens, at most ``hot_words``, and classes of all others
+by their last two bytes are the leaves of a tree, sorted by their spelling from behind
+and split by weight. The first ``DEPTH`` bits of a leaf are mixed from contexts:
+
+* none; the last frequent word; the last two frequent words; the token before, or
+  the class of it; the two tokens before, hashed.
+
+What lies below has the probability of its share. A token of a class is either known,
+with the share of its exact count in the class, or new, and spelled from behind in
+bits of bytes that contexts of its one to five last bytes and its class predict, mixed
+and refined likewise. So probabilities depend on the tokens before, those of all
+tokens sum to at most one, and what is counted grows with the corpus.
+
+Learning is online. A task goes through its rows in their order, in batches: it
+predicts a batch from its counts so far, moves the weights and the refinement, then
+adds the batch to the counts. Counts of all tasks are summed, and their weights
+averaged by the bits they saw. The spelling learns from all tokens seen once, which
+stand for new ones.
+
+Scoring reads each text where it lies, as the numbers of its leaves; the exact counts
+of rarer tokens are joined by token, of which none is hot, and summed.
+
+Memory: context tables have fixed sizes, about 45 MB, and travel as a broadcast;
+counts of tokens stay distributed. The driver sees the hot words and sums by two last
+bytes, both bounded.
 
 Defined results: null text is the end token alone; a document without an id is
 learned from and is not held out; repeated rows are scored each on its own and
-counted each; an empty table gives an empty result.
+counted each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +42,6 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,146 +50,329 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.llm.common import crc_mod, cut, slices, sweep, texts_of
-from sluice.llm.minhash import mix
 
 #: No UTF-8 text has this byte.
 END = b"\xff"
-#: log2 of the blocks of each predictor; the last is the one of whole prefixes.
-BLOCKS = (12, 14, 16, 17, 18)
-OFFSETS = np.concatenate([[0], np.cumsum([16 << b for b in BLOCKS])]).astype(np.int64)
-SLOTS = int(OFFSETS[-1])
-CHUNK = 4096
-N = len(BLOCKS)
+#: Bits of a leaf that are mixed, and frequent words that are contexts.
+DEPTH, FREQUENT = 8, 64
+NODES = 1 << DEPTH
+#: Most frequent tokens that are a context by themselves; others are one by their class.
+NEAR = 1024
+CLASSES = 256
+#: First slot of each context's table: of leaves (the last is hashed), and of spelling (all hashed).
+LEAF_SLOTS = np.cumsum([0, NODES, (FREQUENT + 1) * NODES, (FREQUENT + 1) ** 2 * NODES, (NEAR + CLASSES + 1) * NODES, 1 << 20])
+SPELL_BITS = (16, 18, 19, 19, 19)
+SPELL_SLOTS = np.cumsum([0, *[1 << b for b in SPELL_BITS]])
 #: Added to both counts of a slot.
-PRIOR = 0.4
-_SALTS = np.random.default_rng(77).integers(0, 1 << 63, N, np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE = np.random.default_rng(78).integers(0, 1 << 63, 257, np.uint64) * np.uint64(2) + np.uint64(1)
+PRIOR = np.float32(0.4)
+#: Tokens, or bytes, to a batch.
+BATCH = 1 << 14
+CHUNK = 4096
 BUCKETS = 33
-
-
-class Spelled:
-    """Tokens as one array of bytes with their contexts. The end token is its byte alone; others end with a blank."""
-
-    def __init__(self, words: list[bytes]):
-        spelled = [w if w == END else w + b" " for w in words]
-        self.bytes = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
-        lengths = np.array([len(w) for w in spelled], np.int64)
-        self.starts = np.cumsum(lengths) - lengths
-        self.word = np.repeat(np.arange(len(words)), lengths)
-        self.place = np.arange(len(self.bytes)) - self.starts[self.word]
-        before = [np.where(self.place >= k, np.concatenate([np.full(k, 256), self.bytes[:-k]])[: len(self.bytes)], 256) for k in range(1, 5)]
-        self.last = before[0]
-        hashes, h = [], np.zeros(len(self.bytes), np.uint64)
-        for k in range(4):
-            h = mix(h + _BYTE[before[k]])
-            hashes.append(h * _SALTS[k])
-        # a prefix: the sum of its bytes, each multiplied by a number of its place
-        powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(self.place.max(initial=0)) + 1, _SALTS[0], np.uint64)]), dtype=np.uint64)
-        terms = _BYTE[self.bytes] * powers[self.place]
-        sums = np.cumsum(terms, dtype=np.uint64) - terms
-        hashes.append(mix(sums - sums[self.starts[self.word]] + self.place.astype(np.uint64)) * _SALTS[4])
-        self.hashes = hashes
-
-    def nibble(self, low: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The nibble of each byte, and the first slot of its block for each predictor."""
-        value = self.bytes & 15 if low else self.bytes >> 4
-        seen = (self.bytes >> 4) + 1 if low else np.zeros(len(self.bytes), np.int64)
-        extra = seen.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        return value, [
-            OFFSETS[k] + 16 * (mix(h + extra) >> np.uint64(64 - BLOCKS[k])).astype(np.int64) for k, h in enumerate(self.hashes)
-        ]
-
-    def bits(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-        """(place in the byte, the bit, its slot in each predictor), for all bytes at once."""
-        for low in (0, 1):
-            value, blocks = self.nibble(low)
-            for j in range(4):
-                node = (1 << j) | (value >> (4 - j))
-                yield 4 * low + j, (value >> (3 - j)) & 1, [b + node for b in blocks]
-
-
-def count_table(words: list[bytes], counts: np.ndarray, table: np.ndarray) -> None:
-    """Adds the bits of words, each counts times, to table: two counts a slot. Words seen once have no prefix counts."""
-    s = Spelled(words)
-    weight = counts.astype(np.float64)[s.word]
-    again = np.where(weight >= 2, weight, 0)
-    for _, bit, slots in s.bits():
-        for k, at in enumerate(slots):
-            np.add.at(table, 2 * at + bit, again if k == N - 1 else weight)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Mixer:
-    """Weights by two gates, and the adaptive table."""
-
-    def __init__(self):
-        self.a, self.b = np.full((12, N + 1), 0.15), np.full((32, N + 1), 0.15)
-        self.a[:, -1] = self.b[:, -1] = 0
-        self.seen_a, self.seen_b = np.full(self.a.shape, 1e-4), np.full(self.b.shape, 1e-4)
-        self.refine = np.zeros((257, BUCKETS, 2))
-
-    def inputs(self, table: np.ndarray, slots: list[np.ndarray], bit: np.ndarray, own: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
-        """(stretched probabilities and a constant, gate of what is known), from counts less own occurrences."""
-        x, n = [], []
-        for k, at in enumerate(slots):
-            zero, one = table[2 * at].astype(np.float64), table[2 * at + 1].astype(np.float64)
-            if own is not None:
-                one = np.maximum(one - own[k] * bit, 0)
-                zero = np.maximum(zero - own[k] * (1 - bit), 0)
-            x.append(np.log((one + PRIOR) / (zero + PRIOR)))
-            n.append(zero + one)
-        x.append(np.full(len(bit), 0.3))
-        gate = np.searchsorted([0.5, 2.5, 15.5], n[N - 1]) * 3 + np.searchsorted([0.5, 3.5], n[N - 2])
-        return np.array(x), gate
-
-    def mixed(self, x: np.ndarray, gate: np.ndarray, spot: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("kn,nk->n", x, self.a[gate] + self.b[spot]), -18, 18)
-
-    def learn(self, x: np.ndarray, gate: np.ndarray, spot: np.ndarray, bit: np.ndarray, weight: np.ndarray, rate: float) -> float:
-        """One step of descent on a batch; the batch's mean cost in bits."""
-        z = self.mixed(x, gate, spot)
+    """Weights by two gates, and the adaptive table by a place and the mix."""
+
+    def __init__(self, inputs: int, gates: tuple[int, int], places: int):
+        self.weights = [np.full((g, inputs + 1), 0.6 / inputs, np.float32) for g in gates]
+        self.seen = [np.full(w.shape, 1e-4, np.float32) for w in self.weights]
+        for w in self.weights:
+            w[:, -1] = 0
+        self.refine = np.zeros((places * BUCKETS, 2), np.float32)
+        self.bits = 0.0
+
+    def mixed(self, x: list[np.ndarray], gates: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        (a, b), (g, h) = self.weights, gates
+        z = (a[:, -1] * np.float32(0.3))[g] + (b[:, -1] * np.float32(0.3))[h]
+        for k, own in enumerate(x):
+            z += own * (a[:, k][g] + b[:, k][h])
+        return np.clip(z, -16, 16, out=z)
+
+    def refined(self, z: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(probability of a one, slot): the mean of the mix and of what was seen where it stood like that."""
         p = 1 / (1 + np.exp(-z))
-        error = (bit - p) * weight
-        for w, seen, g in ((self.a, self.seen_a, gate), (self.b, self.seen_b, spot)):
-            total = np.bincount(g, weight, len(w)) + 1e-9
-            step = np.stack([np.bincount(g, error * xi, len(w)) for xi in x], 1) / total[:, None]
+        slot = place * BUCKETS + np.clip(np.rint(z * 2) + BUCKETS // 2, 0, BUCKETS - 1).astype(np.int64)
+        zero, one = self.refine[:, 0][slot], self.refine[:, 1][slot]
+        return (p + (one + 20 * p) / (zero + one + 20)) / 2, slot
+
+    def learn(self, x: list[np.ndarray], gates: tuple[np.ndarray, np.ndarray], place: np.ndarray, bit: np.ndarray) -> None:
+        """A step of descent on a batch, then its bits in the refinement."""
+        z = self.mixed(x, gates)
+        error = bit - 1 / (1 + np.exp(-z))
+        for w, seen, g in zip(self.weights, self.seen, gates):
+            n = np.maximum(np.bincount(g, minlength=len(w)), 1)
+            step = np.stack([np.bincount(g, error * own, len(w)) for own in [*x, np.float32(0.3)]], 1).astype(np.float32) / n[:, None].astype(np.float32)
             seen += step * step
-            w += rate * step / np.sqrt(seen)
-        return float(-np.dot(weight, np.log2(np.where(bit == 1, p, 1 - p).clip(1e-12))) / weight.sum())
+            w += np.float32(0.02) * step / np.sqrt(seen)
+        _, slot = self.refined(z, place)
+        np.add.at(self.refine.reshape(-1), 2 * slot + (bit > 0.5), np.float32(1))
+        self.bits += len(bit)
 
-    @staticmethod
-    def bucket(z: np.ndarray) -> np.ndarray:
-        return np.clip(np.rint(z * 2) + BUCKETS // 2, 0, BUCKETS - 1).astype(np.int64)
+    def state(self) -> np.ndarray:
+        """What averages to the mean weights by bits, and sums to the refinement."""
+        return np.concatenate([[self.bits], *[w.ravel() * self.bits for w in self.weights], self.refine.ravel()]).astype(np.float64)
+
+    def restore(self, total: np.ndarray) -> Mixer:
+        self.bits, at = float(total[0]), 1
+        for w in self.weights:
+            if self.bits:
+                w[:] = (total[at : at + w.size] / self.bits).reshape(w.shape)
+            at += w.size
+        self.refine[:] = total[at:].reshape(self.refine.shape)
+        return self
+
+
+def _inputs(table: np.ndarray, slots: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Stretched probabilities of a one, and how often each context was seen."""
+    x, n = [], []
+    for at in slots:
+        zero, one = table[2 * at], table[2 * at + 1]
+        x.append(np.log((one + PRIOR) / (zero + PRIOR)))
+        n.append(zero + one)
+    return x, n
 
-    def refined(self, z: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """The probability of a one: the mean of the mix and of what was seen where it stood like that."""
-        p = 1 / (1 + np.exp(-z))
-        seen = self.refine[last, self.bucket(z)]
-        return (p + (seen[:, 1] + 20 * p) / (seen.sum(1) + 20)) / 2
-
-    def fit(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray, table: np.ndarray, batch: int = 4000, passes: int = 2) -> None:
-        for k in range(passes + 1):
-            for i in range(0, len(words), batch):
-                s = Spelled(words[i : i + batch])
-                weight = weights[i : i + batch][s.word]
-                included = np.ones(len(s.word))
-                own = [included] * (N - 1) + [np.where(counts[i : i + batch][s.word] >= 2, 1.0, 0.0)]
-                for spot, bit, slots in s.bits():
-                    x, gate = self.inputs(table, slots, bit, own)
-                    at = spot * 4 + np.minimum(s.place, 3)
-                    if k < passes:
-                        self.learn(x, gate, at, bit, weight, 0.02 if k else 0.05)
-                    else:  # at the end, with the weights as they will be
-                        np.add.at(self.refine, (s.last, self.bucket(self.mixed(x, gate, at)), bit), weight)
-
-    def log10(self, words: list[bytes], table: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each token."""
-        s = Spelled(words)
-        cost = np.zeros(len(s.bytes))
-        for spot, bit, slots in s.bits():
-            x, gate = self.inputs(table, slots, bit, None)
-            p = self.refined(self.mixed(x, gate, spot * 4 + np.minimum(s.place, 3)), s.last)
-            cost += np.log10(np.where(bit == 1, p, 1 - p).clip(1e-15))
-        return np.add.reduceat(cost, s.starts) if len(words) else cost
+
+def _level(n: np.ndarray, edges: tuple[float, ...]) -> np.ndarray:
+    return np.searchsorted(np.array(edges, np.float32), n)
+
+
+class Leaves:
+    """The tree of hot tokens and classes.
+
+    hot: tokens with their counts, most frequent first, END among them. tails: (last two
+    bytes, tokens in the training documents, those of them seen once) of all other tokens.
+    """
+
+    def __init__(self, hot: list[tuple[bytes, int]], tails: list[tuple[bytes, int, int]]):
+        self.place = {w: k for k, (w, _) in enumerate(hot)}
+        by_tail = {t[::-1]: (n, once) for t, n, once in tails}
+        keys = sorted(by_tail)
+        # runs of tails of about equal weight are a class; a tail that nothing has is of the class before it
+        edges, share, held = [b""], max(1, sum(n + 1 for n, _ in by_tail.values()) // (CLASSES - 1)), 0
+        sums = [[0, 0]]
+        for k in keys:
+            if held + by_tail[k][0] + 1 > share and held and len(edges) < CLASSES:
+                edges.append(k)
+                sums.append([0, 0])
+                held = 0
+            held += by_tail[k][0] + 1
+            sums[-1][0] += by_tail[k][0]
+            sums[-1][1] += by_tail[k][1]
+        self.edges, self.n_hot = edges, len(hot)
+        self.total, self.once = (np.array([s[j] for s in sums], np.float64) for j in (0, 1))
+        #: share of new tokens in a class
+        self.new = np.where(self.total > 0, (self.once + 0.5) / (self.total + 1), 1.0)
+        leaves = sorted([(w[::-1], c, k) for k, (w, c) in enumerate(hot)] + [(e, int(n) + 1, len(hot) + j) for j, (e, n) in enumerate(zip(edges, self.total))])
+        self.length, self.code, self.tail = (np.zeros(len(leaves), t) for t in (np.int64, np.int64, np.float64))
+        before = np.concatenate([[0], np.cumsum([c for _, c, _ in leaves])]).astype(np.float64)
+        open_ = [(0, len(leaves), 0, 0)]
+        while open_:
+            i, j, depth, code = open_.pop()
+            if j - i == 1 or depth == DEPTH:
+                for m in range(i, j):
+                    at = leaves[m][2]
+                    self.length[at], self.code[at] = depth, code << (DEPTH - depth)
+                    self.tail[at] = math.log10((before[m + 1] - before[m]) / (before[j] - before[i]))
+                continue
+            m = min(max(int(np.searchsorted(before, (before[i] + before[j]) / 2)), i + 1), j - 1)
+            if m - 1 > i and before[m] - (before[i] + before[j]) / 2 > (before[i] + before[j]) / 2 - before[m - 1]:
+                m -= 1
+            open_ += [(i, m, depth + 1, 2 * code), (m, j, depth + 1, 2 * code + 1)]
+        # the class of a hot token is that of its tail, and its context that class unless it is one of the nearest
+        own = [k if k < NEAR else NEAR + self.class_of(w) for k, (w, _) in enumerate(hot)]
+        self.near = np.array([*own, *range(NEAR, NEAR + len(edges)), NEAR + CLASSES], np.int64)  # the last: no token
+
+    def class_of(self, word: bytes) -> int:
+        from bisect import bisect_right
+
+        return bisect_right(self.edges, word[-2:][::-1]) - 1
+
+
+def _leaf_batches(texts: list[np.ndarray], leaves: Leaves) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+    """(leaf of each token, its text, first slots of the contexts, is the token before of a class) in batches of whole texts."""
+    held: list[tuple[int, np.ndarray]] = []
+
+    def batch():
+        idx = np.concatenate([t for _, t in held])
+        lengths = np.array([len(t) for _, t in held])
+        text = np.repeat([k for k, _ in held], lengths)
+        starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at, none = np.arange(len(idx)), len(leaves.near) - 1
+        one = np.where(at > starts, np.concatenate([[none], idx[:-1]]), none)
+        two = np.where(at > starts + 1, np.concatenate([[none, none], idx[:-2]])[: len(idx)], none)
+        # the last frequent word before each token, and the last before that
+        last = np.maximum.accumulate(np.where(idx < FREQUENT, at, -1))
+        before = np.concatenate([[-1], last[:-1]])
+        lf = np.where(before >= starts, idx[before], FREQUENT)
+        further = before[np.maximum(before, 0)]
+        lf2 = np.where((before >= starts) & (further >= starts), idx[further], FREQUENT)
+        pair = (one.astype(np.uint64) * np.uint64(0x100003) + two.astype(np.uint64) + np.uint64(1)) * _MIX
+        return idx, text, [lf * NODES, (lf * (FREQUENT + 1) + lf2) * NODES, leaves.near[one] * NODES, pair], one >= leaves.n_hot
+
+    n = 0
+    for k, t in enumerate(texts):
+        held.append((k, t))
+        n += len(t)
+        if n >= BATCH:
+            yield batch()
+            held, n = [], 0
+    if held:
+        yield batch()
+
+
+def _leaf_bits(leaves: Leaves, idx: np.ndarray, firsts: list[np.ndarray], rare: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+    """For each bit: (tokens that have it, the bit, its node, its slots, the second gate)."""
+    length, code = leaves.length[idx], leaves.code[idx]
+    for d in range(DEPTH):
+        at = np.flatnonzero(length > d)
+        if not len(at):
+            return
+        own = code[at]
+        node = (1 << d) | (own >> (DEPTH - d))
+        slots = [node, *[LEAF_SLOTS[k + 1] + f[at] + node for k, f in enumerate(firsts[:3])]]
+        hashed = (firsts[3][at] ^ (node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * _MIX
+        slots.append(LEAF_SLOTS[4] + (hashed >> np.uint64(44)).astype(np.int64))
+        yield at, ((own >> (DEPTH - 1 - d)) & 1).astype(np.float32), node, slots, 2 * d + rare[at]
+
+
+def leaf_mixer() -> Mixer:
+    return Mixer(5, (20, 2 * DEPTH), NODES)
+
+
+def _leaf_gate(n: list[np.ndarray]) -> np.ndarray:
+    return _level(n[2], (0.5, 3.5, 15.5, 255.5)) * 4 + _level(n[4], (0.5, 3.5, 15.5))
+
+
+def learn_leaves(texts: list[np.ndarray], leaves: Leaves, table: np.ndarray, mixer: Mixer) -> None:
+    for idx, _, firsts, rare in _leaf_batches(texts, leaves):
+        added = []
+        for _, bit, node, slots, spot in _leaf_bits(leaves, idx, firsts, rare):
+            x, n = _inputs(table, slots)
+            mixer.learn(x, (_leaf_gate(n), spot), node, bit)
+            added += [2 * s + (bit > 0.5) for s in slots]
+        for at in added:
+            np.add.at(table, at, np.float32(1))
+
+
+def score_leaves(texts: list[np.ndarray], leaves: Leaves, table: np.ndarray, mixer: Mixer) -> np.ndarray:
+    """log10 of the probability of the leaves of each text."""
+    out = np.zeros(len(texts))
+    for idx, text, firsts, rare in _leaf_batches(texts, leaves):
+        cost = leaves.tail[idx].copy()
+        for at, bit, node, slots, spot in _leaf_bits(leaves, idx, firsts, rare):
+            x, n = _inputs(table, slots)
+            p, _ = mixer.refined(mixer.mixed(x, (_leaf_gate(n), spot)), node)
+            cost[at] += np.log10(np.where(bit > 0.5, p, 1 - p))
+        out += np.bincount(text, cost, len(texts))
+    return out
+
+
+class Bytes:
+    """A prefix code of bytes by their counts; a new token is spelled from behind, a zero byte last."""
+
+    def __init__(self, counts: np.ndarray):
+        import heapq
+
+        heap = [(float(c) + 0.01, k, k) for k, c in enumerate(counts)]
+        heapq.heapify(heap)
+        parents, n = {}, 256
+        while len(heap) > 1:
+            (a, _, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
+            parents[x], parents[y] = (n, 0), (n, 1)
+            heapq.heappush(heap, (a + b, n, n))
+            n += 1
+        codes = []
+        for k in range(256):
+            own, x = [], k
+            while x in parents:
+                x, bit = parents[x]
+                own.append((x - 255, bit))
+            codes.append(own[::-1])
+        deepest = max(map(len, codes))
+        self.length = np.array([len(c) for c in codes])
+        self.node, self.bit = np.zeros((deepest, 256), np.int64), np.zeros((deepest, 256), np.float32)
+        for k, own in enumerate(codes):
+            for d, (node, bit) in enumerate(own):
+                self.node[d, k], self.bit[d, k] = node, bit
+
+    def batches(self, words: list[bytes], classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+        """(byte, its word, hashes of the contexts, place up to 3) of about BATCH bytes at a time. A longer word is cut into pieces that know the bytes before."""
+        spelled, held, n = [], [], 0
+
+        def batch():
+            data = np.concatenate([np.frombuffer(s, np.uint8) for s, _, _ in held]).astype(np.int64)
+            lengths = np.array([len(s) for s, _, _ in held])
+            word = np.repeat(np.arange(len(held)), lengths)
+            starts = (np.cumsum(lengths) - lengths)[word]
+            skip = np.array([m for _, _, m in held])[word]
+            at = np.arange(len(data))
+            cls = classes[[k for _, k, _ in held]][word].astype(np.uint64) + np.uint64(257)
+            hashes, h = [], np.zeros(len(data), np.uint64)
+            for k in range(1, 6):
+                before = np.where(at - starts >= k, np.concatenate([np.zeros(k, np.int64), data[:-k]])[: len(data)].astype(np.uint64), cls if k <= 2 else np.uint64(256))
+                h = (h + before + np.uint64(1)) * _MIX
+                h ^= h >> np.uint64(29)
+                hashes.append(h)
+            own = np.flatnonzero(at - starts >= skip)
+            ids = np.array([k for _, k, _ in held])[word]
+            return data[own], ids[own], [x[own] for x in hashes], np.minimum(at - starts, 3)[own]
+
+        for k, w in enumerate(words):
+            s = w[::-1] + b"\0"
+            spelled = [(s[:BATCH], k, 0)] + [(s[i - 5 : i + BATCH], k, 5) for i in range(BATCH, len(s), BATCH)]
+            for piece in spelled:
+                held.append(piece)
+                n += len(piece[0])
+                if n >= BATCH:
+                    yield batch()
+                    held, n = [], 0
+        if held:
+            yield batch()
+
+    def bits(self, data: np.ndarray, hashes: list[np.ndarray], place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+        length = self.length[data]
+        for d in range(len(self.node)):
+            at = np.flatnonzero(length > d)
+            if not len(at):
+                return
+            node, bit = self.node[d][data[at]], self.bit[d][data[at]]
+            extra = node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            slots = [SPELL_SLOTS[k] + (((h[at] ^ extra) * _MIX) >> np.uint64(64 - SPELL_BITS[k])).astype(np.int64) for k, h in enumerate(hashes)]
+            yield at, bit, node, slots, 4 * min(d, 7) + place[at]
+
+
+def spell_mixer() -> Mixer:
+    return Mixer(5, (48, 32), 256)
+
+
+def _spell_gate(n: list[np.ndarray]) -> np.ndarray:
+    return (_level(n[2], (0.5, 3.5, 31.5)) * 4 + _level(n[3], (0.5, 3.5, 15.5))) * 3 + _level(n[4], (0.5, 3.5))
+
+
+def learn_spelling(words: list[bytes], classes: np.ndarray, code: Bytes, table: np.ndarray, mixer: Mixer) -> None:
+    for data, _, hashes, place in code.batches(words, classes):
+        added = []
+        for _, bit, node, slots, spot in code.bits(data, hashes, place):
+            x, n = _inputs(table, slots)
+            mixer.learn(x, (_spell_gate(n), spot), node, bit)
+            added += [2 * s + (bit > 0.5) for s in slots]
+        for at in added:
+            np.add.at(table, at, np.float32(1))
+
+
+def score_spelling(words: list[bytes], classes: np.ndarray, code: Bytes, table: np.ndarray, mixer: Mixer) -> np.ndarray:
+    """log10 of the probability of each word's spelling."""
+    out = np.zeros(len(words))
+    for data, word, hashes, place in code.batches(words, classes):
+        cost = np.zeros(len(data))
+        for at, bit, node, slots, spot in code.bits(data, hashes, place):
+            x, n = _inputs(table, slots)
+            p, _ = mixer.refined(mixer.mixed(x, (_spell_gate(n), spot)), node)
+            cost[at] += np.log10(np.where(bit > 0.5, p, 1 - p))
+        out += np.bincount(word, cost, len(words))
+    return out
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -195,6 +384,7 @@ def count_tokens(docs: DataFrame, held: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        size = 0
 
         def flush():
             out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
@@ -208,8 +398,10 @@ def count_tokens(docs: DataFrame, held: str, text: str = "text") -> DataFrame:
                 else:
                     counts.update(_tokens(t))
                     counts[END] += 1
-            if len(counts) > 400_000:
+                size += len(t)
+            if len(counts) > 400_000 or size > 64 << 20:
                 yield flush()
+                size = 0
         if counts:
             yield flush()
 
@@ -217,45 +409,6 @@ def count_tokens(docs: DataFrame, held: str, text: str = "text") -> DataFrame:
     return cut(counted.groupBy("word").agg(F.sum("c").alias("c")))
 
 
-def _words(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray]:
-    return batch.column(0).to_pylist(), batch.column(1).to_numpy()
-
-
-def predictor_table(words: DataFrame, distinct: int) -> np.ndarray:
-    """Counts of zeros and ones of every slot, over all training tokens."""
-    tasks = max(4, -(-distinct // (1 << 21)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, any_ = np.zeros(2 * SLOTS), False
-        for batch in batches:
-            for part in (batch.slice(i, 20_000) for i in range(0, batch.num_rows, 20_000)):
-                own, counts = _words(part)
-                known = np.flatnonzero(counts > 0)
-                if len(known):
-                    any_ = True
-                    count_table([own[k] for k in known], counts[known], table)
-        if any_:
-            parts = table.reshape(-1, 2 * CHUNK)
-            for i in range(0, len(parts), 64):
-                used = [k for k in range(i, min(i + 64, len(parts))) if parts[k].any()]
-                if used:
-                    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([parts[k].astype("<f4").tobytes() for k in used], pa.binary())], names=["chunk", "data"])
-
-    def add(key, frame):
-        import pandas as pd
-
-        total = np.zeros(2 * CHUNK)
-        for x in frame["data"]:
-            total += np.frombuffer(x, "<f4")
-        return pd.DataFrame({"chunk": [key[0]], "data": [total.astype("<f4").tobytes()]})
-
-    parts = words.coalesce(tasks).mapInArrow(run, "chunk int, data binary")
-    table = np.zeros(2 * SLOTS, np.float32)
-    for r in parts.groupBy("chunk").applyInPandas(add, "chunk int, data binary").toLocalIterator():
-        table[2 * CHUNK * r["chunk"] : 2 * CHUNK * (r["chunk"] + 1)] = np.frombuffer(r["data"], "<f4")
-    return table
-
-
 def _threshold(words: DataFrame, most: int) -> int:
     """The least count that at most ``most`` tokens reach, of the whole powers of 2 ** (1 / 8)."""
     level = F.floor(F.log2("c") * 8).cast("int").alias("level")
@@ -269,97 +422,161 @@ def _threshold(words: DataFrame, most: int) -> int:
     return 1 << 62 if least is None else math.ceil(2 ** (least / 8) - 1e-9)
 
 
+def _learned(rows: DataFrame, work, slots: int, blank) -> tuple[np.ndarray, Mixer]:
+    """The sum over all tasks of the counts that work(batch, table, mixer) makes, and the mean mixer. The state of a task
+    travels in compressed chunks of its table, so that no task takes more than one chunk of each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, mixer, any_ = np.zeros(2 * slots, np.float32), blank(), False
+        for batch in batches:
+            if batch.num_rows:
+                any_ = True
+                work(batch, table, mixer)
+        if any_:
+            parts = [table[i : i + 2 * CHUNK] for i in range(0, len(table), 2 * CHUNK)]
+            used = [k for k, x in enumerate(parts) if x.any()]
+            for i in range(0, len(used), 64):
+                own = used[i : i + 64]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([zlib.compress(parts[k].tobytes(), 1) for k in own], pa.binary())], names=["chunk", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([zlib.compress(mixer.state().tobytes(), 1)], pa.binary())], names=["chunk", "data"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come by chunk; one sum is held at a time."""
+        at, total = None, None
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(zlib.decompress(x.as_buffer()), np.float64 if k < 0 else np.float32)
+                if k == at:
+                    total += own
+                    continue
+                if at is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["chunk", "data"])
+                at, total = k, own.copy()
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["chunk", "data"])
+
+    parts = rows.mapInArrow(run, "chunk int, data binary").repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk int, data binary")
+    table, mixer = np.zeros(2 * slots, np.float32), blank()
+    for r in parts.toLocalIterator():  # the table is of fixed size
+        if r["chunk"] < 0:
+            mixer.restore(np.frombuffer(zlib.decompress(r["data"]), np.float64))
+        else:
+            own = np.frombuffer(zlib.decompress(r["data"]), np.float32)
+            table[2 * CHUNK * r["chunk"] : 2 * CHUNK * r["chunk"] + len(own)] = own
+    return table, mixer
+
+
 def score_documents(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, remainder: int = 2,
-    hot_words: int = 1 << 16, mixer_words: int = 50_000,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, remainder: int = 2, hot_words: int = 60_000,
 ) -> DataFrame:
     """Per document: the id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and bits_per_byte.
 
     Held out are documents whose id's crc32 has the remainder; the others are learned
     from. base_score is an add-one unigram score. n_bytes counts the bytes of the
-    spelled tokens, which score covers.
+    tokens, each but the end with a blank, which score covers.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(crc_mod(F.col(doc_id), modulus) == remainder, F.lit(False)).alias("_held"), F.col(text).alias("_t"))
     words = count_tokens(rows, "_held", "_t")
-    stats = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.count("*").alias("all")).first()
+    stats = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"), F.max(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("end")).first()
     n, v = stats["n"], stats["v"]
-    table = predictor_table(words, stats["all"])
-
-    least = _threshold(words, hot_words)
-    hot = words.where(F.col("c") >= least).toArrow()
-    tail = words.where((F.col("c") > 0) & (F.col("c") < least))
-    some = tail.orderBy(F.xxhash64("word"), "word").limit(mixer_words).toArrow()
-    sample = hot.column("word").to_pylist() + some.column("word").to_pylist()
-    counts = np.concatenate([hot.column("c").to_numpy(), some.column("c").to_numpy()]).astype(np.int64)
-    # a drawn token stands for all others as rare
-    weights = counts * np.where(np.arange(len(counts)) < len(hot), 1.0, max(1.0, (v - len(hot)) / max(1, len(some))))
-    order = sorted(range(len(sample)), key=lambda k: zlib.crc32(sample[k]))
-    mixer = Mixer()
-    if sample:
-        mixer.fit([sample[k] for k in order], counts[order], weights[order], table)
-    model = spark.sparkContext.broadcast((table, mixer))
-    del table, hot, some, sample
-    sweep(spark)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_table, held_mixer = model.value
-        for batch in batches:
-            for part in (batch.slice(i, 10_000) for i in range(0, batch.num_rows, 10_000)):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(held_mixer.log10(part.column(0).to_pylist(), held_table))], names=["word", "c", "lp"])
-
-    scored = cut(words.mapInArrow(score, "word binary, c long, lp double"))
-    known = scored.where((F.col("c") >= least) | (F.col("word") == F.lit(END))).toArrow()
-    look = spark.sparkContext.broadcast((known.column("word").to_pylist(), known.column("c").to_numpy(), known.column("lp").to_numpy()))
-    del known
-    sweep(spark)
     below = math.log10(n + v + 1)
-    names = ["uid", "_id", "held", "tokens", "bytes", "word", "times", "base", "lp", "known"]
+    least = _threshold(words, hot_words)
+    is_hot = (F.col("c") >= least) | (F.col("word") == F.lit(END))
+    hot = [(r["word"], r["c"]) for r in words.where(is_hot & (F.col("c") > 0)).collect()]  # at most hot_words and the end
+    hot = sorted([(bytes(w), c) for w, c in hot] or [(END, 1)], key=lambda x: (-x[1], x[0]))
+    if not any(w == END for w, _ in hot):
+        hot.append((END, 1))
+    rare = words.where(~is_hot & (F.col("c") > 0))
+    tail = F.substring("word", -2, 2).alias("tail")
+    tails = rare.groupBy(tail).agg(F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("once")).collect()  # at most a row for two bytes
+    leaves = Leaves(hot, [(bytes(r["tail"]), r["n"], r["once"]) for r in tails])
+    base_of = np.log10(np.array([c for _, c in hot]) + 1.0) - below
+    known_of = np.array([w != END or bool(stats["end"]) for w, _ in hot])
+    shared = spark.sparkContext.broadcast((leaves, base_of, known_of))
+
+    names = ["uid", "_id", "held", "tokens", "bytes", "base", "known", "leaves", "rare", "times"]
     schema = T.StructType([
         T.StructField("uid", T.LongType()), T.StructField("_id", docs.schema[doc_id].dataType), T.StructField("held", T.BooleanType()), T.StructField("tokens", T.LongType()), T.StructField("bytes", T.LongType()),
-        T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("lp", T.DoubleType()), T.StructField("known", T.LongType()),
+        T.StructField("base", T.DoubleType()), T.StructField("known", T.LongType()), T.StructField("leaves", T.BinaryType()), T.StructField("rare", T.ArrayType(T.BinaryType())), T.StructField("times", T.ArrayType(T.IntegerType())),
     ])
 
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text as the numbers of its leaves, and its tokens that are not hot with their counts."""
         from pyspark import TaskContext
 
-        words_, counts, log10s = look.value
-        place = {w: k for k, w in enumerate(words_)}
-        base = np.log10(counts + 1.0) - below
+        leaves, base_of, known_of = shared.value
+        place, n_hot, class_of, tails = leaves.place.get, leaves.n_hot, leaves.class_of, {}
         uid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, 2):
             out: list[list] = [[] for _ in names]
-            at = []
-            for k, (t, held) in enumerate(zip(texts_of(batch.column(2)), batch.column(1).to_pylist())):
+            for t, held in zip(texts_of(batch.column(2)), batch.column(1).to_pylist()):
                 tokens = [*_tokens(t), END]
-                found = np.fromiter(map(place.get, tokens, repeat(-1)), np.int64, len(tokens))
-                here = found[found >= 0]
-                own = (uid, held, len(tokens), sum(map(len, tokens)) + len(tokens) - 1, b"\xff\xff%d" % uid, 0, float(base[here].sum()), float(log10s[here].sum()), int((counts[here] > 0).sum()))
-                at.append(k)
-                for j, x in zip((0, 2, 3, 4, 5, 6, 7, 8, 9), own):
+                own = list(map(place, tokens))
+                found = np.array([-1 if x is None else x for x in own], np.int64)
+                here, lacking = found[found >= 0], np.flatnonzero(found < 0).tolist()
+                others = [tokens[k] for k in lacking]
+                for w in others:
+                    if w[-2:] not in tails:
+                        tails[w[-2:]] = n_hot + class_of(w)
+                found[lacking] = [tails[w[-2:]] for w in others]
+                counted = Counter(others)
+                for j, x in zip((0, 2, 3, 4, 5, 6, 7, 8, 9), (uid, held, len(tokens), sum(map(len, tokens)) + len(tokens) - 1, float(base_of[here].sum()), int(known_of[here].sum()), found.astype("<u2").tobytes(), list(counted), list(counted.values()))):
                     out[j].append(x)
-                if len(here) < len(tokens):
-                    rest = Counter([w for w, f in zip(tokens, found.tolist()) if f < 0])
-                    at += repeat(None, len(rest))
-                    out[0] += repeat(uid, len(rest))
-                    out[5] += rest
-                    out[6] += rest.values()
-                    for j in (2, 3, 4, 7, 8, 9):
-                        out[j] += repeat(None, len(rest))
                 uid += 1
-            out[1] = batch.column(0).take(pa.array(at, pa.int64()))
-            kinds = [pa.int64(), None, pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([x if t is None else pa.array(x, t) for x, t in zip(out, kinds)], names=names)
-
-    parts = rows.mapInArrow(look_up, schema)
-    rare = scored.where((F.col("c") < least) & (F.col("word") != F.lit(END))).select("word", F.col("c").alias("wc"), F.col("lp").alias("wlp"))
-    joined = parts.join(rare, "word", "left").select(
-        "uid", "_id", "held", "tokens", "bytes",
-        F.coalesce("base", F.col("times") * (F.log10(F.col("wc") + 1.0) - below)).alias("base"),
-        F.coalesce("lp", F.col("times") * F.col("wlp")).alias("lp"),
-        F.coalesce("known", F.when(F.col("wc") > 0, F.col("times")).otherwise(0)).alias("known"),
+            kinds = [pa.int64(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0) if k is None else pa.array(x, k) for x, k in zip(out, kinds)], names=names)
+
+    coded = cut(rows.mapInArrow(code, schema))
+
+    def numbers(column: pa.Array) -> list[np.ndarray]:
+        return [np.frombuffer(x, "<u2").astype(np.int64) for x in column.to_pylist()]
+
+    def learn_texts(batch: pa.RecordBatch, table: np.ndarray, mixer: Mixer) -> None:
+        for i in range(0, batch.num_rows, 256):
+            learn_leaves(numbers(batch.column(0).slice(i, 256)), shared.value[0], table, mixer)
+
+    leaf_table, mixer = _learned(coded.where("not held").select("leaves"), learn_texts, int(LEAF_SLOTS[-1]), leaf_mixer)
+    # the bytes of hot words, seldom as they are new, give the code of bytes
+    counts = np.bincount(np.frombuffer(b"".join(w + b"\0" for w, _ in hot), np.uint8), minlength=256)
+    letters = Bytes(counts)
+
+    def learn_words(batch: pa.RecordBatch, table: np.ndarray, mixer: Mixer) -> None:
+        own = batch.column(0).to_pylist()
+        learn_spelling(own, np.array([shared.value[0].class_of(w) for w in own]), letters, table, mixer)
+
+    spell_table, speller = _learned(rare.where("c = 1").select("word"), learn_words, int(SPELL_SLOTS[-1]), spell_mixer)
+    model = spark.sparkContext.broadcast((leaf_table, mixer, spell_table, speller))
+    del leaf_table, spell_table
+    sweep(spark)
+
+    def score_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, mixer, _, _ = model.value
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                lp = score_leaves(numbers(part.column(7)), shared.value[0], table, mixer)
+                yield pa.RecordBatch.from_arrays([*part.columns[:7], pa.array(lp)], names=[*names[:7], "lp"])
+
+    def score_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A known token's share of its class; a new one's spelling."""
+        leaves, (_, _, table, speller) = shared.value[0], model.value
+        for batch in batches:
+            for i in range(0, batch.num_rows, 20_000):
+                part = batch.slice(i, 20_000)
+                own, c = part.column(0).to_pylist(), part.column(1).to_numpy().astype(np.float64)
+                cls = np.array([leaves.class_of(w) for w in own], np.int64)
+                lp = np.log10((1 - leaves.new[cls]).clip(1e-300)) + np.log10(np.maximum(c, 1) / np.maximum(leaves.total[cls], 1))
+                new = np.flatnonzero(c == 0)
+                lp[new] = np.log10(leaves.new[cls[new]]) + score_spelling([own[k] for k in new], cls[new], letters, table, speller)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lp)], names=["word", "wc", "wlp"])
+
+    own = coded.select(*names[:8]).mapInArrow(score_texts, T.StructType([*schema.fields[:7], T.StructField("lp", T.DoubleType())]))
+    scored = words.where(~is_hot).mapInArrow(score_words, "word binary, wc long, wlp double")
+    rest = coded.where(F.size("rare") > 0).select("uid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("uid", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+    rest = rest.join(scored, "word").groupBy("uid").agg(
+        F.sum(F.col("times") * (F.log10(F.col("wc") + 1.0) - below)).alias("base"), F.sum(F.col("times") * F.col("wlp")).alias("lp"), F.sum(F.when(F.col("wc") > 0, F.col("times")).otherwise(0)).alias("known"),
     )
-    out = joined.groupBy("uid").agg(
+    out = own.unionByName(rest, allowMissingColumns=True).groupBy("uid").agg(
         F.max("_id").alias(doc_id), F.max("held").alias("held_out"), F.max("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
         F.sum("base").alias("base_score"), F.sum("lp").alias("score"), F.max("bytes").alias("n_bytes"),
     )
@@ -367,4 +584,3 @@ def score_documents(
         doc_id, "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes",
         (-F.col("score") * math.log2(10) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
-

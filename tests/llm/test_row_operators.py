@@ -428,7 +428,7 @@ def test_lm(docs, texts, edges, empty):
         if zlib.crc32(str(i).encode()) % 7 != 2:
             counts.update([*t.encode().lower().split(), None])
     n, v = sum(counts.values()), len(counts)
-    rows = lm.score_documents(docs, hot_words=500, mixer_words=2000).collect()
+    rows = lm.score_documents(docs, hot_words=500).collect()
     assert len(rows) == len(texts)
     for r in rows:
         own = [*texts[r["doc_id"]].encode().lower().split(), None]
@@ -437,24 +437,114 @@ def test_lm(docs, texts, edges, empty):
         assert r["score"] < 0
     held = [r for r in rows if r["held_out"]]
     assert -sum(r["score"] for r in held) * math.log2(10) / sum(r["n_bytes"] for r in held) < 3.5  # bits a byte; letters alone take over four
-    assert lm.score_documents(edges).count() == len(EDGES) and lm.score_documents(empty).count() == 0
-
-
-def test_lm_is_a_distribution():
-    table, mixer = np.zeros(2 * lm.SLOTS, np.float32), lm.Mixer()
-    words = [b"ab", b"abc", b"b", lm.END]
-    lm.count_table(words, np.array([5, 2, 1, 3]), table)
-    mixer.fit(words, np.array([5, 2, 1, 3]), np.array([5.0, 2.0, 1.0, 3.0]), table)
-    last = [bytes([k]) for k in range(256)]  # the first byte of a token, whatever follows: its bits sum to one
+    got = Counter(r["doc_id"] for r in lm.score_documents(edges).collect())
+    assert got == Counter(i for i, _ in EDGES) and lm.score_documents(empty).count() == 0
+
+
+def test_lm_beats_the_base_and_takes_note_of_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    two = docs.where("doc_id = 16").first()["text"].split()  # 16 is learned from; its words in another order are held out
+    one, other = [k for k in range(50000, 60000) if zlib.crc32(b"%d" % k) % 7 == 2][:2]
+    assert zlib.crc32(b"16") % 7 != 2
+    more = spark.createDataFrame([(one, " ".join(two)), (other, " ".join(sorted(two)))], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in lm.score_documents(docs.unionByName(more)).collect()}
+    held = [r for r in rows.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    assert rows[one]["base_score"] == pytest.approx(rows[other]["base_score"]) and rows[one]["score"] > rows[other]["score"]
+
+
+def small_model():
+    """Leaves, tables and mixers learned from drawn tokens of two kinds of text."""
+    rng = random.Random(6)
+    kinds = [[b"the", b"of", b"and", b"house", b"horse", b"tree"], [b"der", b"und", b"die", b"haus", b"pferd", b"baum"]]
+    texts = [[*[rng.choice(kinds[k % 2]) if rng.random() < 0.8 else b"w%d%s" % (rng.randrange(400), b"en" if k % 2 else b"ing") for _ in range(60)], lm.END] for k in range(150)]
+    counts = Counter(w for t in texts for w in t)
+    hot = sorted([(w, c) for w, c in counts.items() if c > 20], key=lambda x: (-x[1], x[0]))
+    tails = {}
+    for w, c in counts.items():
+        if c <= 20:
+            own = tails.setdefault(w[-2:], [0, 0])
+            own[0] += c
+            own[1] += c == 1
+    leaves = lm.Leaves(hot, [(t, *x) for t, x in tails.items()])
+    coded = [np.array([leaves.place.get(w, leaves.n_hot + leaves.class_of(w)) for w in t]) for t in texts]
+    table, mixer = np.zeros(2 * lm.LEAF_SLOTS[-1], np.float32), lm.leaf_mixer()
+    lm.learn_leaves(coded, leaves, table, mixer)
+    code = lm.Bytes(np.bincount(np.frombuffer(b"\0".join(counts), np.uint8), minlength=256))
+    spell, speller = np.zeros(2 * lm.SPELL_SLOTS[-1], np.float32), lm.spell_mixer()
+    once = [w for w, c in counts.items() if c == 1]
+    lm.learn_spelling(once, np.array([leaves.class_of(w) for w in once]), code, spell, speller)
+    return leaves, coded, table, mixer, code, spell, speller
+
+
+def test_lm_against_plain_python():
+    """Contexts, counts and scores of leaves, token by token; and the leaves' probabilities sum to one."""
+    leaves, coded, table, mixer, *_ = small_model()
+
+    def bits(text, i):
+        """(node, bit, slots, is the token before of a class) of the token at i."""
+        none = len(leaves.near) - 1
+        one, two = (int(text[i - k]) if i >= k else none for k in (1, 2))
+        often = [int(x) for x in text[:i] if x < lm.FREQUENT]
+        lf, lf2 = (often[-k] if len(often) >= k else lm.FREQUENT for k in (1, 2))
+        leaf = int(text[i])
+        for d in range(int(leaves.length[leaf])):
+            node = 1 << d | int(leaves.code[leaf]) >> lm.DEPTH - d
+            h = (one * 0x100003 + two + 1) * int(lm._MIX) % 2**64
+            h = (h ^ node * 0xD6E8FEB86659FD93 % 2**64) * int(lm._MIX) % 2**64
+            first = [0, lf * lm.NODES, (lf * (lm.FREQUENT + 1) + lf2) * lm.NODES, int(leaves.near[one]) * lm.NODES, 0]
+            slots = [int(lm.LEAF_SLOTS[k]) + f + (h >> 44 if k == 4 else node) for k, f in enumerate(first)]
+            yield d, node, int(leaves.code[leaf]) >> lm.DEPTH - 1 - d & 1, slots, one >= leaves.n_hot
+
+    want = Counter()
+    for t in coded:
+        for i in range(len(t)):
+            want.update(2 * s + bit for _, _, bit, slots, _ in bits(t, i) for s in slots)
+    assert dict(enumerate(table[np.flatnonzero(table)])) == dict(enumerate(want[k] for k in np.flatnonzero(table).tolist())) and sum(want.values()) == table.sum()
+
+    def log10(t):
+        out = 0.0
+        for i in range(len(t)):
+            out += leaves.tail[t[i]]
+            for d, node, bit, slots, rare in bits(t, i):
+                n = [(float(table[2 * s]), float(table[2 * s + 1])) for s in slots]
+                x = [*[math.log((b + 0.4) / (a + 0.4)) for a, b in n], 0.3]
+                gate = sum(sum(n[2]) > e for e in (0.5, 3.5, 15.5, 255.5)) * 4 + sum(sum(n[4]) > e for e in (0.5, 3.5, 15.5))
+                z = sum(v * float(mixer.weights[0][gate, k] + mixer.weights[1][2 * d + rare, k]) for k, v in enumerate(x))
+                z = max(-16.0, min(16.0, z))
+                p = 1 / (1 + math.exp(-z))
+                zero, one = mixer.refine[node * lm.BUCKETS + max(0, min(lm.BUCKETS - 1, round(z * 2) + lm.BUCKETS // 2))]
+                p = (p + (one + 20 * p) / (zero + one + 20)) / 2
+                out += math.log10(p if bit else 1 - p)
+        return out
+
+    got = lm.score_leaves(coded[:6], leaves, table, mixer)
+    assert np.allclose(got, [log10(t) for t in coded[:6]], rtol=1e-3)
+    start = coded[3][:9]
+    each = lm.score_leaves([start, *[np.append(start, k) for k in range(len(leaves.length))]], leaves, table, mixer)
+    assert math.isclose(sum(10 ** (each[1:] - each[0])), 1, rel_tol=1e-4)
+
+
+def test_lm_spelling_is_a_distribution():
+    leaves, *_, code, spell, speller = small_model()
+
+    def costs(words):
+        return 10 ** lm.score_spelling(words, np.array([3] * len(words)), code, spell, speller)
+
+    # each byte's probability from the tree: the first byte's bits sum to one over all bytes
     total = 0.0
-    for b in last:
-        own = lm.Spelled([lm.END])
-        own.bytes = np.array([b[0]])
+    for b in range(256):
+        _, _, hashes, place = next(code.batches([b"x"], np.array([3])))
         p = 1.0
-        for spot, bit, slots in own.bits():
-            x, gate = mixer.inputs(table, slots, bit, None)
-            q = mixer.refined(mixer.mixed(x, gate, np.array([spot * 4])), own.last)[0]
-            p *= q if bit[0] else 1 - q
+        for _, bit, node, slots, spot in code.bits(np.array([b]), [h[:1] for h in hashes], place[:1]):
+            x, n = lm._inputs(spell, slots)
+            q = float(speller.refined(speller.mixed(x, (lm._spell_gate(n), spot)), node)[0][0])
+            p *= q if bit[0] > 0.5 else 1 - q
         total += p
-    assert math.isclose(total, 1.0, rel_tol=1e-9)
-    assert mixer.log10([b"ab"], table)[0] > mixer.log10([b"zq"], table)[0]
+    assert math.isclose(total, 1, rel_tol=1e-4)
+    assert costs([b"w17en"])[0] > costs([b"zzqqz"])[0]
+    long = b"ab" * 30_000  # in pieces as well as in one
+    held, lm.BATCH = lm.BATCH, 1 << 20
+    whole = lm.score_spelling([long], np.array([3]), code, spell, speller)[0]
+    lm.BATCH = held
+    assert math.isclose(whole, lm.score_spelling([long], np.array([3]), code, spell, speller)[0], rel_tol=1e-5)
