@@ -16,6 +16,8 @@ FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd",
     "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy",
 ]
+#: Seconds from year 1 to 1970, and from there to the end of year 9999.
+FIRST, LAST = 62_135_596_800, 253_402_300_800
 
 
 @F.pandas_udf(T.TimestampType())
@@ -38,14 +40,16 @@ def _lenient(s: pd.Series) -> pd.Series:
 
 
 def parse_datetime(c: Column, now: Column, lenient: bool = False) -> Column:
-    """A UTC timestamp from words, relative dates, epochs and common formats; null where none fits.
+    """A UTC timestamp from words, relative dates, epochs and common formats; null where none fits, or the time is before year 1 or after year 9999.
 
     lenient: what no built-in branch reads goes to a general parser, in Python.
     """
     v = F.nullif(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))
     low = F.lower(v)
     seconds = F.coalesce(*[F.when(F.lower(F.regexp_extract(v, RELATIVE, 2)) == k, F.lit(n)) for k, n in UNIT_SECONDS.items()])
-    back = F.regexp_extract(v, RELATIVE, 1).try_cast("long") * seconds
+    ago = F.regexp_extract(v, RELATIVE, 1)
+    back = F.try_multiply(ago.try_cast("long"), seconds.cast("long"))
+    at_most = F.unix_seconds(now) + FIRST
     digits = F.when(v.rlike(r"^\d+$"), v.try_cast("long"))
     unnamed = F.regexp_replace(v, r"^[A-Za-z]{3,9},\s*", "")
     formats = [F.try_to_timestamp(unnamed, F.lit(f)) for f in FORMATS]
@@ -54,8 +58,8 @@ def parse_datetime(c: Column, now: Column, lenient: bool = False) -> Column:
         F.when(low.isin("just now", "moments ago", "now"), now)
         .when(low == "today", F.date_trunc("day", now))
         .when(low == "yesterday", F.date_trunc("day", now) - F.expr("interval 1 day"))
-        .when(back.isNotNull(), F.timestamp_micros(F.unix_micros(now) - back * 1_000_000))
-        .when(digits.isNotNull() & (digits > 10_000_000_000), F.timestamp_millis(digits))
+        .when(ago != "", F.timestamp_micros(F.unix_micros(now) - F.when(back <= at_most, back) * 1_000_000))
+        .when(digits.isNotNull() & (digits > 10_000_000_000), F.timestamp_millis(F.when(digits < LAST * 1000, digits)))
         .when(digits.isNotNull(), F.timestamp_seconds(digits))
         .otherwise(parsed)
     )

@@ -29,7 +29,7 @@ ROLE_RULES = [
 FREE = [r"\bfree plan\b", r"\bfree tier\b", r"\bstart(s)? free\b", r"\bfree forever\b", r"\b100% free\b", r"\balways free\b", r"\bfree to use\b"]
 PAID = [r"\$\d+(\.\d{2})?\s*/\s*(mo|month|user|seat)", r"\$\d+(\.\d{2})?\s*per\s*(month|user|seat)", r"\busd?\s?\d+\s*/\s*(mo|month)"]
 ENTERPRISE = [r"\bcontact sales\b", r"\btalk to sales\b", r"\bbook a demo\b", r"\bcustom pricing\b", r"\benterprise plan\b", r"\bcontact us for pricing\b", r"\brequest a quote\b"]
-NEGATION = r"\b(?:no|not|without|never)\s+[\w\s]*$"
+NEGATION = r"\b(no|not|without|n't have|never)\s+(?:\w+\s+)*\w*\s*$"
 LOOK_BACK = 30
 
 

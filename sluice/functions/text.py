@@ -96,12 +96,12 @@ def path_tail_id(c: Column) -> Column:
 
 
 def title_parts(c: Column) -> Column:
-    """(company, role) of "company: role"; without a role the title is the role of an unknown company."""
+    """(company, role) of "company: role". Without anything behind a colon the company is unknown; a blank role leaves the whole title as the role."""
     at = F.instr(c, ":")
-    company, role = F.trim(F.substring_index(c, ":", 1)), F.trim(F.substring(c, at + 1, F.length(c)))
-    whole = (at == 0) | (role == "")
+    behind = F.when(at == 0, F.lit("")).otherwise(F.substring(c, at + 1, F.length(c)))
     return F.struct(
-        F.when(whole, F.lit("Unknown")).otherwise(company).alias("company"), F.when(whole, F.trim(c)).otherwise(role).alias("role")
+        F.when(behind == "", F.lit("Unknown")).otherwise(F.trim(F.substring_index(c, ":", 1))).alias("company"),
+        F.when(F.trim(behind) == "", c).otherwise(F.trim(behind)).alias("role"),
     )
 
 

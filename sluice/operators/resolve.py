@@ -9,8 +9,6 @@ of a similarity join. Rows then join their names.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +21,11 @@ SMALL_SEED = 50_000
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """df in the shared checkpoint folder; a temporary one only where none is named."""
+    """df in the shared checkpoint folder, which is one of the warehouse where none is named."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="sluice-"))
+        sc.setCheckpointDir(named or df.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
     return df.checkpoint(eager=True)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.dates import parse_datetime
+from sluice.functions.html import clean_html
 from sluice.functions.rules import matches_keywords
 from sluice.functions.text import collapse, html_unescape, repo_url, text_or_empty, title_parts, truncate
 
@@ -38,6 +39,12 @@ def xml_rows(df: DataFrame, body: str, schema: str, path: str, carry: list[str]
     return df.select(*(carry or []), F.posexplode(value).alias("seq", "item"))
 
 
+def _first_date(now: Column, *cs: Column) -> Column:
+    """The first of some dates that can be read."""
+    read = F.transform(F.array(*[F.nullif(F.trim(c), F.lit("")) for c in cs]), lambda c: parse_datetime(c, now))
+    return F.get(F.filter(read, lambda x: x.isNotNull()), F.lit(0))
+
+
 def _first_text(*cs: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cs])
 
@@ -61,17 +68,18 @@ def remote_jobs(df: DataFrame, now: Column, keywords: list[str], body: str = "bo
     hay = F.concat_ws(" ", i["position"], i["tags"], i["description"])
     return rows_of(df, body, REMOTE_JOB).where(i["position"].isNotNull() & matches_keywords(hay, keywords)).select(
         "seq", F.coalesce(F.nullif(i["company"], F.lit("")), F.lit("Unknown")).alias("company"), i["position"].alias("title"),
-        parse_datetime(_first_text(i["date"], i["epoch"]), now).alias("date"), F.lit(True).alias("is_remote"),
-        _first_text(i["url"], i["apply_url"]).alias("url"), truncate(collapse(F.regexp_replace(text_or_empty(i["description"]), "<[^>]*>", " ")), 2000).alias("description"),
+        _first_date(now, i["date"], i["epoch"]).alias("date"), F.lit(True).alias("is_remote"),
+        _first_text(i["url"], i["apply_url"]).alias("url"), truncate(clean_html(text_or_empty(i["description"])), 2000).alias("description"),
     )
 
 
 def board_jobs(df: DataFrame, now: Column, keywords: list[str], body: str = "body", token: str = "token") -> DataFrame:
     i = F.col("item")
-    content = collapse(F.regexp_replace(html_unescape(text_or_empty(i["content"])), "<[^>]*>", " "))
-    return rows_of(df, body, BOARD, "jobs", [token]).where(matches_keywords(F.concat_ws(" ", i["title"], i["content"]), keywords)).select(
+    rows = rows_of(df, body, BOARD, "jobs", [token]).withColumn("content", clean_html(html_unescape(text_or_empty(i["content"]))))
+    content = F.col("content")
+    return rows.where(matches_keywords(F.concat_ws(" ", i["title"], content), keywords)).select(
         "seq", F.coalesce(_first_text(i["company_name"]), F.col(token)).alias("company"), i["title"].alias("title"),
-        parse_datetime(_first_text(i["first_published"], i["updated_at"]), now).alias("date"),
+        _first_date(now, i["first_published"], i["updated_at"]).alias("date"),
         F.contains(F.lower(text_or_empty(i["location"]["name"])), F.lit("remote")).alias("is_remote"),
         i["absolute_url"].alias("url"), truncate(content, 2000).alias("description"),
     )
@@ -80,9 +88,11 @@ def board_jobs(df: DataFrame, now: Column, keywords: list[str], body: str = "bod
 def feed_jobs(df: DataFrame, now: Column, keywords: list[str], body: str = "body") -> DataFrame:
     i = F.col("item")
     parts = title_parts(i["title"])
-    return xml_rows(df, body, RSS, "channel.item").where(matches_keywords(F.concat_ws(" ", i["title"], i["description"]), keywords)).select(
+    summary = F.coalesce(F.nullif(i["summary"], F.lit("")), i["description"])
+    rows = xml_rows(df, body, RSS, "channel.item").withColumn("description", clean_html(text_or_empty(summary)))
+    return rows.where(matches_keywords(F.concat_ws(" ", i["title"], F.col("description")), keywords)).select(
         "seq", parts["company"].alias("company"), parts["role"].alias("title"), parse_datetime(_first_text(i["published"], i["updated"], i["pubDate"]), now).alias("date"),
-        F.lit(True).alias("is_remote"), i["link"].alias("url"), truncate(collapse(F.regexp_replace(text_or_empty(i["description"]), "<[^>]*>", " ")), 2000).alias("description"),
+        F.lit(True).alias("is_remote"), i["link"].alias("url"), truncate(F.col("description"), 2000).alias("description"),
     )
 
 
@@ -94,7 +104,7 @@ def news_items(df: DataFrame, now: Column, keywords: list[str], body: str = "bod
     ).select(
         source, "seq", collapse(i["title"]).alias("headline"), F.trim(i["link"]).alias("url"),
         parse_datetime(_first_text(i["published"], i["updated"], i["pubDate"]), now).alias("date"),
-        truncate(collapse(F.regexp_replace(text_or_empty(summary), "<[^>]*>", " ")), 1000).alias("summary"),
+        truncate(clean_html(text_or_empty(summary)), 1000).alias("summary"),
     )
 
 
@@ -105,7 +115,7 @@ def atom_papers(df: DataFrame, now: Column, body: str = "body") -> DataFrame:
         "seq", F.regexp_replace(F.element_at(F.split(F.regexp_replace(F.trim(i["id"]), "/+$", ""), "/"), -1), r"v\d+$", "").alias("paper_id"),
         collapse(i["title"]).alias("title"), collapse(i["summary"]).alias("summary"),
         F.filter(F.transform(i["author"]["name"], lambda x: F.trim(x)), lambda x: x != "").alias("authors"), F.trim(i["id"]).alias("paper_url"), pdf.alias("pdf_url"),
-        F.coalesce(parse_datetime(_first_text(i["published"]), now), parse_datetime(_first_text(i["updated"]), now)).alias("published_date"),
+        parse_datetime(_first_text(i["published"], i["updated"]), now).alias("published_date"),
         F.transform(i["category"]["_term"], lambda x: x).alias("categories"), repo_url(i["summary"]).alias("github_url"),
     ).where("published_date is not null")
 

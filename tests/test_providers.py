@@ -2,15 +2,16 @@
 
 import json
 
-from sluice.operators.providers import RateLimited, ScriptedProvider, cut_text, extract, run_chain
+from sluice.operators.providers import ChainConfig, RateLimited, ScriptedProvider, build_providers, chain_config, cut_text, extract, run_chain
 from sluice.plans import config
+from sluice.sources.http import Answer
 
 GOOD = '{"a": "x"}'
 
 
 def chain(*outcomes, chunks=("text",), keys=("a",)):
     providers = [ScriptedProvider(f"p{i}", list(o)) for i, o in enumerate(outcomes)]
-    return run_chain(list(chunks), providers, "p", list(keys)), providers
+    return run_chain(list(chunks), providers, "p", list(keys), limit_retries=0, sleep=lambda s: None), providers
 
 
 def test_falls_through():
@@ -39,6 +40,54 @@ def test_nothing_configured():
     assert run_chain([], [ScriptedProvider("p", [GOOD])], "p", ["a"])["error"] == "empty_content"
 
 
+def test_waits_over_the_limit():
+    waits = []
+    p = ScriptedProvider("p", [429, RateLimited("p", 7.0), TimeoutError(), GOOD])
+    out = run_chain(["t"], [p], "p", ["a"], sleep=waits.append)
+    assert json.loads(out["data"]) == {"a": "x"} and len(p.asked) == 4
+    assert 1 <= waits[0] <= 1.5 and waits[1] == 7.0 and 4 <= waits[2] <= 4.5
+    p, q, waits = ScriptedProvider("p", [429]), ScriptedProvider("q", [GOOD]), []
+    assert run_chain(["t"], [p, q], "p", ["a"], limit_retries=5, sleep=waits.append)["provider"] == "q" and len(p.asked) == 6 and len(waits) == 5
+
+
+def replies(*answers):
+    sent = []
+
+    def post(url, body, headers):
+        sent.append((url, body, headers))
+        return answers[min(len(sent), len(answers)) - 1]
+
+    return post, sent
+
+
+def test_adapters():
+    """Each format's request and reply, and what its statuses mean."""
+    env = {"GEMINI_API_KEY": "g", "GROQ_API_KEY": "q", "GROQ_MODEL": "m", "DEEPSEEK_API_KEY": " "}
+    chat = Answer(200, json.dumps({"choices": [{"message": {"content": 'so: {"a": 1}'}}], "usage": {"prompt_tokens": 5, "completion_tokens": 2}}))
+    made = Answer(200, json.dumps({"candidates": [{"content": {"parts": [{"text": '{"a": 2}'}]}}], "usageMetadata": {"promptTokenCount": 8, "candidatesTokenCount": 3}}))
+    post, sent = replies(made, chat)
+    config = ChainConfig()
+    providers = build_providers(config, env, post)
+    assert [p.name for p in providers] == ["gemini", "groq", "deepseek"] and [p.configured() for p in providers] == [True, True, False]
+    one, two = (run_chain(["text"], [p], "prompt", ["a"]) for p in providers[:2])
+    assert json.loads(one["data"]) == {"a": 2} and one["usage"] == {"gemini": [8, 3]} and json.loads(two["data"]) == {"a": 1} and two["usage"] == {"groq": [5, 2]}
+    assert sent[0][0].endswith(":generateContent") and sent[0][1]["contents"][0]["parts"][0]["text"] == "prompt\n\ntext" and sent[0][2] == {"x-goog-api-key": "g"}
+    assert sent[1][1]["model"] == "m" and [m["content"] for m in sent[1][1]["messages"]] == ["prompt", "text"] and sent[1][2] == {"Authorization": "Bearer q"}
+    assert sent[0][1]["generationConfig"]["maxOutputTokens"] == sent[1][1]["max_tokens"] == 2000
+    for answer, error in ((Answer(200, "{}"), "unexpected shape"), (Answer(200, "no"), "not JSON"), (Answer(500, "oops"), "status 500: oops"), (Answer(599), "status 599: ")):
+        p = build_providers(config, env, replies(answer)[0])[1]
+        assert run_chain(["t"], [p], "p", ["a"])["error"] == f"RuntimeError: {error}"
+    p = build_providers(config, env, replies(Answer(429, None, {"Retry-After": "4"}), Answer(413), chat)[0])[1]
+    waits = []
+    assert run_chain(["t"], [p], "p", ["a"], sleep=waits.append)["data"] and waits == [4.0]
+
+
+def test_chain_config():
+    assert chain_config({}) == ChainConfig() == ChainConfig(("gemini", "groq", "deepseek"), 3500, 200, 2000, 5, 3)
+    own = chain_config({"llm": {"provider_order": ["groq", "unknown"], "max_413_retries": 1}})
+    assert own.order == ("groq", "unknown") and own.size_retries == 1 and own.limit_retries == 5 and [p.name for p in build_providers(own, {})] == ["groq"]
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, ["t"]), (2, []), (3, None)], "id int, chunks array<string>")
     got = {r["id"]: r for r in extract(df, "chunks", lambda: [ScriptedProvider("p", [GOOD])], "p", ["a"]).collect()}

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from sluice.functions.html import main_text
 from sluice.functions.salvage import salvage
-from sluice.operators import chunk, dedup
+from sluice.operators import candidates, chunk, dedup
 from sluice.plans import verticals
 from sluice.sinks import tabs
-from sluice.sources import http
+from sluice.sources import http, stars
 from sluice.streaming import incremental
 
 
@@ -60,11 +60,41 @@ def test_retry():
 
     def call():
         calls.append(1)
-        return (429, None, 3.0) if len(calls) < 3 else (200, "ok", None)
+        return http.Answer(429, None, {"retry-after": "3"}) if len(calls) < 3 else http.Answer(200, "ok")
 
-    assert http.retry(call, 4, sleep=waits.append) == (200, "ok") and waits == [3.0, 3.0]
-    assert http.retry(lambda: (503, None, None), 2, sleep=waits.append)[0] == 503
+    assert http.retry(call, 4, sleep=waits.append) == http.Answer(200, "ok") and waits == [3.0, 3.0]
+    assert http.retry(lambda: http.Answer(503), 2, sleep=waits.append).status == 503
+    assert http.Answer(429, None, {"Retry-After": "soon"}).asked is None
+
+
+def test_pages(tmp_path):
     assert list(http.pages(lambda c: ([c], None if c == 3 else (c or 0) + 1))) == [[None], [1], [2], [3]]
+    assert list(http.pages(lambda c: ([1], "same"), "same")) == [[1]] and list(http.pages(lambda c: ([1], str(c) + "x"), most=2)) == [[1], [1]]
+    items, waits = list(range(10)), []
+    fetch = lambda at, n: items[at : at + n]
+    assert list(http.offset_pages(fetch, 4, 100, sleep=waits.append)) == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9]] and waits == [3.0] * 3
+    assert [x for p in http.offset_pages(fetch, 4, 6, sleep=waits.append) for x in p] == [0, 1, 2, 3, 4, 5]
+    stop, seen = http.Stop(str(tmp_path / "stop")), []
+    for page in http.pages(lambda c: ([c], (c or 0) + 1), stop=stop):
+        seen += page
+        if len(seen) == 3:
+            http.Stop(str(tmp_path / "stop")).trigger()  # another process
+    assert len(seen) == 3 and stop.is_set() and list(http.offset_pages(fetch, 4, 6, stop=stop)) == []
+
+
+def test_stop_on_a_signal():
+    import os
+    import signal
+
+    before = {s: signal.getsignal(s) for s in (signal.SIGINT, signal.SIGTERM)}
+    try:
+        stop = http.Stop().install()
+        assert not stop.is_set()
+        os.kill(os.getpid(), signal.SIGTERM)
+        assert stop.is_set()
+    finally:
+        for s, h in before.items():
+            signal.signal(s, h)
 
 
 def test_http_source_keeps_failures(spark):
@@ -73,6 +103,79 @@ def test_http_source_keeps_failures(spark):
     assert [(r["status"], r["body"]) for r in rows] == [(599, None)]
 
 
+def test_fetch_keeps_headers_and_failures(spark):
+    def ask(url):
+        if url.endswith("boom"):
+            raise ValueError("boom")
+        return http.Answer(200, url.upper(), {"X-Left": "5"})
+
+    urls = [f"https://h{k % 3}.com/{k}" for k in range(40)] + ["https://h.com/boom", "https://h0.com/0", None, "no address"]
+    got = {r["url"]: r for r in http.fetch(spark.createDataFrame([(u,) for u in urls], "url string"), ask=ask).collect()}
+    assert set(got) == {u for u in urls if u} and got["https://h0.com/0"]["headers"] == {"X-Left": "5"} and got["https://h0.com/0"]["body"] == "HTTPS://H0.COM/0"
+    assert (got["https://h.com/boom"]["status"], got["https://h.com/boom"]["error"]) == (599, "boom")
+
+
+def test_isolated_calls(spark):
+    df = spark.createDataFrame([(k, k % 3) for k in range(30)], "id int, n int").coalesce(1)
+
+    def work(row):
+        return {"share": 6 // row["n"], "name": f"r{row['id']}"}
+
+    rows = candidates.isolate(df, work, "share int, name string").collect()
+    assert [r["id"] for r in rows] == list(range(30))  # in order, failures in their places
+    assert all((r["share"], r["name"], r["error"]) == ((6 // r["n"], f"r{r['id']}", None) if r["n"] else (None, None, "ZeroDivisionError: integer division or modulo by zero")) for r in rows)
+    assert {r["error"] for r in candidates.isolate(df, work, "share int", stop=lambda: True).collect()} == {"stopped"}
+
+
+PAGES = {
+    "https://free.com": (200, "<p>Our free plan</p>"), "https://linked.com": (200, "<a href='/our-pricing'>Prices</a>"), "https://linked.com/our-pricing": (200, "<p>$5/mo</p>"),
+    "https://guess.com": (200, "<p>Hello</p>"), "https://guess.com/plans": (200, "contact sales"), "https://guess.com/price": (200, "free forever"),
+    "https://broken.com": (599, None), "http://broken.com": (200, "free tier"), "https://gone.com": (404, None), "http://gone.com": (200, "free tier"), "https://quiet.com": (200, "nothing"), "https://dead.com": (598, None),
+    "https://slow.com": (200, "x"), "https://slow.com/pricing": (598, None), "http://slow.com/pricing": (200, "$9 per user"),
+}
+
+
+def test_probe_pricing(spark):
+    pages = spark.createDataFrame([(u, s, b) for u, (s, b) in PAGES.items()], "url string, status int, body string")
+    asked = []
+
+    def get(df):
+        asked.append({r["url"] for r in df.select("url").collect()})
+        return df.select("url").join(pages, "url", "left").fillna(404, ["status"])
+
+    names = ["free", "linked", "guess", "broken", "gone", "quiet", "dead", "slow"]
+    sites = spark.createDataFrame([(n, f"https://{n}.com") for n in names], "site string, website string")
+    got = {r["site"]: r for r in candidates.probe_pricing(sites, get).collect()}
+    assert {k: (r["pricing_model"], r["fetched_url"]) for k, r in got.items()} == {
+        "free": ("FREE", "https://free.com"), "linked": ("PAID", "https://linked.com/our-pricing"), "guess": ("ENTERPRISE", "https://guess.com/plans"),
+        "broken": ("FREE", "http://broken.com"), "slow": ("PAID", "http://slow.com/pricing"),
+    }
+    assert got["free"]["evidence"].strip() == "Our free plan"
+    every = set().union(*asked)
+    assert "http://gone.com" not in every and "https://linked.com/plans" not in every and "https://free.com/pricing" not in every
+
+
+def test_stars(spark, tmp_path):
+    asked = []
+
+    def answers(slug):
+        out = {"o/a": http.Answer(200, '{"stargazers_count": 7}', {"X-RateLimit-Remaining": "9"}), "o/b": http.Answer(404), "o/c": http.Answer(500), "o/d": http.Answer(200, '{"stargazers_count": 9}', {"x-ratelimit-remaining": "0"})}
+        return out.get(slug, http.Answer(403))
+
+    def ask(slug):
+        asked.append(slug)
+        return answers(slug)
+
+    assert list(stars.look_up(iter(["o/a", "o/b", "o/c", "o/d", "o/e"]), ask)) == [("o/a", 7), ("o/b", None), ("o/d", 9)] and asked[-1] == "o/d"
+    assert list(stars.look_up(iter(["o/x", "o/a"]), ask)) == []
+    rows = spark.createDataFrame([(k, f"https://github.com/o/{x}") for k, x in enumerate("abcde")] + [(9, "https://example.com/x"), (10, None)], "seq int, github_url string")
+    path = str(tmp_path / "stars")
+    first = {r["slug"]: r["github_stars"] for r in stars.with_stars(rows, "github_url", "seq", path, answers, 2, 1).collect()}
+    assert first == {"o/a": 7, "o/b": None, "o/c": None, "o/d": None, "o/e": None, None: None}
+    again = stars.with_stars(rows, "github_url", "seq", path, lambda s: http.Answer(200, '{"stargazers_count": 1}'), 10, 2)
+    assert {r["slug"]: r["github_stars"] for r in again.collect()} == {"o/a": 7, "o/b": None, "o/c": 1, "o/d": 1, "o/e": 1, None: None}
+
+
 def test_store_twice_and_stream(spark, tmp_path):
     now = F.lit("2026-09-04 12:00:00").cast("timestamp")
     rows = [(0, "Acme", "https://d.com/1", 5), (1, "acme", "https://d.com/2", 5), (2, "Bad", "nowhere", 1)]
@@ -109,3 +212,14 @@ def test_edge_tables(spark):
     assert dedup.first_wins(empty, "name", ["id"]).count() == 0
     repeated = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, None)], "id bigint, name string")
     assert sorted((r["id"], r["name"]) for r in dedup.first_wins(repeated, "name", ["id"]).collect()) == [(1, "a"), (2, None)]
+
+
+def test_streams(spark, tmp_path):
+    """Repeated keys within the watermark count once; counts by window."""
+    rows = [("a", "x", "2026-09-04 10:01:00"), ("a", "x", "2026-09-04 10:02:00"), ("b", "x", "2026-09-04 10:59:00"), ("c", "y", "2026-09-04 11:30:00")]
+    spark.createDataFrame(rows, "id string, kind string, at string").coalesce(1).write.json(str(tmp_path / "in"))
+    read = lambda: incremental.read_files(spark, str(tmp_path / "in"), "id string, kind string, at timestamp")
+    for name, df, mode in (("first", incremental.bounded_dedup(read(), ["id"], "at"), "append"), ("counts", incremental.windowed_counts(read(), "at", "kind"), "complete")):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
+    assert sorted(r["id"] for r in spark.table("first").collect()) == ["a", "b", "c"]
+    assert sorted((str(r["start"]), r["kind"], r["n"]) for r in spark.table("counts").collect()) == [("2026-09-04 10:00:00", "x", 3), ("2026-09-04 11:00:00", "y", 1)]
