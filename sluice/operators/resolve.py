@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.text import normalize_name
+from sluice.operators.scratch import Scratch
 from sluice.operators.seed import COMPANIES
 from sluice.operators.similarity import similar_pairs
 
@@ -21,12 +22,8 @@ SMALL_SEED = 50_000
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """df in the shared checkpoint folder, which is one of the warehouse where none is named."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or df.sparkSession.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
-    return df.checkpoint(eager=True)
+    """df as a table of the shared folder."""
+    return Scratch(df.sparkSession).put(df)
 
 
 def seed_table(spark: SparkSession, seed: dict[str, list[str]]) -> DataFrame:
