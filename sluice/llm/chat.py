@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.llm.common import cut, slices
+from sluice.operators.scratch import Scratch
 
 #: Levels of nesting beyond which a text is not taken as JSON.
 DEPTH = 100
@@ -213,26 +214,26 @@ def _levels(items: DataFrame, calls: DataFrame) -> DataFrame:
     rounds about the logarithm of its length. Calls with several needs are then
     settled round by round, as many rounds as such calls stand behind each other.
     """
-    key = ["_key", "call_id"]
+    key, put = ["_key", "call_id"], Scratch(items.sparkSession).put
     needs = items.where("kind = 'call' and call_id is not null and size(depends) > 0").join(calls, key).where("struct(turn, place) = call_at")
     needs = needs.select(*key, F.explode(F.array_distinct("depends")).alias("need"))
-    needs = cut(needs.join(calls.select("_key", F.col("call_id").alias("need")), ["_key", "need"]).select(*key, "need"))
+    needs = put(needs.join(calls.select("_key", F.col("call_id").alias("need")), ["_key", "need"]).select(*key, "need"))
     if needs.isEmpty():
         return calls.select(*key, F.lit(0).cast("long").alias("level"))
     counts = needs.groupBy(*key).agg(F.count("*").alias("n"), F.min("need").alias("need"))
-    single = cut(counts.where("n = 1").select(*key, F.col("need").alias("up"), F.lit(1).cast("long").alias("dist")))
+    single = put(counts.where("n = 1").select(*key, F.col("need").alias("up"), F.lit(1).cast("long").alias("dist")))
     way = _to_the_top(single, single.count())
     tree = way.select("_key", F.col("call_id").alias("need"), "up", "dist")
     edges = needs.join(counts.where("n > 1").select(*key), key, "left_semi").join(tree, ["_key", "need"], "left")
-    edges = cut(edges.select(*key, F.coalesce("up", "need").alias("up"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("long").alias("level")))
-    settled = cut(calls.join(needs.select(*key), key, "left_anti").select(*key, F.lit(0).cast("long").alias("level")))
+    edges = put(edges.select(*key, F.coalesce("up", "need").alias("up"), (F.coalesce("dist", F.lit(0)) + 1).alias("dist"), F.lit(None).cast("long").alias("level")))
+    settled = put(calls.join(needs.select(*key), key, "left_anti").select(*key, F.lit(0).cast("long").alias("level")))
     fresh = settled
     while not edges.isEmpty() and not fresh.isEmpty():
         found = fresh.select("_key", F.col("call_id").alias("up"), F.col("level").alias("found"))
         edges = edges.join(found, ["_key", "up"], "left").select(*key, "up", "dist", F.coalesce("level", F.col("found") + F.col("dist")).alias("level"))
-        edges = cut(edges)
-        fresh = cut(edges.groupBy(*key).agg(F.count("*").alias("n"), F.count("level").alias("k"), F.max("level").alias("level")).where("n = k").select(*key, "level"))
-        edges = cut(edges.join(fresh.select(*key), key, "left_anti"))
+        edges = put(edges)
+        fresh = put(edges.groupBy(*key).agg(F.count("*").alias("n"), F.count("level").alias("k"), F.max("level").alias("level")).where("n = k").select(*key, "level"))
+        edges = put(edges.join(fresh.select(*key), key, "left_anti"))
         settled = settled.unionByName(fresh)
     above = settled.select("_key", F.col("call_id").alias("up"), F.col("level").alias("over"))
     return settled.unionByName(way.join(above, ["_key", "up"]).select(*key, (F.col("over") + F.col("dist")).alias("level")))
@@ -244,10 +245,10 @@ def _to_the_top(single: DataFrame, n: int) -> DataFrame:
     A round doubles the way, so after the logarithm of n rounds what is still under
     way is on a cycle or behind one.
     """
-    rows, reach = single, 1
+    rows, reach, put = single, 1, Scratch(single.sparkSession).put
     while True:
         above = rows.select("_key", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("dist").alias("more"))
-        joined = cut(rows.join(above, ["_key", "up"], "left"))
+        joined = put(rows.join(above, ["_key", "up"], "left"))
         open_ = joined.where("next is not null")
         if open_.isEmpty() or reach > n:
             return joined.where("next is null").select("_key", "call_id", "up", "dist")

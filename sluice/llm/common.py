@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.scratch import shared_dir
+
 #: Rows that Python code takes from an Arrow batch at a time.
 SLICE_ROWS = 512
 #: Bytes of text after which a slice ends, whatever its rows.
@@ -28,15 +30,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of the warehouse where that is unset."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
-    return named or sc.getCheckpointDir()
-
-
 def free(columns: list[str], name: str) -> str:
     """name, with as many underscores behind it as it takes that no column begins with it; Spark takes no note of case."""
     while any(c.lower().startswith(name.lower()) for c in columns):

@@ -1,13 +1,15 @@
 """MinHash near-duplicates with tensored banding, verified on full shingle sets.
 
-Two collections of ``SIDE`` sub-keys stand for a document, each sub-key of ``WIDE``
-minhashes. A table key is a pair of one sub-key from each collection, so SIDE * SIDE
-tables of 2 * WIDE minhashes cost only 2 * SIDE * WIDE hash functions. A pair with
-similarity s meets in some table with probability (1 - (1 - s^WIDE)^SIDE)^2: with
-WIDE 3 and SIDE 10 that is 0.99985 at 0.85 and higher above.
+Two collections of sub-keys stand for a document, each sub-key of ``WIDE`` minhashes. A
+table key is a pair of one sub-key from each collection, so n * n tables of 2 * WIDE
+minhashes cost only 2 * n * WIDE hash functions. A pair with similarity s meets in some
+table with probability (1 - (1 - s^WIDE)^n)^2; n follows from the percentage asked for
+(``sides``) so that this is ``RECALL`` at the limit and higher above: 10 at 0.85, 13 at
+0.80.
 
 1. Documents with equal shingle sets are one class, by two 64-bit sums over the set;
-   its least id stands for it, so copies cost nothing further.
+   a hash of the id and text of one of them names it as a node, so copies cost nothing
+   further, and ids may be of any type.
 2. Sub-keys that only one class has are dropped before the pairs are formed, so a
    class without any relative has no table key at all.
 3. In each table a bucket links its members to one of them, the centre, never all
@@ -19,29 +21,35 @@ WIDE 3 and SIDE 10 that is 0.99985 at 0.85 and higher above.
    compared in tiles of ``BLOCK`` x ``BLOCK`` nodes, first by bounds that no link can
    fail, then on whole texts. The pairs within the largest component of a group are
    no longer asked for, so this is quadratic only in what the rounds left apart.
-5. Components are found by minimum labels and pointer jumping over the links.
+5. Components are found by minimum labels and pointer jumping over a round's links
+   between the components so far, whose labels are one table.
 
 Skew: counts are partial aggregates; joins on class, sub-key and bucket are plain
 equi-joins of rows that Spark may split where a key is hot.
 
 Defined results: null text, and text without words, has an empty set and is linked
 with nothing; a row without an id cannot be named, so it has no component and is
-kept; rows that share an id are the same document; an empty table gives an empty
-result.
+kept; rows that share an id are judged each by its own text; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.llm.common import cut, slices, sweep
+from sluice.operators.scratch import Scratch
 
-SHINGLE, WIDE, SIDE = 5, 3, 10
+SHINGLE, WIDE = 5, 3
+#: Probability that two texts at the limit share a table.
+RECALL = 0.9998
 #: Rounds go on while at least one of so many pairs compared is a link; beyond that tiles cost less.
 WORTH = 10
 #: Centres of a node in a round, and parts of a bucket; what they leave out is compared at the end.
@@ -58,8 +66,6 @@ _BYTES = _rng.integers(0, 1 << 64, 256, np.uint64)
 #: Odd numbers that multiply the hashes of a window's words, a byte by its place, and a shingle for each hash function.
 _PLACES = _rng.integers(0, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(int(_rng.integers(0, 1 << 63)) * 2 + 1)
-_FACTORS = _rng.integers(0, 1 << 63, 2 * SIDE * WIDE, np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSETS = _rng.integers(0, 1 << 64, 2 * SIDE * WIDE, np.uint64)
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -129,51 +135,62 @@ def texts_in_one(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
-SIDES = [f"u{i}" for i in range(SIDE)] + [f"v{i}" for i in range(SIDE)]
+def sides(percent: int) -> int:
+    """Sub-keys of each collection for links of percent or more."""
+    alone = 1 - (percent / 100) ** WIDE
+    return max(1, math.ceil(math.log(1 - math.sqrt(RECALL)) / math.log(alone)) if alone > 0 else 1)
 
 
-def sub_keys(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """The sub-keys of sets of shingles, a row for each of SIDES; a set lies in hashes from its begin on and is not empty."""
-    keys = np.zeros((len(SIDES), len(begin)), np.uint64)
-    for k in range(len(SIDES)):
+def side_names(n: int) -> list[str]:
+    return [f"u{i}" for i in range(n)] + [f"v{i}" for i in range(n)]
+
+
+def sub_keys(hashes: np.ndarray, begin: np.ndarray, n: int) -> np.ndarray:
+    """The sub-keys of sets of shingles, a row for each of side_names(n); a set lies in hashes from its begin on and is not empty."""
+    rng = np.random.default_rng(20240918)
+    odd, offsets = rng.integers(0, 1 << 63, (2, 2 * n * WIDE), np.uint64)
+    factors = odd * np.uint64(2) + np.uint64(1)
+    keys = np.zeros((2 * n, len(begin)), np.uint64)
+    for k in range(2 * n):
         key = np.full(len(begin), np.uint64((k + 1) * int(_MIX) % (1 << 64)))
         for j in range(k * WIDE, (k + 1) * WIDE):
-            key = mix(key + np.minimum.reduceat((hashes ^ _OFFSETS[j]) * _FACTORS[j], begin))
+            key = mix(key + np.minimum.reduceat((hashes ^ offsets[j]) * factors[j], begin))
         keys[k] = key
     return keys
 
 
-def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, n_shingles, s1, s2, u0.., v0..): set size, two sums that stand for the set, and the sub-keys."""
-    names = ["doc", "n_shingles", "s1", "s2", *SIDES]
+def sketch(docs: DataFrame, n: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, own, n_shingles, s1, s2, u0.., v0..): a hash of the row, set size, two sums that stand for the set, and n sub-keys a side."""
+    names = ["doc", "own", "n_shingles", "s1", "s2", *side_names(n)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes, at = shingles(*texts_in_one(batch.column(1)))
-            n = np.diff(at)
-            full = n > 0
-            sums, keys = np.zeros((2, len(n)), np.uint64), np.zeros((len(SIDES), len(n)), np.uint64)
+        for batch in slices(batches, 2):
+            hashes, at = shingles(*texts_in_one(batch.column(2)))
+            size = np.diff(at)
+            full = size > 0
+            sums, keys = np.zeros((2, len(size)), np.uint64), np.zeros((2 * n, len(size)), np.uint64)
             if full.any():
                 begin = at[:-1][full]
                 for k, salt in enumerate((np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))):
                     sums[k, full] = np.add.reduceat(mix(hashes ^ salt), begin)
-                keys[:, full] = sub_keys(hashes, begin)
+                keys[:, full] = sub_keys(hashes, begin, n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), *[pa.array(x.view(np.int64)) for x in (*sums, *keys)]], names=names
+                [batch.column(0), batch.column(1), pa.array(size), *[pa.array(x.view(np.int64)) for x in (*sums, *keys)]], names=names
             )
 
-    schema = "doc long, n_shingles long, s1 long, s2 long, " + ", ".join(f"{s} long" for s in SIDES)
-    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("t")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("doc", docs.schema[doc_id].dataType), *[T.StructField(x, T.LongType()) for x in names[1:]]])
+    return docs.select(F.col(doc_id).alias("doc"), F.xxhash64(doc_id, text).alias("own"), F.col(text).alias("t")).mapInArrow(run, schema)
 
 
-def table_keys(classes: DataFrame) -> DataFrame:
+def table_keys(classes: DataFrame, n: int) -> DataFrame:
     """(bucket, node) for the table keys of classes: pairs of a u and a v sub-key, each shared by classes."""
-    subs = classes.select("node", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(s).alias("sub")) for i, s in enumerate(SIDES)])).alias("x")).select("node", "x.i", "x.sub")
+    names = side_names(n)
+    subs = classes.select("node", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(s).alias("sub")) for i, s in enumerate(names)])).alias("x")).select("node", "x.i", "x.sub")
     shared = subs.groupBy("i", "sub").count().where("count > 1").select("i", "sub")
     both = subs.join(shared, ["i", "sub"]).groupBy("node").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("sub"))).alias(s) for i, s in enumerate(SIDES)]
+        *[F.max(F.when(F.col("i") == i, F.col("sub"))).alias(s) for i, s in enumerate(names)]
     )
-    u, v = (F.filter(F.array(*side), lambda x: x.isNotNull()) for side in (SIDES[:SIDE], SIDES[SIDE:]))
+    u, v = (F.filter(F.array(*side), lambda x: x.isNotNull()) for side in (names[:n], names[n:]))
     pairs = both.select("node", F.explode(u).alias("u"), v.alias("vs")).select("node", "u", F.explode("vs").alias("v"))
     return pairs.select(F.xxhash64("u", "v").alias("bucket"), "node")
 
@@ -207,64 +224,89 @@ def components(links: DataFrame, parts: int = 1 << 20) -> DataFrame:
     the parents, and draws the links together; rounds are about the logarithm of the
     longest path.
     """
-    few = lambda df: cut(df.coalesce(parts))
+    tables = Scratch(links.sparkSession)
+    few = lambda df: tables.put(df.coalesce(parts))
     edges = few(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     names = few(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
     while not edges.isEmpty():
         parents = few(edges.groupBy("a").agg(F.min("b").alias("p")))
         while True:  # parents are less than their nodes, so this ends
             far = few(parents.join(parents.select(F.col("a").alias("p"), F.col("p").alias("q")), "p", "left"))
-            parents = far.select("a", F.coalesce("q", "p").alias("p"))
-            if far.where("q is not null").isEmpty():
+            tables.drop(parents)
+            done = far.where("q is not null").isEmpty()
+            parents = few(far.select("a", F.coalesce("q", "p").alias("p"))) if not done else far.select("a", "p")
+            if done:
                 break
+            tables.drop(far)
+        before, old = names, edges
         names = few(names.join(parents.select(F.col("a").alias("component"), "p"), "component", "left").select("node", F.coalesce("p", "component").alias("component")))
         to = lambda c: parents.select(F.col("a").alias(c), F.col("p").alias(f"{c}_to"))  # noqa: B023, E731
         edges = edges.join(to("a"), "a", "left").coalesce(parts).join(to("b"), "b", "left").select(F.coalesce("a_to", "a").alias("a"), F.coalesce("b_to", "b").alias("b"))
         edges = few(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        tables.drop(before, old, far)
+    tables.drop(edges)
     return names
 
 
+def merged(labels: DataFrame | None, found: DataFrame, parts: int) -> DataFrame:
+    """labels (node, component) after the links found (a, b): only links between components so far are looked at."""
+    if labels is None:
+        return components(found, parts)
+    to = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_to"))
+    between = found.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("a_to", "a").alias("a"), F.coalesce("b_to", "b").alias("b"))
+    new = components(between, parts)
+    # a component's name is a node; one that was alone so far has no label yet
+    alone = new.select("node", F.col("node").alias("component")).join(labels.select("node"), "node", "left_anti")
+    now = new.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    both = labels.unionByName(alone).join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return Scratch(found.sparkSession).put(both.coalesce(parts))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """Per row: the id, n_shingles, component_id (the least id reachable by links of percent or more) and kept."""
-    sketches = cut(sketch(docs, doc_id, text))
+    n = sides(percent)
+    sketches = cut(sketch(docs, n, doc_id, text))
     named = sketches.where("doc is not null and n_shingles > 0")
-    classes = named.groupBy("s1", "s2").agg(F.min("doc").alias("node"), F.count("*").alias("rows"), *[F.first(s).alias(s) for s in SIDES])
-    tables = table_keys(classes)
+    classes = named.groupBy("s1", "s2").agg(F.min("doc").alias("least"), F.min("own").alias("node"), F.count("*").alias("rows"), *[F.first(s).alias(s) for s in side_names(n)])
+    tables = table_keys(classes, n)
     # buckets of one class are of no use; the rest is small and is read in every round
     counts = tables.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     tables = cut(tables.join(counts, "bucket"))
     nodes = tables.select("node").distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("t")).join(nodes, "node", "left_semi")
-    texts = cut(texts.dropDuplicates(["node"]))
+    texts = docs.where(F.col(doc_id).isNotNull()).select(F.xxhash64(doc_id, text).alias("node"), F.col(text).alias("t")).join(nodes, "node", "left_semi")
+    texts = cut(texts.dropDuplicates(["node"]))  # rows of one node have one id and one text
     # what follows has at most the rows of tables, in files of about PART rows
     parts = max(1, -(-tables.count() // PART))
     tables, texts = tables.coalesce(parts), texts.coalesce(parts)
-    links, labels, tried, round_ = None, None, None, 0
+    labels, tried, round_, scratch = None, None, 0, Scratch(docs.sparkSession)
     while True:
-        pairs = cut(_candidates(tables, labels, tried, round_, parts))
-        found = cut(verified(pairs, texts, percent, parts))
-        new = found.count()
+        pairs = scratch.put(_candidates(tables, labels, tried, round_, parts))
+        found = scratch.put(verified(pairs, texts, percent, parts))
+        new, asked = found.count(), pairs.count()
         tried = pairs if tried is None else tried.unionByName(pairs)
         if new:
-            links = found if links is None else links.unionByName(found)
-            labels = components(links, parts)
+            labels = merged(labels, found, parts)
+        scratch.drop(found)
         round_ += 1
         sweep(docs.sparkSession)
-        if new == 0 or WORTH * new < pairs.count():
+        if new == 0 or WORTH * new < asked:
             break
-    found = cut(verified(_rest(tables, labels, tried, texts, percent, parts), texts, percent, parts))
+    found = scratch.put(verified(_rest(tables, labels, tried, texts, percent, n, parts), texts, percent, parts))
     if not found.isEmpty():
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, parts)
-    rep = classes.where("rows > 1").select("s1", "s2", "node")
-    out = sketches.select("doc", "n_shingles", "s1", "s2").join(rep, ["s1", "s2"], "left")
-    node = F.when(F.col("doc").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("node", "doc")).otherwise(F.col("doc"))
-    out = out.select("doc", "n_shingles", node.alias("node"))
+        labels = merged(labels, found, parts)
+    scratch.drop(found, *[f for f, _ in scratch.held])
+    rep = classes.where("rows > 1").select("s1", "s2", "least", "node")
+    out = sketches.select("doc", "own", "n_shingles", "s1", "s2").join(rep, ["s1", "s2"], "left")
+    full = F.col("doc").isNotNull() & (F.col("n_shingles") > 0)
+    out = out.select("doc", "n_shingles", F.when(full, F.coalesce("least", "doc")).otherwise(F.col("doc")).alias("least"), F.when(full, F.coalesce("node", "own")).alias("node"))
     if labels is not None:
-        out = out.join(labels.where("node <> component"), "node", "left").withColumn("node", F.coalesce("component", "node"))
+        linked = labels.join(classes.select("node", "least"), "node")
+        first = linked.groupBy("component").agg(F.min("least").alias("first"))
+        moved = linked.join(first, "component").where("least <> first").select("node", "first")
+        out = out.join(moved, "node", "left").withColumn("least", F.coalesce("first", "least"))
     return out.select(
-        F.col("doc").alias(doc_id), "n_shingles", F.col("node").alias("component_id"),
-        (F.col("doc").isNull() | (F.col("doc") == F.col("node"))).alias("kept"),
+        F.col("doc").alias(doc_id), "n_shingles", F.col("least").alias("component_id"),
+        (F.col("doc").isNull() | (F.col("doc") == F.col("least"))).alias("kept"),
     )
 
 
@@ -303,17 +345,17 @@ def _candidates(tables: DataFrame, labels: DataFrame | None, tried: DataFrame |
     return pairs.join(tried, ["a", "b"], "left_anti").coalesce(parts)
 
 
-def _marks(texts: DataFrame) -> DataFrame:
+def _marks(texts: DataFrame, n_sides: int) -> DataFrame:
     """(node, component, n, u, subs, bins) of texts (node, component, t): set size, u sub-keys, all sub-keys, and counts of shingles by bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             hashes, at = shingles(*texts_in_one(batch.column(2)))
             n = np.diff(at)
-            subs = sub_keys(hashes, at[:-1]).T.copy()  # nodes have no empty sets
+            subs = sub_keys(hashes, at[:-1], n_sides).T.copy()  # nodes have no empty sets
             spot = np.repeat(np.arange(len(n)), n) * BINS + (hashes >> np.uint64(56)).astype(np.int64)
             bins = np.minimum(np.bincount(spot, minlength=len(n) * BINS), 65_535).astype("<u2").reshape(-1, BINS)
-            u = pa.array(list(subs.view(np.int64)[:, :SIDE]), pa.list_(pa.int64()))
+            u = pa.array(list(subs.view(np.int64)[:, :n_sides]), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n), u, pa.array([x.tobytes() for x in subs], pa.binary()), pa.array([x.tobytes() for x in bins], pa.binary())],
                 names=["node", "component", "n", "u", "subs", "bins"],
@@ -322,7 +364,7 @@ def _marks(texts: DataFrame) -> DataFrame:
     return texts.select("node", "component", "t").mapInArrow(run, "node long, component long, n long, u array<long>, subs binary, bins binary")
 
 
-def _rest(tables: DataFrame, labels: DataFrame | None, tried: DataFrame, texts: DataFrame, percent: int, parts: int) -> DataFrame:
+def _rest(tables: DataFrame, labels: DataFrame | None, tried: DataFrame, texts: DataFrame, percent: int, n_sides: int, parts: int) -> DataFrame:
     """(a, b), a > b: every two nodes that share a table and are of different components, but for tried ones and ones that bounds exclude.
 
     Nodes meet by their u sub-keys. Of the nodes of a u sub-key those that are not of its
@@ -334,7 +376,7 @@ def _rest(tables: DataFrame, labels: DataFrame | None, tried: DataFrame, texts:
     rows = tables.withColumn("component", F.col("node")) if labels is None else tables.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     spans = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
     apart = rows.join(spans, "bucket").select("node", "component").distinct()
-    marks = cut(_marks(texts.join(apart.coalesce(parts), "node").coalesce(parts)))
+    marks = cut(_marks(texts.join(apart.coalesce(parts), "node").coalesce(parts), n_sides))
     keyed = marks.select("*", F.posexplode("u").alias("i", "key")).drop("u")
     counts = keyed.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("all"))
     blocks = lambda n: F.ceil(n / BLOCK)
@@ -359,7 +401,7 @@ def _rest(tables: DataFrame, labels: DataFrame | None, tried: DataFrame, texts:
             good = (component[a] != component[b]) & (~is_less[b] | (node[a] > node[b])) & (100 * low >= percent * high)
             a, b = a[good], b[good]
             same = subs[a] == subs[b]
-            good = (np.argmax(same[:, :SIDE], 1) == at[a]) & same[:, :SIDE].any(1) & same[:, SIDE:].any(1)
+            good = (np.argmax(same[:, :n_sides], 1) == at[a]) & same[:, :n_sides].any(1) & same[:, n_sides:].any(1)
             a, b = a[good], b[good]
             for i in range(0, len(a), 4096):
                 x, y = a[i : i + 4096], b[i : i + 4096]
@@ -385,7 +427,7 @@ def _rest(tables: DataFrame, labels: DataFrame | None, tried: DataFrame, texts:
                 continue
             c = batch.columns
             new = [x.to_numpy(zero_copy_only=False) for x in c[:7]]
-            new += [np.frombuffer(b"".join(c[7].to_pylist()), np.int64).reshape(-1, len(SIDES)), np.frombuffer(b"".join(c[8].to_pylist()), "<u2").reshape(-1, BINS)]
+            new += [np.frombuffer(b"".join(c[7].to_pylist()), np.int64).reshape(-1, 2 * n_sides), np.frombuffer(b"".join(c[8].to_pylist()), "<u2").reshape(-1, BINS)]
             held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
             last = int(np.argmax(held[0] == held[0][-1]))
             if last:

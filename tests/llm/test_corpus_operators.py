@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,36 @@ def test_near_duplicates_edges(edges, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_ids(spark):
+    """Ids of any type; rows that share an id are judged each by its own text, whatever their order."""
+    rows = near_copies()
+    want = components([(f"k{i:06d}", t) for i, t in rows], 85)
+    got = minhash.near_duplicates(spark.createDataFrame([(f"k{i:06d}", t) for i, t in rows], "name string, body string"), "name", "body", 85).collect()
+    assert {r["name"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    words = [f"w{k}" for k in range(60)]
+    one, two = " ".join(words), " ".join(words[::-1])
+    mixed = [(5, one), (5, two), (7, one + " more"), (9, two), (3, two + " x")]
+    for order in (mixed, mixed[::-1]):
+        got = Counter((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string"), percent=85).collect())
+        assert got == Counter([(5, 5, True), (5, 3, False), (7, 5, False), (9, 3, False), (3, 3, True)])
+
+
+def test_sides_and_recall():
+    """Pairs at the limit share a table with the probability stated, by drawn sets."""
+    rng = np.random.default_rng(5)
+    for percent, n in ((85, 10), (80, 13), (100, 1)):
+        assert minhash.sides(percent) == n
+    same, other = 170, 15  # 170 / 200 = 0.85
+    met = 0
+    for _ in range(1500):
+        x = rng.integers(0, 1 << 64, same + 2 * other, np.uint64)
+        sets = np.concatenate([x[: same + other], x[:same], x[same + other :]])
+        keys = minhash.sub_keys(sets, np.array([0, same + other]), 10)
+        eq = keys[:, 0] == keys[:, 1]
+        met += eq[:10].any() and eq[10:].any()
+    assert met >= 1496
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(60)] + [(100 + i, 100) for i in range(1, 40)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(70)]
@@ -111,6 +142,12 @@ def test_components(spark):
         if a != b:
             parent[max(p, q)] = min(p, q)
     named = {x for a, b in links if a != b for x in (a, b)}
+    frame = lambda x: spark.createDataFrame(x, "a long, b long")
+    rng.shuffle(links)
+    labels = None
+    for k in range(0, len(links), 40):  # a part of the links after the other
+        labels = minhash.merged(labels, frame(links[k : k + 40]), 2)
+    assert {r["node"]: r["component"] for r in labels.collect()} == {x: root(x) for x in named}
     got = {r["node"]: r["component"] for r in minhash.components(spark.createDataFrame(links, "a long, b long"), 2).collect()}
     assert got == {x: root(x) for x in named}
 
