@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from sluice.functions.dates import is_fresh
 from sluice.functions.rules import normal_url, pricing_model, role_family
 from sluice.functions.text import content_hash
 from sluice.operators import dedup, validate
+from sluice.operators.candidates import isolated, probe_pricing
 from sluice.operators.resolve import resolve
 
 
@@ -56,14 +58,59 @@ def _resolved(ctx: RunContext, rows: DataFrame, name: str, source_url: str) -> t
     return out, log
 
 
-def startups(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None) -> Outcome:
-    """rows: seq, name, page_url, team_size. A name seen before is passed over; a rejected one leaves its mapping entry."""
+# Fixed value: the version that every record is pinned to.
+SCHEMA_VERSION = "1.0"
+
+
+def _pin(rows: DataFrame, record_type: str) -> tuple[DataFrame, list]:
+    """rows with their version and record type where they come without, and the checks that pin both."""
+    for name, value in (("schema_version", SCHEMA_VERSION), ("record_type", record_type)):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(value))
+    return rows, [validate.pinned("schema_version", SCHEMA_VERSION), validate.pinned("record_type", record_type)]
+
+
+def _checked(rows: DataFrame, checks: list, record_type: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) by the checks and the pins; the pins' columns are not part of what is accepted."""
+    pinned, pins = _pin(rows, record_type)
+    checked = validate.with_errors(pinned, [*checks, *pins])
+    good = checked.where(F.size("errors") == 0).select(*rows.columns)
+    shown = [c for c in rows.columns if c not in ("schema_version", "record_type")]
+    return good, validate.rejections(checked.where(F.size("errors") > 0), shown, record_type)
+
+
+def counters(ctx: RunContext, discovered: DataFrame, outcome: Outcome) -> dict[str, int]:
+    """What a run saw: records discovered, accepted, rejected, and of these by freshness; the rest are duplicates."""
+    n = discovered.count()
+    good = outcome.accepted.count()
+    bad = validate.counted(outcome.rejected, {"rejected": F.lit(True), "freshness_failures": F.col("reason").startswith("stale")}).first()
+    return {"records_discovered": n, "accepted": good, "validation_failures": bad["rejected"] - bad["freshness_failures"], "freshness_failures": bad["freshness_failures"], "duplicates_removed": n - good - bad["rejected"]}
+
+
+def _answered(rows: DataFrame, answers: DataFrame | None, key: Column, rule: str, allowed: list[str] | None) -> DataFrame:
+    """rows with the provider's answer (answer_key, answer) in place of the rule's where there is a known one."""
+    if answers is None:
+        return rows
+    said = answers.groupBy("answer_key").agg(F.min("answer").alias("_answer"))
+    out = rows.withColumn("_key", key).join(said, F.col("_key") == F.col("answer_key"), "left")
+    answer = F.upper(F.trim("_answer")) if allowed else F.nullif(F.trim("_answer"), F.lit(""))
+    known = F.when(answer.isin(allowed), answer) if allowed else answer
+    return out.withColumn(rule, isolated(known, F.col(rule))).drop("_key", "answer_key", "_answer")
+
+
+def startups(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None, target: int | None = None) -> Outcome:
+    """rows: seq, name, page_url, team_size. A name seen before is passed over; a rejected one leaves its mapping entry.
+
+    With a target, as many candidates are looked at as candidate_limit allows, the first in order.
+    """
     rows = dedup.first_wins(rows, F.lower(F.trim("name")), ["seq"])
+    if target is not None:
+        rows = rows.orderBy("seq").limit(candidate_limit(target))
     if seen is not None:
         rows = dedup.not_seen(rows.withColumn("item_id", F.lower(F.trim("name"))), seen, ["item_id"]).drop("item_id")
     found, log = _resolved(ctx, rows, "name", "page_url")
     found = found.withColumn("source_url", normal_url(F.col("page_url")))
-    good, bad = validate.split(found, [validate.not_blank("canonical_name"), validate.is_url("page_url")])
+    good, bad = _checked(found, [validate.not_blank("canonical_name"), validate.is_url("page_url")], "STARTUP")
     good = good.select(
         "seq", F.col("raw_name").alias("entity_name"), "canonical_name", F.col("team_size").alias("employee_count"), "source_url",
         content_hash(F.col("canonical_name"), F.col("source_url")).alias("dedup_key"),
@@ -71,13 +118,15 @@ def startups(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None) ->
     return Outcome(good, bad, log)
 
 
-def products(ctx: RunContext, rows: DataFrame, text: str = "page_text") -> Outcome:
-    """rows: seq, name, website, page_text. The pricing model comes from the page's text; without one a row is rejected."""
+def products(ctx: RunContext, rows: DataFrame, text: str = "page_text", answers: DataFrame | None = None, told: str | None = None) -> Outcome:
+    """rows: seq, name, website, page_text. The pricing model comes from the page's text, or from a provider's answer (answer_key, the
+    lower-case name, and answer) where the text tells anything; without one a row is rejected. told: a column that has the text's model already."""
     rows = dedup.first_wins(rows.where(F.coalesce(F.trim("website"), F.lit("")) != ""), F.lower(F.trim("name")), ["seq"])
-    rows = rows.withColumn("pricing_model", pricing_model(F.col(text)))
+    rows = rows.withColumn("pricing_model", F.col(told) if told else pricing_model(F.col(text)))
+    rows = _answered(rows, answers, F.when(F.col("pricing_model").isNotNull(), F.lower(F.trim("name"))), "pricing_model", validate.PRICING_MODELS)
     found, log = _resolved(ctx, rows, "name", "website")
     found = found.withColumn("source_url", normal_url(F.col("website")))
-    good, bad = validate.split(found, [validate.is_url("website"), validate.one_of("pricing_model", validate.PRICING_MODELS)])
+    good, bad = _checked(found, [validate.is_url("website"), validate.one_of("pricing_model", validate.PRICING_MODELS)], "PRODUCT")
     good = good.select(
         "seq", F.col("raw_name").alias("startup_name"), "canonical_name", "pricing_model", "source_url",
         content_hash(F.col("canonical_name"), F.col("source_url"), F.col("pricing_model")).alias("dedup_key"),
@@ -85,6 +134,28 @@ def products(ctx: RunContext, rows: DataFrame, text: str = "page_text") -> Outco
     return Outcome(good, bad, log)
 
 
+def probed_products(
+    ctx: RunContext, companies: DataFrame, get: Callable[[DataFrame], DataFrame], target: int, others: DataFrame | None = None, answers: DataFrame | None = None,
+) -> Outcome:
+    """companies: seq, name, website, probed by get (url, status, body). Where they yield fewer than target, as many of others as
+    supplement_limit allows are probed too, the first in order, without names that were tried."""
+
+    def of(pool: DataFrame) -> Outcome:
+        told = probe_pricing(pool.where(F.coalesce(F.trim("website"), F.lit("")) != "").select("seq", "website"), get, "seq")
+        rows = pool.drop("website").join(told.select("seq", F.col("fetched_url").alias("website"), F.col("evidence").alias("page_text"), F.col("pricing_model").alias("_told")), "seq")
+        return products(ctx, rows, answers=answers, told="_told")
+
+    first = of(companies)
+    have = first.accepted.count() if others is not None else target
+    if have >= target:
+        return first
+    tried = companies.select(F.lower(F.trim("name")).alias("_n")).distinct()
+    pool = others.join(tried, F.lower(F.trim("name")) == F.col("_n"), "left_anti").orderBy("seq").limit(supplement_limit(target, have))
+    second = of(pool)
+    union = lambda a, b: a.unionByName(b, allowMissingColumns=True)
+    return Outcome(union(first.accepted, second.accepted), union(first.rejected, second.rejected), union(first.mapping, second.mapping))
+
+
 def papers(ctx: RunContext, rows: DataFrame, stars: DataFrame | None = None) -> Outcome:
     """rows: seq, paper_id, title, authors, paper_url, github_url, summary, published_date. An address counts only where the text has it."""
     from sluice.functions.rules import is_evidence
@@ -95,7 +166,7 @@ def papers(ctx: RunContext, rows: DataFrame, stars: DataFrame | None = None) ->
     rows = rows.withColumn("github_url", F.when(is_evidence(F.col("github_url"), F.col("summary")), F.col("github_url")))
     rows = rows.withColumn("slug", repo_slug(F.col("github_url")))
     rows = cached_lookup(rows, stars, "slug", "github_stars") if stars is not None else rows.withColumn("github_stars", F.lit(None).cast("int"))
-    good, bad = validate.split(rows, [validate.not_blank("title"), validate.is_url("paper_url"), validate.is_url("github_url", optional=True), validate.required("published_date")])
+    good, bad = _checked(rows, [validate.not_blank("title"), validate.is_url("paper_url"), validate.is_url("github_url", optional=True), validate.required("published_date")], "RESEARCH_PAPER")
     good = good.withColumn("dedup_key", content_hash(F.col("title"), normal_url(F.col("paper_url"))))
     return Outcome(good.drop("is_cached", "slug"), bad)
 
@@ -111,13 +182,14 @@ def news(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None, hashes
     if hashes is not None:
         live = dedup.not_seen(live, hashes, ["content_hash"])
     live = dedup.first_wins(live, "content_hash", ["seq"])
-    good, bad = validate.split(live, [validate.not_blank("headline"), validate.is_url("url")])
-    bad = bad.unionByName(validate.rejections(stale, rows.columns, "NEWS"), allowMissingColumns=True)
+    good, bad = _checked(live, [validate.not_blank("headline"), validate.is_url("url")], "NEWS")
+    bad = bad.unionByName(validate.rejections(stale, [c for c in rows.columns if c != "record_type"], "NEWS"), allowMissingColumns=True)
     return Outcome(good.withColumn("dedup_key", content_hash(F.col("headline"), normal_url(F.col("url")))), bad)
 
 
-def jobs(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None) -> Outcome:
-    """rows: seq, company, title, date, is_remote, url, description."""
+def jobs(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None, answers: DataFrame | None = None) -> Outcome:
+    """rows: seq, company, title, date, is_remote, url, description. A provider's answer (answer_key, the row's address or
+    company:title, and answer) holds in place of the role family by rules."""
     fresh = is_fresh(F.col("date"), ctx.now, ctx.fresh_hours)
     stale = rows.where(~fresh).withColumn("errors", F.array(F.concat(F.lit("stale: "), F.coalesce(F.col("date").cast("string"), F.lit("no date")))))
     item = F.coalesce(F.nullif(F.col("url"), F.lit("")), F.concat_ws(":", "company", "title"))
@@ -125,8 +197,9 @@ def jobs(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None) -> Out
     if seen is not None:
         live = dedup.not_seen(live, seen, ["item_id"])
     live = live.withColumn("role_family", role_family(F.col("title"), F.col("description")))
+    live = _answered(live, answers, F.col("item_id"), "role_family", None)
     found, log = _resolved(ctx, live, "company", "url")
-    good, bad = validate.split(found, [validate.not_blank("canonical_name"), validate.required("date"), validate.required("is_remote"), validate.is_url("url", optional=True)])
+    good, bad = _checked(found, [validate.not_blank("canonical_name"), validate.required("date"), validate.required("is_remote"), validate.is_url("url", optional=True)], "JOB")
     good = good.withColumn("dedup_key", content_hash(
         F.col("canonical_name"), F.col("role_family"), F.coalesce(normal_url(F.col("url")), F.lit("")), F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss")
     ))

@@ -194,6 +194,32 @@ def test_store_twice_and_stream(spark, tmp_path):
     assert spark.read.parquet(f"{ctx2.root}/startups").count() == 1
 
 
+def test_verticals_with_answers_pins_and_pools(spark):
+    now = F.lit("2026-09-04 12:00:00").cast("timestamp")
+    ctx = verticals.RunContext(spark, now, "")
+    rows = spark.createDataFrame([(0, "Acme", "https://a.com", "free plan"), (1, "Beta", "https://b.com", "$5/mo"), (2, "Gamma", "https://c.com", "nothing")], "seq bigint, name string, website string, page_text string")
+    answers = spark.createDataFrame([("acme", "freemium"), ("beta", "cheap"), ("gamma", "PAID")], "answer_key string, answer string")
+    out = verticals.products(ctx, rows, answers=answers)
+    assert {r["canonical_name"]: r["pricing_model"] for r in out.accepted.collect()} == {"Acme": "FREEMIUM", "Beta": "PAID"}
+    assert verticals.counters(ctx, rows, out) == {"records_discovered": 3, "accepted": 2, "validation_failures": 1, "freshness_failures": 0, "duplicates_removed": 0}
+
+    jobs = spark.createDataFrame([(0, "Acme", "Cook", "2026-09-04 10:00:00", True, None, ""), (1, "Acme", "Cook", "2026-08-04 10:00:00", True, "https://j.com/1", "")], "seq bigint, company string, title string, at string, is_remote boolean, url string, description string").withColumn("date", F.col("at").cast("timestamp")).drop("at")
+    out = verticals.jobs(ctx, jobs, answers=spark.createDataFrame([("Acme:Cook", "Operations")], "answer_key string, answer string"))
+    assert [r["role_family"] for r in out.accepted.collect()] == ["Operations"] and verticals.counters(ctx, jobs, out)["freshness_failures"] == 1
+
+    news = spark.createDataFrame([(0, "F", "H", "https://n.com/1", "2026-09-04 10:00:00", "s", "NEWS"), (1, "F", "I", "https://n.com/2", "2026-09-04 10:00:00", "s", "JOB")], "seq int, source_name string, headline string, url string, at string, summary string, record_type string").withColumn("date", F.col("at").cast("timestamp")).drop("at")
+    out = verticals.news(ctx, news)
+    assert [r["seq"] for r in out.accepted.collect()] == [0] and [(r["seq"], r["reason"]) for r in out.rejected.collect()] == [(1, "record_type: not NEWS")]
+
+    pages = spark.createDataFrame([("https://a.com", 200, "free plan"), ("https://x.com", 200, "$5/mo")], "url string, status int, body string")
+    get = lambda df: df.select("url").join(pages, "url", "left").fillna(404, ["status"])
+    pool = lambda rows: spark.createDataFrame(rows, "seq bigint, name string, website string")
+    first, others = pool([(0, "Acme", "https://a.com"), (1, "Dead", "https://d.com")]), pool([(10, "acme ", "https://a.com"), (11, "Xeno", "https://x.com"), (12, "None", "")])
+    assert {r["canonical_name"] for r in verticals.probed_products(ctx, first, get, 1, others).accepted.collect()} == {"Acme"}
+    assert {(r["canonical_name"], r["pricing_model"], r["source_url"]) for r in verticals.probed_products(ctx, first, get, 5, others).accepted.collect()} == {("Acme", "FREE", "https://a.com/"), ("Xeno", "PAID", "https://x.com/")}
+    assert verticals.startups(ctx, spark.createDataFrame([(k, f"Name{k} Qx{k * 7919}", "https://d.com/1", 5) for k in range(60)], "seq bigint, name string, page_url string, team_size int"), target=1).accepted.count() == 51
+
+
 def test_tabs(spark, tmp_path):
     df = spark.createDataFrame([(1, None, ["a", "b"]), (2, 'q"x', [])], "id int, s string, l array<string>")
     assert [list(r) for r in tabs.stringify(df, ["id", "s", "l", "none"]).orderBy("id").collect()] == [["1", "", "a, b", ""], ["2", 'q"x', "", ""]]
