@@ -363,3 +363,44 @@ SELECT 's_suppkey' AS header, CAST(greatest(12, least(60, greatest(9, max(length
 UNION ALL SELECT 's_name', CAST(greatest(12, least(60, greatest(6, max(length(s_name))) + 2)) AS INTEGER) FROM f""")
 def sheet_column_width(spark, sf):
     return tabs.column_widths(table(spark, sf, "supplier"), ["s_suppkey", "s_name"], ["s_suppkey"])
+
+
+@query("""WITH c AS (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0)
+SELECT l_suppkey, min(l_orderkey * 100 + l_linenumber) AS place FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM c) GROUP BY l_suppkey ORDER BY place LIMIT 25""")
+def lookup_quota(spark, sf):
+    """The first 25 keys that a cache lacks: what a run's quota lets it ask for."""
+    cache = table(spark, sf, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("value"))
+    rows = table(spark, sf, "lineitem").select("l_suppkey", (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("place"))
+    return candidates.misses(candidates.cached_lookup(rows, cache, "l_suppkey", "value"), "l_suppkey", "place", 25)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN CAST(600 // (p_size % 3) AS BIGINT) END AS share,
+CASE WHEN p_size % 3 = 0 THEN 'ZeroDivisionError: integer division or modulo by zero' END AS error FROM part""")
+def isolated_calls(spark, sf):
+    """A call for each row; those that fail keep their row, with the error."""
+    rows = table(spark, sf, "part").select("p_partkey", "p_size")
+    return candidates.isolate(rows, lambda r: {"share": 600 // (r["p_size"] % 3)}, "share bigint").drop("p_size")
+
+
+_SITE = "'https://s' || p_partkey || '.com'"
+
+
+@query(f"""SELECT p_partkey AS site, CASE p_partkey % 7 WHEN 0 THEN 'FREE' WHEN 1 THEN 'PAID' WHEN 2 THEN 'ENTERPRISE' WHEN 3 THEN 'FREEMIUM' END AS pricing_model,
+CASE p_partkey % 7 WHEN 1 THEN {_SITE} || '/our-pricing' WHEN 2 THEN {_SITE} || '/plans' WHEN 3 THEN replace({_SITE}, 'https', 'http') ELSE {_SITE} END AS fetched_url FROM part WHERE p_partkey % 7 < 4""")
+def price_probe(spark, sf):
+    """Sites that tell at home, behind a link, at a usual path, over plain HTTP only, or nowhere."""
+    part = table(spark, sf, "part").select("p_partkey", F.expr(_SITE).alias("u"), (F.col("p_partkey") % 7).alias("k"))
+    page = lambda k, url, status, body: part.where(F.col("k") == k).select(F.expr(url).alias("url"), F.lit(status).alias("status"), F.lit(body).alias("body"))
+    pages = page(0, "u", 200, "<p>Our free plan</p>").unionAll(page(1, "u", 200, "<a href='/our-pricing'>x</a>")).unionAll(page(1, "u || '/our-pricing'", 200, "only $5/mo"))
+    pages = pages.unionAll(page(2, "u", 200, "hello")).unionAll(page(2, "u || '/plans'", 200, "contact sales")).unionAll(page(2, "u || '/price'", 200, "free forever"))
+    pages = pages.unionAll(page(3, "u", 599, None)).unionAll(page(3, "replace(u, 'https', 'http')", 200, "free tier, then $9 per user")).unionAll(page(4, "u", 200, "nothing")).unionAll(page(5, "u", 404, "free tier"))
+    get = lambda df: df.select("url").join(pages, "url", "left").fillna(404, ["status"])
+    return candidates.probe_pricing(part.select(F.col("p_partkey").alias("site"), F.col("u").alias("website")), get).drop("evidence")
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def windowed_counts(spark, sf):
+    from sluice.streaming.incremental import windowed_counts as counts
+
+    rows = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    return counts(rows, "ts", "event_type").withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
