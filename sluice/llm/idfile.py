@@ -44,8 +44,8 @@ MAGIC = b"SLUICEF1"
 EVERY = 256
 #: Ids of a file, about.
 FILE_IDS = 1 << 22
-#: Bytes of text of a range, unless that would leave cores without work; ranges are never under the lesser.
-RANGE_BYTES = (4 << 20, 64 << 20)
+#: Bytes of text of a range.
+RANGE_BYTES = 64 << 20
 #: Ranges that are counted at a time; their counts come to the driver.
 BUCKETS = 1 << 12
 #: Documents whose ends are read at a time.
@@ -114,10 +114,10 @@ class EliasFano:
         return (high << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1)
 
 
-def to_bytes(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
-    """A shard file: ids are little-endian unsigned 32-bit integers of each document; ids of documents may be null."""
-    lengths = np.array([len(x) // 4 for x in ids], np.int64)
-    data = np.frombuffer(b"".join(ids), "<u4")
+def to_bytes(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
+    """A shard file of the ids of each document; ids of documents may be null."""
+    lengths = np.array([len(x) for x in ids], np.int64)
+    data = np.concatenate([*ids, np.zeros(0, "<u2")])
     wide = bool(len(data)) and int(data.max()) >= 1 << 16
     ends = EliasFano.of(np.cumsum(lengths))
     blocks = [
@@ -213,7 +213,7 @@ def ranges(rows: DataFrame, target: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def write_shards(
-    docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, range_bytes: int | None = None, file_ids: int = FILE_IDS,
+    docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, range_bytes: int = RANGE_BYTES, file_ids: int = FILE_IDS,
 ) -> DataFrame:
     """Writes every document's ids and returns (shard, file, uri, n_docs, n_ids), checkpointed, a row per file, in the order of (shard, file).
 
@@ -221,10 +221,6 @@ def write_shards(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_t"))
     weighed = rows.select("_id", (F.octet_length(F.coalesce("_t", F.lit(""))) + 8).cast("long").alias("_w"))
-    if range_bytes is None:
-        total = int(weighed.agg(F.sum("_w")).first()[0] or 0)
-        least, most = RANGE_BYTES
-        range_bytes = min(most, max(least, total // (2 * docs.sparkSession.sparkContext.defaultParallelism)))
     bounds, shares = ranges(weighed, range_bytes)
     tasks = int(shares.sum())
     before = np.cumsum(shares) - shares
@@ -239,7 +235,12 @@ def write_shards(
             own = np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64)
             place = np.where(null, 0, np.searchsorted(bounds, own, side="right") + 1)
             part = np.array([zlib.crc32(x) for x in ids], np.int64) % shares[place]
-            yield pa.RecordBatch.from_arrays([pa.array(before[place] + part), batch.column(0), pa.array(ids, pa.binary())], names=["shard", "_id", "ids"])
+            # two bytes an id are moved where they hold all of the slice
+            lengths, data = np.array([len(x) for x in ids]), np.frombuffer(b"".join(ids), "<u4")
+            width = 4 if len(data) and int(data.max()) >= 1 << 16 else 2
+            ends = np.concatenate([[0], np.cumsum(lengths // 4 * width)]).astype("<i4")
+            moved = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(data.astype(f"<u{width}"))])
+            yield pa.RecordBatch.from_arrays([pa.array(before[place] + part), batch.column(0), pa.array([width] * len(ids), pa.int32()), moved], names=["shard", "_id", "width", "ids"])
 
     target = _as_uri(folder)
 
@@ -253,19 +254,19 @@ def write_shards(
             return pa.RecordBatch.from_arrays([pa.array([current]), pa.array([file]), pa.array([uri]), pa.array([len(ids)]), pa.array([held])], names=["shard", "file", "uri", "n_docs", "n_ids"])
 
         for batch in batches:
-            for s, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for s, i, width, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 if s != current or held >= file_ids:
                     if current is not None:
                         yield flush()
                     current, file, held, doc_ids, ids = s, file + 1 if s == current else 0, 0, [], []
                 doc_ids.append(i)
-                ids.append(x)
-                held += len(x) // 4
+                ids.append(np.frombuffer(x.as_buffer(), f"<u{width}").copy())
+                held += len(ids[-1])
         if current is not None:
             yield flush()
 
-    encoded = rows.mapInArrow(encode, "shard long, _id long, ids binary")
-    sorted_ = encoded.repartition(2 * tasks, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("ids"))  # more tasks than shards, so that few get two
+    encoded = rows.mapInArrow(encode, "shard long, _id long, width int, ids binary")
+    sorted_ = encoded.repartition(2 * tasks, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("width", "ids"))  # more tasks than shards, so that few get two
     return cut(sorted_.mapInArrow(store, "shard long, file long, uri string, n_docs long, n_ids long"))
 
 

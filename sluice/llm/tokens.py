@@ -15,9 +15,9 @@ from array import array
 
 import numpy as np
 
-MOST = 300_000
+MOST = 150_000
 #: New chunks that go to the library in one call.
-TOGETHER = 1000
+TOGETHER = 250
 #: Where a space follows a character that is not white space, a byte-level split always begins a new piece.
 EDGE = re.compile(r"(?<=\S)(?= )")
 AFTER_SPACE = re.compile(r"\s ")
@@ -27,6 +27,10 @@ AFTER_SPACE = re.compile(r"\s ")
 PUNCTUATED = re.compile(rb"([a-z0-9])(?=[.,;:!?])")
 
 
+#: Letters that no step before the merges changes or splits, in files that lower case and split at other signs.
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+
+
 def plain_chunks(text: bytes) -> list[bytes]:
     """Chunks for a tokenizer that drops white space and lowers case: punctuation apart from words, ASCII in lower case.
 
@@ -56,6 +60,25 @@ class Encoder:
         self.mark = token.content
         self.known: dict = {}
         self.old: dict = {}
+        self.words = self._word_tokenizer() if self.lowers else None
+
+    def _word_tokenizer(self):
+        """(tokenizer, which ids end a word) for words of LETTERS with blanks between: the same merges without the steps before them; null
+        for a file whose tokens do not tell the end of a word, or where a sample differs."""
+        from tokenizers import Tokenizer
+
+        file = json.loads(self.tokenizer.to_str())
+        suffix = file["model"].get("end_of_word_suffix")
+        if file["model"]["type"] != "BPE" or not suffix:
+            return None
+        file["normalizer"] = None
+        file["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+        ends = np.zeros(max(file["model"]["vocab"].values()) + 1, bool)
+        ends[[i for w, i in file["model"]["vocab"].items() if w.endswith(suffix)]] = True
+        made = Tokenizer.from_str(json.dumps(file))
+        sample = "the übung l été straße niño x tokenisation zzzq".split()
+        whole = [made.encode(" ".join(sample), add_special_tokens=False).ids, [i for w in sample for i in self.tokenizer.encode(w, add_special_tokens=False).ids]]
+        return (made, ends) if whole[0] == whole[1] and ends[whole[0]].sum() == len(sample) else None
 
     def chunks(self, text: str | bytes) -> list:
         if not self.spaced:
@@ -75,9 +98,25 @@ class Encoder:
         self.known.update(zip(back, map(self.old.__getitem__, back)))
         new = list(lacking.difference(back) if back else lacking)
         texts = new if self.spaced else [x.decode() for x in new]
+        if self.words:
+            plain = [LETTERS.fullmatch(t) is not None for t in texts]
+            own = [t for t, p in zip(texts, plain) if p]
+            for i in range(0, len(own), TOGETHER):
+                self._encode_words(own[i : i + TOGETHER])
+            new, texts = [x for x, p in zip(new, plain) if not p], [t for t, p in zip(texts, plain) if not p]
         for i in range(0, len(new), TOGETHER):
             self._encode(new[i : i + TOGETHER], texts[i : i + TOGETHER])
 
+    def _encode_words(self, words: list[str]) -> None:
+        """One call for many words; the ids that end a word keep them apart."""
+        made, ends = self.words
+        ids = np.array(made.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (np.flatnonzero(ends[ids]) + 1).tolist()
+        if len(stops) != len(words):
+            return self._encode([w.encode() for w in words], words)
+        data = ids.tobytes()
+        self.known.update((w.encode(), data[4 * s : 4 * e]) for w, s, e in zip(words, [0, *stops], stops))
+
     def _encode(self, chunks: list, texts: list[str]) -> None:
         """One call for many chunks: a special token between them keeps them apart."""
         joined = self.mark.join(texts)
