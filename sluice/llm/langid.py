@@ -37,6 +37,8 @@ from sluice.llm.common import crc_mod, slices, texts_of
 
 LEVELS = (1, 6)
 BLOCK = 4096
+#: Parts of a language that are ranked by themselves.
+PARTS = 16
 
 
 def train_dictionaries(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = 160, passage: int = 1024) -> dict[str, bytes]:
@@ -49,8 +51,10 @@ def train_dictionaries(docs: DataFrame, text: str = "text", lang: str = "lang",
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("l"), F.explode(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % passage), F.lit(0))).alias("t")
     ).where(F.col("t").rlike(r"\p{L}")).withColumn("h", F.xxhash64("t"))
-    best = Window.partitionBy("l").orderBy("h")
-    chosen = rows.select("l", "h").distinct().withColumn("k", F.row_number().over(best)).where(F.col("k") <= sample)
+    # first within parts of a language, so that a language of most texts is not one task's
+    parts = rows.select("l", "h").distinct().withColumn("p", F.pmod("h", F.lit(PARTS)))
+    parts = parts.withColumn("k", F.row_number().over(Window.partitionBy("l", "p").orderBy("h"))).where(F.col("k") <= sample)
+    chosen = parts.select("l", "h", F.row_number().over(Window.partitionBy("l").orderBy("h")).alias("k")).where(F.col("k") <= sample)
     got = rows.join(F.broadcast(chosen), ["l", "h"]).groupBy("l", "k").agg(F.min("t").alias("t")).orderBy("l", "k").collect()  # at most sample rows a language
     samples = [(r["l"], r["t"].lower().encode(), r["k"] % 2) for r in got]
     halves = [Classifier(_joined([x for x in samples if x[2] == k])) for k in (0, 1)]
