@@ -17,6 +17,7 @@ equal rows are packed each on its own; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -86,7 +87,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return [b for bins in by_room for b in bins]
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effort: int = 1) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effort: int | None = 1, reach: int | None = 64) -> list[list[int]]:
     """bins with fewer, or the same bins fuller: moves and swaps among underfull bins that raise squared fill.
 
     The emptiest bin gives. It moves a piece to the fullest bin with room, else
@@ -94,7 +95,11 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effor
     bin that becomes fuller. When it is stuck, other bins exchange one for one, at most
     ``effort`` times the number of underfull bins. Each step raises the sum of squared
     fills; the search ends when no bin can be saved any more or no step is left.
+
+    A step is looked for among the ``reach`` bins with most room or least, and pieces
+    and pairs as many; without a reach and an effort among all, to the end.
     """
+    some = reach if reach is not None else len(lengths) ** 2 + 1
     full = [b for b in bins if sum(lengths[k] for k in b) == capacity]
     open_ = [b for b in bins if sum(lengths[k] for k in b) < capacity]
     fill = [sum(lengths[k] for k in b) for b in open_]
@@ -121,7 +126,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effor
     def swap(giver: int, given: list[int]) -> bool:
         """given out of the giver for one piece of another bin, of most length, that leaves that bin fuller and not over."""
         total = sum(lengths[k] for k in given)
-        for room, j in rooms[-64:][::-1]:
+        for room, j in rooms[-some:][::-1]:
             if j == giver or room == 0:
                 continue
             for k in sorted(open_[j], key=lambda k: -lengths[k]):
@@ -143,7 +148,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effor
         room = capacity - fill[j]
         for k in sorted(open_[j], key=lambda k: lengths[k]) if room else ():
             at = bisect_left(items, (lengths[k] + room + 1, -1, -1)) - 1
-            for at in range(at, max(at - 32, -1), -1):
+            for at in range(at, max(at - some, -1), -1):
                 if items[at][0] <= lengths[k]:
                     break
                 n, i, other = items[at]
@@ -159,7 +164,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effor
                     return True
         return False
 
-    steps = effort * len(open_)
+    steps = math.inf if effort is None else effort * len(open_)
     while len(heap) > 1:
         f, giver = heapq.heappop(heap)
         if f != fill[giver]:
@@ -176,19 +181,19 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, effor
                     changed = True
                     break
             if not changed:
-                own = sorted(open_[giver], key=lambda k: -lengths[k])[:32]
-                pairs = [[a, b] for i, a in enumerate(own) for b in own[i + 1 :]][:64]
+                own = sorted(open_[giver], key=lambda k: -lengths[k])[:some]
+                pairs = [[a, b] for i, a in enumerate(own) for b in own[i + 1 :]][:some]
                 changed = any(swap(giver, g) for g in [*([k] for k in own), *pairs])
         if open_[giver]:
             # the emptiest bin can't be emptied as things are: other bins exchange, the fullest first, to make room
-            if steps <= 0 or sum(capacity - f for f in fill if f) < capacity or not any(fill_up(j) for _, j in list(rooms[:64])):
+            if steps <= 0 or sum(capacity - f for f in fill if f) < capacity or not any(fill_up(j) for _, j in list(rooms[:some])):
                 break
             steps -= 1
             heapq.heappush(heap, (fill[giver], giver))
     return full + [b for b in open_ if b]
 
 
-def _packer(capacity: int, round_: int):
+def _packer(capacity: int, round_: int, effort: int | None, reach: int | None):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -199,7 +204,7 @@ def _packer(capacity: int, round_: int):
         rows = rows.sort_values(["length", "ids_crc32", "start"], kind="stable", ignore_index=True)
         lengths = rows["length"].tolist()
         base = (round_ << 56) | (TaskContext.get().partitionId() << 28)
-        bins = local_search(best_fit(lengths, capacity), lengths, capacity)
+        bins = local_search(best_fit(lengths, capacity), lengths, capacity, effort, reach)
         order = np.array([k for b in bins for k in b], np.int64)
         sizes = rows["length"].to_numpy()[order]
         starts = np.cumsum([0, *[len(b) for b in bins]])[:-1]
@@ -214,7 +219,7 @@ def _packer(capacity: int, round_: int):
     return run
 
 
-def pack(parts: DataFrame, capacity: int = 1024) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = 1024, effort: int | None = 1, reach: int | None = 64) -> DataFrame:
     """parts (with length, ids_crc32 and start among its columns) with sequence_id and offset.
 
     The narrow table is written to the shared folder first: the rounds read it, not
@@ -229,7 +234,7 @@ def pack(parts: DataFrame, capacity: int = 1024) -> DataFrame:
     while True:
         blocks = max(1, -(-n // BLOCK))
         dealt = rest.repartition(blocks, F.xxhash64("ids_crc32", "start", "length", F.monotonically_increasing_id()))
-        packed = cut(dealt.mapInPandas(_packer(capacity, round_), schema))
+        packed = cut(dealt.mapInPandas(_packer(capacity, round_, effort, reach), schema))
         if blocks == 1:
             break
         whole = packed.where(F.col("_fill") >= FULL * capacity)
@@ -245,9 +250,9 @@ def pack(parts: DataFrame, capacity: int = 1024) -> DataFrame:
     return out
 
 
-def pack_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset."""
-    return pack(pieces(docs, path, doc_id, text, capacity, end_id), capacity)
+def pack_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 2, effort: int | None = 1, reach: int | None = 64) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset. effort and reach bound the search of a block; None takes the bound away."""
+    return pack(pieces(docs, path, doc_id, text, capacity, end_id), capacity, effort, reach)
 
 
 def sequences(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 1024, end_id: int = 2) -> DataFrame:
