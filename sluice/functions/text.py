@@ -52,12 +52,13 @@ def _unescaped(s: pd.Series) -> pd.Series:
 
 
 def strip_accents(c: Column) -> Column:
-    """Compatibility decomposition without combining marks; only text beyond ASCII pays for Python's answer."""
-    return _without_marks(c)
+    """Compatibility decomposition without combining marks; the text of rows within ASCII does not leave the JVM."""
+    return F.coalesce(_without_marks(F.when(F.octet_length(c) != F.length(c), c)), c)
 
 
 def html_unescape(c: Column) -> Column:
-    return _unescaped(c)
+    """Entities as characters; only the text of rows with an ampersand goes to Python."""
+    return F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def normalize_name(c: Column, strip_suffix: bool = True, accents: bool = True) -> Column:
