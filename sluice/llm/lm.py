@@ -9,12 +9,12 @@ The code. The most frequent tokens, at most ``hot_words``, and classes of all ot
 by their last two bytes are the leaves of a tree, sorted by their spelling from behind
 and split by weight. The first ``DEPTH`` bits of a leaf are mixed from contexts:
 
-* none; the last frequent word; the last two frequent words; the token before, or
-  the class of it; the two tokens before, hashed.
+* the last frequent word; the last two frequent words; the token before, or the class
+  of it; the two tokens before, hashed.
 
 What lies below has the probability of its share. A token of a class is either known,
 with the share of its exact count in the class, or new, and spelled from behind in
-bits of bytes that contexts of its one to five last bytes and its class predict, mixed
+bits of bytes that contexts of its two to five last bytes and its class predict, mixed
 and refined likewise. So probabilities depend on the tokens before, those of all
 tokens sum to at most one, and what is counted grows with the corpus.
 
@@ -27,7 +27,7 @@ stand for new ones.
 Scoring reads each text where it lies, as the numbers of its leaves; the exact counts
 of rarer tokens are joined by token, of which none is hot, and summed.
 
-Memory: context tables have fixed sizes, about 45 MB, and travel as a broadcast;
+Memory: context tables have fixed sizes, about 25 MB, and travel as a broadcast;
 counts of tokens stay distributed. The driver sees the hot words and sums by two last
 bytes, both bounded.
 
@@ -42,6 +42,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,19 +55,19 @@ from sluice.llm.common import crc_mod, cut, slices, sweep, texts_of
 #: No UTF-8 text has this byte.
 END = b"\xff"
 #: Bits of a leaf that are mixed, and frequent words that are contexts.
-DEPTH, FREQUENT = 8, 64
+DEPTH, FREQUENT = 8, 32
 NODES = 1 << DEPTH
 #: Most frequent tokens that are a context by themselves; others are one by their class.
 NEAR = 1024
 CLASSES = 256
 #: First slot of each context's table: of leaves (the last is hashed), and of spelling (all hashed).
-LEAF_SLOTS = np.cumsum([0, NODES, (FREQUENT + 1) * NODES, (FREQUENT + 1) ** 2 * NODES, (NEAR + CLASSES + 1) * NODES, 1 << 20])
-SPELL_BITS = (16, 18, 19, 19, 19)
+LEAF_SLOTS = np.cumsum([0, (FREQUENT + 1) * NODES, (FREQUENT + 1) ** 2 * NODES, (NEAR + CLASSES + 1) * NODES, 1 << 19])
+SPELL_BITS = (18, 19, 19, 19)
 SPELL_SLOTS = np.cumsum([0, *[1 << b for b in SPELL_BITS]])
 #: Added to both counts of a slot.
 PRIOR = np.float32(0.4)
 #: Tokens, or bytes, to a batch.
-BATCH = 1 << 14
+BATCH = 1 << 15
 CHUNK = 4096
 BUCKETS = 33
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -76,38 +77,44 @@ class Mixer:
     """Weights by two gates, and the adaptive table by a place and the mix."""
 
     def __init__(self, inputs: int, gates: tuple[int, int], places: int):
-        self.weights = [np.full((g, inputs + 1), 0.6 / inputs, np.float32) for g in gates]
+        self.weights = [np.full((inputs + 1, g), 0.6 / inputs, np.float32) for g in gates]
         self.seen = [np.full(w.shape, 1e-4, np.float32) for w in self.weights]
         for w in self.weights:
-            w[:, -1] = 0
+            w[-1] = 0
+        self.gates = gates
         self.refine = np.zeros((places * BUCKETS, 2), np.float32)
         self.bits = 0.0
 
-    def mixed(self, x: list[np.ndarray], gates: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-        (a, b), (g, h) = self.weights, gates
-        z = (a[:, -1] * np.float32(0.3))[g] + (b[:, -1] * np.float32(0.3))[h]
-        for k, own in enumerate(x):
-            z += own * (a[:, k][g] + b[:, k][h])
+    def mixed(self, x: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
+        """gate: first gate times the number of second ones, plus the second gate."""
+        both = (self.weights[0][:, :, None] + self.weights[1][:, None, :]).reshape(len(x) + 1, -1)
+        z = (both[-1] * np.float32(0.3)).take(gate, mode="clip")
+        for own, w in zip(x, both):
+            z += own * w.take(gate, mode="clip")
         return np.clip(z, -16, 16, out=z)
 
-    def refined(self, z: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability of a one, slot): the mean of the mix and of what was seen where it stood like that."""
+    @staticmethod
+    def slot(z: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return place * BUCKETS + np.clip(np.rint(z * 2) + BUCKETS // 2, 0, BUCKETS - 1).astype(np.int64)
+
+    def refined(self, z: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The probability of a one: the mean of the mix and of what was seen where it stood like that."""
         p = 1 / (1 + np.exp(-z))
-        slot = place * BUCKETS + np.clip(np.rint(z * 2) + BUCKETS // 2, 0, BUCKETS - 1).astype(np.int64)
-        zero, one = self.refine[:, 0][slot], self.refine[:, 1][slot]
-        return (p + (one + 20 * p) / (zero + one + 20)) / 2, slot
+        zero, one = _pairs(self.refine.reshape(-1), self.slot(z, place))
+        return (p + (one + 20 * p) / (zero + one + 20)) / 2
 
-    def learn(self, x: list[np.ndarray], gates: tuple[np.ndarray, np.ndarray], place: np.ndarray, bit: np.ndarray) -> None:
+    def learn(self, x: list[np.ndarray], gate: np.ndarray, place: np.ndarray, bit: np.ndarray) -> None:
         """A step of descent on a batch, then its bits in the refinement."""
-        z = self.mixed(x, gates)
+        z = self.mixed(x, gate)
         error = bit - 1 / (1 + np.exp(-z))
-        for w, seen, g in zip(self.weights, self.seen, gates):
-            n = np.maximum(np.bincount(g, minlength=len(w)), 1)
-            step = np.stack([np.bincount(g, error * own, len(w)) for own in [*x, np.float32(0.3)]], 1).astype(np.float32) / n[:, None].astype(np.float32)
+        size = self.gates[0] * self.gates[1]
+        sums = np.stack([np.bincount(gate, error * own, size) for own in [*x, np.float32(0.3)]]).reshape(-1, *self.gates)
+        n = np.bincount(gate, minlength=size).reshape(self.gates)
+        for axis, w, seen in zip((2, 1), self.weights, self.seen):
+            step = (sums.sum(axis) / np.maximum(n.sum(axis - 1), 1)).astype(np.float32)
             seen += step * step
             w += np.float32(0.02) * step / np.sqrt(seen)
-        _, slot = self.refined(z, place)
-        np.add.at(self.refine.reshape(-1), 2 * slot + (bit > 0.5), np.float32(1))
+        np.add.at(self.refine.reshape(-1), 2 * self.slot(z, place) + bit.astype(np.int64), np.float32(1))
         self.bits += len(bit)
 
     def state(self) -> np.ndarray:
@@ -124,18 +131,28 @@ class Mixer:
         return self
 
 
+def _pairs(table: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of zeros and ones of each slot, in one look into the table."""
+    both = table.view(np.uint64).take(slot, mode="clip").view(np.float32)
+    return both[::2], both[1::2]
+
+
 def _inputs(table: np.ndarray, slots: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Stretched probabilities of a one, and how often each context was seen."""
     x, n = [], []
     for at in slots:
-        zero, one = table[2 * at], table[2 * at + 1]
+        zero, one = _pairs(table, at)
         x.append(np.log((one + PRIOR) / (zero + PRIOR)))
         n.append(zero + one)
     return x, n
 
 
 def _level(n: np.ndarray, edges: tuple[float, ...]) -> np.ndarray:
-    return np.searchsorted(np.array(edges, np.float32), n)
+    """How many edges n is above."""
+    out = (n > np.float32(edges[0])).view(np.int8)
+    for e in edges[1:]:
+        out = out + (n > np.float32(e)).view(np.int8)
+    return out
 
 
 class Leaves:
@@ -231,18 +248,18 @@ def _leaf_bits(leaves: Leaves, idx: np.ndarray, firsts: list[np.ndarray], rare:
             return
         own = code[at]
         node = (1 << d) | (own >> (DEPTH - d))
-        slots = [node, *[LEAF_SLOTS[k + 1] + f[at] + node for k, f in enumerate(firsts[:3])]]
+        slots = [LEAF_SLOTS[k] + f[at] + node for k, f in enumerate(firsts[:3])]
         hashed = (firsts[3][at] ^ (node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * _MIX
-        slots.append(LEAF_SLOTS[4] + (hashed >> np.uint64(44)).astype(np.int64))
+        slots.append(LEAF_SLOTS[3] + (hashed >> np.uint64(45)).astype(np.int64))
         yield at, ((own >> (DEPTH - 1 - d)) & 1).astype(np.float32), node, slots, 2 * d + rare[at]
 
 
 def leaf_mixer() -> Mixer:
-    return Mixer(5, (20, 2 * DEPTH), NODES)
+    return Mixer(4, (20, 2 * DEPTH), NODES)
 
 
 def _leaf_gate(n: list[np.ndarray]) -> np.ndarray:
-    return _level(n[2], (0.5, 3.5, 15.5, 255.5)) * 4 + _level(n[4], (0.5, 3.5, 15.5))
+    return (_level(n[1], (0.5, 3.5, 15.5, 255.5)) * 4 + _level(n[3], (0.5, 3.5, 15.5))).astype(np.int64)
 
 
 def learn_leaves(texts: list[np.ndarray], leaves: Leaves, table: np.ndarray, mixer: Mixer) -> None:
@@ -250,8 +267,9 @@ def learn_leaves(texts: list[np.ndarray], leaves: Leaves, table: np.ndarray, mix
         added = []
         for _, bit, node, slots, spot in _leaf_bits(leaves, idx, firsts, rare):
             x, n = _inputs(table, slots)
-            mixer.learn(x, (_leaf_gate(n), spot), node, bit)
-            added += [2 * s + (bit > 0.5) for s in slots]
+            mixer.learn(x, _leaf_gate(n) * (2 * DEPTH) + spot, node, bit)
+            one = bit.astype(np.int64)
+            added += [2 * s + one for s in slots]
         for at in added:
             np.add.at(table, at, np.float32(1))
 
@@ -263,8 +281,8 @@ def score_leaves(texts: list[np.ndarray], leaves: Leaves, table: np.ndarray, mix
         cost = leaves.tail[idx].copy()
         for at, bit, node, slots, spot in _leaf_bits(leaves, idx, firsts, rare):
             x, n = _inputs(table, slots)
-            p, _ = mixer.refined(mixer.mixed(x, (_leaf_gate(n), spot)), node)
-            cost[at] += np.log10(np.where(bit > 0.5, p, 1 - p))
+            p = mixer.refined(mixer.mixed(x, _leaf_gate(n) * (2 * DEPTH) + spot), node)
+            cost[at] += np.log10(np.abs((1 - bit) - p))
         out += np.bincount(text, cost, len(texts))
     return out
 
@@ -314,7 +332,8 @@ class Bytes:
                 before = np.where(at - starts >= k, np.concatenate([np.zeros(k, np.int64), data[:-k]])[: len(data)].astype(np.uint64), cls if k <= 2 else np.uint64(256))
                 h = (h + before + np.uint64(1)) * _MIX
                 h ^= h >> np.uint64(29)
-                hashes.append(h)
+                if k > 1:
+                    hashes.append(h)
             own = np.flatnonzero(at - starts >= skip)
             ids = np.array([k for _, k, _ in held])[word]
             return data[own], ids[own], [x[own] for x in hashes], np.minimum(at - starts, 3)[own]
@@ -344,11 +363,11 @@ class Bytes:
 
 
 def spell_mixer() -> Mixer:
-    return Mixer(5, (48, 32), 256)
+    return Mixer(4, (48, 32), 256)
 
 
 def _spell_gate(n: list[np.ndarray]) -> np.ndarray:
-    return (_level(n[2], (0.5, 3.5, 31.5)) * 4 + _level(n[3], (0.5, 3.5, 15.5))) * 3 + _level(n[4], (0.5, 3.5))
+    return ((_level(n[1], (0.5, 3.5, 31.5)) * 4 + _level(n[2], (0.5, 3.5, 15.5))) * 3 + _level(n[3], (0.5, 3.5))).astype(np.int64)
 
 
 def learn_spelling(words: list[bytes], classes: np.ndarray, code: Bytes, table: np.ndarray, mixer: Mixer) -> None:
@@ -356,8 +375,9 @@ def learn_spelling(words: list[bytes], classes: np.ndarray, code: Bytes, table:
         added = []
         for _, bit, node, slots, spot in code.bits(data, hashes, place):
             x, n = _inputs(table, slots)
-            mixer.learn(x, (_spell_gate(n), spot), node, bit)
-            added += [2 * s + (bit > 0.5) for s in slots]
+            mixer.learn(x, _spell_gate(n) * 32 + spot, node, bit)
+            one = bit.astype(np.int64)
+            added += [2 * s + one for s in slots]
         for at in added:
             np.add.at(table, at, np.float32(1))
 
@@ -369,8 +389,8 @@ def score_spelling(words: list[bytes], classes: np.ndarray, code: Bytes, table:
         cost = np.zeros(len(data))
         for at, bit, node, slots, spot in code.bits(data, hashes, place):
             x, n = _inputs(table, slots)
-            p, _ = mixer.refined(mixer.mixed(x, (_spell_gate(n), spot)), node)
-            cost[at] += np.log10(np.where(bit > 0.5, p, 1 - p))
+            p = mixer.refined(mixer.mixed(x, _spell_gate(n) * 32 + spot), node)
+            cost[at] += np.log10(np.abs((1 - bit) - p))
         out += np.bincount(word, cost, len(words))
     return out
 
@@ -505,19 +525,22 @@ def score_documents(
         from pyspark import TaskContext
 
         leaves, base_of, known_of = shared.value
-        place, n_hot, class_of, tails = leaves.place.get, leaves.n_hot, leaves.class_of, {}
+        place = leaves.place.get
+
+        class Tails(dict):
+            def __missing__(self, tail):
+                self[tail] = out = leaves.n_hot + leaves.class_of(tail)
+                return out
+
+        tails = Tails()
         uid = TaskContext.get().partitionId() << 36
         for batch in slices(batches, 2):
             out: list[list] = [[] for _ in names]
             for t, held in zip(texts_of(batch.column(2)), batch.column(1).to_pylist()):
                 tokens = [*_tokens(t), END]
-                own = list(map(place, tokens))
-                found = np.array([-1 if x is None else x for x in own], np.int64)
-                here, lacking = found[found >= 0], np.flatnonzero(found < 0).tolist()
-                others = [tokens[k] for k in lacking]
-                for w in others:
-                    if w[-2:] not in tails:
-                        tails[w[-2:]] = n_hot + class_of(w)
+                found = np.fromiter(map(place, tokens, repeat(-1)), np.int64, len(tokens))
+                here, lacking = found[found >= 0], np.flatnonzero(found < 0)
+                others = [tokens[k] for k in lacking.tolist()]
                 found[lacking] = [tails[w[-2:]] for w in others]
                 counted = Counter(others)
                 for j, x in zip((0, 2, 3, 4, 5, 6, 7, 8, 9), (uid, held, len(tokens), sum(map(len, tokens)) + len(tokens) - 1, float(base_of[here].sum()), int(known_of[here].sum()), found.astype("<u2").tobytes(), list(counted), list(counted.values()))):

@@ -125,6 +125,8 @@ def test_packing(docs, edges, empty, texts):
 def test_local_search_keeps_pieces_and_saves_bins(lengths):
     first = packing.best_fit(lengths, 50)
     best = packing.local_search([list(b) for b in first], lengths, 50)
+    whole = packing.local_search([list(b) for b in first], lengths, 50, None, None)
+    assert sorted(k for b in whole for k in b) == list(range(len(lengths))) and all(0 < sum(lengths[k] for k in b) <= 50 for b in whole) and len(whole) <= len(first)
     assert sorted(k for b in best for k in b) == list(range(len(lengths))) and all(0 < sum(lengths[k] for k in b) <= 50 for b in best) and len(best) <= len(first)
 
 
@@ -321,10 +323,10 @@ def test_id_files(docs, edges, empty, texts, word_tokenizer, tmp_path, spark):
             at += r["n_tokens"]
         assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows) == want
     assert idfile.write_and_read(empty, WORD).count() == 0
-    shard = idfile.Shard(idfile.to_bytes([1, None, 3], [raw([1, 2]), b"", raw([70_000])]))
+    shard = idfile.Shard(idfile.to_bytes([1, None, 3], [np.array([1, 2], "<u2"), np.array([], "<u2"), np.array([70_000], "<u4")]))
     assert shard.document(0).tolist() == [1, 2] and shard.document(1).tolist() == [] and shard.document(2).tolist() == [70_000] and shard.doc_ids(0, 3) == [1, None, 3]
     with pytest.raises(ValueError):
-        idfile.Shard(idfile.to_bytes([1], [raw([1])])[:-1])
+        idfile.Shard(idfile.to_bytes([1], [np.array([1], "<u2")])[:-1])
 
 
 def test_id_ranges(spark):
@@ -492,8 +494,8 @@ def test_lm_against_plain_python():
             node = 1 << d | int(leaves.code[leaf]) >> lm.DEPTH - d
             h = (one * 0x100003 + two + 1) * int(lm._MIX) % 2**64
             h = (h ^ node * 0xD6E8FEB86659FD93 % 2**64) * int(lm._MIX) % 2**64
-            first = [0, lf * lm.NODES, (lf * (lm.FREQUENT + 1) + lf2) * lm.NODES, int(leaves.near[one]) * lm.NODES, 0]
-            slots = [int(lm.LEAF_SLOTS[k]) + f + (h >> 44 if k == 4 else node) for k, f in enumerate(first)]
+            first = [lf * lm.NODES, (lf * (lm.FREQUENT + 1) + lf2) * lm.NODES, int(leaves.near[one]) * lm.NODES, 0]
+            slots = [int(lm.LEAF_SLOTS[k]) + f + (h >> 45 if k == 3 else node) for k, f in enumerate(first)]
             yield d, node, int(leaves.code[leaf]) >> lm.DEPTH - 1 - d & 1, slots, one >= leaves.n_hot
 
     want = Counter()
@@ -509,8 +511,8 @@ def test_lm_against_plain_python():
             for d, node, bit, slots, rare in bits(t, i):
                 n = [(float(table[2 * s]), float(table[2 * s + 1])) for s in slots]
                 x = [*[math.log((b + 0.4) / (a + 0.4)) for a, b in n], 0.3]
-                gate = sum(sum(n[2]) > e for e in (0.5, 3.5, 15.5, 255.5)) * 4 + sum(sum(n[4]) > e for e in (0.5, 3.5, 15.5))
-                z = sum(v * float(mixer.weights[0][gate, k] + mixer.weights[1][2 * d + rare, k]) for k, v in enumerate(x))
+                gate = sum(sum(n[1]) > e for e in (0.5, 3.5, 15.5, 255.5)) * 4 + sum(sum(n[3]) > e for e in (0.5, 3.5, 15.5))
+                z = sum(v * float(mixer.weights[0][k, gate] + mixer.weights[1][k, 2 * d + rare]) for k, v in enumerate(x))
                 z = max(-16.0, min(16.0, z))
                 p = 1 / (1 + math.exp(-z))
                 zero, one = mixer.refine[node * lm.BUCKETS + max(0, min(lm.BUCKETS - 1, round(z * 2) + lm.BUCKETS // 2))]
@@ -538,7 +540,7 @@ def test_lm_spelling_is_a_distribution():
         p = 1.0
         for _, bit, node, slots, spot in code.bits(np.array([b]), [h[:1] for h in hashes], place[:1]):
             x, n = lm._inputs(spell, slots)
-            q = float(speller.refined(speller.mixed(x, (lm._spell_gate(n), spot)), node)[0][0])
+            q = float(speller.refined(speller.mixed(x, lm._spell_gate(n) * 32 + spot), node)[0])
             p *= q if bit[0] > 0.5 else 1 - q
         total += p
     assert math.isclose(total, 1, rel_tol=1e-4)
