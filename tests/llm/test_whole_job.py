@@ -7,7 +7,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from sluice.llm import langid, minhash, secrets
+import corpus_pipeline
+from sluice.llm import chat, langid, minhash, packing, quality, secrets
 
 
 def test_near_duplicates_form_letters(spark):
@@ -54,3 +55,40 @@ def test_secret_behind_words(spark, sf):
         rows += [(2 * i, name + "_" + base64.b64encode(hashlib.sha256(b"%d" % i).digest()).decode()[:24]), (2 * i + 1, name)]
     got = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), ratios).select("doc_id", F.size(F.filter("_secrets.all", lambda x: x["kind"] == "random"))).collect()
     assert all((n == 1) == (i % 2 == 0) for i, n in got)
+
+
+def test_clashing_columns(spark, sf):
+    """Columns with the operators' own names come through every stage as they are."""
+    names = ["_key", "_text_hash", "_host", "_stats", "_secrets", "_k", "_masked", "lang_pred", "score", "_lang", "_lang_pred", "_langaccepted", "node", "component", "piece", "length", "_doc"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    rows = quality.quality_rules(docs, carry=docs.columns).select("doc_id", "_carried").collect()
+    assert all(r["_carried"][n] == f"{n}{r['doc_id']}" for r in rows for n in names) and len(rows) == docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        got = out.collect()
+        assert out.columns == docs.columns and got and all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).select("doc_id").distinct().count() == docs.count()
+    chats = spark.createDataFrame([(1, 0, "user", "hi", "x", 5)], "conv_id long, turn long, role string, text string, kind string, level int")
+    assert chat.format_chat(chats).collect()[0]["kind"] == "message"
+
+
+def test_long_white_space(spark):
+    """Ids of a text with two million white-space characters are the library's."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    texts = ["a" + " \n" * 1_000_000 + "b", " " * 2_000_000]
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    totals = {r["doc_id"]: r["n"] for r in packing.pack_documents(got, P.path("byte_bpe_50k.json")).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert totals == {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_secrets_of_long_texts(spark, sf):
+    """Thousands of spans in one text, and a run of a million characters, in time that does not grow with the square."""
+    ratios = secrets.train_markov(secrets.labelled_samples(spark.read.parquet(f"{sf}/documents.parquet")))
+    keys = [hashlib.md5(b"%d" % k).hexdigest() for k in range(8000)]
+    rows = [(1, " é ".join(keys)), (2, "QmFz" * 250_000)]
+    found = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), ratios)
+    got = {r["doc_id"]: r for r in found.select("doc_id", F.col("_secrets.base").alias("b"), secrets.redacted(F.col("text"), F.col("_secrets.base")).alias("t")).collect()}
+    assert [(x["s"], x["e"]) for x in got[1]["b"]] == [(35 * k, 35 * k + 32) for k in range(8000)] and got[1]["t"] == " é ".join(["[SECRET]"] * 8000) and got[2]["b"] == []
