@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, quality, secrets
+from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, pieces, quality, secrets
 from sluice.llm.common import crc_mod, read_table
 
 
@@ -59,11 +59,16 @@ def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.write_and_read(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_best_fit_packing, op3_secret_scan, op4_media_sniffing, op5_quality_rules, op6_tool_call_linking,
         op7_language_id, op8_bpe_codec, op9_minhash_dedup, op10_token_id_files,
+        op11_piece_codec,
     )
 }
 
