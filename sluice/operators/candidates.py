@@ -80,8 +80,8 @@ def cached_lookup(df: DataFrame, cache: DataFrame, on: str, value: str) -> DataF
 
 
 def misses(df: DataFrame, on: str, order: str, quota: int) -> DataFrame:
-    """The first quota distinct keys without a cached value, by order."""
-    return df.where(~F.col("is_cached")).groupBy(on).agg(F.min(order).alias(order)).orderBy(order).limit(quota)
+    """The first quota distinct keys without a cached value, by order; keys that tie there go by themselves."""
+    return df.where(~F.col("is_cached")).groupBy(on).agg(F.min(order).alias(order)).orderBy(order, on).limit(quota)
 
 
 def provider_fallback(outcomes: DataFrame, row: str = "row_id", chunk: str = "chunk", tier: str = "tier", keys: list[str] | None = None) -> DataFrame:

@@ -366,7 +366,7 @@ def sheet_column_width(spark, sf):
 
 
 @query("""WITH c AS (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0)
-SELECT l_suppkey, min(l_orderkey * 100 + l_linenumber) AS place FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM c) GROUP BY l_suppkey ORDER BY place LIMIT 25""")
+SELECT l_suppkey, min(l_orderkey * 100 + l_linenumber) AS place FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM c) GROUP BY l_suppkey ORDER BY place, l_suppkey LIMIT 25""")
 def lookup_quota(spark, sf):
     """The first 25 keys that a cache lacks: what a run's quota lets it ask for."""
     cache = table(spark, sf, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("value"))

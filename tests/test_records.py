@@ -249,3 +249,10 @@ def test_streams(spark, tmp_path):
         df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
     assert sorted(r["id"] for r in spark.table("first").collect()) == ["a", "b", "c"]
     assert sorted((str(r["start"]), r["kind"], r["n"]) for r in spark.table("counts").collect()) == [("2026-09-04 10:00:00", "x", 3), ("2026-09-04 11:00:00", "y", 1)]
+
+
+def test_a_quota_over_tied_places(spark):
+    from sluice.operators import candidates
+
+    rows = spark.createDataFrame([(k, 7, False) for k in (5, 3, 9, 1, 8)] + [(2, 1, True), (4, 3, False)], "k int, place int, is_cached boolean").repartition(5)
+    assert [tuple(r) for r in candidates.misses(rows, "k", "place", 3).collect()] == [(4, 3), (1, 7), (3, 7)]
