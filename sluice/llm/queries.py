@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, pieces, quality, secrets
+from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, pieces, quality, secrets, variants
 from sluice.llm.common import crc_mod, read_table
 
 
@@ -63,16 +63,45 @@ def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_best_fit_packing, op3_secret_scan, op4_media_sniffing, op5_quality_rules, op6_tool_call_linking,
         op7_language_id, op8_bpe_codec, op9_minhash_dedup, op10_token_id_files,
-        op11_piece_codec,
+        op11_piece_codec, op12_spelling_variants,
     )
 }
 
+#: crc32 of a text as a macro of common table expressions: its table, and the checksum of column {0} as an expression.
+_CRC_TABLE = """crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM (
+  SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(0, 256) AS r(i)))"""
+_BYTES = "list_transform(range(0, octet_length(encode({0}))), lambda i: CAST('0x' || substr(hex(encode({0})), 2 * i + 1, 2) AS BIGINT))"
+_CRC = "xor(list_reduce(" + _BYTES + ", lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
 SQL: dict[str, str] = {
+    "op12_spelling_variants": f"""
+WITH RECURSIVE {_CRC_TABLE},
+found AS (SELECT doc_id, translate(u.run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS u(run)),
+runs AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS k, count(*) AS n FROM found WHERE length(run) >= 6 GROUP BY ALL),
+summed AS (SELECT run, n, {_CRC.format("k")} AS h FROM runs, crc_table),
+spoiled AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM summed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoiled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS r(p)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b, a.n AS na, b.n AS nb FROM less a JOIN less b ON a.p = b.p AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word < b.word
+  UNION SELECT a.word, b.word, a.n, b.n FROM words a JOIN less b ON a.word = b.rest
+),
+near AS (SELECT a AS word, b AS near, nb AS n FROM pairs UNION ALL SELECT b, a, na FROM pairs),
+best AS (SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place FROM near),
+forms AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 5 * w.n THEN b.near END AS form, CASE WHEN b.n >= 5 * w.n THEN b.n END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word AND b.place = 1),
+path(word, root) AS (SELECT word, word FROM words UNION ALL SELECT path.word, forms.form FROM path JOIN forms ON path.root = forms.word WHERE forms.form IS NOT NULL)
+SELECT forms.word, forms.form, path.root, forms.n, CAST(forms.n_near AS BIGINT) AS n_near, forms.form_n
+FROM forms JOIN path ON path.word = forms.word JOIN forms e ON e.word = path.root AND e.form IS NULL
+""",
     "op5_quality_rules": r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
