@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, pieces, quality, secrets, variants
+from sluice.llm import bpe, chat, idfile, langid, lm, media, minhash, packing, pieces, quality, secrets, trie, variants
 from sluice.llm.common import crc_mod, read_table
 
 
@@ -67,12 +67,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(read_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_best_fit_packing, op3_secret_scan, op4_media_sniffing, op5_quality_rules, op6_tool_call_linking,
         op7_language_id, op8_bpe_codec, op9_minhash_dedup, op10_token_id_files,
-        op11_piece_codec, op12_spelling_variants,
+        op11_piece_codec, op12_spelling_variants, op13_prefix_trie,
     )
 }
 
@@ -83,6 +87,30 @@ _BYTES = "list_transform(range(0, octet_length(encode({0}))), lambda i: CAST('0x
 _CRC = "xor(list_reduce(" + _BYTES + ", lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
 
 SQL: dict[str, str] = {
+    "op13_prefix_trie": f"""
+WITH RECURSIVE {_CRC_TABLE},
+t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+  PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, n, CAST(c AS VARCHAR) AS k FROM (SELECT c, count(*) AS n FROM t GROUP BY c)),
+heads AS (SELECT c, n, {_CRC.format("k")} % 6 AS h FROM ids, crc_table),
+taken AS (SELECT a.c, a.c - a.c % 100 AS base, a.h, least(a.h, coalesce(b.n, 0)) AS k FROM heads a LEFT JOIN ids b ON b.c = a.c - a.c % 100),
+made AS (
+  SELECT taken.c, pos AS d, role, text FROM taken JOIN t ON t.c = taken.base AND t.pos <= taken.k
+  UNION ALL SELECT taken.c, pos - h + k, role, text FROM taken JOIN t ON t.c = taken.c AND t.pos > taken.h
+),
+whole AS (SELECT ids.c, coalesce(len(path), 0) AS n, coalesce(path, []) AS path FROM ids LEFT JOIN (SELECT c, list(md5(role || chr(1) || text) ORDER BY d) AS path FROM made GROUP BY c) p ON p.c = ids.c),
+steps AS (SELECT c, n, d, array_to_string(path[1:d], ',') AS node, array_to_string(path[1:d - 1], ',') AS above FROM whole, unnest(range(0, n + 1)) AS r(d)),
+chars AS (SELECT steps.node, max(length(made.text)) AS chars FROM steps JOIN made ON made.c = steps.c AND made.d = steps.d GROUP BY ALL),
+nodes AS (SELECT d, node, any_value(above) AS above, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = n), '')) AS ends_sha256 FROM steps GROUP BY d, node),
+worth AS (SELECT nodes.*, (n_convs - 1) * coalesce(chars, 0) AS own, NOT EXISTS (SELECT 1 FROM nodes x WHERE x.d = nodes.d + 1 AND x.above = nodes.node) AS leaf FROM nodes LEFT JOIN chars USING (node)),
+up(d, node, top_d, top, own, leaf) AS (
+  SELECT d, node, d, node, own, leaf FROM worth
+  UNION ALL SELECT up.d, up.node, up.top_d - 1, worth.above, up.own, up.leaf FROM up JOIN worth ON worth.d = up.top_d AND worth.node = up.top WHERE up.top_d > 0
+),
+sums AS (SELECT top_d AS d, top AS node, sum(own) AS saved, count(*) FILTER (WHERE leaf) AS leaves, count(*) FILTER (WHERE d = top_d + 1) AS children FROM up GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, s.children AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.d = n.d AND s.node = n.node LEFT JOIN nodes p ON p.d = n.d - 1 AND p.node = n.above
+""",
     "op12_spelling_variants": f"""
 WITH RECURSIVE {_CRC_TABLE},
 found AS (SELECT doc_id, translate(u.run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS u(run)),
