@@ -6,23 +6,25 @@ bits of each end packed side by side, the high bits in unary in a bit vector, wi
 the place of every ``EVERY``-th set bit for select. That takes about 2 + log2(mean
 length) bits a document in place of 64. Document ids stand as 64-bit integers.
 
-Writing: ids are counted by ranges, weighted by the bytes of their texts, in narrow
-passes that look closer at ranges over the target, so that each range of ids is about
-``range_bytes`` of text. Each range is one task's: it is sorted (Spark spills what
-does not fit) and streamed into files of at most ``FILE_IDS`` ids and one document.
-Files go to the shared folder under a temporary name and are renamed, so that an
-attempt that dies leaves nothing that is read; a lost executor's files are written
-again with the same content. The starts of files are a prefix sum in two levels.
+Writing: rows are dealt by Spark's range partitioner over (id, hash of the text, input
+partition) into tasks of about ``range_bytes`` of text, the mean of all, and sorted
+there (Spark spills what does not fit). A task encodes its rows as they come and streams
+them into files of at most ``FILE_IDS`` ids and one document; the number of the range is
+that of the shard. The hash splits an id with a third of the rows, and the partition
+number splits copies of one row. Texts are moved once, nothing comes to the driver but
+their length. Files go to the shared folder under a temporary name and are renamed, so
+that an attempt that dies leaves nothing that is read; a lost executor's files are
+written again with the same content. The starts of files are a prefix sum in two levels.
 
 Reading opens a file and finds the documents' ends by select, a block of documents at
 a time, without a table of all of them.
 
-A single id of more than a range, and rows without an id, are dealt on by a hash of
-their tokens, so one id with a third of the rows is not one task.
-
-Defined results: null text has the end token alone; rows without an id come first,
-in files of their own; repeated rows are kept, next to each other; an empty table
-gives no file and an empty result.
+Defined results: null text has the end token alone; rows without an id come first; ids of
+whole numbers are longs, those of another type keep it and its order, and a type without
+an order is refused by Spark; rows that share an id are in the order of their texts'
+hashes, however the input is cut, and repeated rows are kept next to each other; a very
+long text is one document of one file; an empty table gives no file and an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sluice.llm.common import cut, shared_dir, slices, texts_of
 
@@ -45,9 +49,7 @@ EVERY = 256
 #: Ids of a file, about.
 FILE_IDS = 1 << 22
 #: Bytes of text of a range.
-RANGE_BYTES = 64 << 20
-#: Ranges that are counted at a time; their counts come to the driver.
-BUCKETS = 1 << 12
+RANGE_BYTES = 32 << 20
 #: Documents whose ends are read at a time.
 BLOCK = 4096
 
@@ -114,17 +116,25 @@ class EliasFano:
         return (high << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1)
 
 
-def to_bytes(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    """A shard file of the ids of each document; ids of documents may be null."""
+def to_bytes(doc_ids: list | pa.Array, ids: list[np.ndarray]) -> bytes:
+    """A shard file of the ids of each document; ids of documents may be null. Those that are no longs stand as an Arrow stream."""
+    column = doc_ids if isinstance(doc_ids, pa.Array) else pa.array(doc_ids, pa.int64())
+    if longs := pa.types.is_int64(column.type):
+        stored = column.fill_null(0).to_numpy().astype("<i8").tobytes()
+    else:
+        batch, out = pa.RecordBatch.from_arrays([column], names=["id"]), pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, batch.schema) as stream:
+            stream.write_batch(batch)
+        stored = out.getvalue().to_pybytes()
     lengths = np.array([len(x) for x in ids], np.int64)
     data = np.concatenate([*ids, np.zeros(0, "<u2")])
     wide = bool(len(data)) and int(data.max()) >= 1 << 16
     ends = EliasFano.of(np.cumsum(lengths))
     blocks = [
-        np.array([x or 0 for x in doc_ids], "<i8").tobytes(), np.packbits(np.array([x is None for x in doc_ids], bool)).tobytes(),
+        stored, np.packbits(np.array(column.is_null().to_pylist(), bool)).tobytes(),
         ends.low.tobytes(), ends.high.tobytes(), ends.samples.astype("<u8").tobytes(), data.astype("<u4" if wide else "<u2").tobytes(),
     ]
-    head = json.dumps({"n": len(ids), "low_bits": ends.low_bits, "width": 4 if wide else 2, "blocks": [len(b) for b in blocks], "crc": zlib.crc32(b"".join(blocks[:-1]))}).encode()
+    head = json.dumps({"n": len(ids), "longs": longs, "low_bits": ends.low_bits, "width": 4 if wide else 2, "blocks": [len(b) for b in blocks], "crc": zlib.crc32(b"".join(blocks[:-1]))}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *blocks])
 
 
@@ -143,12 +153,15 @@ class Shard:
         if at != len(data) or zlib.crc32(b"".join(blocks[:-1])) != head["crc"]:
             raise ValueError("a damaged shard file")
         self.n = head["n"]
-        self._doc_ids, self._null = np.frombuffer(blocks[0], "<i8"), np.frombuffer(blocks[1], np.uint8)
+        self._null = np.frombuffer(blocks[1], np.uint8)
+        self._doc_ids = np.frombuffer(blocks[0], "<i8") if head["longs"] else pa.ipc.open_stream(blocks[0]).read_next_batch().column(0)
         self.ends = EliasFano(self.n, head["low_bits"], np.frombuffer(blocks[2], np.uint8), np.frombuffer(blocks[3], np.uint8), np.frombuffer(blocks[4], "<u8"))
         self.ids = np.frombuffer(blocks[5], f"<u{head['width']}")
 
-    def doc_ids(self, i: int, j: int) -> list[int | None]:
+    def doc_ids(self, i: int, j: int) -> list:
         """The ids of the documents i to j - 1, i a multiple of 8."""
+        if isinstance(self._doc_ids, pa.Array):
+            return self._doc_ids.slice(i, j - i).to_pylist()
         null = np.unpackbits(self._null[i // 8 : -(-j // 8)]).astype(bool)
         return [None if x else d for d, x in zip(self._doc_ids[i:j].tolist(), null)]
 
@@ -180,94 +193,47 @@ def _as_uri(folder: str) -> str:
     return folder if "://" in folder else "file://" + folder.removeprefix("file:")
 
 
-def ranges(rows: DataFrame, target: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bounds, shares) of rows (_id, _w): range k has the ids from bounds[k - 1] on and below bounds[k], its weight is about
-    target or its ids are one; it is dealt over shares[k + 1] tasks. shares[0] is that of rows without an id."""
-    whole = rows.agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.sum(F.when(F.col("_id").isNull(), F.col("_w"))).alias("null")).first()
-    none = max(1, -(-int(whole["null"] or 0) // target))
-    if whole["lo"] is None:
-        return np.zeros(0, np.int64), np.array([none, 1], np.int64)
-    done: list[tuple[int, int, int]] = []  # (first id, ids, weight)
-    open_ = [(whole["lo"], whole["hi"] - whole["lo"] + 1)]
-    # whole numbers all along; ids that span more than a long holds are counted in decimals
-    k = F.expr("(_id - first) div step" if open_[0][1] < 1 << 63 else "(cast(_id as decimal(20, 0)) - first) div step").cast("long").alias("k")
-    while open_:
-        each = max(2, BUCKETS // len(open_))
-        firsts, steps = [a for a, _ in open_], [-(-n // each) for _, n in open_]
-        # the ranges to look into are at most the buckets over the target
-        table = rows.sparkSession.createDataFrame([(a, a + n - 1, s) for (a, n), s in zip(open_, steps)], "first long, last long, step long")
-        at = rows.join(F.broadcast(table), F.col("_id").between(F.col("first"), F.col("last"))).select("first", k, "_w")
-        sizes = dict(zip(firsts, steps))
-        open_ = []
-        for r in at.groupBy("first", "k").agg(F.sum("_w").alias("w")).collect():  # at most BUCKETS rows
-            n = sizes[r["first"]]
-            (open_ if r["w"] > 2 * target and n > 1 else done).append((r["first"] + r["k"] * n, n, *(() if r["w"] > 2 * target and n > 1 else (int(r["w"]),))))
-    bounds, shares, held = [], [none, 1], target  # nothing lies below the first bound
-    for first, n, weight in sorted(done):
-        if held + weight > target or shares[-1] > 1:
-            bounds.append(first)
-            shares.append(max(1, -(-weight // target)) if n == 1 else 1)
-            held = 0
-        held += weight
-    return np.array(bounds, np.int64), np.array(shares, np.int64)
+def id_type(docs: DataFrame, doc_id: str) -> T.DataType:
+    """The type that ids have in files: long for whole numbers, else their own."""
+    kind = docs.schema[doc_id].dataType
+    return T.LongType() if isinstance(kind, T.IntegralType) else kind
 
 
 def write_shards(
     docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2, range_bytes: int = RANGE_BYTES, file_ids: int = FILE_IDS,
 ) -> DataFrame:
-    """Writes every document's ids and returns (shard, file, uri, n_docs, n_ids), checkpointed, a row per file, in the order of (shard, file).
-
-    Texts are encoded where they lie and only ids are moved, once.
-    """
-    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_t"))
-    weighed = rows.select("_id", (F.octet_length(F.coalesce("_t", F.lit(""))) + 8).cast("long").alias("_w"))
-    bounds, shares = ranges(weighed, range_bytes)
-    tasks = int(shares.sum())
-    before = np.cumsum(shares) - shares
+    """Writes every document's ids and returns (shard, file, uri, n_docs, n_ids), checkpointed, a row per file, in the order of (shard, file)."""
+    kind = id_type(docs, doc_id)
+    rows = docs.select(F.col(doc_id).cast(kind).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    rows = rows.select("_id", F.xxhash64("_t").alias("_hash"), F.spark_partition_id().alias("_part"), "_t")
+    size = rows.agg(F.sum(F.octet_length("_t").cast("long") + 8)).first()[0] or 0
+    order = [F.col("_id").asc_nulls_first(), F.col("_hash"), F.col("_part")]
+    dealt = rows.repartitionByRange(max(1, -(-size // range_bytes)), *order).sortWithinPartitions(*order)
+    target, own = _as_uri(folder), to_arrow_type(kind)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sluice.llm.tokens import encoder
 
-        encode_, end = encoder(path, spaced=False), np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches):
-            ids = [x + end for x in encode_(texts_of(batch.column(1)))]
-            null = np.array(batch.column(0).is_null().to_pylist(), bool)
-            own = np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64)
-            place = np.where(null, 0, np.searchsorted(bounds, own, side="right") + 1)
-            part = np.array([zlib.crc32(x) for x in ids], np.int64) % shares[place]
-            # two bytes an id are moved where they hold all of the slice
-            lengths, data = np.array([len(x) for x in ids]), np.frombuffer(b"".join(ids), "<u4")
-            width = 4 if len(data) and int(data.max()) >= 1 << 16 else 2
-            ends = np.concatenate([[0], np.cumsum(lengths // 4 * width)]).astype("<i4")
-            moved = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(data.astype(f"<u{width}"))])
-            yield pa.RecordBatch.from_arrays([pa.array(before[place] + part), batch.column(0), pa.array([width] * len(ids), pa.int32()), moved], names=["shard", "_id", "width", "ids"])
-
-    target = _as_uri(folder)
-
-    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by shard and id; a shard's last row may stand in a later batch than its first."""
-        current, file, held, doc_ids, ids = None, 0, 0, [], []
+        encode, end, shard = encoder(path, spaced=False), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        file, held, doc_ids, ids = 0, 0, [], []
 
         def flush():
-            uri = f"{target}/shard-{current:09d}-{file:06d}.ids"
-            _put(uri, to_bytes(doc_ids, ids))
-            return pa.RecordBatch.from_arrays([pa.array([current]), pa.array([file]), pa.array([uri]), pa.array([len(ids)]), pa.array([held])], names=["shard", "file", "uri", "n_docs", "n_ids"])
+            uri = f"{target}/shard-{shard:09d}-{file:06d}.ids"
+            _put(uri, to_bytes(pa.array(doc_ids, own), ids))
+            return pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([file]), pa.array([uri]), pa.array([len(ids)]), pa.array([held])], names=["shard", "file", "uri", "n_docs", "n_ids"])
 
-        for batch in batches:
-            for s, i, width, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                if s != current or held >= file_ids:
-                    if current is not None:
-                        yield flush()
-                    current, file, held, doc_ids, ids = s, file + 1 if s == current else 0, 0, [], []
+        for batch in slices(batches):
+            for i, x in zip(batch.column(0).to_pylist(), encode(texts_of(batch.column(1)))):
+                if held >= file_ids:
+                    yield flush()
+                    file, held, doc_ids, ids = file + 1, 0, [], []
                 doc_ids.append(i)
-                ids.append(np.frombuffer(x.as_buffer(), f"<u{width}").copy())
+                ids.append(np.frombuffer(x + end, "<u4"))
                 held += len(ids[-1])
-        if current is not None:
+        if doc_ids:
             yield flush()
 
-    encoded = rows.mapInArrow(encode, "shard long, _id long, width int, ids binary")
-    sorted_ = encoded.repartition(2 * tasks, "shard").sortWithinPartitions("shard", F.col("_id").asc_nulls_first(), F.xxhash64("width", "ids"))  # more tasks than shards, so that few get two
-    return cut(sorted_.mapInArrow(store, "shard long, file long, uri string, n_docs long, n_ids long"))
+    return cut(dealt.select("_id", "_t").mapInArrow(store, "shard long, file long, uri string, n_docs long, n_ids long"))
 
 
 def with_starts(shards: DataFrame, block: int = 256) -> DataFrame:
@@ -281,10 +247,11 @@ def with_starts(shards: DataFrame, block: int = 256) -> DataFrame:
     return rows.join(blocks, "block").select("uri", (F.col("over") + F.col("within")).alias("base"))
 
 
-def read_shards(spark: SparkSession, shards: DataFrame, doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
-    """Per document from the files: the id, start, n_tokens, ids_crc32 and, with_ids, the ids. shards: what write_shards returned."""
-    schema = f"`{doc_id}` long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    names = [doc_id, "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
+def read_shards(spark: SparkSession, shards: DataFrame, doc_id: str = "doc_id", with_ids: bool = False, kind: T.DataType = T.LongType()) -> DataFrame:
+    """Per document from the files: the id, start, n_tokens, ids_crc32 and, with_ids, the ids. shards: what write_shards returned; kind: the ids' type."""
+    fields = [T.StructField(doc_id, kind), *[T.StructField(n, T.LongType()) for n in ("start", "n_tokens", "ids_crc32")]] + [T.StructField("ids", T.BinaryType())] * with_ids
+    schema, own = T.StructType(fields), to_arrow_type(kind)
+    names = schema.names
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,16 +263,16 @@ def read_shards(spark: SparkSession, shards: DataFrame, doc_id: str = "doc_id",
                     begin = int(ends[-1])
                     data = [shard.ids[a:b].astype("<u4").tobytes() for a, b in zip(begins.tolist(), ends.tolist())]
                     columns = [
-                        pa.array(shard.doc_ids(i, i + BLOCK), pa.int64()), pa.array(begins + base), pa.array(ends - begins),
+                        pa.array(shard.doc_ids(i, i + BLOCK), own), pa.array(begins + base), pa.array(ends - begins),
                         pa.array([zlib.crc32(x) for x in data], pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns + [pa.array(data, pa.binary())] * with_ids, names=names)
 
     files = cut(with_starts(shards))
-    return files.repartition(max(1, files.count()), "uri").mapInArrow(load, schema)
+    return files.repartition(max(1, files.count())).mapInArrow(load, schema)
 
 
 def write_and_read(docs: DataFrame, path: str, folder: str | None = None, doc_id: str = "doc_id", text: str = "text", end_id: int = 2) -> DataFrame:
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
-    return read_shards(spark, write_shards(docs, path, folder, doc_id, text, end_id), doc_id)
+    return read_shards(spark, write_shards(docs, path, folder, doc_id, text, end_id), doc_id, kind=id_type(docs, doc_id))

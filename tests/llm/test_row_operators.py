@@ -329,18 +329,49 @@ def test_id_files(docs, edges, empty, texts, word_tokenizer, tmp_path, spark):
         idfile.Shard(idfile.to_bytes([1], [np.array([1], "<u2")])[:-1])
 
 
-def test_id_ranges(spark):
-    """Ranges of about equal weight for ids in clusters, negative and far apart; an id of a third of all is dealt on."""
+def test_id_files_of_hot_ids(spark, word_tokenizer, tmp_path):
+    """Ids in clusters and far apart, one with a third of the rows, copies of one row, rows without an id: no range holds them all."""
     rng = random.Random(4)
-    ids = [rng.randrange(1000) for _ in range(3000)] + [10**15 + k for k in range(3000)] + [-(10**17)] * 50 + [7] * 4000 + [None] * 500
-    bounds, shares = idfile.ranges(spark.createDataFrame([(i, 10) for i in ids], "_id long, _w long"), 2000)
-    place = [0 if i is None else 1 + int(np.searchsorted(bounds, i, side="right")) for i in ids]
-    per = {k: n * 10 / shares[k] for k, n in Counter(place).items()}
-    assert max(per.values()) <= 4000 and shares[0] == 3 and max(shares) >= 20 and len(per) < 60
-    wide = [-(2**63), 2**63 - 1, *range(100)] * 20
-    bounds, _ = idfile.ranges(spark.createDataFrame([(i, 10) for i in wide], "_id long, _w long"), 2000)
-    assert max(Counter(np.searchsorted(bounds, wide, side="right").tolist()).values()) <= 400 and len(bounds) < 30
-    assert idfile.ranges(spark.createDataFrame([], "_id long, _w long"), 5)[1].tolist() == [1, 1]
+    rows = [(i, f"w{rng.randrange(50)} text") for i in [rng.randrange(1000) for _ in range(300)] + [10**15 + k for k in range(300)] + [-(10**17)] * 50 + [7] * 400 + [None] * 100 + [-(2**63), 2**63 - 1]]
+    rows += [(9, "the same row")] * 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    shards = idfile.write_shards(docs, WORD, str(tmp_path / "hot"), range_bytes=1500)
+    n = Counter()
+    for r in shards.collect():
+        n[r["shard"]] += r["n_docs"]
+    assert max(n.values()) < 400 and sum(n.values()) == len(rows)
+    got = sorted(idfile.read_shards(spark, shards).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+
+
+def test_id_files_do_not_depend_on_slices(spark, tmp_path):
+    """Starts are the same however the input is cut; texts of one id too."""
+    rows = [(k // 3, f"text {k * 7919 % 1000} " * (k % 40)) for k in range(600)] + [(None, "x"), (None, "y z")] + [(5, "text")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.repartition(3).write.parquet(str(tmp_path / "in"))
+    got = []
+    for size in ("10m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            docs = spark.read.parquet(str(tmp_path / "in"))
+            shards = idfile.write_shards(docs, WORD, str(tmp_path / size), range_bytes=4000)
+            got.append(sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in idfile.read_shards(spark, shards).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    plan = idfile.read_shards(spark, shards)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("kind, ids", [
+    ("string", ["b", "a10", "a9", None, "é", "", "a10"]), ("double", [2.5, -1.0, None, 1e300, 0.5, 7.0, 2.5]), ("int", [3, 1, None, -7, 2, 9, 3]), ("decimal(20, 2)", [2, 1, None, -7, 3, 9, 2]), ("date", [None] * 7),
+])
+def test_ids_of_any_type(spark, word_tokenizer, kind, ids):
+    docs = spark.createDataFrame([(None if i is None else str(i), f"text {k}") for k, i in enumerate(ids)], "i string, text string").select(F.col("i").cast(kind).alias("doc_id"), "text")
+    want = [r.doc_id for r in docs.orderBy(F.col("doc_id").asc_nulls_first()).collect()]
+    got = sorted(idfile.write_and_read(docs, WORD).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == want
+    assert sum(r["n_tokens"] for r in got) == sum(len(word_tokenizer.encode(f"text {k}", add_special_tokens=False).ids) + 1 for k in range(len(ids)))
 
 
 def test_chat(spark, sf):
