@@ -7,7 +7,9 @@ at the start corrects the declared type; all are carved. Objects inside a found
 object are its own and are not carved again.
 
 Everything is local to a row. Formats that end with a mark look it up in places
-collected once per row (``Marks``). A validator that fails costs the bytes it read.
+collected once per row (``Marks``), and walks over boxes, blocks, segments and pages
+remember where they came to, so that magic numbers within each other's reach do not
+multiply; the others stop at the first length that does not fit.
 
 Defined results: null bytes are empty, without type and objects; bytes that hold no
 object have no detected type and are not corrected; equal rows get equal results; an
@@ -88,75 +90,93 @@ def end_of_bmp(b: bytes, at: int) -> int:
     return at + size
 
 
-def end_of_gif(b: bytes, at: int) -> int:
+def walked(memo: dict, state: tuple, step: Callable[[tuple], tuple | int]) -> int:
+    """The end that a walk from state comes to: step gives the next state, or the end. What was walked before, from whatever start, is not walked again."""
+    path: list[tuple] = []
+    while (out := memo.get(state)) is None:
+        path.append(state)
+        got = step(state)
+        if isinstance(got, int):
+            out = got
+            break
+        state = got
+    memo.update(dict.fromkeys(path, out))
+    return out
+
+
+def end_of_gif(b: bytes, at: int, marks: Marks) -> int:
+    """GIF: blocks by their lengths, an image among them, and the end mark."""
     if b[at + 3 : at + 6] not in (b"87a", b"89a") or at + 13 > len(b):
         return -1
-    flags = b[at + 10]
-    k = at + 13 + (3 << ((flags & 7) + 1) if flags & 128 else 0)
-
-    def blocks(k: int) -> int:
-        while 0 <= k < len(b):
-            if b[k] == 0:
-                return k + 1
-            k += 1 + b[k]
-        return -1
 
-    images = 0
-    while 0 <= k < len(b):
+    def table(flags: int) -> int:
+        return 3 << ((flags & 7) + 1) if flags & 128 else 0
+
+    def step(state: tuple) -> tuple | int:
+        k, images, inside = state  # inside: at a length within a block
+        if k >= len(b):
+            return -1
+        if inside:
+            return (k + 1 + b[k], images, b[k] > 0)
         if b[k] == 0x3B:
             return k + 1 if images else -1
         if b[k] == 0x21:
-            k = blocks(k + 2)
-        elif b[k] == 0x2C and k + 10 <= len(b):
-            own = b[k + 9]
-            k, images = blocks(k + 11 + (3 << ((own & 7) + 1) if own & 128 else 0)), images + 1
-        else:
-            return -1
-    return -1
+            return (k + 2, images, True)
+        if b[k] == 0x2C and k + 10 <= len(b):
+            return (k + 11 + table(b[k + 9]), True, True)
+        return -1
+
+    return walked(marks.walks("gif"), (at + 13 + table(b[at + 10]), False, False), step)
 
 
-def end_of_jpeg(b: bytes, at: int) -> int:
+def end_of_jpeg(b: bytes, at: int, marks: Marks) -> int:
     """JPEG: segments by their lengths, a frame and a scan, and the end marker after the scan's data."""
-    k, frame = at + 2, False
-    while k + 4 <= len(b):
-        if b[k] != 0xFF:
+
+    def step(state: tuple) -> tuple | int:
+        k, frame = state
+        if k + 4 > len(b) or b[k] != 0xFF:
             return -1
         kind = b[k + 1]
         if kind == 0xFF:
-            k += 1
-            continue
-        if kind == 0xD9:
-            return -1
+            return (k + 1, frame)
         n = int.from_bytes(b[k + 2 : k + 4], "big")
-        if n < 2 or kind in (0x00, 0x01) or 0xD0 <= kind <= 0xD8:
+        if n < 2 or kind in (0x00, 0x01) or 0xD0 <= kind <= 0xD9:
             return -1
         frame = frame or (0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC))
         k += 2 + n
-        if kind == 0xDA:
-            if not frame:
-                return -1
-            while (k := b.find(b"\xff", k)) >= 0 and k + 1 < len(b):
-                if b[k + 1] == 0xD9:
-                    return k + 2
-                if b[k + 1] != 0 and not 0xD0 <= b[k + 1] <= 0xD7:
-                    break
-                k += 2
-            if k < 0:
-                return -1
-    return -1
+        if kind != 0xDA:
+            return (k, frame)
+        k = marks.scan_end(k) if frame else -1
+        if k < 0 or k + 1 >= len(b):
+            return -1
+        return k + 2 if b[k + 1] == 0xD9 else (k, frame)
 
+    return walked(marks.walks("jpeg"), (at + 2, False), step)
 
-def end_of_gzip(b: bytes, at: int) -> int:
-    """gzip: one member that inflates with the right checksum and length, fed in bounded pieces."""
-    inflate, k = zlib.decompressobj(31), at
+
+def end_of_gzip(b: bytes, at: int, marks: Marks) -> int:
+    """gzip: one member whose header has no reserved flag and that inflates with the right checksum and length, fed in pieces that grow up to a bound."""
+    if at + 18 > len(b) or b[at + 3] & 0xE0:
+        return -1
+    k = at + 10
+    if b[at + 3] & 4:
+        k += 2 + int.from_bytes(b[k : k + 2], "little")
+    for flag in (8, 16):  # a name and a comment, which end with a zero
+        if b[at + 3] & flag:
+            k = marks.zero(k) + 1
+            if not k:
+                return -1
+    # the header is fed with what comes first, so that the library does not look for its end in vain
+    inflate, piece = zlib.decompressobj(31), 128
     try:
+        inflate.decompress(b[at:k], 1 << 20)
         while k < len(b) and not inflate.eof:
-            piece = b[k : k + 65536]
-            while piece and not inflate.eof:
-                inflate.decompress(piece, 1 << 20)
-                piece = inflate.unconsumed_tail
-            k += 65536
-        return min(k, len(b)) - len(inflate.unused_data) if inflate.eof else -1
+            fed = b[k : k + piece]
+            k, piece = k + len(fed), min(2 * piece, 65536)
+            while fed and not inflate.eof:
+                inflate.decompress(fed, 1 << 20)
+                fed = inflate.unconsumed_tail
+        return k - len(inflate.unused_data) if inflate.eof else -1
     except zlib.error:
         return -1
 
@@ -165,7 +185,27 @@ class Marks:
     """Places of end marks in some bytes, each kind looked for once and only if it is asked for."""
 
     def __init__(self, data: bytes):
-        self.data, self._zip, self._pdf = data, None, None
+        self.data, self._zip, self._pdf, self._scan = data, None, None, None
+        self._walks: dict[str, dict] = {}
+        self._zeros: list[int] | None = None
+
+    def walks(self, kind: str) -> dict:
+        """What walks of a format have come to, by state."""
+        return self._walks.setdefault(kind, {})
+
+    def zero(self, k: int) -> int:
+        """The first zero byte from k on; -1 if there is none."""
+        if self._zeros is None:
+            self._zeros = [m.start() for m in re.finditer(rb"\0", self.data)]
+        at = bisect_left(self._zeros, k)
+        return self._zeros[at] if at < len(self._zeros) else -1
+
+    def scan_end(self, k: int) -> int:
+        """The first marker from k on that ends the data of a JPEG scan; -1 if there is none."""
+        if self._scan is None:
+            self._scan = [m.start() for m in re.finditer(rb"\xff[^\x00\xd0-\xd7]", self.data, re.S)]
+        at = bisect_left(self._scan, k)
+        return self._scan[at] if at < len(self._scan) else -1
 
     def zip_ends(self) -> dict[int, int]:
         """Where an archive begins and where it ends, for each end record with its directory right before it."""
@@ -212,58 +252,82 @@ def end_of_webp(b: bytes, at: int) -> int:
     return end if k == end else -1
 
 
-def end_of_mp4(b: bytes, at: int) -> int:
+def end_of_mp4(b: bytes, at: int, marks: Marks) -> int:
     """MP4: boxes by their sizes, a file type first and a movie or fragments among the others; it ends before what is no known box."""
-    k, seen = at, set()
-    while k + 8 <= len(b):
-        n, name = _u32(b, k, ">"), b[k + 4 : k + 8]
+
+    def step(state: tuple) -> tuple | int:
+        k, movie = state
+        name = b[k + 4 : k + 8]
+        if k + 8 > len(b) or name not in _BOXES:
+            return k if movie else -1
+        n = _u32(b, k, ">")
         if n == 1 and k + 16 <= len(b):
             n = int.from_bytes(b[k + 8 : k + 16], "big")
-        if name not in _BOXES:
-            break
-        if n < 8 or k + n > len(b):
-            return -1
-        seen.add(name)
-        k += n
-    return k if seen & {b"moov", b"moof"} else -1
+        return -1 if n < 8 or k + n > len(b) else (k + n, movie or name in (b"moov", b"moof"))
+
+    return walked(marks.walks("mp4"), (at, False), step)
 
 
 _BOXES = {b"ftyp", b"moov", b"mdat", b"free", b"skip", b"wide", b"uuid", b"meta", b"moof", b"mfra", b"sidx", b"styp", b"emsg", b"pdin"}
 
 
-def _ogg_table() -> list[int]:
-    out = []
-    for x in range(256):
-        x <<= 24
-        for _ in range(8):
-            x = (x << 1 ^ 0x04C11DB7 if x >> 31 else x << 1) & 0xFFFFFFFF
-        out.append(x)
-    return out
+#: Each byte with its bits from the other end.
+_TURNED = bytes(int(f"{x:08b}"[::-1], 2) for x in range(256))
 
 
-_OGG = _ogg_table()
+def ogg_checksum(page: bytes) -> int:
+    """The checksum of a page with zeros in its place: zlib's polynomial, from the other end, without its first and last complement."""
+    return int(f"{zlib.crc32(page.translate(_TURNED), 0xFFFFFFFF) ^ 0xFFFFFFFF:032b}"[::-1], 2)
 
 
-def end_of_ogg(b: bytes, at: int) -> int:
-    """Ogg: pages with right checksums, from one that begins a stream to one that ends it."""
-    k, open_ = at, set()
-    while k + 27 <= len(b) and b[k : k + 5] == b"OggS\0":
-        flags, serial, n = b[k + 5], _u32(b, k + 14), b[k + 26]
-        end = k + 27 + n + sum(b[k + 27 : k + 27 + n])
-        if end > len(b) or (serial not in open_ and not flags & 2):
-            return -1
-        crc = 0
-        for x in b[k : k + 22] + b"\0\0\0\0" + b[k + 26 : end]:
-            crc = (crc << 8 & 0xFFFFFFFF) ^ _OGG[crc >> 24 ^ x]
-        if crc != _u32(b, k + 22):
-            return -1
-        open_.add(serial)
+def _ogg_page(b: bytes, k: int) -> tuple[int, int, int] | None:
+    """(end, flags, serial) of a page with the right checksum."""
+    if k + 27 > len(b) or b[k : k + 5] != b"OggS\0":
+        return None
+    n = b[k + 26]
+    end = k + 27 + n + sum(b[k + 27 : k + 27 + n])
+    if end > len(b) or ogg_checksum(b[k : k + 22] + b"\0\0\0\0" + b[k + 26 : end]) != _u32(b, k + 22):
+        return None
+    return end, b[k + 5], _u32(b, k + 14)
+
+
+def end_of_ogg(b: bytes, at: int, marks: Marks) -> int:
+    """Ogg: pages with right checksums, from one that begins a stream to one that ends the last of those begun since.
+
+    Pages that follow each other are looked at once, for all their beginnings. A
+    beginning holds until every stream begun from it on has ended, which is found from
+    the back: what lies within a later beginning's reach is passed over in one step.
+    """
+    known = marks.walks("ogg")
+    if at in known:
+        return known[at]
+    pages, k = [], at
+    while (p := _ogg_page(b, k)) is not None:
+        pages.append((k, *p))
+        k = p[0]
+    n = len(pages)
+    if not n:
+        return -1
+    began: dict[int, list[int]] = {}
+    since, until = [-1] * n, [-1] * n  # the last beginning of a page's stream; the end of the stream that a page begins
+    for t, (_, _, flags, serial) in enumerate(pages):
+        if flags & 2:
+            began.setdefault(serial, []).append(t)
+        since[t] = began[serial][-1] if serial in began else -1
         if flags & 4:
-            open_.discard(serial)
-        k = end
-        if not open_:
-            return k
-    return -1
+            for i in began.pop(serial, ()):
+                until[i] = t
+    reach, least = [-1] * n, list(range(n))
+    for i in range(n - 1, -1, -1):
+        far, j, low = until[i], i + 1, i
+        while 0 <= far and j <= far:
+            if pages[j][2] & 2:
+                far, low, j = (max(far, reach[j]), min(low, least[j]), reach[j] + 1) if reach[j] >= 0 else (-1, low, j)
+            else:
+                low, j = min(low, since[j]), j + 1
+        reach[i], least[i] = far, low
+        known[pages[i][0]] = pages[far][1] if pages[i][2] & 2 and far >= 0 and low >= i else -1
+    return known[at]
 
 
 def end_of_webm(b: bytes, at: int) -> int:
@@ -326,6 +390,8 @@ FORMATS: list[tuple[str, bytes, int, Callable[..., int]]] = [
     ("application/zip", b"PK\x03\x04", 0, end_of_zip), ("application/pdf", b"%PDF-", 0, end_of_pdf), ("video/mp4", b"ftyp", 4, end_of_mp4), ("audio/ogg", b"OggS\0", 0, end_of_ogg),
     ("video/webm", b"\x1a\x45\xdf\xa3", 0, end_of_webm), ("image/tiff", b"II*\0", 0, end_of_tiff), ("image/tiff", b"MM\0*", 0, end_of_tiff),
 ]
+#: Validators that share what they found between the places of one row.
+WITH_MARKS = {end_of_zip, end_of_pdf, end_of_gif, end_of_jpeg, end_of_mp4, end_of_ogg, end_of_gzip}
 _automaton = None
 
 
@@ -350,7 +416,7 @@ def sniff(data: bytes) -> list[tuple[str, int, int]]:
             start = last - n + 1 - before
             if start < free:
                 continue
-            end = validate(data, start, marks) if validate in (end_of_zip, end_of_pdf) else validate(data, start)
+            end = validate(data, start, marks) if validate in WITH_MARKS else validate(data, start)
             if end > start:
                 out.append((name, start, end))
                 free = end

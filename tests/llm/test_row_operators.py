@@ -265,6 +265,18 @@ def test_sniffing():
 
 
 def test_sniffing_does_not_grow_with_the_square():
+    page = lambda flags, serial: (lambda p: p[:22] + struct.pack("<I", ogg_crc(p)) + p[26:])(b"OggS\0" + bytes([flags]) + struct.pack("<QIII", 0, serial, 0, 0) + b"\1\0")
+    begun = b"".join(page(2, k) for k in range(20_000))
+    for junk in [name * (1_000_000 // len(name)) for _, name, _, _ in media.FORMATS] + [
+        b"\0\0\0\x08ftyp" * 125_000, b"\0\0\0\x10ftyp\0\0\0\x08ftyp" * 60_000, begun, b"OggS\0\2" * 160_000, b"\xff\xd8\xff\xe0\x00\x04" * 160_000,
+        b"GIF89a\0\0\0\0\0\0\0!\0\x0dGIF89a\0\0\0\0\0\0\0\0" * 30_000]:
+        start = time.time()
+        assert media.sniff(junk) == []
+        assert time.time() - start < 10, junk[:40]
+    start = time.time()
+    ends = b"".join(page(4, k) for k in range(20_000))
+    assert media.sniff(begun + ends) == [("audio/ogg", 0, len(begun + ends))] and media.sniff(page(2, 1 << 20) + begun[:28] + ends[:28]) == [("audio/ogg", 28, 84)]
+    assert time.time() - start < 10
     for junk in (b"PK\x03\x04" * 200_000, b"%PDF-1.4 " * 100_000, b"PK\x03\x04PK\x05\x06" * 100_000 + bytes(30), b"%PDF-1.4 %%EOF" * 50_000):
         start = time.time()
         assert media.sniff(junk) == []
@@ -581,3 +593,20 @@ def test_lm_spelling_is_a_distribution():
     whole = lm.score_spelling([long], np.array([3]), code, spell, speller)[0]
     lm.BATCH = held
     assert math.isclose(whole, lm.score_spelling([long], np.array([3]), code, spell, speller)[0], rel_tol=1e-5)
+
+
+def test_long_words_are_merged_in_bounded_time(word_tokenizer):
+    """Words longer than the pairwise search takes, of many kinds, and one of a megabyte."""
+    rng, codec = random.Random(4), bpe.Codec(WORD)
+    for n in (bpe.SHORT, bpe.SHORT + 1, 200, 3000):
+        for letters in ("acgt", "ab", "thein", "aé", "qwertyuiop"):
+            w = "".join(rng.choice(letters) for _ in range(n))
+            assert np.frombuffer(codec.encode([w.encode()])[0][0], "<u4").tolist() == word_tokenizer.encode(w, add_special_tokens=False).ids
+            if w.isascii():
+                ids = [*[codec.v.ids[c] for c in w[:-1]], codec.v.ids[w[-1] + codec.v.end]]
+                assert codec.v.exact(ids) == codec.v._exact_by_heap(ids)
+    w = "".join(rng.choice("acgt") for _ in range(1_000_000))
+    start = time.time()
+    got = codec.encode([w.encode()])[0][0]
+    assert time.time() - start < 20
+    assert np.frombuffer(got, "<u4").tolist() == word_tokenizer.encode(w, add_special_tokens=False).ids
