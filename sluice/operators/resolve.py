@@ -5,6 +5,10 @@ normal names are few beside the rows, so they are settled first. A name is a lea
 when no seed name and no leader before it is similar enough; that is decided in
 rounds, each settling the names whose earlier neighbours are settled, over the edges
 of a similarity join. Rows then join their names.
+
+What a run learned can be given to the next (``learned``): names known before lead, in
+the order in which they were first seen, so that runs over the parts of an input one
+after the other give the names of one run over all of it.
 """
 
 from __future__ import annotations
@@ -42,13 +46,18 @@ def seed_table(spark: SparkSession, seed: dict[str, list[str]]) -> DataFrame:
     )
 
 
-def _edges(names: DataFrame, table: DataFrame, percent: float) -> DataFrame:
-    """(norm, other, seeded, score): for each name, seed names and names before it with percent or more."""
+def _edges(names: DataFrame, table: DataFrame, percent: float, learned: DataFrame | None = None) -> DataFrame:
+    """(norm, other, other_at, score): for each name, seed names, learned names and names before it with percent or more."""
     seeds = table.select("norm", F.col("ord").cast("long").alias("place"), F.lit(0).alias("group"))
     both = seeds.unionByName(names.select("norm", F.col("first").alias("place"), F.lit(1).alias("group")))
+    if learned is not None:
+        both = both.unionByName(learned.select("norm", F.col("first").alias("place"), F.lit(1).alias("group")))
     pairs = similar_pairs(both.select("norm", F.col("norm").alias("key")), percent, "norm")
     info = lambda c: both.select(F.col("norm").alias(c), F.struct("group", "place").alias(f"{c}_at"))
     met = pairs.join(info("a"), "a").join(info("b"), "b").where("a_at.group = 1 or b_at.group = 1")
+    if learned is not None:  # what is known before stays as it is
+        fresh = lambda c: names.select(F.col("norm").alias(c), F.lit(True).alias(f"{c}_new"))
+        met = met.join(fresh("a"), "a", "left").join(fresh("b"), "b", "left").where("a_new or b_new")
     a_first = F.col("a_at") < F.col("b_at")
     return met.select(
         F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("norm"), F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("other"),
@@ -56,9 +65,11 @@ def _edges(names: DataFrame, table: DataFrame, percent: float) -> DataFrame:
     )
 
 
-def _leaders(names: DataFrame, edges: DataFrame) -> DataFrame:
-    """(norm) of the names that no seed name and no earlier leader is similar to."""
+def _leaders(names: DataFrame, edges: DataFrame, learned: DataFrame | None = None) -> DataFrame:
+    """(norm) of the names that no seed name, no learned name and no earlier leader is similar to."""
     merged = edges.where("other_at.group = 0").select("norm").distinct()
+    if learned is not None:
+        merged = merged.unionByName(edges.join(learned.select(F.col("norm").alias("other")), "other", "left_semi").select("norm")).distinct()
     edges = _cut(edges.where("other_at.group = 1").select("norm", "other"))
     merged = _cut(merged)
     open_ = _cut(edges.select("norm").distinct().join(merged, "norm", "left_anti"))
@@ -77,11 +88,28 @@ def _leaders(names: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def resolve(
-    df: DataFrame, raw: str, seq: str, seed: dict[str, list[str]] | None = None, threshold: float = 97.0, carry: list[str] | None = None,
+    df: DataFrame, raw: str, seq: str, seed: dict[str, list[str]] | None = None, threshold: float = 97.0, carry: list[str] | None = None, learned: DataFrame | None = None,
 ) -> DataFrame:
-    """(seq, raw_name, canonical_name, method, confidence[, carried]): method exact, alias, fuzzy or unmatched-new."""
-    rows, table, names, edges, leaders = _settled(df, raw, seq, seed, threshold, carry or [])
-    shown = names.join(leaders, "norm").select(F.col("norm").alias("l_norm"), F.col("raw").alias("l_raw"), F.col("first").alias("l_first"))
+    """(seq, raw_name, canonical_name, method, confidence[, carried]): method exact, alias, fuzzy or unmatched-new.
+
+    learned: (norm, raw, first) of names that earlier runs learned, as learned_names gives them; their places come before those of df.
+    """
+    return resolve_and_learn(df, raw, seq, seed, threshold, carry, learned)[0]
+
+
+def resolve_and_learn(
+    df: DataFrame, raw: str, seq: str, seed: dict[str, list[str]] | None = None, threshold: float = 97.0, carry: list[str] | None = None, learned: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows as resolve gives them, (norm, raw, first) of the names that this run learned)."""
+    rows, table, names, edges, leaders = _settled(df, raw, seq, seed, threshold, carry or [], learned)
+    own = names.join(leaders, "norm").select("norm", "raw", "first")
+    shown = own if learned is None else own.unionByName(learned.select("norm", "raw", "first"))
+    shown = shown.select(F.col("norm").alias("l_norm"), F.col("raw").alias("l_raw"), F.col("first").alias("l_first"))
+    leaders = shown.select(F.col("l_norm").alias("norm"))
+    # a name that is no leader is compared at each occurrence with all that are known by then, those first seen after it too
+    at = names.select(F.col("norm"), F.struct(F.lit(1).alias("group"), F.col("first").alias("place")).alias("own_at"))
+    back = edges.where("other_at.group = 1").join(at, "norm").select(F.col("other").alias("norm"), F.col("norm").alias("other"), F.col("own_at").alias("other_at"), "score")
+    edges = edges.unionByName(back)
     kept = edges.join(leaders.select(F.col("norm").alias("other"), F.lit(True).alias("leads")), "other", "left").where("other_at.group = 0 or leads")
     displays = table.select(F.col("norm").alias("other"), "display").unionByName(shown.select(F.col("l_norm").alias("other"), F.col("l_raw").alias("display")))
     # only names that are not leaders have fuzzy matches, the same at each occurrence but for leaders learned meanwhile
@@ -103,18 +131,22 @@ def resolve(
         .when(F.col("l_first").isNotNull(), "exact").when(F.col("f").isNotNull(), "fuzzy").otherwise("unmatched-new")
     )
     confidence = F.when(method == "unmatched-new", 0.0).when(method == "fuzzy", F.round("f.score", 6)).otherwise(100.0)
-    return out.select(F.col("_seq").alias(seq), F.col("raw").alias("raw_name"), canonical.alias("canonical_name"), method.alias("method"), confidence.alias("confidence"), *(carry or []))
+    return out.select(F.col("_seq").alias(seq), F.col("raw").alias("raw_name"), canonical.alias("canonical_name"), method.alias("method"), confidence.alias("confidence"), *(carry or [])), own
 
 
-def _settled(df, raw, seq, seed, threshold, carry):
+def _settled(df, raw, seq, seed, threshold, carry, learned=None):
     seed = COMPANIES if seed is None else seed
     rows = df.select(F.col(seq).cast("long").alias("_seq"), F.coalesce(F.col(raw).cast("string"), F.lit("")).alias("raw"), *carry).withColumn("norm", normalize_name(F.col("raw")))
     table = seed_table(df.sparkSession, seed).where("norm <> ''") if seed else df.sparkSession.createDataFrame([], "norm string, canonical string, kind string, display string, ord int")
     table = _cut(table)
     names = rows.where("norm <> ''").groupBy("norm").agg(F.min("_seq").alias("first"), F.trim(F.min_by("raw", "_seq")).alias("raw"))
-    names = _cut(names.join(table.select("norm"), "norm", "left_anti"))
-    edges = _cut(_edges(names, table, threshold))
-    return rows, table, names, edges, _leaders(names, edges)
+    names = names.join(table.select("norm"), "norm", "left_anti")
+    if learned is not None:
+        learned = learned.join(table.select("norm"), "norm", "left_anti")
+        names = names.join(learned.select("norm"), "norm", "left_anti")
+    names = _cut(names)
+    edges = _cut(_edges(names, table, threshold, learned))
+    return rows, table, names, edges, _leaders(names, edges, learned)
 
 
 def review_candidates(df: DataFrame, raw: str, seq: str, seed: dict[str, list[str]] | None = None, threshold: float = 97.0, review: float = 80.0) -> DataFrame:

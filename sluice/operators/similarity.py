@@ -1,52 +1,126 @@
-"""Similarity joins of short names by token-sorted insert-and-delete similarity.
+"""Similarity joins of names by token-sorted insert-and-delete similarity.
 
 Two strings of lengths a and b with similarity t per hundred differ by at most
-(1 - t) * (a + b) insertions and deletions. If one is cut into one segment more than
-that, a segment stands unchanged in the other, shifted by no more. So the shorter is
-indexed by its segments, the longer is probed with its substrings around their
-places, and only strings that share a segment are scored: an equi-join, never all
-pairs.
+(1 - t) * (a + b) insertions and deletions. A deletion takes two of a string's pairs of
+neighbouring letters (its ends count as letters), an insertion one, so of a + 1 pairs at
+most so many are lost. If the pairs of both strings are put in one order, a pair they
+share stands among the first of each, one more than can be lost: only these are indexed,
+under both lengths, and the order is the rarest first, so that keys stay small.
+
+A key that more than ``CROWD`` entries hold is split by a second pair of letters, which
+two similar strings share too, among one more of their first; what is still larger is
+joined by tiles of bounded size. Candidates are met once, at the first pairs they share,
+and scored by a longest common subsequence in machine words. Never all pairs of names.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.text import lcs_length, token_sort
 
+#: Entries of a key beyond which it is split.
+CROWD = 500
+#: Stands for a pair of letters where two similar strings may share none.
+ANY = "*"
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def letter_pairs(names: pd.Series) -> pd.Series:
+    """The pairs of neighbouring letters, ends among them, each with the number of its like before it."""
+
+    def one(s: str) -> list[str]:
+        seen: Counter[str] = Counter()
+        out = []
+        for p in map("".join, zip("\0" + s, s + "\0")):
+            out.append(f"{p}{seen[p]}")
+            seen[p] += 1
+        return out
+
+    return names.map(one)
+
+
+def _by_rarity(rows: DataFrame) -> DataFrame:
+    """rows (k, s, len) with pairs, the rarest of all names first."""
+    pairs = rows.select("k", F.explode(letter_pairs("s")).alias("pair"))
+    often = pairs.groupBy("pair").agg(F.count("*").alias("n"))
+    ordered = pairs.join(often, "pair").groupBy("k").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("p"))
+    return rows.join(ordered.select("k", F.col("p.pair").alias("pairs")), "k")
+
+
+def _entries(rows: DataFrame, t: float) -> DataFrame:
+    """(lo, hi, pair, k, s, len, first, more) for each length that a partner of a name can have, and each of its first pairs; first and
+    more are the pairs among which one and two are shared."""
+    n, m = F.col("len"), F.col("m")
+    lengths = F.sequence(F.greatest(F.lit(1), F.ceil(n * (t / (2 - t)) - 1e-9)).cast("int"), F.floor(n * ((2 - t) / t) + 1e-9).cast("int"))
+    out = rows.select("*", F.explode(lengths).alias("m")).select("*", F.least(n, m).alias("lo"), F.greatest(n, m).alias("hi"))
+    most = F.floor((F.col("lo") + F.col("hi")) * (1 - t) + 1e-9).cast("int")
+    d = most - F.pmod(most - (F.col("hi") - F.col("lo")), F.lit(2))  # as many more insertions as the lengths differ
+    out = out.withColumn("d", d).where("d >= hi - lo")
+    lost = ((3 * F.col("d") + n - m) / 2).cast("int")
+    # shared of both sides at the least: pairs less what is lost
+    shared = F.least(n + 1 - lost, m + 1 - ((3 * F.col("d") + m - n) / 2).cast("int"))
+
+    def among(k: int) -> Column:
+        return F.when(shared >= k, F.slice("pairs", F.lit(1), lost + k)).otherwise(F.array(F.lit(ANY)))
+
+    out = out.select("lo", "hi", "k", "s", "len", among(1).alias("first"), among(2).alias("more"))
+    return out.select("lo", "hi", "k", "s", "len", "first", "more", F.explode("first").alias("pair"))
+
+
+def _once(both: DataFrame) -> DataFrame:
+    """Candidates (x, y) of one key, where the key is what they share first."""
+    both = both.where("lo < hi or x_k < y_k").where(F.get(F.array_intersect("x_first", "y_first"), F.lit(0)) == F.col("pair"))
+    if "pair2" in both.columns:
+        second = F.get(F.array_except(F.array_intersect("x_more", "y_more"), F.array("pair")), F.lit(0))
+        both = both.where(F.coalesce(second, F.lit(ANY)) == F.col("pair2"))
+    a = F.col("x_k") < F.col("y_k")
+    return both.select(F.least("x_k", "y_k").alias("a"), F.greatest("x_k", "y_k").alias("b"), F.when(a, F.col("x_s")).otherwise(F.col("y_s")).alias("sa"), F.when(a, F.col("y_s")).otherwise(F.col("x_s")).alias("sb"))
+
+
+def _met(shorter: DataFrame, longer: DataFrame, on: list[str]) -> DataFrame:
+    side = lambda df, c: df.select(*on, *[F.col(x).alias(f"{c}_{x}") for x in ("k", "s", "first", "more")])
+    return _once(side(shorter.where("len = lo"), "x").join(side(longer.where("len = hi"), "y"), on))
+
+
+def _crowded(entries: DataFrame, on: list[str], crowd: int) -> DataFrame:
+    return entries.groupBy(*on).agg(F.count("*").alias("entries")).where(F.col("entries") > crowd)
+
+
+def _tiles(entries: DataFrame, sizes: DataFrame, on: list[str], crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Entries of large keys as those of tiles (i, j), shorter names by rows and longer by columns: about crowd of each in a tile, and two
+    names meet in one tile alone."""
+    dealt = entries.join(sizes, on).withColumn("parts", F.ceil(F.col("entries") / crowd).cast("int")).withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    return dealt.select(*entries.columns, F.col("part").alias("i"), others.alias("j")), dealt.select(*entries.columns, others.alias("i"), F.col("part").alias("j"))
 
-def _segments(length: Column, parts: Column) -> Column:
-    """(i, at, n) of parts even segments of a string of length: place from 1, and size."""
-    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.struct(
-        i.cast("int").alias("i"), (F.floor(length * i / parts) + 1).cast("int").alias("at"),
-        (F.floor(length * (i + 1) / parts) - F.floor(length * i / parts)).cast("int").alias("n"),
-    ))
 
+def candidates(rows: DataFrame, percent: float, crowd: int = CROWD) -> DataFrame:
+    """(a, b, sa, sb) of rows (k, s, len): every two names that can have percent or more, and some others, once each."""
+    one, two = ["lo", "hi", "pair"], ["lo", "hi", "pair", "pair2"]
+    entries = _entries(_by_rarity(rows), percent / 100)
+    large = _crowded(entries, one, crowd).select(*one)
+    split = entries.join(large, one, "left_semi")
+    seconds = F.array_except("more", F.array("pair"))
+    split = split.select("*", F.explode(F.when(F.size(seconds) > 0, seconds).otherwise(F.array(F.lit(ANY)))).alias("pair2"))
+    larger = _crowded(split, two, crowd)
+    calm, calmer = entries.join(large, one, "left_anti"), split.join(larger.select(*two), two, "left_anti")
+    rows_, columns = _tiles(split, larger, two, crowd)
+    return _met(calm, calm, one).unionByName(_met(calmer, calmer, two)).unionByName(_met(rows_, columns, [*two, "i", "j"]))
 
-def _most(length: Column, t: float) -> Column:
-    """The most insertions and deletions that a partner, no shorter, may need."""
-    longest = F.floor(length * ((2 - t) / t) + 1e-9)
-    return F.floor((length + longest) * (1 - t) + 1e-9).cast("int")
 
+def similar_pairs(names: DataFrame, percent: float, name: str = "name", key: str = "key", crowd: int = CROWD) -> DataFrame:
+    """(a, b, score): keys a < b of names with a score of percent or more. Names are normal already; keys are distinct.
 
-def similar_pairs(names: DataFrame, percent: float, name: str = "name", key: str = "key") -> DataFrame:
-    """(a, b, score): keys a < b of names with a score of percent or more. Names are normal already; keys are distinct."""
-    t = percent / 100
+    A name without words is similar to none. percent is above 0.
+    """
     rows = names.select(F.col(key).alias("k"), token_sort(F.col(name)).alias("s")).where("s <> ''").withColumn("len", F.length("s"))
-    one = rows.select("k", "s", "len", F.explode(_segments(F.col("len"), F.least(_most(F.col("len"), t) + 1, F.col("len")))).alias("x"))
-    index = one.select(F.col("k").alias("rk"), F.col("s").alias("rs"), F.col("len").alias("l"), "x.i", F.substring("s", F.col("x.at"), F.col("x.n")).alias("piece"))
-    shortest = F.greatest(F.lit(1), F.ceil(F.col("len") * (t / (2 - t)) - 1e-9).cast("int"))
-    probe = rows.select("k", "s", "len", F.explode(F.sequence(shortest, F.col("len"))).alias("l"))
-    probe = probe.withColumn("d", _most(F.col("l"), t))
-    probe = probe.select("k", "s", "len", "l", "d", F.explode(_segments(F.col("l"), F.least(F.col("d") + 1, F.col("l")))).alias("x"))
-    places = F.sequence(F.greatest(F.lit(1), F.col("x.at") - F.col("d")), F.least(F.col("len") - F.col("x.n") + 1, F.col("x.at") + F.col("d")))
-    probe = probe.where(F.greatest(F.lit(1), F.col("x.at") - F.col("d")) <= F.least(F.col("len") - F.col("x.n") + 1, F.col("x.at") + F.col("d")))
-    probe = probe.select("k", "s", "len", "l", "x.i", F.explode(F.array_distinct(F.transform(places, lambda p: F.substring(F.col("s"), p, F.col("x.n"))))).alias("piece"))
-    met = probe.join(index, ["l", "i", "piece"]).where("k <> rk").select(
-        F.least("k", "rk").alias("a"), F.greatest("k", "rk").alias("b"), F.when(F.col("k") < F.col("rk"), F.col("s")).otherwise(F.col("rs")).alias("sa"),
-        F.when(F.col("k") < F.col("rk"), F.col("rs")).otherwise(F.col("s")).alias("sb"),
-    ).distinct()
+    met = candidates(rows, percent, crowd)
     total = F.length("sa") + F.length("sb")
     score = F.when(F.col("sa") == F.col("sb"), F.lit(100.0)).otherwise(200.0 * lcs_length(F.col("sa"), F.col("sb")) / total)
     return met.withColumn("score", score).where(F.col("score") >= percent - 1e-9).select("a", "b", "score")
