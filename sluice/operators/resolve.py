@@ -102,8 +102,8 @@ def resolve_and_learn(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows as resolve gives them, (norm, raw, first) of the names that this run learned)."""
     rows, table, names, edges, leaders = _settled(df, raw, seq, seed, threshold, carry or [], learned)
-    own = names.join(leaders, "norm").select("norm", "raw", "first")
-    shown = own if learned is None else own.unionByName(learned.select("norm", "raw", "first"))
+    taught = names.join(leaders, "norm").select("norm", "raw", "first")
+    shown = taught if learned is None else taught.unionByName(learned.select("norm", "raw", "first"))
     shown = shown.select(F.col("norm").alias("l_norm"), F.col("raw").alias("l_raw"), F.col("first").alias("l_first"))
     leaders = shown.select(F.col("l_norm").alias("norm"))
     # a name that is no leader is compared at each occurrence with all that are known by then, those first seen after it too
@@ -131,7 +131,7 @@ def resolve_and_learn(
         .when(F.col("l_first").isNotNull(), "exact").when(F.col("f").isNotNull(), "fuzzy").otherwise("unmatched-new")
     )
     confidence = F.when(method == "unmatched-new", 0.0).when(method == "fuzzy", F.round("f.score", 6)).otherwise(100.0)
-    return out.select(F.col("_seq").alias(seq), F.col("raw").alias("raw_name"), canonical.alias("canonical_name"), method.alias("method"), confidence.alias("confidence"), *(carry or [])), own
+    return out.select(F.col("_seq").alias(seq), F.col("raw").alias("raw_name"), canonical.alias("canonical_name"), method.alias("method"), confidence.alias("confidence"), *(carry or [])), taught
 
 
 def _settled(df, raw, seq, seed, threshold, carry, learned=None):

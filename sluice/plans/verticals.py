@@ -14,7 +14,9 @@ from sluice.functions.rules import normal_url, pricing_model, role_family
 from sluice.functions.text import content_hash
 from sluice.operators import dedup, validate
 from sluice.operators.candidates import isolated, probe_pricing
-from sluice.operators.resolve import resolve
+from sluice.operators.manifest import Tables
+from sluice.operators.resolve import mapping_log, resolve_and_learn
+from sluice.operators.scratch import Scratch
 
 
 @dataclass
@@ -29,15 +31,18 @@ class RunContext:
     review_threshold: float = 80.0
     fresh_hours: int = 24
     keywords: list[str] = field(default_factory=list)
+    #: Names that runs before this one learned (norm, raw, first); their places come before this run's.
+    learned: DataFrame | None = None
 
 
 @dataclass
 class Outcome:
-    """Accepted rows with their dedup_key, rejected rows with reasons, and entries of the mapping log."""
+    """Accepted rows with their dedup_key, rejected rows with reasons, entries of the mapping log, and the names learned."""
 
     accepted: DataFrame
     rejected: DataFrame
     mapping: DataFrame | None = None
+    learned: DataFrame | None = None
 
 
 def candidate_limit(target: int) -> int:
@@ -52,10 +57,11 @@ def category_quota(target: int, categories: int) -> int:
     return max(1, math.ceil(target * 1.15 / categories))
 
 
-def _resolved(ctx: RunContext, rows: DataFrame, name: str, source_url: str) -> tuple[DataFrame, DataFrame]:
-    out = resolve(rows, name, "seq", ctx.seed, ctx.fuzzy_threshold, [c for c in rows.columns if c != "seq"])
+def _resolved(ctx: RunContext, rows: DataFrame, name: str, source_url: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(resolved rows, mapping entries, names learned); names that ctx knows from runs before count as learned."""
+    out, taught = resolve_and_learn(rows, name, "seq", ctx.seed, ctx.fuzzy_threshold, [c for c in rows.columns if c != "seq"], ctx.learned)
     log = out.select("seq", "raw_name", "canonical_name", "method", "confidence", F.coalesce(F.col(source_url), F.lit("")).alias("source_url"), ctx.now.alias("timestamp"))
-    return out, log
+    return out, log, taught
 
 
 # Fixed value: the version that every record is pinned to.
@@ -108,14 +114,14 @@ def startups(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None, ta
         rows = rows.orderBy("seq").limit(candidate_limit(target))
     if seen is not None:
         rows = dedup.not_seen(rows.withColumn("item_id", F.lower(F.trim("name"))), seen, ["item_id"]).drop("item_id")
-    found, log = _resolved(ctx, rows, "name", "page_url")
+    found, log, taught = _resolved(ctx, rows, "name", "page_url")
     found = found.withColumn("source_url", normal_url(F.col("page_url")))
     good, bad = _checked(found, [validate.not_blank("canonical_name"), validate.is_url("page_url")], "STARTUP")
     good = good.select(
         "seq", F.col("raw_name").alias("entity_name"), "canonical_name", F.col("team_size").alias("employee_count"), "source_url",
         content_hash(F.col("canonical_name"), F.col("source_url")).alias("dedup_key"),
     )
-    return Outcome(good, bad, log)
+    return Outcome(good, bad, log, taught)
 
 
 def products(ctx: RunContext, rows: DataFrame, text: str = "page_text", answers: DataFrame | None = None, told: str | None = None) -> Outcome:
@@ -124,14 +130,14 @@ def products(ctx: RunContext, rows: DataFrame, text: str = "page_text", answers:
     rows = dedup.first_wins(rows.where(F.coalesce(F.trim("website"), F.lit("")) != ""), F.lower(F.trim("name")), ["seq"])
     rows = rows.withColumn("pricing_model", F.col(told) if told else pricing_model(F.col(text)))
     rows = _answered(rows, answers, F.when(F.col("pricing_model").isNotNull(), F.lower(F.trim("name"))), "pricing_model", validate.PRICING_MODELS)
-    found, log = _resolved(ctx, rows, "name", "website")
+    found, log, taught = _resolved(ctx, rows, "name", "website")
     found = found.withColumn("source_url", normal_url(F.col("website")))
     good, bad = _checked(found, [validate.is_url("website"), validate.one_of("pricing_model", validate.PRICING_MODELS)], "PRODUCT")
     good = good.select(
         "seq", F.col("raw_name").alias("startup_name"), "canonical_name", "pricing_model", "source_url",
         content_hash(F.col("canonical_name"), F.col("source_url"), F.col("pricing_model")).alias("dedup_key"),
     )
-    return Outcome(good, bad, log)
+    return Outcome(good, bad, log, taught)
 
 
 def probed_products(
@@ -153,7 +159,7 @@ def probed_products(
     pool = others.join(tried, F.lower(F.trim("name")) == F.col("_n"), "left_anti").orderBy("seq").limit(supplement_limit(target, have))
     second = of(pool)
     union = lambda a, b: a.unionByName(b, allowMissingColumns=True)
-    return Outcome(union(first.accepted, second.accepted), union(first.rejected, second.rejected), union(first.mapping, second.mapping))
+    return Outcome(*[union(a, b) for a, b in ((first.accepted, second.accepted), (first.rejected, second.rejected), (first.mapping, second.mapping), (first.learned, second.learned))])
 
 
 def papers(ctx: RunContext, rows: DataFrame, stars: DataFrame | None = None) -> Outcome:
@@ -198,52 +204,46 @@ def jobs(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None, answer
         live = dedup.not_seen(live, seen, ["item_id"])
     live = live.withColumn("role_family", role_family(F.col("title"), F.col("description")))
     live = _answered(live, answers, F.col("item_id"), "role_family", None)
-    found, log = _resolved(ctx, live, "company", "url")
+    found, log, taught = _resolved(ctx, live, "company", "url")
     good, bad = _checked(found, [validate.not_blank("canonical_name"), validate.required("date"), validate.required("is_remote"), validate.is_url("url", optional=True)], "JOB")
     good = good.withColumn("dedup_key", content_hash(
         F.col("canonical_name"), F.col("role_family"), F.coalesce(normal_url(F.col("url")), F.lit("")), F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss")
     ))
     bad = bad.unionByName(validate.rejections(stale, rows.columns, "JOB"), allowMissingColumns=True)
-    return Outcome(good, bad, log)
+    return Outcome(good, bad, log, taught)
 
 
-def store(ctx: RunContext, name: str, outcome: Outcome, seen_key: Column | None = None) -> int:
-    """Appends new rows, then the rejections and mapping entries, then marks what was stored; returns the rows stored.
+def store(ctx: RunContext, name: str, outcome: Outcome, seen_key: Column | None = None, commit: str | None = None) -> int:
+    """Commits new rows, rejections, mapping entries, names learned and marks of what was stored together; returns the rows stored.
 
-    The rows are written before the state, so a run that dies in between finds them as
-    duplicates, and rejected rows are tried again. Earlier files are read by path; the
-    first run has none.
+    All are one commit of ``manifest.Tables``: a run that dies at any point leaves nothing
+    that is read, and one that is repeated under the same commit adds nothing. Without a
+    commit's name each call is one of its own, and rows stored before are duplicates.
     """
-    path = f"{ctx.root}/{name}"
-    stored = _read(ctx.spark, path)
+    tables = Tables(ctx.spark, ctx.root)
+    if commit is not None and (done := tables.committed(commit)) is not None:
+        return done[name]
+    stored = tables.read(name)
     new = dedup.first_wins(outcome.accepted, "dedup_key", ["seq"])
     if stored is not None:
         new = dedup.not_seen(new, stored, ["dedup_key"])
-    new = new.persist()
-    try:
-        n = new.count()
-        if n:
-            new.write.mode("append").parquet(path)
-        outcome.rejected.write.mode("append").json(f"{ctx.root}/rejected/{name}")
-        if outcome.mapping is not None:
-            from sluice.operators.resolve import mapping_log
-
-            old = _read(ctx.spark, f"{ctx.root}/mapping")
-            mapping_log(outcome.mapping, "seq", old).drop("seq").write.mode("append").parquet(f"{ctx.root}/mapping")
-        if seen_key is not None and n:
-            new.select(F.lit(name).alias("namespace"), seen_key.alias("item_id"), ctx.now.alias("seen_at")).write.mode("append").parquet(f"{ctx.root}/seen")
-        return n
-    finally:
-        new.unpersist()
+    new = Scratch(ctx.spark).put(new)  # read by several writes
+    frames = {name: new, f"rejected/{name}": outcome.rejected}
+    if outcome.mapping is not None:
+        frames["mapping"] = mapping_log(outcome.mapping, "seq", tables.read("mapping")).drop("seq")
+    if outcome.learned is not None:
+        frames["learned"] = outcome.learned
+    if seen_key is not None:
+        frames["seen"] = new.select(F.lit(name).alias("namespace"), seen_key.alias("item_id"), ctx.now.alias("seen_at"))
+    return tables.commit(frames, commit)[name]
 
 
 def seen_items(ctx: RunContext, namespace: str) -> DataFrame | None:
-    state = _read(ctx.spark, f"{ctx.root}/seen")
+    state = Tables(ctx.spark, ctx.root).read("seen")
     return None if state is None else state.where(F.col("namespace") == namespace)
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(where) else None
+def learned_names(ctx: RunContext) -> DataFrame | None:
+    """(norm, raw, first) of the names that all runs stored under this root have learned, whatever the vertical; the first of each counts."""
+    state = Tables(ctx.spark, ctx.root).read("learned")
+    return None if state is None else dedup.first_wins(state, "norm", ["first"])

@@ -49,9 +49,9 @@ def asker(token: str = "") -> Callable[[str], Answer]:
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """The cache; empty where there is none yet. A slug that two runs found has the later count."""
-    from sluice.plans.verticals import _read
+    from sluice.operators.manifest import read_if_there
 
-    found = _read(spark, path)
+    found = read_if_there(spark, path)
     if found is None:
         return spark.createDataFrame([], CACHE)
     return found.groupBy("slug").agg(F.max_by(F.struct("github_stars"), "run").alias("x")).select("slug", "x.github_stars")

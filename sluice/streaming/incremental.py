@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.plans.verticals import Outcome, RunContext, store
+from sluice.plans.verticals import Outcome, RunContext, learned_names, store
 
 
 def run_stream(
     source: DataFrame, plan: Callable[[RunContext, DataFrame], Outcome], ctx: RunContext, name: str, checkpoint: str, seen_key=None,
 ) -> StreamingQuery:
-    """Runs plan over what is new and stops. A batch that is repeated after a failure finds its rows stored and adds none."""
+    """Runs plan over what is new and stops.
 
-    def one(batch: DataFrame, _: int) -> None:
-        store(ctx, name, plan(ctx, batch), seen_key)
+    A batch is one commit, named by the stream's own id, which its checkpoint keeps, and
+    the batch's number: repeated after a failure, it adds nothing twice. Each batch knows
+    the names that those before it learned.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        own = json.loads(ctx.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        known = replace(ctx, learned=learned_names(ctx))
+        store(known, name, plan(known, batch), seen_key, f"{name}/{own}/{number}")
 
     return source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sluice.functions.html import main_text
 from sluice.functions.salvage import salvage
 from sluice.operators import candidates, chunk, dedup
+from sluice.operators.manifest import Tables
 from sluice.plans import verticals
 from sluice.sinks import tabs
 from sluice.sources import http, stars
@@ -184,14 +185,14 @@ def test_store_twice_and_stream(spark, tmp_path):
     key = F.lower(F.trim("canonical_name"))
     assert verticals.store(ctx, "startups", verticals.startups(ctx, df), key) == 1
     assert verticals.store(ctx, "startups", verticals.startups(ctx, df, verticals.seen_items(ctx, "startups")), key) == 0
-    assert {r["raw_name"] for r in spark.read.parquet(f"{ctx.root}/mapping").collect()} == {"Acme", "Bad"}
+    assert {r["raw_name"] for r in Tables(spark, ctx.root).read("mapping").collect()} == {"Acme", "Bad"}
 
     df.coalesce(1).write.json(str(tmp_path / "in"))
     ctx2 = verticals.RunContext(spark, now, str(tmp_path / "out2"))
     for _ in range(2):  # the second run finds nothing new
         stream = incremental.read_files(spark, str(tmp_path / "in"), "seq bigint, name string, page_url string, team_size int")
         incremental.run_stream(stream, verticals.startups, ctx2, "startups", str(tmp_path / "cp"), key).awaitTermination(120)
-    assert spark.read.parquet(f"{ctx2.root}/startups").count() == 1
+    assert Tables(spark, ctx2.root).read("startups").count() == 1
 
 
 def test_verticals_with_answers_pins_and_pools(spark):
