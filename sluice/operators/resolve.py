@@ -71,6 +71,8 @@ def _leaders(names: DataFrame, edges: DataFrame, learned: DataFrame | None = Non
     if learned is not None:
         merged = merged.unionByName(edges.join(learned.select(F.col("norm").alias("other")), "other", "left_semi").select("norm")).distinct()
     edges = _cut(edges.where("other_at.group = 1").select("norm", "other"))
+    if edges.isEmpty():
+        return names.select("norm").join(merged, "norm", "left_anti")
     merged = _cut(merged)
     open_ = _cut(edges.select("norm").distinct().join(merged, "norm", "left_anti"))
     settled = names.select("norm").join(merged, "norm", "left_anti").join(open_, "norm", "left_anti")

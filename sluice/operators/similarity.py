@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.text import lcs_length, token_sort
+from sluice.operators.scratch import Scratch
 
 #: Entries of a key beyond which it is split.
 CROWD = 500
@@ -103,13 +104,16 @@ def _tiles(entries: DataFrame, sizes: DataFrame, on: list[str], crowd: int) -> t
 def candidates(rows: DataFrame, percent: float, crowd: int = CROWD) -> DataFrame:
     """(a, b, sa, sb) of rows (k, s, len): every two names that can have percent or more, and some others, once each."""
     one, two = ["lo", "hi", "pair"], ["lo", "hi", "pair", "pair2"]
-    entries = _entries(_by_rarity(rows), percent / 100)
-    large = _crowded(entries, one, crowd).select(*one)
-    split = entries.join(large, one, "left_semi")
+    scratch = Scratch(rows.sparkSession)  # entries are read once for each way and side
+    entries = scratch.put(_entries(_by_rarity(rows), percent / 100))
+    large = scratch.put(_crowded(entries, one, crowd).select(*one))
+    if large.isEmpty():
+        return _met(entries, entries, one)
+    calm, split = entries.join(large, one, "left_anti"), entries.join(large, one, "left_semi")
     seconds = F.array_except("more", F.array("pair"))
-    split = split.select("*", F.explode(F.when(F.size(seconds) > 0, seconds).otherwise(F.array(F.lit(ANY)))).alias("pair2"))
-    larger = _crowded(split, two, crowd)
-    calm, calmer = entries.join(large, one, "left_anti"), split.join(larger.select(*two), two, "left_anti")
+    split = scratch.put(split.select("*", F.explode(F.when(F.size(seconds) > 0, seconds).otherwise(F.array(F.lit(ANY)))).alias("pair2")))
+    larger = scratch.put(_crowded(split, two, crowd))
+    calmer = split.join(larger.select(*two), two, "left_anti")
     rows_, columns = _tiles(split, larger, two, crowd)
     return _met(calm, calm, one).unionByName(_met(calmer, calmer, two)).unionByName(_met(rows_, columns, [*two, "i", "j"]))
 
