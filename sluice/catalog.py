@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: Examples over literal rows, for tests: name to (function of spark, SQL). They are no queries, for their work never grows.
+EXAMPLES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 
 
 def query(sql: str | None = None, name: str | None = None):
@@ -23,6 +25,16 @@ def query(sql: str | None = None, name: str | None = None):
     return put
 
 
+def example(sql: str, name: str | None = None):
+    """Registers a function (spark, sf_dir) over literal rows as an example, with its SQL."""
+
+    def put(f):
+        EXAMPLES[name or f.__name__] = (f, sql)
+        return f
+
+    return put
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,4 +60,4 @@ def values(rows: list[tuple], names: str) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows) + ") AS t(" + ", ".join('"' + n.strip().strip('"') + '"' for n in names.split(",")) + ")"
 
 
-from sluice.plans import queries_records, queries_tables, queries_values  # noqa: E402, F401
+from sluice.plans import queries_records, queries_shaped, queries_tables, queries_values  # noqa: E402, F401

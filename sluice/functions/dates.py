@@ -75,4 +75,5 @@ def is_fresh(at: Column, now: Column, hours: int = 24) -> Column:
 def backoff_seconds(attempt: Column, base: float, most: float, retry_after: Column | None = None) -> Column:
     """The waiting time before jitter: doubled at each attempt, or what the server asks for, never above most."""
     grown = F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(float(most)))
-    return grown if retry_after is None else F.coalesce(F.least(retry_after, F.lit(float(most))), grown)
+    # least passes over nulls, so what was not asked for is told apart first
+    return grown if retry_after is None else F.when(retry_after.isNull(), grown).otherwise(F.least(retry_after, F.lit(float(most))))

@@ -1,10 +1,10 @@
-"""Queries of the record shapes and of the verticals as wholes, over literal rows."""
+"""Examples of the record shapes and of the verticals as wholes, over literal rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.catalog import inline, query, values
+from sluice.catalog import example, inline, values
 from sluice.plans import verticals
 from sluice.sinks.tabs import flatten
 
@@ -46,7 +46,7 @@ def _flat(kind, rows, schema, paths, expected):
     def run(spark, sf):
         return flatten(inline(spark, rows, schema).withColumn("collectedAt", F.col("at").cast("timestamp")), paths)
 
-    query(f"SELECT * FROM {values(expected, ', '.join(paths))}", f"flatten_{kind}")(run)
+    example(f"SELECT * FROM {values(expected, ', '.join(paths))}", f"flatten_{kind}")(run)
 
 
 for _kind, _x in RECORDS.items():
@@ -58,7 +58,7 @@ NEWS = [
 ]
 
 
-@query(f"SELECT * FROM {values([(0, 'gold'), (2, 'gold'), (3, 'rejected'), (5, 'rejected'), (6, 'rejected')], 'seq, branch')}")
+@example(f"SELECT * FROM {values([(0, 'gold'), (2, 'gold'), (3, 'rejected'), (5, 'rejected'), (6, 'rejected')], 'seq, branch')}")
 def news_vertical(spark, sf):
     rows = inline(spark, NEWS, "seq int, source_name string, headline string, url string, at string, summary string").withColumn("date", F.col("at").cast("timestamp")).drop("at")
     out = verticals.news(verticals.RunContext(spark, _now(), ""), rows)
@@ -68,7 +68,7 @@ def news_vertical(spark, sf):
 STARTUPS = [(0, "OpenAI, Inc.", "https://d.com/1", 5), (1, "openai, inc.", "https://d.com/2", 5), (2, "Nova Labs", "https://D.com", None), (3, "Bad", "d.com", 1)]
 
 
-@query("SELECT * FROM " + values([(0, "OpenAI", 5, "https://d.com/1"), (2, "Nova Labs", None, "https://d.com/")], "seq, canonical_name, employee_count, source_url"))
+@example("SELECT * FROM " + values([(0, "OpenAI", 5, "https://d.com/1"), (2, "Nova Labs", None, "https://d.com/")], "seq, canonical_name, employee_count, source_url"))
 def startups_vertical(spark, sf):
     rows = inline(spark, STARTUPS, "seq bigint, name string, page_url string, team_size int")
     return verticals.startups(verticals.RunContext(spark, _now(), ""), rows).accepted.drop("dedup_key", "entity_name")
@@ -77,7 +77,7 @@ def startups_vertical(spark, sf):
 JOBS = [(0, "OpenAI Inc", "Backend Engineer", "2026-09-04 10:00:00", True, "https://j.com/1", ""), (1, "Nova", "Cook", "2026-09-04 10:00:00", False, None, ""), (2, "Nova", "Cook", "2026-09-04 11:00:00", False, None, ""), (3, "Old", "Cook", "2026-08-04 10:00:00", False, None, "")]
 
 
-@query("SELECT * FROM " + values([(0, "OpenAI", "Engineering"), (1, "Nova", "Other")], "seq, canonical_name, role_family"))
+@example("SELECT * FROM " + values([(0, "OpenAI", "Engineering"), (1, "Nova", "Other")], "seq, canonical_name, role_family"))
 def jobs_vertical(spark, sf):
     rows = inline(spark, JOBS, "seq bigint, company string, title string, at string, is_remote boolean, url string, description string").withColumn("date", F.col("at").cast("timestamp")).drop("at")
     return verticals.jobs(verticals.RunContext(spark, _now(), ""), rows).accepted.select("seq", "canonical_name", "role_family")
@@ -86,7 +86,7 @@ def jobs_vertical(spark, sf):
 PRODUCTS = [(0, "Acme", "https://a.com", "free plan and $5/mo"), (1, "Beta", "https://b.com", "nothing"), (2, "Gamma", "", "free plan"), (3, "Delta", "https://d.com/x", "contact sales")]
 
 
-@query("SELECT * FROM " + values([(0, "Acme", "FREEMIUM", "https://a.com/"), (3, "Delta", "ENTERPRISE", "https://d.com/x")], "seq, canonical_name, pricing_model, source_url"))
+@example("SELECT * FROM " + values([(0, "Acme", "FREEMIUM", "https://a.com/"), (3, "Delta", "ENTERPRISE", "https://d.com/x")], "seq, canonical_name, pricing_model, source_url"))
 def products_vertical(spark, sf):
     rows = inline(spark, PRODUCTS, "seq bigint, name string, website string, page_text string")
     return verticals.products(verticals.RunContext(spark, _now(), ""), rows).accepted.select("seq", "canonical_name", "pricing_model", "source_url")
@@ -96,7 +96,7 @@ PAPERS = [(0, "1", "T", ["A"], "https://p.org/1", "https://github.com/a/b", "see
 STARS = [("a/b", 7)]
 
 
-@query("SELECT * FROM " + values([(0, "T", "https://github.com/a/b", 7), (1, "U", None, None)], "seq, title, github_url, github_stars"))
+@example("SELECT * FROM " + values([(0, "T", "https://github.com/a/b", 7), (1, "U", None, None)], "seq, title, github_url, github_stars"))
 def papers_vertical(spark, sf):
     rows = inline(spark, PAPERS, "seq bigint, paper_id string, title string, authors array<string>, paper_url string, github_url string, summary string").withColumn("published_date", _now())
     return verticals.papers(verticals.RunContext(spark, _now(), ""), rows, inline(spark, STARS, "slug string, github_stars int")).accepted.select("seq", "title", "github_url", "github_stars")

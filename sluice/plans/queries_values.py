@@ -1,4 +1,4 @@
-"""Queries over literal rows that both engines are given: parsing, rules, cascades and entity resolution."""
+"""Examples over literal rows that both engines are given: parsing, rules, cascades and entity resolution."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from sluice.catalog import inline, query, table, values
+from sluice.catalog import example, inline, query, table, values
 from sluice.functions import dates, html, rules, salvage, text
 from sluice.operators import candidates, resolve, similarity, validate
 from sluice.sources import payloads
@@ -33,7 +33,7 @@ def case(name, rows, schema, expected, names, make):
     def run(spark, sf):
         return make(inline(spark, rows, schema))
 
-    query(golden(expected, names), name)(run)
+    example(golden(expected, names), name)(run)
 
 
 DATES = [
@@ -84,12 +84,12 @@ def _sentences(spark):
     return all_.select((F.col("a") * 1000 + F.col("b") * 20 + F.col("d")).alias("id"), F.concat("h", "c", "t").alias("s"))
 
 
-@query(f"WITH {_SENTENCES}, {_HITS} SELECT id, id IN (SELECT id FROM hit) AS hit FROM s")
+@example(f"WITH {_SENTENCES}, {_HITS} SELECT id, id IN (SELECT id FROM hit) AS hit FROM s")
 def negation_match_generated(spark, sf):
     return _sentences(spark).select("id", rules.unnegated_match(F.col("s")).alias("hit"))
 
 
-@query(f"""WITH {_SENTENCES}, {_HITS}, f AS (SELECT id, id IN (SELECT id FROM hit) AS free,
+@example(f"""WITH {_SENTENCES}, {_HITS}, f AS (SELECT id, id IN (SELECT id FROM hit) AS free,
 regexp_matches(lower(s), '\\$\\d+(\\.\\d\\d)? */ *(mo|month|user|seat)') OR regexp_matches(lower(s), '\\$\\d+(\\.\\d\\d)? *per *(month|user|seat)') OR regexp_matches(lower(s), '\\busd? ?\\d+ */ *mo') AS paid,
 regexp_matches(lower(s), '\\b(contact sales|talk to sales|book a demo|custom pricing|enterprise plan|contact us for pricing|request a quote)\\b') AS sales FROM s)
 SELECT id, CASE WHEN free AND (paid OR sales) THEN 'FREEMIUM' WHEN free THEN 'FREE' WHEN paid THEN 'PAID' WHEN sales THEN 'ENTERPRISE' END AS model FROM f""")
@@ -112,7 +112,7 @@ def _roles(spark):
 _WORDS = values([(k, name, w) for k, (name, words) in enumerate(rules.ROLE_RULES) for w in words], "k, family, w").replace(" AS t(", " AS w(")
 
 
-@query(f"""WITH r AS (SELECT l.i * 1000 + j.i * 20 + e.i AS id, ' ' || lower(l.x || ' ' || j.x) || ' ' || lower(e.x) || ' ' AS hay FROM {values(list(enumerate(LEVELS)), 'i, x').replace(' AS t(', ' AS l(')},
+@example(f"""WITH r AS (SELECT l.i * 1000 + j.i * 20 + e.i AS id, ' ' || lower(l.x || ' ' || j.x) || ' ' || lower(e.x) || ' ' AS hay FROM {values(list(enumerate(LEVELS)), 'i, x').replace(' AS t(', ' AS l(')},
 {values(list(enumerate(JOB_NAMES)), 'i, x').replace(' AS t(', ' AS j(')}, {values(list(enumerate(EXTRAS)), 'i, x').replace(' AS t(', ' AS e(')})
 SELECT id, coalesce((SELECT arg_min(family, k) FROM {_WORDS} WHERE contains(r.hay, w)), 'Other') AS family FROM r""")
 def role_family_generated(spark, sf):
@@ -152,7 +152,7 @@ def parse_datetime_table(spark, sf):
 LLM = [(1, "PAID", "FREE"), (2, "paid", "FREE"), (3, None, "FREE"), (4, "", None), (5, "ENTERPRISE", None)]
 
 
-@query(f"SELECT id, CASE WHEN answer IN ('FREE', 'FREEMIUM', 'PAID', 'ENTERPRISE') THEN answer ELSE rule END AS model FROM {values(LLM, 'id, answer, rule')}")
+@example(f"SELECT id, CASE WHEN answer IN ('FREE', 'FREEMIUM', 'PAID', 'ENTERPRISE') THEN answer ELSE rule END AS model FROM {values(LLM, 'id, answer, rule')}")
 def coalesce_classifier(spark, sf):
     df = inline(spark, LLM, "id int, answer string, rule string")
     return df.select("id", candidates.isolated(F.when(F.col("answer").isin(validate.PRICING_MODELS), F.col("answer")), F.col("rule")).alias("model"))
@@ -161,13 +161,13 @@ def coalesce_classifier(spark, sf):
 NUMBERS = [(1, " 42 ", "2026-09-04", "true"), (2, "x", "2026-13-01", "maybe"), (3, None, None, None), (4, "7.9", "2026-09-04T10:00:00", "false")]
 
 
-@query(f"SELECT id, TRY_CAST(CASE WHEN regexp_full_match(trim(n), '[+-]?\\d+') THEN trim(n) END AS INTEGER) AS n, strftime(TRY_CAST(d AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS d, TRY_CAST(b AS BOOLEAN) AS b FROM {values(NUMBERS, 'id, n, d, b')}")
+@example(f"SELECT id, TRY_CAST(CASE WHEN regexp_full_match(trim(n), '[+-]?\\d+') THEN trim(n) END AS INTEGER) AS n, strftime(TRY_CAST(d AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS d, TRY_CAST(b AS BOOLEAN) AS b FROM {values(NUMBERS, 'id, n, d, b')}")
 def coerce_types(spark, sf):
     df = inline(spark, NUMBERS, "id int, n string, d string, b string")
     return validate.coerce(df, {"n": "int", "d": "timestamp", "b": "boolean"}).withColumn("d", _stamp(F.col("d"))).select("id", "n", "d", "b")
 
 
-@query(f"SELECT id, CASE WHEN regexp_full_match(n, '\\s*[+-]?\\d+(\\.\\d+)?\\s*') THEN TRY_CAST(n AS DOUBLE) END AS seconds FROM {values(NUMBERS, 'id, n, d, b')}")
+@example(f"SELECT id, CASE WHEN regexp_full_match(n, '\\s*[+-]?\\d+(\\.\\d+)?\\s*') THEN TRY_CAST(n AS DOUBLE) END AS seconds FROM {values(NUMBERS, 'id, n, d, b')}")
 def try_float(spark, sf):
     return inline(spark, NUMBERS, "id int, n string, d string, b string").select("id", text.try_float(F.col("n")).alias("seconds"))
 
@@ -175,7 +175,7 @@ def try_float(spark, sf):
 ATTEMPTS = [(0, None), (1, None), (2, None), (5, None), (10, None), (1, 7.5), (1, 400.0)]
 
 
-@query(f"SELECT attempt, retry_after, CAST(coalesce(least(retry_after, 30.0), least(1.0 * power(2.0, attempt), 30.0)) AS DOUBLE) AS seconds FROM (SELECT attempt, CAST(retry_after AS DOUBLE) AS retry_after FROM {values(ATTEMPTS, 'attempt, retry_after')})")
+@example(f"SELECT attempt, retry_after, CAST(CASE WHEN retry_after IS NULL THEN least(1.0 * power(2.0, attempt), 30.0) ELSE least(retry_after, 30.0) END AS DOUBLE) AS seconds FROM (SELECT attempt, CAST(retry_after AS DOUBLE) AS retry_after FROM {values(ATTEMPTS, 'attempt, retry_after')})")
 def backoff_schedule(spark, sf):
     df = inline(spark, ATTEMPTS, "attempt int, retry_after double")
     return df.select("attempt", "retry_after", dates.backoff_seconds(F.col("attempt"), 1.0, 30.0, F.col("retry_after")).alias("seconds"))
@@ -184,7 +184,7 @@ def backoff_schedule(spark, sf):
 STATUSES = [(200,), (204,), (301,), (404,), (429,), (500,), (503,), (598,), (599,)]
 
 
-@query(f"SELECT status, CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status = 429 OR status >= 500 THEN 'retry' ELSE 'failed' END AS class FROM {values(STATUSES, 'status')}")
+@example(f"SELECT status, CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status = 429 OR status >= 500 THEN 'retry' ELSE 'failed' END AS class FROM {values(STATUSES, 'status')}")
 def fetch_status_class(spark, sf):
     return inline(spark, STATUSES, "status int").select("status", rules.status_class(F.col("status")).alias("class"))
 
@@ -192,7 +192,7 @@ def fetch_status_class(spark, sf):
 ITEMS = [(1, "4"), (2, "zero"), (3, None), (4, "0"), (5, "-2")]
 
 
-@query(f"SELECT id, CASE WHEN TRY_CAST(n AS INTEGER) <> 0 THEN CAST(100.0 AS DOUBLE) / TRY_CAST(n AS INTEGER) END AS result, TRY_CAST(n AS INTEGER) IS NULL OR TRY_CAST(n AS INTEGER) = 0 AS failed FROM {values(ITEMS, 'id, n')}")
+@example(f"SELECT id, CASE WHEN TRY_CAST(n AS INTEGER) <> 0 THEN CAST(100.0 AS DOUBLE) / TRY_CAST(n AS INTEGER) END AS result, TRY_CAST(n AS INTEGER) IS NULL OR TRY_CAST(n AS INTEGER) = 0 AS failed FROM {values(ITEMS, 'id, n')}")
 def failure_isolation(spark, sf):
     got = F.try_divide(F.lit(100.0), F.col("n").try_cast("int"))
     return inline(spark, ITEMS, "id int, n string").select("id", got.alias("result"), got.isNull().alias("failed"))
@@ -264,7 +264,7 @@ ENTRIES = [(1, "A", "A", "exact", 100.0), (2, "A", "A", "exact", 90.0), (3, "A",
 STORED = [("B", "B", "exact")]
 
 
-@query(f"""SELECT raw_name, canonical_name, method, arg_min(confidence, seq) AS confidence FROM {values(ENTRIES, 'seq, raw_name, canonical_name, method, confidence')}
+@example(f"""SELECT raw_name, canonical_name, method, arg_min(confidence, seq) AS confidence FROM {values(ENTRIES, 'seq, raw_name, canonical_name, method, confidence')}
 WHERE (raw_name, canonical_name, method) NOT IN (SELECT (r, c, m) FROM {values(STORED, 'r, c, m')}) GROUP BY 1, 2, 3""")
 def mapping_log_dedup(spark, sf):
     entries = inline(spark, ENTRIES, "seq int, raw_name string, canonical_name string, method string, confidence double")
@@ -280,7 +280,7 @@ case("provider_fallback", ANSWERS, "row_id int, chunk int, tier int, status int,
 PAGES = [(1, 0, 598, None), (1, 1, 200, "free plan"), (1, 2, 200, "$5/mo"), (2, 0, 200, "nothing"), (2, 1, 404, None), (3, 0, 200, "contact sales")]
 
 
-@query(f"""SELECT site, arg_min(ordinal, ordinal) AS ordinal, arg_min(m, ordinal) AS model FROM (SELECT *, CASE WHEN contains(page, 'free plan') THEN 'FREE' WHEN contains(page, '$') THEN 'PAID' WHEN contains(page, 'contact sales') THEN 'ENTERPRISE' END AS m
+@example(f"""SELECT site, arg_min(ordinal, ordinal) AS ordinal, arg_min(m, ordinal) AS model FROM (SELECT *, CASE WHEN contains(page, 'free plan') THEN 'FREE' WHEN contains(page, '$') THEN 'PAID' WHEN contains(page, 'contact sales') THEN 'ENTERPRISE' END AS m
 FROM {values(PAGES, 'site, ordinal, status, page')}) WHERE m IS NOT NULL AND status = 200 GROUP BY site""")
 def first_successful_candidate(spark, sf):
     df = inline(spark, PAGES, "site int, ordinal int, status int, page string").withColumn("model", rules.pricing_model(F.col("page")))

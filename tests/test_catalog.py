@@ -27,10 +27,14 @@ def plain(v):
     return tuple(map(plain, v)) if isinstance(v, (list, tuple)) else v
 
 
-@pytest.mark.parametrize("name", sorted(catalog.SQL))
+CASES = {n: (catalog.QUERIES[n], q) for n, q in catalog.SQL.items()} | {f"example of {n}": x for n, x in catalog.EXAMPLES.items()}
+
+
+@pytest.mark.parametrize("name", sorted(CASES))
 def test_query(name, spark, sf, db):
-    df = catalog.QUERIES[name](spark, sf)
-    result = db.execute(catalog.SQL[name])
+    run, sql = CASES[name]
+    df = run(spark, sf)
+    result = db.execute(sql)
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     mine = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=repr)
@@ -42,6 +46,16 @@ def test_rows_only(name, spark, sf):
     assert catalog.QUERIES[name](spark, sf).count() > 0
 
 
+def test_every_query_reads_a_table(spark, tmp_path):
+    """On a folder without tables none runs."""
+    from pyspark.errors import AnalysisException
+
+    for name, run in catalog.QUERIES.items():
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            run(spark, str(tmp_path / "none"))
+            pytest.fail(name)
+
+
 def test_entry(spark):
     import __spark_entry__
 
