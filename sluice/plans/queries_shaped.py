@@ -6,16 +6,19 @@ the SQL computes the same rows from the columns alone, with no payload in betwee
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.catalog import query, table, values
 from sluice.functions import dates, html, rules, salvage, text
 from sluice.operators import candidates, resolve, similarity, validate
+from sluice.operators.scratch import shared_dir
 from sluice.plans import queries_values as examples
 from sluice.plans import verticals
 from sluice.sinks.tabs import flatten
-from sluice.sources import payloads
+from sluice.sources import paging, payloads
 
 NOW = "2024-01-31 00:00:00"
 #: Items of a payload.
@@ -457,3 +460,39 @@ def entity_exact_alias(spark, sf):
     """Suppliers that bear the names of known companies, as they are written and by other names, among their own."""
     raw = F.when(F.col("s_suppkey") % 6 < 4, _pick([x[0] for x in _KNOWN], F.least(F.col("s_suppkey") % 6, F.lit(3)))).otherwise(F.col("s_name"))
     return resolve.resolve(table(spark, sf, "supplier").select("s_suppkey", raw.alias("name")), "name", "s_suppkey")
+
+
+# --- paged sources ------------------------------------------------------------------------------------------------------
+
+
+def _pages(spark, rows: DataFrame, key: str, item: str):
+    """The rows as pages in the shared folder: the source that the queries below ask. (pages, folder)"""
+    root = f"{shared_dir(spark).rstrip('/')}/pages-{uuid.uuid4().hex}"
+    items = rows.select(F.expr(f"{key} div {PAGE}").alias("page"), F.col(key).alias("place"), F.expr(item).alias("item"))
+    return paging.FilePages.write(items, "page", "place", "item", f"{root}/pages"), root
+
+
+_SUPPLIER = "to_json(named_struct('id', s_suppkey, 'name', s_name))"
+
+
+def _told(df: DataFrame) -> DataFrame:
+    item = F.from_json("item", "id long, name string")
+    return df.select("page", "place", item["id"].alias("id"), item["name"].alias("name"))
+
+
+@query(f"SELECT s_suppkey // {PAGE} AS page, CAST(s_suppkey % {PAGE} AS INTEGER) AS place, s_suppkey AS id, s_name AS name FROM supplier")
+def cursor_stream(spark, sf):
+    """Suppliers behind a pager by cursor, followed as a stream into a table."""
+    pages, root = _pages(spark, table(spark, sf, "supplier"), "s_suppkey", _SUPPLIER)
+    stream = _told(paging.cursor_stream(spark, pages.by_cursor, pages_per_batch=3))
+    paging.drain(stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").start())
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+@query(f"SELECT c_custkey // {PAGE} AS page, CAST(c_custkey % {PAGE} AS INTEGER) AS place, c_custkey AS id, c_name AS name FROM customer")
+def offset_scan(spark, sf):
+    """Customers behind a pager by place, read by four lanes."""
+    rows = table(spark, sf, "customer")
+    most = (rows.agg(F.max("c_custkey")).first()[0] or 0) + 1
+    pages, _ = _pages(spark, rows, "c_custkey", "to_json(named_struct('id', c_custkey, 'name', c_name))")
+    return _told(paging.offset_scan(spark, pages.by_place, PAGE, most, lanes=4, delay=0.0))
