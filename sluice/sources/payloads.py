@@ -41,8 +41,7 @@ def xml_rows(df: DataFrame, body: str, schema: str, path: str, carry: list[str]
 
 def _first_date(now: Column, *cs: Column) -> Column:
     """The first of some dates that can be read."""
-    read = F.transform(F.array(*[F.nullif(F.trim(c), F.lit("")) for c in cs]), lambda c: parse_datetime(c, now))
-    return F.get(F.filter(read, lambda x: x.isNotNull()), F.lit(0))
+    return F.coalesce(*[parse_datetime(c, now) for c in cs])
 
 
 def _first_text(*cs: Column) -> Column:
