@@ -30,7 +30,8 @@ def empty(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(name, spark, sf):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     result = con.execute(queries.SQL[name])
     columns = [c[0] for c in result.description]
     df = queries.QUERIES[name](spark, sf)

@@ -174,6 +174,8 @@ def test_queries_have_the_contract_columns(spark, sf):
         "op4_media_sniffing": "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", "op7_language_id": "doc_id held_out lang_pred score",
         "op8_bpe_codec": "doc_id n_tokens ids_sha256 decoded_sha256", "op9_minhash_dedup": "doc_id n_shingles component_id kept", "op10_token_id_files": "doc_id start n_tokens ids_crc32",
         "op5_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "op1_lm_scoring": "doc_id held_out n_tokens n_known train_tokens base_score score",
+        "op11_piece_codec": "doc_id n_tokens ids_sha256 decoded_sha256", "op12_spelling_variants": "word form root n n_near form_n",
+        "op13_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     }
     for name, want in columns.items():
         assert set(want.split()) <= set(queries.QUERIES[name](spark, sf).columns), name
