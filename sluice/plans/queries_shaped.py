@@ -233,6 +233,22 @@ def papers_vertical(spark, sf):
     return verticals.papers(_context(spark), rows, stars).accepted.select("seq", "title", "github_url", "github_stars")
 
 
+@query("""WITH c AS (SELECT doc_id, list_position(['en', 'de', 'fr', 'es'], lang) AS pos, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn, doc_id // 2 AS paper, doc_id % 5 <> 0 AS ok FROM documents WHERE lang IN ('en', 'de', 'fr', 'es')),
+f AS (SELECT *, (rn - 1) // 10 AS page, row_number() OVER (PARTITION BY paper ORDER BY pos, rn) AS k FROM c WHERE rn <= 29), a AS (SELECT * FROM f WHERE k = 1 AND ok),
+cum AS (SELECT pos, page, coalesce(sum(count(*)) OVER (ORDER BY pos, page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM a GROUP BY pos, page),
+one AS (SELECT a.doc_id, a.paper FROM a JOIN cum ON cum.pos = a.pos AND cum.page = a.page WHERE earlier < 100),
+o AS (SELECT doc_id, doc_id // 2 AS paper, doc_id % 5 <> 0 AS ok, row_number() OVER (PARTITION BY doc_id // 2 ORDER BY doc_id) AS k FROM documents WHERE doc_id % 3 <> 0 AND doc_id // 2 NOT IN (SELECT paper FROM one)),
+two AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM o WHERE k = 1 AND ok)
+SELECT doc_id AS seq, 'category' AS pool FROM one UNION ALL SELECT doc_id, 'other' FROM two WHERE n <= 100 - (SELECT count(*) FROM one)""")
+def papers_by_category(spark, sf):
+    """A hundred papers: each language's documents up to its quota, in pages of ten, then documents of any language."""
+    rows = table(spark, sf, "documents").selectExpr("doc_id AS seq", "lang AS category", "concat('p', doc_id div 2) AS paper_id", "if(doc_id % 5 = 0, ' ', concat(lang, doc_id)) AS title", "array(source) AS authors",
+                                                    "concat('https://p.org/', doc_id) AS paper_url", "cast(null as string) AS github_url", "'none' AS summary", f"timestamp'{NOW}' AS published_date")
+    first = rows.withColumn("pool", F.lit("category"))
+    others = rows.where("seq % 3 <> 0").withColumn("pool", F.lit("other"))
+    return verticals.papers_by_category(_context(spark), first, others, 100, ["en", "de", "fr", "es"], 10).accepted.select("seq", "pool")
+
+
 # --- rules --------------------------------------------------------------------------------------------------------------
 
 

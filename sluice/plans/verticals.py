@@ -6,7 +6,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.dates import is_fresh
@@ -58,8 +58,12 @@ def category_quota(target: int, categories: int) -> int:
 
 
 def _resolved(ctx: RunContext, rows: DataFrame, name: str, source_url: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(resolved rows, mapping entries, names learned); names that ctx knows from runs before count as learned."""
+    """(resolved rows, mapping entries, names learned); names that ctx knows from runs before count as learned.
+
+    The resolved rows are a table, so that what is accepted, rejected, logged and counted comes of one resolution.
+    """
     out, taught = resolve_and_learn(rows, name, "seq", ctx.seed, ctx.fuzzy_threshold, [c for c in rows.columns if c != "seq"], ctx.learned)
+    out = Scratch(ctx.spark).put(out)
     log = out.select("seq", "raw_name", "canonical_name", "method", "confidence", F.coalesce(F.col(source_url), F.lit("")).alias("source_url"), ctx.now.alias("timestamp"))
     return out, log, taught
 
@@ -177,6 +181,41 @@ def papers(ctx: RunContext, rows: DataFrame, stars: DataFrame | None = None) ->
     return Outcome(good.drop("is_cached", "slug"), bad)
 
 
+def papers_by_category(
+    ctx: RunContext, rows: DataFrame, others: DataFrame, target: int, categories: list[str], page_size: int = 100, stars: DataFrame | None = None,
+) -> Outcome:
+    """Papers of some categories, each up to its quota of candidates, and of a second pool where they are too few.
+
+    rows: as of papers, with category. Categories go in the order given, their papers by
+    seq in pages; a page is looked at while fewer than target papers were accepted before
+    it, so the last page may lead beyond the target. Of others, papers that were not
+    accepted yet are added by seq up to the target. One plan: quotas are ranks, pages are
+    counted and summed, and how many are lacking is a row that is joined.
+    """
+    quota = category_quota(target, len(categories))
+    at = F.array_position(F.array(*[F.lit(c) for c in categories]), F.col("category"))
+    place = Window.partitionBy("category").orderBy("seq")
+    first = rows.where(F.col("category").isin(categories)).withColumn("_rank", F.row_number().over(place)).where(F.col("_rank") <= quota)
+    # papers() takes the first of each id by seq, which is the order of asking here
+    first = first.select(F.col("seq").alias("_seq"), (at * (1 << 32) + F.col("_rank")).alias("seq"), *[c for c in rows.columns if c != "seq"], at.alias("_at"), F.floor((F.col("_rank") - 1) / page_size).alias("_page"))
+    found = papers(ctx, first, stars)
+    accepted = Scratch(ctx.spark).put(found.accepted)
+    before = Window.orderBy("_at", "_page").rowsBetween(Window.unboundedPreceding, -1)  # a row a page
+    pages = accepted.groupBy("_at", "_page").agg(F.count("*").alias("n")).select("_at", "_page", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    pages = pages.where(F.col("before") < target).select("_at", "_page")
+    whole = lambda df: df.withColumn("seq", F.col("_seq")).drop("_seq", "_at", "_page")
+    accepted = Scratch(ctx.spark).put(accepted.join(pages, ["_at", "_page"], "left_semi"))
+    last = pages.agg(F.max(F.struct("_at", "_page")).alias("last"))
+    rejected = found.rejected.join(F.broadcast(last), F.col("last").isNull() | (F.struct("_at", "_page") <= F.col("last"))).drop("last")
+
+    more = papers(ctx, others.join(accepted.select("paper_id"), "paper_id", "left_anti"), stars)
+    lacking = accepted.agg((F.lit(target) - F.count("*")).alias("_lacking"))  # one row
+    added = more.accepted.orderBy("seq").limit(target).withColumn("_n", F.row_number().over(Window.orderBy("seq")))
+    added = added.join(F.broadcast(lacking), F.col("_n") <= F.col("_lacking")).drop("_n", "_lacking")
+    union = lambda a, b: a.unionByName(b, allowMissingColumns=True)
+    return Outcome(union(whole(accepted), added), union(whole(rejected), more.rejected.join(F.broadcast(lacking), F.col("_lacking") > 0).drop("_lacking")))
+
+
 def news(ctx: RunContext, rows: DataFrame, seen: DataFrame | None = None, hashes: DataFrame | None = None) -> Outcome:
     """rows: seq, source_name, headline, url, date, summary. Stale rows are rejected with the date as read."""
     fresh = is_fresh(F.col("date"), ctx.now, ctx.fresh_hours)

@@ -257,3 +257,32 @@ def test_a_quota_over_tied_places(spark):
 
     rows = spark.createDataFrame([(k, 7, False) for k in (5, 3, 9, 1, 8)] + [(2, 1, True), (4, 3, False)], "k int, place int, is_cached boolean").repartition(5)
     assert [tuple(r) for r in candidates.misses(rows, "k", "place", 3).collect()] == [(4, 3), (1, 7), (3, 7)]
+
+
+def test_papers_by_category(spark):
+    """Quotas, pages, the stop at the target and the second pool, against the described loop."""
+    import math
+
+    now = F.lit("2026-09-04 12:00:00").cast("timestamp")
+    ctx = verticals.RunContext(spark, now, "")
+    columns = "seq long, category string, paper_id string, title string, paper_url string"
+    pool = [(k, "abcx"[k % 4], f"p{k // 2 if k % 3 else k}", " " if k % 7 == 0 else f"t{k}", f"https://p.org/{k}") for k in range(90)]
+    other = [(k, None, f"p{k}", f"t{k}", f"https://p.org/{k}") for k in range(5, 60, 2)]
+    more = lambda rows: spark.createDataFrame(rows, columns).withColumns({"authors": F.array(F.lit("A")), "github_url": F.lit(None).cast("string"), "summary": F.lit(""), "published_date": now})
+    for target, size in ((12, 4), (60, 5), (3, 1)):
+        quota, seen, got = math.ceil(target * 1.15 / 3), set(), []
+        for c in "cab":
+            rows, at = [r for r in pool if r[1] == c][:quota], 0
+            while at < len(rows) and len(got) < target:
+                for r in rows[at : at + size]:
+                    if r[2] not in seen and r[3].strip():
+                        got.append(r[0])
+                    seen.add(r[2])
+                at += size
+        ids = {r[2] for r in pool if r[0] in got}
+        for r in other:
+            if len(got) < target and r[2] not in ids:
+                got.append(r[0])
+        out = verticals.papers_by_category(ctx, more(pool), more(other), target, ["c", "a", "b"], size)
+        assert sorted(r.seq for r in out.accepted.collect()) == sorted(got)
+        out.rejected.collect()
