@@ -59,8 +59,8 @@ _ISO = "date_format(timestamp'2024-01-01 10:00:00' + make_dt_interval(p_size), \
 'https://j.com/' || p_partkey AS url, p_type || '   work' AS description FROM part WHERE contains(lower(p_name || ' ' || p_type), 'promo') AND p_partkey % 11 <> 0""")
 def jobs_json_parse(spark, sf):
     item = f"""to_json(named_struct('position', if(p_partkey % 11 = 0, null, concat(p_name, ' engineer')), 'company', if(p_partkey % 5 = 0, '', p_brand), 'tags', array(p_type), 'description', concat('<p>', p_type, '   work</p>'),
-    'date', if(p_partkey % 2 = 0, {_ISO}, 'whenever'), 'epoch', unix_seconds(timestamp'2024-01-01 10:00:00' + make_dt_interval(p_size)), if(p_partkey % 3 = 0, 'apply_url', 'url'), concat('https://j.com/', p_partkey)))"""
-    item = item.replace("if(p_partkey % 3 = 0, 'apply_url', 'url'), concat('https://j.com/', p_partkey)", "'apply_url', if(p_partkey % 3 = 0, concat('https://j.com/', p_partkey), 'no'), 'url', if(p_partkey % 3 = 0, '', concat('https://j.com/', p_partkey))")
+    'date', if(p_partkey % 2 = 0, {_ISO}, 'whenever'), 'epoch', unix_seconds(timestamp'2024-01-01 10:00:00' + make_dt_interval(p_size)), 
+    'apply_url', if(p_partkey % 3 = 0, concat('https://j.com/', p_partkey), 'no'), 'url', if(p_partkey % 3 = 0, '', concat('https://j.com/', p_partkey))))"""
     out = payloads.remote_jobs(_bodies(table(spark, sf, "part"), "p_partkey", item), _now(), ["promo"])
     return out.select("seq", "company", "title", _stamp(F.col("date")).alias("at"), "is_remote", "url", "description")
 
