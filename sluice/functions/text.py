@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -46,19 +48,34 @@ def _without_marks(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
+#: What can be a reference that its semicolon ends.
+_CLOSED = re.compile(r"&(?:#[0-9]+;|#[xX][0-9a-fA-F]+;|([^\s<&#;]{1,32};))?")
+
+
+def bare_kept(page: str) -> str:
+    """page with the ampersands that begin no reference closed by a semicolon as references themselves, so that they stay."""
+    return _CLOSED.sub(lambda m: m[0] if m[0] != "&" and (m[1] is None or m[1] in html5) else "&amp;" + m[0][1:], page)
+
+
 @F.pandas_udf(T.StringType())
 def _unescaped(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else html.unescape(x))
 
 
+@F.pandas_udf(T.StringType())
+def _unescaped_closed(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None else html.unescape(bare_kept(x)))
+
+
 def strip_accents(c: Column) -> Column:
     """Compatibility decomposition without combining marks; the text of rows within ASCII does not leave the JVM."""
     return F.coalesce(_without_marks(F.when(F.octet_length(c) != F.length(c), c)), c)
 
 
-def html_unescape(c: Column) -> Column:
-    """Entities as characters; only the text of rows with an ampersand goes to Python."""
-    return F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
+def html_unescape(c: Column, bare: bool = True) -> Column:
+    """Entities as characters; only the text of rows with an ampersand goes to Python. bare: those without a semicolon too, as HTML has some."""
+    read = _unescaped if bare else _unescaped_closed
+    return F.coalesce(read(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def normalize_name(c: Column, strip_suffix: bool = True, accents: bool = True) -> Column:

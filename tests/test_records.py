@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from sluice.functions.html import main_text
+from sluice.functions.html import clean_html, main_text
 from sluice.functions.salvage import salvage
 from sluice.operators import candidates, chunk, dedup
 from sluice.operators.manifest import Tables
@@ -52,6 +52,17 @@ def test_main_text():
     assert main_text("<div>no zones</div>") == "no zones" and main_text("") == ""
 
 
+BARE = "A &amp; b &amp</h1><p>&ampx; &copy 1 &#38 c&#38;d &lt;i&gt;"
+
+
+def test_main_text_keeps_bare_entities(spark):
+    """The query reads closed entities alone, as its SQL does; the function reads bare ones too by default."""
+    df = spark.createDataFrame([(f"<body><article><h1>{BARE}</article></body>",), (None,)], "html string")
+    rows = df.select(clean_html(F.col("html"), bare=False).alias("closed"), clean_html(F.col("html")).alias("all")).collect()
+    assert [r.closed for r in rows] == ["A & b &amp\n\n&ampx; &copy 1 &#38 c&d <i>", ""]
+    assert rows[0].all == "A & b &\n\n&x; © 1 & c&d <i>"
+
+
 def test_salvage():
     assert salvage('x ```json\n{"a": [1]}\n``` y') == '{"a":[1]}' and salvage("{a") is None and salvage(None) is None
 
