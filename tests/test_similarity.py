@@ -53,6 +53,36 @@ def test_pairs(spark, names, percent, crowd):
     assert {(r.a, r.b): round(r.score, 6) for r in rows} == want and len(rows) == len(want)
 
 
+def test_names_of_one_length_are_not_met(spark):
+    """Numbered names of one length differ by two letters at the least, so at 97 none is a candidate, as many as share their letters."""
+    names = [f"{k:09d} customer" for k in range(3000)]
+    rows = spark.createDataFrame([(k, s, len(s)) for k, s in enumerate(names)], "k int, s string, len int")
+    assert similarity.candidates(rows, 97).count() == 0
+
+
+@pytest.mark.parametrize("crowd", [500, 3])
+def test_pairs_of_longer_names(spark, crowd):
+    """Names of 30 to 40 letters: one letter lost, two exchanged, one replaced; none of them needs pairs of letters."""
+    rng = random.Random(5)
+    base = ["aaaaaaaaaaaaaaaaabbbbbbbbbbbbbbbbbcc", "a rather long name of some company x", "0000000000000000000000000012345 name"]
+    names = sorted({*base, *typos(rng, base, 60), base[1].replace("ny", "yn"), base[0][1:] + "a", base[2].replace("5", "4")})
+    df = spark.createDataFrame(list(enumerate(names)), "key int, name string")
+    rows = similarity.similar_pairs(df, 97, crowd=crowd).collect()
+    want = {(i, j): round(r, 6) for i in range(len(names)) for j in range(i + 1, len(names)) if (r := ratio(names[i], names[j])) >= 97}
+    assert {(r.a, r.b): round(r.score, 6) for r in rows} == want and len(rows) == len(want)
+
+
+@pytest.mark.parametrize("percent", [97, 85])
+def test_numbers_tell_names_apart(spark, percent):
+    names = ["small widget 10305", "small widget 1005", "smal widget 10305", "smal widget 1005", "widgets 10305 small", "small 7 widget 10305", "small widget"]
+    df = spark.createDataFrame(list(enumerate(names)), "key int, name string")
+    rows = similarity.similar_pairs(df, percent, numbers=True).collect()
+    number = lambda s: sorted(w for w in s.split() if w.isdigit())
+    want = {(i, j) for i in range(7) for j in range(i + 1, 7) if ratio(names[i], names[j]) >= percent and number(names[i]) == number(names[j])}
+    assert {(r.a, r.b) for r in rows} == want and len(want) >= 2
+    assert (0, 1) in {(r.a, r.b) for r in similarity.similar_pairs(df, percent).collect()}
+
+
 def test_no_key_is_larger_than_a_tile(spark, names):
     """Customers' names share nearly all pairs of letters; what meets under one key stays bounded."""
     crowd = 8
