@@ -46,13 +46,13 @@ def seed_table(spark: SparkSession, seed: dict[str, list[str]]) -> DataFrame:
     )
 
 
-def _edges(names: DataFrame, table: DataFrame, percent: float, learned: DataFrame | None = None) -> DataFrame:
+def _edges(names: DataFrame, table: DataFrame, percent: float, learned: DataFrame | None = None, numbers: bool = False) -> DataFrame:
     """(norm, other, other_at, score): for each name, seed names, learned names and names before it with percent or more."""
     seeds = table.select("norm", F.col("ord").cast("long").alias("place"), F.lit(0).alias("group"))
     both = seeds.unionByName(names.select("norm", F.col("first").alias("place"), F.lit(1).alias("group")))
     if learned is not None:
         both = both.unionByName(learned.select("norm", F.col("first").alias("place"), F.lit(1).alias("group")))
-    pairs = similar_pairs(both.select("norm", F.col("norm").alias("key")), percent, "norm")
+    pairs = similar_pairs(both.select("norm", F.col("norm").alias("key")), percent, "norm", numbers=numbers)
     info = lambda c: both.select(F.col("norm").alias(c), F.struct("group", "place").alias(f"{c}_at"))
     met = pairs.join(info("a"), "a").join(info("b"), "b").where("a_at.group = 1 or b_at.group = 1")
     if learned is not None:  # what is known before stays as it is
@@ -91,19 +91,22 @@ def _leaders(names: DataFrame, edges: DataFrame, learned: DataFrame | None = Non
 
 def resolve(
     df: DataFrame, raw: str, seq: str, seed: dict[str, list[str]] | None = None, threshold: float = 97.0, carry: list[str] | None = None, learned: DataFrame | None = None,
+    numbers: bool = False,
 ) -> DataFrame:
     """(seq, raw_name, canonical_name, method, confidence[, carried]): method exact, alias, fuzzy or unmatched-new.
 
     learned: (norm, raw, first) of names that earlier runs learned, as learned_names gives them; their places come before those of df.
+    numbers: a name is no fuzzy match of one with other numbers in it.
     """
-    return resolve_and_learn(df, raw, seq, seed, threshold, carry, learned)[0]
+    return resolve_and_learn(df, raw, seq, seed, threshold, carry, learned, numbers)[0]
 
 
 def resolve_and_learn(
     df: DataFrame, raw: str, seq: str, seed: dict[str, list[str]] | None = None, threshold: float = 97.0, carry: list[str] | None = None, learned: DataFrame | None = None,
+    numbers: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows as resolve gives them, (norm, raw, first) of the names that this run learned)."""
-    rows, table, names, edges, leaders = _settled(df, raw, seq, seed, threshold, carry or [], learned)
+    rows, table, names, edges, leaders = _settled(df, raw, seq, seed, threshold, carry or [], learned, numbers)
     taught = names.join(leaders, "norm").select("norm", "raw", "first")
     shown = taught if learned is None else taught.unionByName(learned.select("norm", "raw", "first"))
     shown = shown.select(F.col("norm").alias("l_norm"), F.col("raw").alias("l_raw"), F.col("first").alias("l_first"))
@@ -136,7 +139,7 @@ def resolve_and_learn(
     return out.select(F.col("_seq").alias(seq), F.col("raw").alias("raw_name"), canonical.alias("canonical_name"), method.alias("method"), confidence.alias("confidence"), *(carry or [])), taught
 
 
-def _settled(df, raw, seq, seed, threshold, carry, learned=None):
+def _settled(df, raw, seq, seed, threshold, carry, learned=None, numbers=False):
     seed = COMPANIES if seed is None else seed
     rows = df.select(F.col(seq).cast("long").alias("_seq"), F.coalesce(F.col(raw).cast("string"), F.lit("")).alias("raw"), *carry).withColumn("norm", normalize_name(F.col("raw")))
     table = seed_table(df.sparkSession, seed).where("norm <> ''") if seed else df.sparkSession.createDataFrame([], "norm string, canonical string, kind string, display string, ord int")
@@ -147,7 +150,7 @@ def _settled(df, raw, seq, seed, threshold, carry, learned=None):
         learned = learned.join(table.select("norm"), "norm", "left_anti")
         names = names.join(learned.select("norm"), "norm", "left_anti")
     names = _cut(names)
-    edges = _cut(_edges(names, table, threshold, learned))
+    edges = _cut(_edges(names, table, threshold, learned, numbers))
     return rows, table, names, edges, _leaders(names, edges, learned)
 
 

@@ -33,6 +33,8 @@ class RunContext:
     keywords: list[str] = field(default_factory=list)
     #: Names that runs before this one learned (norm, raw, first); their places come before this run's.
     learned: DataFrame | None = None
+    #: Whether names with other numbers in them are other names, however similar.
+    numbers: bool = False
 
 
 @dataclass
@@ -62,7 +64,7 @@ def _resolved(ctx: RunContext, rows: DataFrame, name: str, source_url: str) -> t
 
     The resolved rows are a table, so that what is accepted, rejected, logged and counted comes of one resolution.
     """
-    out, taught = resolve_and_learn(rows, name, "seq", ctx.seed, ctx.fuzzy_threshold, [c for c in rows.columns if c != "seq"], ctx.learned)
+    out, taught = resolve_and_learn(rows, name, "seq", ctx.seed, ctx.fuzzy_threshold, [c for c in rows.columns if c != "seq"], ctx.learned, ctx.numbers)
     out = Scratch(ctx.spark).put(out)
     log = out.select("seq", "raw_name", "canonical_name", "method", "confidence", F.coalesce(F.col(source_url), F.lit("")).alias("source_url"), ctx.now.alias("timestamp"))
     return out, log, taught

@@ -240,6 +240,15 @@ def test_verticals_with_answers_pins_and_pools(spark):
     assert verticals.startups(ctx, spark.createDataFrame([(k, f"Name{k} Qx{k * 7919}", "https://d.com/1", 5) for k in range(60)], "seq bigint, name string, page_url string, team_size int"), target=1).accepted.count() == 51
 
 
+def test_products_told_apart_by_numbers(spark, tmp_path):
+    """The query's products are those of its SQL, one a number; by similarity alone the later is the earlier with a letter more."""
+    rows = spark.createDataFrame([(1, "Small Widget 1005", "https://a.com", "free forever"), (2, "Small Widget 10305", "https://b.com", "free forever")], "seq int, name string, website string, page_text string")
+    for numbers, second in ((True, "Small Widget 10305"), (False, "Small Widget 1005")):
+        ctx = verticals.RunContext(spark, F.lit("2024-01-31").cast("timestamp"), str(tmp_path), numbers=numbers)
+        got = verticals.products(ctx, rows).accepted.orderBy("seq").collect()
+        assert [r.canonical_name for r in got] == ["Small Widget 1005", second]
+
+
 def test_tabs(spark, tmp_path):
     df = spark.createDataFrame([(1, None, ["a", "b"]), (2, 'q"x', [])], "id int, s string, l array<string>")
     assert [list(r) for r in tabs.stringify(df, ["id", "s", "l", "none"]).orderBy("id").collect()] == [["1", "", "a, b", ""], ["2", 'q"x', "", ""]]
